@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import prep
+from .plans import kpis as K
 from .plans import silver as SV
+from .plans import views as VW
 from .sources import driver_tables as dt
 
 FIXTURE = SV.Params(min_time=dt.MIN_TIME, now=dt.NOW)
@@ -45,7 +47,27 @@ class Model:
     @cached_property
     def gold(self):
         from .plans.gold import build_gold
-        return build_gold({e: self.silver(e) for e in SV.CLEANERS}, self.spark)
+
+        class _Silver(dict):
+            def __missing__(s, e):
+                return self.silver(e)
+        return build_gold(_Silver(), self.spark)
+
+    def view(self, name: str) -> DataFrame:
+        """``v_<gold table>`` or ``dim_date``."""
+        t = name[2:] if name.startswith("v_") else name
+        return VW.view(self.gold[t], t)
+
+
+class _Views(dict):
+    def __init__(self, model: Model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, name):
+        df = self.model.view(name)
+        self[name] = df
+        return df
 
 
 def _silver_query(entity: str):
@@ -65,3 +87,40 @@ QUERIES = {
     "clean_payments": _silver_query("order_payments"),
     "clean_reviews": _silver_query("order_reviews"),
 }
+
+
+def _gold_query(table: str):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = Model(spark, sf_dir).gold[table]
+        if table == "dim_sellers":   # coordinates shown to 6 decimals
+            df = df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in ("seller_lat", "seller_lng")})
+        return df
+    q.__name__ = table
+    return q
+
+
+def views_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders view (snake-case names, dates)."""
+    return Model(spark, sf_dir).view("v_fact_orders")
+
+
+def _kpi_query(fn):
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(_Views(Model(spark, sf_dir)))
+    q.__name__ = fn.__name__
+    return q
+
+
+QUERIES.update({
+    "dim_customers": _gold_query("dim_customers"),
+    "dim_sellers": _gold_query("dim_sellers"),
+    "dim_products": _gold_query("dim_products"),
+    "fact_orders": _gold_query("fact_orders"),
+    "fact_items": _gold_query("fact_order_items"),
+    "fact_payments": _gold_query("fact_order_payments"),
+    "fact_reviews": _gold_query("fact_order_reviews"),
+    "dim_date": _gold_query("dim_date"),
+    "views_fact_orders": views_fact_orders,
+    "parked_orders": _gold_query("parked_orders"),
+})
+QUERIES.update({name: _kpi_query(fn) for name, fn in K.KPIS.items()})

@@ -210,3 +210,96 @@ def silver_ctes(entity: str, raw: str | None = None, out: str | None = None,
 
 def with_(ctes: list[str], select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
+
+
+# ------------------------------------------------------------------ gold
+def _geo_silver() -> list[str]:
+    return ([raw_cte("geolocation", "geo_points"),
+             """raw_geolocation AS (SELECT geolocation_zip_code_prefix,
+                   avg(geolocation_lat) AS geolocation_lat, avg(geolocation_lng) AS geolocation_lng
+                FROM geo_points GROUP BY geolocation_zip_code_prefix)"""]
+            + silver_ctes("geolocation", raw="raw_geolocation"))
+
+
+def _dd(d: str) -> str:
+    return f"""CAST({d} AS DATE) AS date, CAST(year({d}) AS INTEGER) AS year,
+      CAST(quarter({d}) AS INTEGER) AS quarter, 'Q' || CAST(quarter({d}) AS VARCHAR) AS quarter_name,
+      CAST(month({d}) AS INTEGER) AS month, strftime({d}, '%B') AS month_name,
+      strftime({d}, '%b') AS month_short, strftime({d}, '%b %Y') AS month_year,
+      CAST(day({d}) AS INTEGER) AS day, strftime({d}, '%A') AS day_name, strftime({d}, '%a') AS day_short,
+      dayofweek({d}) IN (0, 6) AS is_weekend,
+      CAST(floor((dayofyear({d}) + dayofweek(date_trunc('year', {d})) - 1) / 7) + 1 AS INTEGER) AS week_of_year"""
+
+
+def gold_ctes(silver_prefix: str = "silver_") -> list[str]:
+    """Dimensions, facts, calendar and views over ``<silver_prefix><entity>``."""
+    s = silver_prefix
+    return [
+        f"""dim_customers AS (SELECT row_number() OVER (ORDER BY customer_id) AS customer_sk, customer_id,
+              customer_unique_id, customer_city, customer_state, customer_zip_code_prefix
+            FROM {s}customers)""",
+        f"""dim_sellers AS (SELECT row_number() OVER (ORDER BY seller_id) AS seller_sk, seller_id,
+              seller_city, seller_state, seller_zip_code_prefix,
+              CAST(geolocation_lat AS DECIMAL(18,12)) AS seller_lat,
+              CAST(geolocation_lng AS DECIMAL(18,12)) AS seller_lng
+            FROM {s}sellers)""",
+        f"""dim_products AS (SELECT row_number() OVER (ORDER BY product_id) AS product_sk, product_id,
+              product_category_name, product_category_name_english, product_name_length,
+              product_description_length, product_photos_qty,
+              CAST(product_weight_g AS DECIMAL(10,2)) AS product_weight_g,
+              CAST(product_length_cm AS DECIMAL(10,2)) AS product_length_cm,
+              CAST(product_height_cm AS DECIMAL(10,2)) AS product_height_cm,
+              CAST(product_width_cm AS DECIMAL(10,2)) AS product_width_cm
+            FROM {s}products)""",
+        f"""fact_orders AS (SELECT row_number() OVER (ORDER BY o.order_id) AS order_sk, o.order_id,
+              c.customer_sk, o.order_status,
+              CAST(o.order_purchase_timestamp AS DATE) AS order_purchase_timestamp,
+              CAST(o.order_approved_at AS DATE) AS order_approved_at,
+              CAST(o.order_delivered_carrier_date AS DATE) AS order_delivered_carrier_date,
+              CAST(o.order_delivered_customer_date AS DATE) AS order_delivered_customer_date,
+              CAST(o.order_estimated_delivery_date AS DATE) AS order_estimated_delivery_date
+            FROM {s}orders o JOIN dim_customers c ON o.customer_id = c.customer_id)""",
+        f"""fact_order_items AS (SELECT row_number() OVER (ORDER BY i.order_id, i.order_item_id) AS order_item_sk,
+              i.order_id, i.order_item_id, p.product_sk, x.seller_sk,
+              CAST(i.shipping_limit_date AS DATE) AS shipping_limit_date, i.price, i.freight_value
+            FROM {s}order_items i JOIN dim_products p ON i.product_id = p.product_id
+                 JOIN dim_sellers x ON i.seller_id = x.seller_id)""",
+        f"""fact_order_payments AS (SELECT row_number() OVER (ORDER BY order_id, payment_sequential) AS order_payment_sk,
+              order_id, payment_sequential, payment_type, payment_installments, payment_value
+            FROM {s}order_payments WHERE order_id IN (SELECT order_id FROM fact_orders))""",
+        f"""fact_order_reviews AS (SELECT row_number() OVER (ORDER BY review_id) AS order_review_sk,
+              review_id, order_id, review_score, review_comment_title, review_comment_message,
+              CAST(review_creation_date AS DATE) AS review_creation_date,
+              CAST(review_answer_timestamp AS DATE) AS review_answer_date
+            FROM {s}order_reviews WHERE order_id IN (SELECT order_id FROM fact_orders))""",
+        """cal_bounds AS (SELECT min(d) AS s, max(d) AS e FROM (
+              SELECT order_purchase_timestamp AS d FROM fact_orders
+              UNION ALL SELECT review_creation_date FROM fact_order_reviews))""",
+        f"""dim_date AS (SELECT {_dd('d')} FROM (
+              SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
+              FROM cal_bounds))""",
+        "v_dim_customers AS (SELECT * FROM dim_customers)",
+        "v_dim_sellers AS (SELECT * FROM dim_sellers)",
+        "v_dim_products AS (SELECT * FROM dim_products)",
+        """v_fact_orders AS (SELECT order_sk, order_id, customer_sk, order_status,
+              order_purchase_timestamp AS order_purchase_date, order_approved_at AS order_approved_date,
+              order_delivered_carrier_date AS delivered_carrier_date,
+              order_delivered_customer_date AS delivered_customer_date,
+              order_estimated_delivery_date AS estimated_delivery_date FROM fact_orders)""",
+        "v_fact_order_items AS (SELECT * FROM fact_order_items)",
+        "v_fact_order_payments AS (SELECT * FROM fact_order_payments)",
+        "v_fact_order_reviews AS (SELECT * FROM fact_order_reviews)",
+    ]
+
+
+def model_ctes() -> list[str]:
+    """Every layer of the model from the fixtures."""
+    ctes = []
+    for e in ("customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"):
+        ctes += silver_ctes(e)
+    return ctes + _geo_silver() + gold_ctes()
+
+
+def r4(x: str, d: int = 4) -> str:
+    """Round like Spark's half-up on the shortest decimal form of a double."""
+    return f"round(CAST({x} AS DECIMAL(38,10)), {d})"

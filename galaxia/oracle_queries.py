@@ -27,3 +27,94 @@ ORACLE = {
     "clean_payments": _silver("order_payments"),
     "clean_reviews": _silver("order_reviews"),
 }
+
+
+from .oracle import model_ctes, r4  # noqa: E402
+
+_M = model_ctes()
+
+
+def _m(select: str) -> str:
+    return with_(_M, select)
+
+
+def _ratio(num: str, den: str, d: int = 4) -> str:
+    return r4(f"CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE)", d)
+
+
+_LATE = "delivered_customer_date > estimated_delivery_date"
+_DAYS = "datediff('day', order_purchase_date, delivered_customer_date)"
+
+ORACLE.update({
+    "dim_customers": _m("SELECT * FROM dim_customers"),
+    "dim_sellers": _m("""SELECT seller_sk, seller_id, seller_city, seller_state, seller_zip_code_prefix,
+        round(CAST(seller_lat AS DOUBLE), 6) AS seller_lat, round(CAST(seller_lng AS DOUBLE), 6) AS seller_lng
+        FROM dim_sellers"""),
+    "dim_products": _m("SELECT * FROM dim_products"),
+    "fact_orders": _m("SELECT * FROM fact_orders"),
+    "fact_items": _m("SELECT * FROM fact_order_items"),
+    "fact_payments": _m("SELECT * FROM fact_order_payments"),
+    "fact_reviews": _m("SELECT * FROM fact_order_reviews"),
+    "dim_date": _m("SELECT * FROM dim_date"),
+    "views_fact_orders": _m("SELECT * FROM v_fact_orders"),
+    "parked_orders": _m("SELECT * FROM silver_orders WHERE order_id NOT IN (SELECT order_id FROM fact_orders)"),
+    "kpi_overview_totals": _m(f"""SELECT i.total_revenue, o.total_orders, c.total_customers,
+        {_ratio('i.total_revenue', 'i.orders_with_items', 2)} AS avg_order_value
+        FROM (SELECT sum(price) AS total_revenue, count(DISTINCT order_id) AS orders_with_items FROM v_fact_order_items) i,
+             (SELECT count(*) AS total_orders FROM v_fact_orders) o,
+             (SELECT count(DISTINCT customer_unique_id) AS total_customers FROM v_dim_customers) c"""),
+    "kpi_revenue_trend": _m("""SELECT d.year, d.month, sum(i.price) AS revenue, count(DISTINCT i.order_id) AS n_orders
+        FROM v_fact_order_items i JOIN v_fact_orders o ON i.order_id = o.order_id
+        JOIN dim_date d ON d.date = o.order_purchase_date GROUP BY d.year, d.month"""),
+    "kpi_orders_by_status": _m("SELECT order_status, count(*) AS n_orders FROM v_fact_orders GROUP BY order_status"),
+    "kpi_revenue_by_category": _m("""SELECT p.product_category_name_english, sum(i.price) AS revenue, count(*) AS n_items
+        FROM v_fact_order_items i JOIN v_dim_products p ON i.product_sk = p.product_sk
+        GROUP BY p.product_category_name_english"""),
+    "kpi_order_totals": _m(f"""SELECT count(*) AS total_orders,
+        count(*) FILTER (WHERE order_status = 'delivered') AS delivered_orders,
+        count(*) FILTER (WHERE {_LATE}) AS late_orders,
+        {r4(f'avg({_DAYS})')} AS avg_delivery_days FROM v_fact_orders"""),
+    "kpi_late_vs_on_time": _m(f"""SELECT CASE WHEN {_LATE} THEN 'late' ELSE 'on_time' END AS delivery_status,
+        count(*) AS n_orders FROM v_fact_orders WHERE delivered_customer_date IS NOT NULL GROUP BY 1"""),
+    "kpi_orders_by_state": _m("""SELECT c.customer_state, count(*) AS n_orders FROM v_fact_orders o
+        JOIN v_dim_customers c ON o.customer_sk = c.customer_sk GROUP BY c.customer_state"""),
+    "kpi_delivery_performance": _m(f"""SELECT d.year, d.month, count(*) AS n_delivered,
+        {_ratio(f'count(*) FILTER (WHERE {_LATE})', 'count(*)')} AS late_rate,
+        {r4(f'avg({_DAYS})')} AS avg_delivery_days
+        FROM v_fact_orders o JOIN dim_date d ON d.date = o.order_purchase_date
+        WHERE o.delivered_customer_date IS NOT NULL GROUP BY d.year, d.month"""),
+    "kpi_payment_totals": _m(f"""SELECT sum(payment_value) AS total_payment,
+        {_ratio('sum(payment_value)', 'count(payment_value)')} AS avg_payment,
+        count(*) AS n_payments, count(DISTINCT payment_type) AS n_payment_types FROM v_fact_order_payments"""),
+    "kpi_payment_trend": _m("""SELECT d.year, d.month, sum(p.payment_value) AS total_payment, count(*) AS n_payments
+        FROM v_fact_order_payments p JOIN v_fact_orders o ON p.order_id = o.order_id
+        JOIN dim_date d ON d.date = o.order_purchase_date GROUP BY d.year, d.month"""),
+    "kpi_payment_type_distribution": _m(f"""SELECT payment_type, count(*) AS n_payments, sum(payment_value) AS total_value,
+        {_ratio('count(*)', '(SELECT count(*) FROM v_fact_order_payments)')} AS share,
+        {_ratio('sum(payment_value)', 'count(*)')} AS avg_value
+        FROM v_fact_order_payments GROUP BY payment_type"""),
+    "kpi_installments_analysis": _m(f"""SELECT payment_installments, count(*) AS n_payments,
+        sum(payment_value) AS total_value, {_ratio('sum(payment_value)', 'count(*)')} AS avg_value
+        FROM v_fact_order_payments GROUP BY payment_installments"""),
+    "kpi_review_totals": _m(f"""SELECT count(*) AS n_reviews,
+        {_ratio('sum(review_score)', 'count(review_score)')} AS avg_score,
+        count(*) FILTER (WHERE review_score = 5) AS n_five_star,
+        {_ratio('count(review_answer_date)', 'count(*)')} AS response_rate FROM v_fact_order_reviews"""),
+    "kpi_score_trend": _m(f"""SELECT d.year, d.month, count(*) AS n_reviews,
+        {_ratio('sum(r.review_score)', 'count(r.review_score)')} AS avg_score
+        FROM v_fact_order_reviews r JOIN dim_date d ON d.date = r.review_creation_date GROUP BY d.year, d.month"""),
+    "kpi_delivery_vs_review": _m(f"""SELECT o.delivery_days, count(*) AS n_reviews,
+        {_ratio('sum(r.review_score)', 'count(r.review_score)')} AS avg_score
+        FROM v_fact_order_reviews r JOIN (SELECT order_id, {_DAYS} AS delivery_days FROM v_fact_orders
+             WHERE delivered_customer_date IS NOT NULL) o ON r.order_id = o.order_id
+        GROUP BY o.delivery_days"""),
+    "kpi_five_star_by_state": _m(f"""SELECT c.customer_state, count(*) AS n_reviews,
+        {_ratio('count(*) FILTER (WHERE r.review_score = 5)', 'count(r.review_score)')} AS five_star_share
+        FROM v_fact_order_reviews r JOIN v_fact_orders o ON r.order_id = o.order_id
+        JOIN v_dim_customers c ON o.customer_sk = c.customer_sk GROUP BY c.customer_state"""),
+    "kpi_score_by_category": _m(f"""SELECT k.product_category_name_english, count(*) AS n_reviews,
+        {_ratio('sum(r.review_score)', 'count(r.review_score)')} AS avg_score
+        FROM v_fact_order_reviews r JOIN (SELECT DISTINCT i.order_id, p.product_category_name_english
+             FROM v_fact_order_items i JOIN v_dim_products p ON i.product_sk = p.product_sk) k
+          ON r.order_id = k.order_id GROUP BY k.product_category_name_english"""),
+})
