@@ -124,3 +124,89 @@ QUERIES.update({
     "parked_orders": _gold_query("parked_orders"),
 })
 QUERIES.update({name: _kpi_query(fn) for name, fn in K.KPIS.items()})
+
+
+# ------------------------------------------------------------------ merges and increments
+class Increment:
+    """The driver history split at ``CUTOFF``: an initial load of the rows
+    changed up to it, then one batch with the rest."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, cut: str = dt.CUTOFF):
+        from .plans import incremental as I
+        self.I, self.m = I, Model(spark, sf_dir)
+        ents = ["customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"]
+        self.sources = {e: self.m.source(e) for e in ents}
+        self.batch1 = I.slice_changes(self.sources, None, cut)
+        self.batch2 = {e: I.changed_since(self.sources[e], cut) for e in I.INCREMENTAL}
+        self.s1 = I.initial_load(self.batch1, FIXTURE, dt.NOW)
+        self.s2 = I.run_batch(self.s1, self.batch2, FIXTURE, dt.NOW)
+
+    def silver2(self, e: str) -> DataFrame:
+        return SV.CLEANERS[e](self.batch2[e], FIXTURE)
+
+    def merged(self, fact: str) -> DataFrame:
+        """Pure M1: batch rows landed against the initial gold, merged into it."""
+        from .plans import gold as G
+        s1, I = self.s1, self.I
+        if fact == "dim_customers":
+            return I.merge_dimension(s1["dim_customers"], self.silver2("customers"))
+        e = {v: k for k, v in I.FACT_OF.items()}[fact]
+        src = self.silver2(e)
+        landed = {"fact_orders": lambda: G.order_rows(src, s1["dim_customers"]),
+                  "fact_order_items": lambda: G.item_rows(src, s1["dim_products"], s1["dim_sellers"]),
+                  "fact_order_payments": lambda: G.payment_rows(src, s1["fact_orders"]),
+                  "fact_order_reviews": lambda: G.review_rows(src, s1["fact_orders"])}[fact]()
+        return I.merge_fact(s1[fact], landed, fact)
+
+
+def _merge_query(table: str):
+    def q(spark, sf_dir):
+        return Increment(spark, sf_dir).merged(table)
+    q.__name__ = f"merge_{table}"
+    return q
+
+
+def _state_query(table: str, which: str = "s2"):
+    def q(spark, sf_dir):
+        return getattr(Increment(spark, sf_dir), which)[table]
+    q.__name__ = f"{which}_{table}"
+    return q
+
+
+def changed_since_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I2 + I3: source orders changed after the stored watermark."""
+    inc = Increment(spark, sf_dir)
+    wm = inc.I.get_watermark(inc.s1["control"], "orders")
+    return inc.I.changed_since(inc.sources["orders"], wm)
+
+
+def stamp_changes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: customers of the initial load re-stamped against the full history."""
+    from .functions.rules import ts_lit
+    from .operators.merge import stamp_changes
+    inc = Increment(spark, sf_dir)
+    cur = SV.clean_customers(inc.batch1["customers"], FIXTURE)
+    new = inc.m.silver("customers").drop("created_at", "last_modified_at")
+    return stamp_changes(cur, new, ["customer_id"],
+                         ["customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"],
+                         ts_lit(dt.NOW))
+
+
+QUERIES.update({
+    "merge_customers": _merge_query("dim_customers"),
+    "merge_orders": _merge_query("fact_orders"),
+    "merge_items": _merge_query("fact_order_items"),
+    "merge_payments": _merge_query("fact_order_payments"),
+    "merge_reviews": _merge_query("fact_order_reviews"),
+    "replay_customers": _state_query("dim_customers"),
+    "replay_two_batches": _state_query("fact_orders"),
+    "replay_items": _state_query("fact_order_items"),
+    "replay_payments": _state_query("fact_order_payments"),
+    "replay_reviews": _state_query("fact_order_reviews"),
+    "replay_parked_orders": _state_query("parked_orders"),
+    "landed_orders": _state_query("landed_orders"),
+    "initial_watermarks": _state_query("control", "s1"),
+    "advanced_watermark": _state_query("control", "s2"),
+    "changed_since": changed_since_query,
+    "stamp_changes": stamp_changes_query,
+})

@@ -231,19 +231,20 @@ def _dd(d: str) -> str:
       CAST(floor((dayofyear({d}) + dayofweek(date_trunc('year', {d})) - 1) / 7) + 1 AS INTEGER) AS week_of_year"""
 
 
-def gold_ctes(silver_prefix: str = "silver_") -> list[str]:
-    """Dimensions, facts, calendar and views over ``<silver_prefix><entity>``."""
+def gold_ctes(silver_prefix: str = "silver_", g: str = "", with_views: bool = True) -> list[str]:
+    """Dimensions, facts, calendar and views over ``<silver_prefix><entity>``;
+    gold CTE names get the prefix ``g``."""
     s = silver_prefix
-    return [
-        f"""dim_customers AS (SELECT row_number() OVER (ORDER BY customer_id) AS customer_sk, customer_id,
+    out = [
+        f"""{g}dim_customers AS (SELECT row_number() OVER (ORDER BY customer_id) AS customer_sk, customer_id,
               customer_unique_id, customer_city, customer_state, customer_zip_code_prefix
             FROM {s}customers)""",
-        f"""dim_sellers AS (SELECT row_number() OVER (ORDER BY seller_id) AS seller_sk, seller_id,
+        f"""{g}dim_sellers AS (SELECT row_number() OVER (ORDER BY seller_id) AS seller_sk, seller_id,
               seller_city, seller_state, seller_zip_code_prefix,
               CAST(geolocation_lat AS DECIMAL(18,12)) AS seller_lat,
               CAST(geolocation_lng AS DECIMAL(18,12)) AS seller_lng
             FROM {s}sellers)""",
-        f"""dim_products AS (SELECT row_number() OVER (ORDER BY product_id) AS product_sk, product_id,
+        f"""{g}dim_products AS (SELECT row_number() OVER (ORDER BY product_id) AS product_sk, product_id,
               product_category_name, product_category_name_english, product_name_length,
               product_description_length, product_photos_qty,
               CAST(product_weight_g AS DECIMAL(10,2)) AS product_weight_g,
@@ -251,27 +252,31 @@ def gold_ctes(silver_prefix: str = "silver_") -> list[str]:
               CAST(product_height_cm AS DECIMAL(10,2)) AS product_height_cm,
               CAST(product_width_cm AS DECIMAL(10,2)) AS product_width_cm
             FROM {s}products)""",
-        f"""fact_orders AS (SELECT row_number() OVER (ORDER BY o.order_id) AS order_sk, o.order_id,
+        f"""{g}fact_orders AS (SELECT row_number() OVER (ORDER BY o.order_id) AS order_sk, o.order_id,
               c.customer_sk, o.order_status,
               CAST(o.order_purchase_timestamp AS DATE) AS order_purchase_timestamp,
               CAST(o.order_approved_at AS DATE) AS order_approved_at,
               CAST(o.order_delivered_carrier_date AS DATE) AS order_delivered_carrier_date,
               CAST(o.order_delivered_customer_date AS DATE) AS order_delivered_customer_date,
               CAST(o.order_estimated_delivery_date AS DATE) AS order_estimated_delivery_date
-            FROM {s}orders o JOIN dim_customers c ON o.customer_id = c.customer_id)""",
-        f"""fact_order_items AS (SELECT row_number() OVER (ORDER BY i.order_id, i.order_item_id) AS order_item_sk,
+            FROM {s}orders o JOIN {g}dim_customers c ON o.customer_id = c.customer_id)""",
+        f"""{g}fact_order_items AS (SELECT row_number() OVER (ORDER BY i.order_id, i.order_item_id) AS order_item_sk,
               i.order_id, i.order_item_id, p.product_sk, x.seller_sk,
               CAST(i.shipping_limit_date AS DATE) AS shipping_limit_date, i.price, i.freight_value
-            FROM {s}order_items i JOIN dim_products p ON i.product_id = p.product_id
-                 JOIN dim_sellers x ON i.seller_id = x.seller_id)""",
-        f"""fact_order_payments AS (SELECT row_number() OVER (ORDER BY order_id, payment_sequential) AS order_payment_sk,
+            FROM {s}order_items i JOIN {g}dim_products p ON i.product_id = p.product_id
+                 JOIN {g}dim_sellers x ON i.seller_id = x.seller_id)""",
+        f"""{g}fact_order_payments AS (SELECT row_number() OVER (ORDER BY order_id, payment_sequential) AS order_payment_sk,
               order_id, payment_sequential, payment_type, payment_installments, payment_value
-            FROM {s}order_payments WHERE order_id IN (SELECT order_id FROM fact_orders))""",
-        f"""fact_order_reviews AS (SELECT row_number() OVER (ORDER BY review_id) AS order_review_sk,
+            FROM {s}order_payments WHERE order_id IN (SELECT order_id FROM {g}fact_orders))""",
+        f"""{g}fact_order_reviews AS (SELECT row_number() OVER (ORDER BY review_id) AS order_review_sk,
               review_id, order_id, review_score, review_comment_title, review_comment_message,
               CAST(review_creation_date AS DATE) AS review_creation_date,
               CAST(review_answer_timestamp AS DATE) AS review_answer_date
-            FROM {s}order_reviews WHERE order_id IN (SELECT order_id FROM fact_orders))""",
+            FROM {s}order_reviews WHERE order_id IN (SELECT order_id FROM {g}fact_orders))""",
+    ]
+    if not with_views:
+        return out
+    return out + [
         """cal_bounds AS (SELECT min(d) AS s, max(d) AS e FROM (
               SELECT order_purchase_timestamp AS d FROM fact_orders
               UNION ALL SELECT review_creation_date FROM fact_order_reviews))""",
@@ -303,3 +308,134 @@ def model_ctes() -> list[str]:
 def r4(x: str, d: int = 4) -> str:
     """Round like Spark's half-up on the shortest decimal form of a double."""
     return f"round(CAST({x} AS DECIMAL(38,10)), {d})"
+
+
+# ------------------------------------------------------------------ merge / increments
+GOLD_COLS = {
+    "dim_customers": ("customer_sk", ["customer_id"], ["customer_id", "customer_unique_id", "customer_city",
+                                                        "customer_state", "customer_zip_code_prefix"]),
+    "fact_orders": ("order_sk", ["order_id"], ["order_id", "customer_sk", "order_status",
+                    "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+                    "order_delivered_customer_date", "order_estimated_delivery_date"]),
+    "fact_order_items": ("order_item_sk", ["order_id", "order_item_id"], ["order_id", "order_item_id",
+                         "product_sk", "seller_sk", "shipping_limit_date", "price", "freight_value"]),
+    "fact_order_payments": ("order_payment_sk", ["order_id", "payment_sequential"], ["order_id",
+                            "payment_sequential", "payment_type", "payment_installments", "payment_value"]),
+    "fact_order_reviews": ("order_review_sk", ["review_id"], ["review_id", "order_id", "review_score",
+                           "review_comment_title", "review_comment_message", "review_creation_date",
+                           "review_answer_date"]),
+}
+
+# The columns each MERGE updates (same lists as the library's).
+MERGE_UPDATES = {
+    "dim_customers": ["customer_unique_id", "customer_city", "customer_state", "customer_zip_code_prefix"],
+    "fact_orders": ["order_status", "order_approved_at", "order_delivered_carrier_date",
+                    "order_delivered_customer_date", "order_estimated_delivery_date"],
+    "fact_order_items": ["product_sk", "seller_sk", "shipping_limit_date", "price", "freight_value"],
+    "fact_order_payments": ["payment_type", "payment_installments", "payment_value"],
+    "fact_order_reviews": ["review_score", "review_comment_title", "review_comment_message",
+                           "review_creation_date", "review_answer_date"],
+}
+
+
+def merge_cte(name: str, table: str, target: str, source: str) -> list[str]:
+    """MERGE ``source`` into ``target`` as a full outer join (CTE ``name``)."""
+    sk, keys, cols = GOLD_COLS[table]
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    present = f"s.{keys[0]} IS NOT NULL"
+    in_t = f"t.{keys[0]} IS NOT NULL"
+    sel = [f"coalesce(t.{sk}, n.new_sk) AS {sk}"]
+    for c in cols:
+        if c in keys:
+            sel.append(f"coalesce(t.{c}, s.{c}) AS {c}")
+        elif c in MERGE_UPDATES[table]:
+            sel.append(f"CASE WHEN {present} THEN s.{c} ELSE t.{c} END AS {c}")
+        else:
+            sel.append(f"CASE WHEN {in_t} THEN t.{c} ELSE s.{c} END AS {c}")
+    kl = ", ".join(keys)
+    new = (f"SELECT {kl}, (SELECT coalesce(max({sk}), 0) FROM {target}) + row_number() OVER (ORDER BY {kl}) AS new_sk "
+           f"FROM (SELECT {kl} FROM {source} EXCEPT SELECT {kl} FROM {target})")
+    non = " AND ".join(f"n.{k} = s.{k}" for k in keys)
+    return [f"{name}_new AS ({new})",
+            f"{name} AS (SELECT {', '.join(sel)} FROM {target} t FULL OUTER JOIN {source} s ON {on} "
+            f"LEFT JOIN {name}_new n ON {non})"]
+
+
+INCR = ["customers", "orders", "order_items", "order_payments", "order_reviews"]
+NEWEST = {"orders": ["last_modified_at", "order_purchase_timestamp"],
+          "order_items": ["last_modified_at", "shipping_limit_date"],
+          "order_payments": ["last_modified_at"],
+          "order_reviews": ["last_modified_at", "review_creation_date"]}
+SKEYS = {"orders": ["order_id"], "order_items": ["order_id", "order_item_id"],
+         "order_payments": ["order_id", "payment_sequential"], "order_reviews": ["review_id"]}
+FACTS = {"orders": "fact_orders", "order_items": "fact_order_items",
+         "order_payments": "fact_order_payments", "order_reviews": "fact_order_reviews"}
+
+
+def _not_in(src: str, other: str, keys: list[str]) -> str:
+    on = " AND ".join(f"x.{k} = y.{k}" for k in keys)
+    return f"SELECT * FROM {src} x WHERE NOT EXISTS (SELECT 1 FROM {other} y WHERE {on})"
+
+
+def _landing(e: str, src: str, g: str) -> str:
+    if e == "orders":
+        return (f"""SELECT o.order_id, c.customer_sk, o.order_status,
+              CAST(o.order_purchase_timestamp AS DATE) AS order_purchase_timestamp,
+              CAST(o.order_approved_at AS DATE) AS order_approved_at,
+              CAST(o.order_delivered_carrier_date AS DATE) AS order_delivered_carrier_date,
+              CAST(o.order_delivered_customer_date AS DATE) AS order_delivered_customer_date,
+              CAST(o.order_estimated_delivery_date AS DATE) AS order_estimated_delivery_date
+            FROM {src} o JOIN {g}dim_customers c ON o.customer_id = c.customer_id""")
+    if e == "order_items":
+        return (f"""SELECT i.order_id, i.order_item_id, p.product_sk, x.seller_sk,
+              CAST(i.shipping_limit_date AS DATE) AS shipping_limit_date, i.price, i.freight_value
+            FROM {src} i JOIN {g}dim_products p ON i.product_id = p.product_id
+                 JOIN {g}dim_sellers x ON i.seller_id = x.seller_id""")
+    if e == "order_payments":
+        return (f"""SELECT order_id, payment_sequential, payment_type, payment_installments, payment_value
+            FROM {src} WHERE order_id IN (SELECT order_id FROM {g}fact_orders)""")
+    return (f"""SELECT review_id, order_id, review_score, review_comment_title, review_comment_message,
+              CAST(review_creation_date AS DATE) AS review_creation_date,
+              CAST(review_answer_timestamp AS DATE) AS review_answer_date
+            FROM {src} WHERE order_id IN (SELECT order_id FROM {g}fact_orders)""")
+
+
+def increment_ctes(cut: str = CUT) -> list[str]:
+    """Initial load of the rows changed up to ``cut`` (prefix g1_, silver1_),
+    then one batch with the rest (silver2_, g2_): merges, parking, landing."""
+    ctes = []
+    for e in ("customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"):
+        ctes.append(raw_cte(e))
+    for e in INCR:
+        ctes.append(f"raw1_{e} AS (SELECT * FROM raw_{e} WHERE last_modified_at <= TIMESTAMP '{cut}')")
+        ctes.append(f"raw2_{e} AS (SELECT * FROM raw_{e} WHERE last_modified_at > TIMESTAMP '{cut}')")
+        ctes += silver_ctes(e, raw=f"raw1_{e}", out=f"silver1_{e}")
+        ctes += silver_ctes(e, raw=f"raw2_{e}", out=f"silver2_{e}")
+    for e in ("sellers", "products"):
+        ctes += silver_ctes(e, raw=f"raw_{e}", out=f"silver1_{e}")
+    ctes += gold_ctes("silver1_", "g1_", with_views=False)
+    ctes.append("g2_dim_products AS (SELECT * FROM g1_dim_products)")
+    ctes.append("g2_dim_sellers AS (SELECT * FROM g1_dim_sellers)")
+    ctes.append("""src2_customers AS (SELECT customer_id, customer_unique_id, customer_city, customer_state,
+                   customer_zip_code_prefix FROM silver2_customers)""")
+    ctes += merge_cte("g2_dim_customers", "dim_customers", "g1_dim_customers", "src2_customers")
+    for e, fact in FACTS.items():
+        keys = SKEYS[e]
+        ctes.append(f"parked1_{e} AS ({_not_in(f'silver1_{e}', f'g1_{fact}', keys)})")
+        ctes.append(f"pend_union_{e} AS (SELECT * FROM parked1_{e} UNION ALL SELECT * FROM silver2_{e})")
+        ctes.append(f"pend_{e} AS ({_dedup(f'pend_union_{e}', keys, NEWEST[e], SILVER_COLS[e])})")
+        ctes.append(f"landed2_{e} AS ({_landing(e, f'pend_{e}', 'g2_')})")
+        ctes += merge_cte(f"g2_{fact}", fact, f"g1_{fact}", f"landed2_{e}")
+        ctes.append(f"parked2_{e} AS ({_not_in(f'pend_{e}', f'landed2_{e}', keys)})")
+        # pure M1: batch rows landed against the initial gold only
+        ctes.append(f"m_landed_{e} AS ({_landing(e, f'silver2_{e}', 'g1_')})")
+        ctes += merge_cte(f"m_{fact}", fact, f"g1_{fact}", f"m_landed_{e}")
+    ctes += merge_cte("m_dim_customers", "dim_customers", "g1_dim_customers", "src2_customers")
+    return ctes
+
+
+def watermark_sql(prefix: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{e}' AS table_name, max(created_at) AS max_created_at, "
+        f"max(last_modified_at) AS max_last_modified_at, TIMESTAMP '{NOW}' AS last_load_timestamp "
+        f"FROM {prefix}{e}" for e in INCR)

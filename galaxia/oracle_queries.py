@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import SILVER_COLS, raw_cte, silver_ctes, with_
+from .oracle import SILVER_COLS, raw_cte, silver_ctes, with_  # noqa: F401
 
 
 def _silver(entity: str) -> str:
@@ -118,3 +118,46 @@ ORACLE.update({
              FROM v_fact_order_items i JOIN v_dim_products p ON i.product_sk = p.product_sk) k
           ON r.order_id = k.order_id GROUP BY k.product_category_name_english"""),
 })
+
+
+from .oracle import CUT, NOW, increment_ctes, watermark_sql  # noqa: E402
+
+_I = increment_ctes()
+
+
+def _i(select: str) -> str:
+    return with_(_I, select)
+
+
+_STAMP_COLS = ["customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"]
+_changed = " OR ".join(f"c.{x} IS DISTINCT FROM i.{x}" for x in _STAMP_COLS)
+
+ORACLE.update({
+    "merge_customers": _i("SELECT * FROM m_dim_customers"),
+    "merge_orders": _i("SELECT * FROM m_fact_orders"),
+    "merge_items": _i("SELECT * FROM m_fact_order_items"),
+    "merge_payments": _i("SELECT * FROM m_fact_order_payments"),
+    "merge_reviews": _i("SELECT * FROM m_fact_order_reviews"),
+    "replay_customers": _i("SELECT * FROM g2_dim_customers"),
+    "replay_two_batches": _i("SELECT * FROM g2_fact_orders"),
+    "replay_items": _i("SELECT * FROM g2_fact_order_items"),
+    "replay_payments": _i("SELECT * FROM g2_fact_order_payments"),
+    "replay_reviews": _i("SELECT * FROM g2_fact_order_reviews"),
+    "replay_parked_orders": _i("SELECT * FROM parked2_orders"),
+    "landed_orders": _i("SELECT * FROM landed2_orders"),
+    "initial_watermarks": _i(watermark_sql("raw1_")),
+    "advanced_watermark": _i(f"""SELECT coalesce(n.table_name, o.table_name) AS table_name,
+        coalesce(n.max_created_at, o.max_created_at) AS max_created_at,
+        coalesce(n.max_last_modified_at, o.max_last_modified_at) AS max_last_modified_at,
+        coalesce(n.last_load_timestamp, o.last_load_timestamp) AS last_load_timestamp
+        FROM ({watermark_sql("raw1_")}) o FULL OUTER JOIN ({watermark_sql("raw2_")}) n
+        ON o.table_name = n.table_name"""),
+    "changed_since": _i("""SELECT * FROM raw_orders
+        WHERE last_modified_at > (SELECT max(last_modified_at) FROM raw1_orders)"""),
+    "stamp_changes": with_(_I + silver_ctes("customers", raw="raw_customers"), f"""SELECT coalesce(c.customer_id, i.customer_id) AS customer_id,
+        {', '.join(f"CASE WHEN c.customer_id IS NULL OR ({_changed}) THEN i.{x} ELSE c.{x} END AS {x}" for x in _STAMP_COLS)},
+        CASE WHEN c.customer_id IS NULL THEN TIMESTAMP '{NOW}' ELSE c.created_at END AS created_at,
+        CASE WHEN c.customer_id IS NULL OR (i.customer_id IS NOT NULL AND ({_changed}))
+             THEN TIMESTAMP '{NOW}' ELSE c.last_modified_at END AS last_modified_at
+        FROM silver1_customers c FULL OUTER JOIN silver_customers i ON c.customer_id = i.customer_id"""),
+})
