@@ -210,3 +210,164 @@ QUERIES.update({
     "changed_since": changed_since_query,
     "stamp_changes": stamp_changes_query,
 })
+
+
+# ------------------------------------------------------------------ quality, profiling, preparation
+from .functions import rules as R  # noqa: E402
+from .operators import dedup as DD  # noqa: E402
+from .operators import quality as Q  # noqa: E402
+from .operators import stats as ST  # noqa: E402
+
+
+def reject_report_query(spark, sf_dir):
+    """Q1: rows each order rule would drop, over the raw orders."""
+    o = Model(spark, sf_dir).raw("orders")
+    return Q.reject_report(o, {
+        "order_id_missing": R.not_blank("order_id"),
+        "customer_id_missing": R.not_blank("customer_id"),
+        "purchase_time_out_of_range": R.in_time_range("order_purchase_timestamp", dt.MIN_TIME, dt.NOW),
+        "event_before_purchase": ~R.before_any("order_purchase_timestamp", [
+            "order_delivered_customer_date", "order_delivered_carrier_date", "order_approved_at"]),
+    })
+
+
+def date_error_report_query(spark, sf_dir):
+    """Q3: raw orders by date-order flag."""
+    o = Model(spark, sf_dir).raw("orders")
+    return Q.date_error_report(o, R.before_any("order_purchase_timestamp", [
+        "order_delivered_customer_date", "order_delivered_carrier_date", "order_approved_at"]))
+
+
+def check_unique_query(spark, sf_dir):
+    """Q4: raw order keys sent more than once."""
+    o = Model(spark, sf_dir).raw("orders").where(F.col("order_id").isNotNull())
+    return Q.check_unique(o, ["order_id"])
+
+
+def check_not_null_query(spark, sf_dir):
+    """Q5: NULLs in the columns the source declares NOT NULL (order items)."""
+    return Q.check_not_null(Model(spark, sf_dir).raw("order_items"),
+                            ["order_id", "order_item_id", "product_id", "seller_id"])
+
+
+def check_fk_query(spark, sf_dir):
+    """Q6: orphans of the six relations, over silver."""
+    m = Model(spark, sf_dir)
+    s = m.silver
+    return Q.check_fk({
+        "orders_customers": (s("orders"), s("customers"), ["customer_id"]),
+        "items_orders": (s("order_items"), s("orders"), ["order_id"]),
+        "items_products": (s("order_items"), s("products"), ["product_id"]),
+        "items_sellers": (s("order_items"), s("sellers"), ["seller_id"]),
+        "payments_orders": (s("order_payments"), s("orders"), ["order_id"]),
+        "reviews_orders": (s("order_reviews"), s("orders"), ["order_id"]),
+    })
+
+
+def collapsed_duplicates_query(spark, sf_dir):
+    """Q2: order-item keys that dedup collapses (cleaned keys)."""
+    i = Model(spark, sf_dir).raw("order_items").select(
+        R.clean_key("order_id").alias("order_id"), "order_item_id")
+    return DD.collapsed_duplicates(i, ["order_id", "order_item_id"])
+
+
+def dedup_latest_query(spark, sf_dir):
+    """Newest raw order-item row per (order_id, order_item_id)."""
+    i = Model(spark, sf_dir).raw("order_items")
+    return DD.keep_latest(i, ["order_id", "order_item_id"], ["last_modified_at"])
+
+
+def profile_numeric_query(spark, sf_dir):
+    """A4: mean, stddev, min, max of the raw item measures."""
+    p = ST.profile_numeric(Model(spark, sf_dir).raw("order_items"), ["price", "freight_value"])
+    return p.select("column_name", *[F.round(c, 4).alias(c) for c in ("mean", "stddev", "min", "max")])
+
+
+def completeness_query(spark, sf_dir):
+    """Rows and non-NULL values per column of the raw customers."""
+    return ST.completeness(Model(spark, sf_dir).raw("customers"))
+
+
+def max_text_length_query(spark, sf_dir):
+    """Longest value of each raw review text column (whole texts)."""
+    return ST.max_text_length(Model(spark, sf_dir).raw("order_reviews"),
+                              ["review_id", "order_id", "review_comment_title", "review_comment_message"])
+
+
+def exact_medians_query(spark, sf_dir):
+    """Exact medians of the line-item measures, one row."""
+    li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    med = ST.exact_medians(li, cols)
+    return spark.range(1).select(*[F.lit(med[c]).cast("double").alias(f"median_{c}") for c in cols])
+
+
+def exact_median_impute_query(spark, sf_dir):
+    """A6 + C11 + C13: raw item prices, non-positive or missing -> exact median."""
+    i = Model(spark, sf_dir).raw("order_items").select(
+        "order_id", "order_item_id", R.nonpositive_to_null("price").alias("price"))
+    med = ST.exact_medians(i, ["price"])["price"]
+    return i.withColumn("price", R.impute("price", F.lit(med).cast("double")))
+
+
+def value_counts_query(spark, sf_dir):
+    """A2: raw customer states by frequency."""
+    return ST.value_counts(Model(spark, sf_dir).raw("customers"), "customer_state")
+
+
+def zip_centroids_query(spark, sf_dir):
+    """A1: mean coordinates per zip prefix."""
+    c = prep.zip_centroids(Model(spark, sf_dir).raw("geolocation"))
+    return c.select("geolocation_zip_code_prefix",
+                    *[F.round(x, 6).alias(x) for x in ("geolocation_lat", "geolocation_lng")])
+
+
+def seller_geo_enrich_query(spark, sf_dir):
+    """Raw sellers with the mean coordinates of their zip prefix."""
+    m = Model(spark, sf_dir)
+    e = prep.seller_geo_enrich(m.raw("sellers"), prep.zip_centroids(m.raw("geolocation")))
+    return e.withColumns({x: F.round(x, 6) for x in ("geolocation_lat", "geolocation_lng")})
+
+
+def category_translate_query(spark, sf_dir):
+    """Cleaned products with the English category name from the lookup."""
+    m = Model(spark, sf_dir)
+    return prep.category_translate(m.silver("products"), m.raw("category_translation"))
+
+
+COHORT = (1997, 2)
+
+
+def cohort_orders_query(spark, sf_dir):
+    """P7 + F10: the raw orders of one purchase quarter."""
+    o = prep.derive_year_quarter(Model(spark, sf_dir).raw("orders"))
+    return prep.slice_by_year_quarter(o, *COHORT)
+
+
+def cohort_children_query(spark, sf_dir):
+    """Raw order items of that quarter's orders."""
+    m = Model(spark, sf_dir)
+    orders = cohort_orders_query(spark, sf_dir)
+    return prep.cohort_children(orders, m.raw("order_items"))
+
+
+QUERIES.update({
+    "reject_report": reject_report_query,
+    "date_error_report": date_error_report_query,
+    "check_unique": check_unique_query,
+    "check_not_null": check_not_null_query,
+    "check_fk": check_fk_query,
+    "collapsed_duplicates": collapsed_duplicates_query,
+    "dedup_latest": dedup_latest_query,
+    "profile_numeric": profile_numeric_query,
+    "completeness": completeness_query,
+    "max_text_length": max_text_length_query,
+    "exact_medians": exact_medians_query,
+    "exact_median_impute": exact_median_impute_query,
+    "value_counts": value_counts_query,
+    "zip_centroids": zip_centroids_query,
+    "seller_geo_enrich": seller_geo_enrich_query,
+    "category_translate": category_translate_query,
+    "cohort_orders": cohort_orders_query,
+    "cohort_children": cohort_children_query,
+})

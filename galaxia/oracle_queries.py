@@ -120,7 +120,7 @@ ORACLE.update({
 })
 
 
-from .oracle import CUT, NOW, increment_ctes, watermark_sql  # noqa: E402
+from .oracle import CUT, MIN, NOW, _dedup, increment_ctes, watermark_sql  # noqa: E402,F401
 
 _I = increment_ctes()
 
@@ -161,3 +161,100 @@ ORACLE.update({
              THEN TIMESTAMP '{NOW}' ELSE c.last_modified_at END AS last_modified_at
         FROM silver1_customers c FULL OUTER JOIN silver_customers i ON c.customer_id = i.customer_id"""),
 })
+
+
+# ------------------------------------------------------------------ quality, profiling, preparation
+_BEFORE = ("(coalesce(order_delivered_customer_date < order_purchase_timestamp, false) "
+           "OR coalesce(order_delivered_carrier_date < order_purchase_timestamp, false) "
+           "OR coalesce(order_approved_at < order_purchase_timestamp, false))")
+
+
+def _raw(entities, select: str) -> str:
+    return with_([raw_cte(e) for e in entities], select)
+
+
+ORACLE.update({
+    "reject_report": _raw(["orders"], f"""SELECT rule, rejected_rows, total_rows FROM (
+        SELECT count(*) AS total_rows,
+          count(*) FILTER (WHERE NOT coalesce(nullif(trim(order_id), '') IS NOT NULL, false)) AS r0,
+          count(*) FILTER (WHERE NOT coalesce(nullif(trim(customer_id), '') IS NOT NULL, false)) AS r1,
+          count(*) FILTER (WHERE NOT coalesce(order_purchase_timestamp >= TIMESTAMP '{MIN}'
+                                 AND order_purchase_timestamp <= TIMESTAMP '{NOW}', false)) AS r2,
+          count(*) FILTER (WHERE {_BEFORE}) AS r3
+        FROM raw_orders) t,
+        LATERAL (VALUES ('order_id_missing', r0), ('customer_id_missing', r1),
+                        ('purchase_time_out_of_range', r2), ('event_before_purchase', r3)) v(rule, rejected_rows)"""),
+    "date_error_report": _raw(["orders"], f"""SELECT {_BEFORE} AS date_logic_error, count(*) AS n_rows
+        FROM raw_orders GROUP BY 1"""),
+    "check_unique": _raw(["orders"], """SELECT order_id, count(*) AS n_rows FROM raw_orders
+        WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1"""),
+    "check_not_null": _raw(["order_items"], """SELECT * FROM (VALUES
+        ('order_id', (SELECT count(*) FILTER (WHERE order_id IS NULL) FROM raw_order_items)),
+        ('order_item_id', (SELECT count(*) FILTER (WHERE order_item_id IS NULL) FROM raw_order_items)),
+        ('product_id', (SELECT count(*) FILTER (WHERE product_id IS NULL) FROM raw_order_items)),
+        ('seller_id', (SELECT count(*) FILTER (WHERE seller_id IS NULL) FROM raw_order_items))
+        ) v(column_name, null_count)"""),
+    "check_fk": with_(_M, """
+        SELECT 'orders_customers' AS relation, count(*) AS orphans FROM silver_orders
+          WHERE customer_id NOT IN (SELECT customer_id FROM silver_customers)
+        UNION ALL SELECT 'items_orders', count(*) FROM silver_order_items
+          WHERE order_id NOT IN (SELECT order_id FROM silver_orders)
+        UNION ALL SELECT 'items_products', count(*) FROM silver_order_items
+          WHERE product_id NOT IN (SELECT product_id FROM silver_products)
+        UNION ALL SELECT 'items_sellers', count(*) FROM silver_order_items
+          WHERE seller_id NOT IN (SELECT seller_id FROM silver_sellers)
+        UNION ALL SELECT 'payments_orders', count(*) FROM silver_order_payments
+          WHERE order_id NOT IN (SELECT order_id FROM silver_orders)
+        UNION ALL SELECT 'reviews_orders', count(*) FROM silver_order_reviews
+          WHERE order_id NOT IN (SELECT order_id FROM silver_orders)"""),
+    "collapsed_duplicates": _raw(["order_items"], """SELECT lower(trim(order_id)) AS order_id, order_item_id,
+        count(*) AS n_rows, count(*) - 1 AS n_dropped FROM raw_order_items GROUP BY 1, 2 HAVING count(*) > 1"""),
+    "dedup_latest": _raw(["order_items"], "SELECT * FROM (" + _dedup(
+        "raw_order_items", ["order_id", "order_item_id"], ["last_modified_at"],
+        ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price",
+         "freight_value", "created_at", "last_modified_at"]) + ")"),
+    "profile_numeric": _raw(["order_items"], f"""
+        SELECT 'price' AS column_name, {r4('avg(price)')} AS mean, {r4('stddev_samp(price)')} AS stddev,
+               {r4('min(price)')} AS min, {r4('max(price)')} AS max FROM raw_order_items
+        UNION ALL
+        SELECT 'freight_value', {r4('avg(freight_value)')}, {r4('stddev_samp(freight_value)')},
+               {r4('min(freight_value)')}, {r4('max(freight_value)')} FROM raw_order_items"""),
+    "completeness": _raw(["customers"], " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count({c}) AS non_null, "
+        f"count(*) - count({c}) AS null_count FROM raw_customers"
+        for c in SILVER_COLS["customers"])),
+    "max_text_length": _raw(["order_reviews"], " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, max(length({c})) AS max_length FROM raw_order_reviews"
+        for c in ["review_id", "order_id", "review_comment_title", "review_comment_message"])),
+    "exact_medians": "SELECT " + ", ".join(
+        f"CAST(quantile_cont({c}, 0.5) AS DOUBLE) AS median_{c}"
+        for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]) + " FROM lineitem",
+    "exact_median_impute": _raw(["order_items"], """SELECT order_id, order_item_id,
+        coalesce(CASE WHEN price > 0 THEN price END,
+                 (SELECT quantile_cont(price, 0.5) FROM raw_order_items WHERE price > 0)) AS price
+        FROM raw_order_items"""),
+    "value_counts": _raw(["customers"], """SELECT customer_state, count(*) AS count FROM raw_customers
+        GROUP BY customer_state"""),
+    "zip_centroids": _raw(["geolocation"], """SELECT geolocation_zip_code_prefix,
+        round(avg(geolocation_lat), 6) AS geolocation_lat, round(avg(geolocation_lng), 6) AS geolocation_lng
+        FROM raw_geolocation GROUP BY 1"""),
+    "seller_geo_enrich": _raw(["sellers", "geolocation"], """SELECT s.seller_id, s.seller_zip_code_prefix,
+        s.seller_city, s.seller_state, round(g.lat, 6) AS geolocation_lat, round(g.lng, 6) AS geolocation_lng
+        FROM raw_sellers s LEFT JOIN (SELECT geolocation_zip_code_prefix AS zip, avg(geolocation_lat) AS lat,
+             avg(geolocation_lng) AS lng FROM raw_geolocation GROUP BY 1) g
+          ON s.seller_zip_code_prefix = g.zip"""),
+    "category_translate": with_(silver_ctes("products") + [raw_cte("category_translation")],
+        """SELECT p.product_id, p.product_category_name, p.product_name_length, p.product_description_length,
+        p.product_photos_qty, p.product_weight_g, p.product_length_cm, p.product_height_cm, p.product_width_cm,
+        t.product_category_name_english
+        FROM silver_products p LEFT JOIN raw_category_translation t
+          ON p.product_category_name = t.product_category_name"""),
+    "cohort_orders": _raw(["orders"], """SELECT order_id, customer_id, order_status, order_purchase_timestamp,
+        order_approved_at, order_delivered_carrier_date, order_delivered_customer_date,
+        order_estimated_delivery_date, year(order_purchase_timestamp) AS year,
+        quarter(order_purchase_timestamp) AS quarter, created_at, last_modified_at
+        FROM raw_orders WHERE year(order_purchase_timestamp) = 1997 AND quarter(order_purchase_timestamp) = 2"""),
+    "cohort_children": _raw(["orders", "order_items"], """SELECT * FROM raw_order_items
+        WHERE order_id IN (SELECT order_id FROM raw_orders
+            WHERE year(order_purchase_timestamp) = 1997 AND quarter(order_purchase_timestamp) = 2)"""),
+})
