@@ -371,3 +371,24 @@ QUERIES.update({
     "cohort_orders": cohort_orders_query,
     "cohort_children": cohort_children_query,
 })
+
+
+def stream_replay_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Initial load published to a store, the rest of the history sent as
+    a file batch through the stream, the final fact_orders read back."""
+    import uuid
+
+    from .session import ensure_checkpoint_dir
+    from .sources.io import GoldStore
+    from .streaming.increments import publish_changes, stream_increments
+
+    inc = Increment(spark, sf_dir)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/galaxia-stream-{uuid.uuid4().hex}"
+    store = GoldStore(spark, f"{base}/state", buckets=8)
+    store.publish_initial(inc.s1)
+    publish_changes(spark, f"{base}/changes", 1, inc.batch2)
+    stream_increments(spark, f"{base}/changes", store, FIXTURE, dt.NOW, f"{base}/checkpoint")
+    return store.read("fact_orders")
+
+
+QUERIES["stream_replay"] = stream_replay_query

@@ -258,3 +258,5 @@ ORACLE.update({
         WHERE order_id IN (SELECT order_id FROM raw_orders
             WHERE year(order_purchase_timestamp) = 1997 AND quarter(order_purchase_timestamp) = 2)"""),
 })
+
+ORACLE["stream_replay"] = ORACLE["replay_two_batches"]

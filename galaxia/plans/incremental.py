@@ -133,18 +133,28 @@ def merge_fact(fact: DataFrame, landed: DataFrame, table: str) -> DataFrame:
     return upsert(fact, landed, keys, UPDATE_COLS[table], sk)
 
 
+def merge_in_memory(table: str, target: DataFrame, rows: DataFrame) -> DataFrame:
+    """The default merge step of :func:`run_batch`: M1 against the whole target."""
+    sk, keys = schemas.GOLD_KEYS[table]
+    return upsert(target, rows, keys, UPDATE_COLS[table], sk)
+
+
 def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params: SV.Params,
-              now) -> Lazy:
+              now, merge=merge_in_memory) -> Lazy:
     """I4 + I5 + I6: clean the batch, merge customers, then each fact in
     dependency order (orders before the facts that need them).  Parked rows of
     the previous state join the batch (newest version per key wins); rows that
-    still find no parent stay parked.  Control rows move to the batch maxima."""
+    still find no parent stay parked.  Control rows move to the batch maxima.
+
+    ``merge(table, target, rows)`` performs each upsert and returns the whole new
+    table; the stored state passes one that touches only the affected buckets."""
     prev = state
     silver = Lazy({e: (lambda e=e: SV.CLEANERS[e](changes[e], params)) for e in changes if e in INCREMENTAL})
     thunks = {t: (lambda t=t: prev[t]) for t in STATE_TABLES}
     st = Lazy(thunks)
     if "customers" in changes:
-        thunks["dim_customers"] = lambda: merge_dimension(prev["dim_customers"], silver["customers"])
+        thunks["dim_customers"] = lambda: merge("dim_customers", prev["dim_customers"],
+                                                G.dim_rows(silver["customers"], "dim_customers"))
 
     def pending(e):   # parked rows + the batch, newest version per key
         if e not in changes:
@@ -154,7 +164,7 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
     src = Lazy({e: (lambda e=e: pending(e)) for e in FACT_OF})
     landed = Lazy({e: (lambda e=e: _land(e, src[e], st)) for e in FACT_OF})
     for e, fact in FACT_OF.items():
-        thunks[fact] = lambda e=e, fact=fact: merge_fact(prev[fact], landed[e], fact)
+        thunks[fact] = lambda e=e, fact=fact: merge(fact, prev[fact], landed[e])
         thunks[f"parked_{e}"] = lambda e=e: not_in(src[e], landed[e], schemas.KEYS[e])
     thunks["landed_orders"] = lambda: landed["orders"]
     thunks["control"] = lambda: advance_watermarks(
