@@ -24,13 +24,12 @@ class Model:
     """Lazily built layers of the order model for one driver folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, params: SV.Params = FIXTURE):
+        from .plans.lazy import Lazy
         self.spark, self.sf_dir, self.params = spark, sf_dir, params
-        self._raw: dict[str, DataFrame] = {}
-        self._silver: dict[str, DataFrame] = {}
+        self._raw = Lazy({e: (lambda e=e: dt.raw(spark, sf_dir, e)) for e in dt.SQL})
+        self._silver = Lazy({e: (lambda e=e: SV.CLEANERS[e](self.source(e), self.params)) for e in SV.CLEANERS})
 
     def raw(self, entity: str) -> DataFrame:
-        if entity not in self._raw:
-            self._raw[entity] = dt.raw(self.spark, self.sf_dir, entity)
         return self._raw[entity]
 
     def source(self, entity: str) -> DataFrame:
@@ -40,18 +39,13 @@ class Model:
         return self.raw(entity)
 
     def silver(self, entity: str) -> DataFrame:
-        if entity not in self._silver:
-            self._silver[entity] = SV.CLEANERS[entity](self.source(entity), self.params)
         return self._silver[entity]
 
     @cached_property
     def gold(self):
         from .plans.gold import build_gold
 
-        class _Silver(dict):
-            def __missing__(s, e):
-                return self.silver(e)
-        return build_gold(_Silver(), self.spark)
+        return build_gold(self._silver, self.spark)
 
     def view(self, name: str) -> DataFrame:
         """``v_<gold table>`` or ``dim_date``."""
@@ -70,6 +64,7 @@ class _Views(dict):
         return df
 
 
+
 def _silver_query(entity: str):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         return Model(spark, sf_dir).silver(entity)

@@ -15,6 +15,7 @@ from ..operators.joins import lookup_sk, not_in, require_parent
 from ..operators.keys import assign_sk
 from ..sources import schemas
 from ..sources.schemas import conform
+from .lazy import OnceDict
 
 
 def _with_sk(df: DataFrame, table: str, start: int = 0) -> DataFrame:
@@ -73,14 +74,14 @@ def review_rows(silver_reviews: DataFrame, fact_orders: DataFrame) -> DataFrame:
         F.col("review_answer_timestamp").cast("date").alias("review_answer_date"))
 
 
-class GoldTables(dict):
-    """Gold tables built on first access (each build writes its key map once)."""
+class GoldTables(OnceDict):
+    """Gold tables built on first access, once each (a build writes its key map)."""
 
     def __init__(self, silver: dict[str, DataFrame]):
         super().__init__()
         self.silver = silver
 
-    def __missing__(self, t: str) -> DataFrame:
+    def build(self, t: str) -> DataFrame:
         s = self.silver
         if t in ("dim_customers", "dim_sellers", "dim_products"):
             e = {"dim_customers": "customers", "dim_sellers": "sellers", "dim_products": "products"}[t]
@@ -102,7 +103,6 @@ class GoldTables(dict):
             df = not_in(s[src], self[gold_t], keys)
         else:
             raise KeyError(t)
-        self[t] = df
         return df
 
 

@@ -23,6 +23,7 @@ from ..sources import schemas
 from ..sources.schemas import conform
 from . import gold as G
 from . import silver as SV
+from .lazy import Lazy
 
 # Source tables that arrive in increments (the others are full refresh).
 INCREMENTAL = ["customers", "orders", "order_items", "order_payments", "order_reviews"]
@@ -81,30 +82,31 @@ def advance_watermarks(control: DataFrame, changes: dict[str, DataFrame], now) -
         schemas.CONTROL)
 
 
-class Lazy(dict):
-    """A state whose tables are built on first access (building a gold table
-    writes its key map, so untouched tables should cost nothing)."""
+STATE_TABLES = [t for t in G.GOLD_TABLES if t != "dim_date"] + [f"parked_{e}" for e in FACT_OF] + ["control"]
 
-    def __init__(self, thunks: dict):
-        super().__init__()
-        self.thunks = dict(thunks)
 
-    def __missing__(self, k):
-        v = self.thunks[k]()
-        self[k] = v
-        return v
+def _persist(df: DataFrame, name: str) -> DataFrame:
+    """Silver and landed rows are read by several later steps: write them once
+    (the silver layer is a stored layer anyway) instead of recomputing them."""
+    from ..session import materialize
+    return materialize(df, name)
 
-    def names(self):
-        return list(self.thunks)
 
+# Silver tables read twice in a load (by their fact and by the parked rows) and
+# not already materialised by their median step.
+_READ_TWICE = {"orders", "order_reviews"}
 
-STATE_TABLES = [t for t in G.GOLD_TABLES if t != "dim_date"] + [f"parked_{e}" for e in FACT_OF] + ["control"]
+
+def _silver_once(e: str, df: DataFrame, params: SV.Params, persist) -> DataFrame:
+    out = SV.CLEANERS[e](df, params)
+    return persist(out, f"silver-{e}") if e in _READ_TWICE else out
 
 
-def initial_load(sources: dict[str, DataFrame], params: SV.Params, now) -> Lazy:
+def initial_load(sources: dict[str, DataFrame], params: SV.Params, now, persist=_persist) -> Lazy:
     """Entry 1: clean every source, build gold, park the facts whose parent is
     missing, capture the watermarks."""
-    silver = Lazy({e: (lambda e=e: SV.CLEANERS[e](sources[e], params)) for e in sources if e in SV.CLEANERS})
+    silver = Lazy({e: (lambda e=e: _silver_once(e, sources[e], params, persist))
+                   for e in sources if e in SV.CLEANERS})
     gold = G.build_gold(silver)
     thunks = {t: (lambda t=t: gold[t]) for t in STATE_TABLES if t != "control"}
     thunks["control"] = lambda: batch_watermarks({e: sources[e] for e in INCREMENTAL if e in sources}, now)
@@ -140,7 +142,7 @@ def merge_in_memory(table: str, target: DataFrame, rows: DataFrame) -> DataFrame
 
 
 def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params: SV.Params,
-              now, merge=merge_in_memory) -> Lazy:
+              now, merge=merge_in_memory, persist=_persist) -> Lazy:
     """I4 + I5 + I6: clean the batch, merge customers, then each fact in
     dependency order (orders before the facts that need them).  Parked rows of
     the previous state join the batch (newest version per key wins); rows that
@@ -149,7 +151,8 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
     ``merge(table, target, rows)`` performs each upsert and returns the whole new
     table; the stored state passes one that touches only the affected buckets."""
     prev = state
-    silver = Lazy({e: (lambda e=e: SV.CLEANERS[e](changes[e], params)) for e in changes if e in INCREMENTAL})
+    silver = Lazy({e: (lambda e=e: _silver_once(e, changes[e], params, persist))
+                   for e in changes if e in INCREMENTAL})
     thunks = {t: (lambda t=t: prev[t]) for t in STATE_TABLES}
     st = Lazy(thunks)
     if "customers" in changes:
@@ -161,8 +164,8 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
             return prev[f"parked_{e}"]
         return keep_latest(prev[f"parked_{e}"].unionByName(silver[e]), schemas.KEYS[e], NEWEST_FIRST[e])
 
-    src = Lazy({e: (lambda e=e: pending(e)) for e in FACT_OF})
-    landed = Lazy({e: (lambda e=e: _land(e, src[e], st)) for e in FACT_OF})
+    src = Lazy({e: (lambda e=e: persist(pending(e), f"pending-{e}")) for e in FACT_OF})
+    landed = Lazy({e: (lambda e=e: persist(_land(e, src[e], st), f"landed-{e}")) for e in FACT_OF})
     for e, fact in FACT_OF.items():
         thunks[fact] = lambda e=e, fact=fact: merge(fact, prev[fact], landed[e])
         thunks[f"parked_{e}"] = lambda e=e: not_in(src[e], landed[e], schemas.KEYS[e])
