@@ -27,7 +27,9 @@ class Model:
         from .plans.lazy import Lazy
         self.spark, self.sf_dir, self.params = spark, sf_dir, params
         self._raw = Lazy({e: (lambda e=e: dt.raw(spark, sf_dir, e)) for e in dt.SQL})
-        self._silver = Lazy({e: (lambda e=e: SV.CLEANERS[e](self.source(e), self.params)) for e in SV.CLEANERS})
+        from .plans.incremental import _persist, _silver_once
+        self._silver = Lazy({e: (lambda e=e: _silver_once(e, self.source(e), self.params, _persist))
+                             for e in SV.CLEANERS})
 
     def raw(self, entity: str) -> DataFrame:
         return self._raw[entity]
@@ -387,3 +389,27 @@ def stream_replay_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["stream_replay"] = stream_replay_query
+
+
+# ------------------------------------------------------------------ sources and sinks
+def bronze_orders_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw orders landed in bronze, stamped with a fixed load time."""
+    from .sources.io import bronze_ingest
+    return bronze_ingest(Model(spark, sf_dir).raw("orders"), "orders", dt.NOW)
+
+
+def csv_roundtrip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S8 + S1: raw customers exported as CSV (into the checkpoint folder) and
+    read back with the explicit source schema."""
+    import uuid
+
+    from .session import ensure_checkpoint_dir
+    from .sources import schemas
+    from .sources.io import read_csv, write_csv
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/galaxia-csv-{uuid.uuid4().hex}"
+    write_csv(Model(spark, sf_dir).raw("customers"), path)
+    return read_csv(spark, path, schemas.RAW["customers"])
+
+
+QUERIES["bronze_orders"] = bronze_orders_query
+QUERIES["csv_roundtrip"] = csv_roundtrip_query

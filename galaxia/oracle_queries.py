@@ -260,3 +260,11 @@ ORACLE.update({
 })
 
 ORACLE["stream_replay"] = ORACLE["replay_two_batches"]
+
+ORACLE["bronze_orders"] = _raw(["orders"], f"""SELECT *, TIMESTAMP '{NOW}' AS ingested_at,
+    'orders' AS Source_Table FROM raw_orders""")
+# a CSV field that is empty reads back as NULL, as in the reference's CSV reader
+ORACLE["csv_roundtrip"] = _raw(["customers"], """SELECT nullif(customer_id, '') AS customer_id,
+    nullif(customer_unique_id, '') AS customer_unique_id, customer_zip_code_prefix,
+    nullif(customer_city, '') AS customer_city, nullif(customer_state, '') AS customer_state,
+    created_at, last_modified_at FROM raw_customers""")

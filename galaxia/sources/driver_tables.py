@@ -259,9 +259,17 @@ def duckdb_sql(entity: str) -> str:
     return _TABLE_RE.sub(lambda m: m.group(1), s)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cluster has task slots (e.g. one
+    Parquet file with one row group) is spread round-robin so the row-wise work
+    above it runs on every slot; filters and column pruning still reach the scan."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def load_driver_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
     names = names or DRIVER_TABLES
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    return {n: spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet")) for n in names}
 
 
 def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:

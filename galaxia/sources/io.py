@@ -26,7 +26,8 @@ from . import schemas
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with a header row, quoted multi-line fields, explicit schema (a
-    UTF-8 byte-order mark at the start is dropped by the reader)."""
+    UTF-8 byte-order mark at the start is dropped by the reader).  An empty
+    field is NULL, as in the reference's CSV reader."""
     return (spark.read.schema(schema).option("header", True).option("multiLine", True)
             .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
 
@@ -74,8 +75,11 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by=Non
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Export as CSV with a header, no row-index column."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Export as CSV with a header, no row-index column; quotes doubled
+    inside quoted fields, blanks kept, '' and NULL kept apart."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, properties: dict) -> None:
