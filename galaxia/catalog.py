@@ -413,3 +413,19 @@ def csv_roundtrip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["bronze_orders"] = bronze_orders_query
 QUERIES["csv_roundtrip"] = csv_roundtrip_query
+
+
+def default_key_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """silver rows that carry a default value instead of a real one."""
+    m = Model(spark, sf_dir)
+    return Q.default_key_rows({
+        "customers_zip": (m.silver("customers"), "customer_zip_code_prefix", "00000"),
+        "customers_city": (m.silver("customers"), "customer_city", R.UNKNOWN),
+        "customers_state": (m.silver("customers"), "customer_state", R.UNKNOWN_STATE),
+        "sellers_zip": (m.silver("sellers"), "seller_zip_code_prefix", "00000"),
+        "orders_status": (m.silver("orders"), "order_status", R.UNKNOWN),
+        "payments_type": (m.silver("order_payments"), "payment_type", R.NOT_DEFINED),
+    })
+
+
+QUERIES["default_key_rows"] = default_key_rows_query

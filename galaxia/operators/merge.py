@@ -46,9 +46,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     keys = list(keys)
     cols = [c for c in target.columns if c not in keys and c != sk_col]
     src_cols = [c for c in cols if c in source.columns]
+    src = source.select(*keys, *src_cols)
+    if sk_col:
+        # number the new keys and attach them to the (batch-sized) source side
+        # before the big join, so the merged output is not shuffled again
+        new_keys = src.select(*keys).join(target.select(*keys), keys, "left_anti")
+        start = max_sk(target, sk_col) if start_sk is None else start_sk
+        numbered = assign_sk(new_keys, keys, sk_col, start).withColumnRenamed(sk_col, "__new_sk")
+        src = src.join(numbered, keys, "left")
     t = target.select(*keys, *([sk_col] if sk_col else []),
                       *[F.col(c).alias(f"t__{c}") for c in cols], F.lit(True).alias(_T))
-    s = source.select(*keys, *[F.col(c).alias(f"s__{c}") for c in src_cols], F.lit(True).alias(_S))
+    s = src.select(*keys, *[F.col(c).alias(f"s__{c}") for c in src_cols],
+                   *([F.col("__new_sk")] if sk_col else []), F.lit(True).alias(_S))
     j = t.join(s, keys, "full_outer")
     out: list[Column] = [F.col(k) for k in keys]
     for c in cols:
@@ -58,10 +67,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
         else:
             out.append(F.when(F.col(_T), tc).otherwise(sc).alias(c))
     if sk_col:
-        new_keys = source.select(*keys).join(target.select(*keys), keys, "left_anti")
-        start = max_sk(target, sk_col) if start_sk is None else start_sk
-        numbered = assign_sk(new_keys, keys, sk_col, start).withColumnRenamed(sk_col, "__new_sk")
-        j = j.join(numbered, keys, "left")
         out.insert(0, F.coalesce(F.col(sk_col), F.col("__new_sk")).alias(sk_col))
     return j.select(*out).select(*target.columns)
 

@@ -49,3 +49,13 @@ def check_fk(relations: dict[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -
                   .agg(F.lit(name).alias("relation"), F.count(F.lit(1)).alias("orphans"))
              for name, (child, parent, keys) in relations.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def default_key_rows(tables: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """per table, rows whose column carries its default value
+    (``name -> (table, column, default)``), e.g. zip '00000' or city 'unknown'."""
+    parts = [df.agg(F.lit(name).alias("table_name"), F.lit(col).alias("column_name"),
+                    F.count_if(F.col(col) == F.lit(default)).alias("default_rows"),
+                    F.count(F.lit(1)).alias("total_rows"))
+             for name, (df, col, default) in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

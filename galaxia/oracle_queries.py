@@ -268,3 +268,13 @@ ORACLE["csv_roundtrip"] = _raw(["customers"], """SELECT nullif(customer_id, '')
     nullif(customer_unique_id, '') AS customer_unique_id, customer_zip_code_prefix,
     nullif(customer_city, '') AS customer_city, nullif(customer_state, '') AS customer_state,
     created_at, last_modified_at FROM raw_customers""")
+
+ORACLE["default_key_rows"] = with_(_M, " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} = '{d}') AS default_rows, "
+    f"count(*) AS total_rows FROM {t}" for n, t, c, d in [
+        ("customers_zip", "silver_customers", "customer_zip_code_prefix", "00000"),
+        ("customers_city", "silver_customers", "customer_city", "unknown"),
+        ("customers_state", "silver_customers", "customer_state", "UN"),
+        ("sellers_zip", "silver_sellers", "seller_zip_code_prefix", "00000"),
+        ("orders_status", "silver_orders", "order_status", "unknown"),
+        ("payments_type", "silver_order_payments", "payment_type", "Not Defined")]))

@@ -40,16 +40,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     pick our own -- under the warehouse folder, or a fresh temp folder in local
     mode.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:   # a Spark Connect session exposes no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and sc is not None:
+        named = sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
-        if sc.master.startswith("local"):
+        if sc is not None and sc.master.startswith("local"):
             named = tempfile.mkdtemp(prefix="galaxia-ckpt-")
         else:
             named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_galaxia_checkpoints"
+    if sc is None:
+        return named
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
 

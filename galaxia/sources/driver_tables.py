@@ -263,8 +263,11 @@ def spread(df: DataFrame) -> DataFrame:
     """A scan with fewer splits than the cluster has task slots (e.g. one
     Parquet file with one row group) is spread round-robin so the row-wise work
     above it runs on every slot; filters and column pruning still reach the scan."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    except Exception:   # no RDD view (e.g. Spark Connect): leave the scan as it is
+        return df
 
 
 def load_driver_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:

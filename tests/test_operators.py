@@ -83,3 +83,11 @@ def test_profile_and_completeness(spark):
     c = {r["column_name"]: (r["row_count"], r["non_null"]) for r in stats.completeness(df).collect()}
     assert c == {"x": (3, 2), "s": (3, 2)}
     assert stats.max_text_length(df, ["s"]).first()["max_length"] == 3
+
+
+def test_approx_median_within_rank_error(spark):
+    vals = list(range(10001))
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double").repartition(4)
+    got = stats.approx_medians(df, ["x"], rel_err=0.01)["x"]
+    assert abs(got - 5000) <= 0.01 * len(vals)
+    assert stats.medians(df, ["x"], mode="exact")["x"] == 5000.0
