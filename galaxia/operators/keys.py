@@ -25,8 +25,12 @@ def assign_sk(df: DataFrame, keys: Sequence[str], sk_col: str, start: int = 0,
     """Add ``sk_col`` = ``start`` + 1-based rank of the (unique) ``keys``; the
     surrogate key is placed first."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *[F.col(k).asc_nulls_last() for k in keys])
+    order = [F.col(k).asc_nulls_last() for k in keys]
+    # without an explicit count AQE may coalesce small range partitions; the
+    # partition ids are read after the write, so either way they are final
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    ranged = (ranged
                 .sortWithinPartitions(*[F.col(k).asc_nulls_last() for k in keys])
                 .withColumn(_P, F.spark_partition_id())
                 .withColumn(_I, F.monotonically_increasing_id()

@@ -91,3 +91,11 @@ def test_approx_median_within_rank_error(spark):
     got = stats.approx_medians(df, ["x"], rel_err=0.01)["x"]
     assert abs(got - 5000) <= 0.01 * len(vals)
     assert stats.medians(df, ["x"], mode="exact")["x"] == 5000.0
+
+
+def test_assign_sk_with_coalesced_range_partitions(spark):
+    ids = [f"x{i:04d}" for i in range(1500)]
+    random.Random(3).shuffle(ids)
+    df = spark.createDataFrame([(i,) for i in ids], "k string").repartition(9)
+    got = {r["k"]: r["sk"] for r in keys.assign_sk(df, ["k"], "sk").collect()}
+    assert got == {k: i + 1 for i, k in enumerate(sorted(ids))}
