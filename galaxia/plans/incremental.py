@@ -136,9 +136,10 @@ def merge_fact(fact: DataFrame, landed: DataFrame, table: str) -> DataFrame:
 
 
 def merge_in_memory(table: str, target: DataFrame, rows: DataFrame) -> DataFrame:
-    """The default merge step of :func:`run_batch`: M1 against the whole target."""
+    """The default merge step of :func:`run_batch`: M1 against the whole target,
+    written once so a chain of batches does not grow one long lineage."""
     sk, keys = schemas.GOLD_KEYS[table]
-    return upsert(target, rows, keys, UPDATE_COLS[table], sk)
+    return _persist(upsert(target, rows, keys, UPDATE_COLS[table], sk), f"gold-{table}")
 
 
 def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params: SV.Params,
@@ -170,8 +171,8 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
         thunks[fact] = lambda e=e, fact=fact: merge(fact, prev[fact], landed[e])
         thunks[f"parked_{e}"] = lambda e=e: not_in(src[e], landed[e], schemas.KEYS[e])
     thunks["landed_orders"] = lambda: landed["orders"]
-    thunks["control"] = lambda: advance_watermarks(
-        prev["control"], {e: changes[e] for e in INCREMENTAL if e in changes}, now)
+    thunks["control"] = lambda: persist(advance_watermarks(
+        prev["control"], {e: changes[e] for e in INCREMENTAL if e in changes}, now), "control")
     st.thunks = thunks
     return st
 
