@@ -50,7 +50,8 @@ def main() -> None:
     model = C.Model(spark, sf_dir)
     ents = ["customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"]
     sources = {e: model.source(e) for e in ents}
-    store = GoldStore(spark, f"{scratch}/state", buckets=max(8, cpus * 4))
+    store = GoldStore(spark, f"{scratch}/state", buckets=max(8, cpus * 4),
+                      workers=int(os.environ.get("BENCH_WORKERS", str(cpus))))
 
     def initial():
         state = I.initial_load(I.slice_changes(sources, None, dt.CUTOFF), C.FIXTURE, dt.NOW)

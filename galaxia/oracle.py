@@ -307,7 +307,7 @@ def model_ctes() -> list[str]:
 
 def r4(x: str, d: int = 4) -> str:
     """Round like Spark's half-up on the shortest decimal form of a double."""
-    return f"round(CAST({x} AS DECIMAL(38,10)), {d})"
+    return f"CAST(round(CAST({x} AS DECIMAL(38,10)), {d}) AS DOUBLE)"
 
 
 # ------------------------------------------------------------------ merge / increments

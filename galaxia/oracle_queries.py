@@ -43,7 +43,7 @@ def _ratio(num: str, den: str, d: int = 4) -> str:
 
 
 _LATE = "delivered_customer_date > estimated_delivery_date"
-_DAYS = "datediff('day', order_purchase_date, delivered_customer_date)"
+_DAYS = "CAST(datediff('day', order_purchase_date, delivered_customer_date) AS INTEGER)"
 
 ORACLE.update({
     "dim_customers": _m("SELECT * FROM dim_customers"),
@@ -60,14 +60,14 @@ ORACLE.update({
     "parked_orders": _m("SELECT * FROM silver_orders WHERE order_id NOT IN (SELECT order_id FROM fact_orders)"),
     "kpi_overview_totals": _m(f"""SELECT i.total_revenue, o.total_orders, c.total_customers,
         {_ratio('i.total_revenue', 'i.orders_with_items', 2)} AS avg_order_value
-        FROM (SELECT sum(price) AS total_revenue, count(DISTINCT order_id) AS orders_with_items FROM v_fact_order_items) i,
+        FROM (SELECT CAST(sum(price) AS DECIMAL(38,2)) AS total_revenue, count(DISTINCT order_id) AS orders_with_items FROM v_fact_order_items) i,
              (SELECT count(*) AS total_orders FROM v_fact_orders) o,
              (SELECT count(DISTINCT customer_unique_id) AS total_customers FROM v_dim_customers) c"""),
-    "kpi_revenue_trend": _m("""SELECT d.year, d.month, sum(i.price) AS revenue, count(DISTINCT i.order_id) AS n_orders
+    "kpi_revenue_trend": _m("""SELECT d.year, d.month, CAST(sum(i.price) AS DECIMAL(38,2)) AS revenue, count(DISTINCT i.order_id) AS n_orders
         FROM v_fact_order_items i JOIN v_fact_orders o ON i.order_id = o.order_id
         JOIN dim_date d ON d.date = o.order_purchase_date GROUP BY d.year, d.month"""),
     "kpi_orders_by_status": _m("SELECT order_status, count(*) AS n_orders FROM v_fact_orders GROUP BY order_status"),
-    "kpi_revenue_by_category": _m("""SELECT p.product_category_name_english, sum(i.price) AS revenue, count(*) AS n_items
+    "kpi_revenue_by_category": _m("""SELECT p.product_category_name_english, CAST(sum(i.price) AS DECIMAL(38,2)) AS revenue, count(*) AS n_items
         FROM v_fact_order_items i JOIN v_dim_products p ON i.product_sk = p.product_sk
         GROUP BY p.product_category_name_english"""),
     "kpi_order_totals": _m(f"""SELECT count(*) AS total_orders,
@@ -83,18 +83,18 @@ ORACLE.update({
         {r4(f'avg({_DAYS})')} AS avg_delivery_days
         FROM v_fact_orders o JOIN dim_date d ON d.date = o.order_purchase_date
         WHERE o.delivered_customer_date IS NOT NULL GROUP BY d.year, d.month"""),
-    "kpi_payment_totals": _m(f"""SELECT sum(payment_value) AS total_payment,
+    "kpi_payment_totals": _m(f"""SELECT CAST(sum(payment_value) AS DECIMAL(38,2)) AS total_payment,
         {_ratio('sum(payment_value)', 'count(payment_value)')} AS avg_payment,
         count(*) AS n_payments, count(DISTINCT payment_type) AS n_payment_types FROM v_fact_order_payments"""),
-    "kpi_payment_trend": _m("""SELECT d.year, d.month, sum(p.payment_value) AS total_payment, count(*) AS n_payments
+    "kpi_payment_trend": _m("""SELECT d.year, d.month, CAST(sum(p.payment_value) AS DECIMAL(38,2)) AS total_payment, count(*) AS n_payments
         FROM v_fact_order_payments p JOIN v_fact_orders o ON p.order_id = o.order_id
         JOIN dim_date d ON d.date = o.order_purchase_date GROUP BY d.year, d.month"""),
-    "kpi_payment_type_distribution": _m(f"""SELECT payment_type, count(*) AS n_payments, sum(payment_value) AS total_value,
+    "kpi_payment_type_distribution": _m(f"""SELECT payment_type, count(*) AS n_payments, CAST(sum(payment_value) AS DECIMAL(38,2)) AS total_value,
         {_ratio('count(*)', '(SELECT count(*) FROM v_fact_order_payments)')} AS share,
         {_ratio('sum(payment_value)', 'count(*)')} AS avg_value
         FROM v_fact_order_payments GROUP BY payment_type"""),
     "kpi_installments_analysis": _m(f"""SELECT payment_installments, count(*) AS n_payments,
-        sum(payment_value) AS total_value, {_ratio('sum(payment_value)', 'count(*)')} AS avg_value
+        CAST(sum(payment_value) AS DECIMAL(38,2)) AS total_value, {_ratio('sum(payment_value)', 'count(*)')} AS avg_value
         FROM v_fact_order_payments GROUP BY payment_installments"""),
     "kpi_review_totals": _m(f"""SELECT count(*) AS n_reviews,
         {_ratio('sum(review_score)', 'count(review_score)')} AS avg_score,
@@ -224,7 +224,7 @@ ORACLE.update({
         f"count(*) - count({c}) AS null_count FROM raw_customers"
         for c in SILVER_COLS["customers"])),
     "max_text_length": _raw(["order_reviews"], " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, max(length({c})) AS max_length FROM raw_order_reviews"
+        f"SELECT '{c}' AS column_name, CAST(max(length({c})) AS INTEGER) AS max_length FROM raw_order_reviews"
         for c in ["review_id", "order_id", "review_comment_title", "review_comment_message"])),
     "exact_medians": "SELECT " + ", ".join(
         f"CAST(quantile_cont({c}, 0.5) AS DOUBLE) AS median_{c}"
@@ -251,8 +251,8 @@ ORACLE.update({
           ON p.product_category_name = t.product_category_name"""),
     "cohort_orders": _raw(["orders"], """SELECT order_id, customer_id, order_status, order_purchase_timestamp,
         order_approved_at, order_delivered_carrier_date, order_delivered_customer_date,
-        order_estimated_delivery_date, year(order_purchase_timestamp) AS year,
-        quarter(order_purchase_timestamp) AS quarter, created_at, last_modified_at
+        order_estimated_delivery_date, CAST(year(order_purchase_timestamp) AS INTEGER) AS year,
+        CAST(quarter(order_purchase_timestamp) AS INTEGER) AS quarter, created_at, last_modified_at
         FROM raw_orders WHERE year(order_purchase_timestamp) = 1997 AND quarter(order_purchase_timestamp) = 2"""),
     "cohort_children": _raw(["orders", "order_items"], """SELECT * FROM raw_order_items
         WHERE order_id IN (SELECT order_id FROM raw_orders

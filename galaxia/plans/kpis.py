@@ -19,6 +19,11 @@ def _r(c, d: int = 4):
     return F.round(c, d)
 
 
+def _money(c: str):
+    """A sum of money columns, at the widest decimal precision."""
+    return F.sum(c).cast("decimal(38,2)")
+
+
 def _ratio(num, den, d: int = 4):
     return _r(num.cast("double") / den.cast("double"), d)
 
@@ -33,7 +38,7 @@ def overview_totals(v: V) -> DataFrame:
     """K1: revenue = sum of item prices; orders = rows of fact_orders; customers =
     distinct customer_unique_id; average order value = revenue / distinct orders
     with items."""
-    items = v["v_fact_order_items"].agg(F.sum("price").alias("total_revenue"),
+    items = v["v_fact_order_items"].agg(_money("price").alias("total_revenue"),
                                         F.countDistinct("order_id").alias("orders_with_items"))
     orders = v["v_fact_orders"].agg(F.count(F.lit(1)).alias("total_orders"))
     cust = v["v_dim_customers"].agg(F.countDistinct("customer_unique_id").alias("total_customers"))
@@ -47,7 +52,7 @@ def revenue_trend(v: V) -> DataFrame:
     j = v["v_fact_order_items"].select("order_id", "price").join(
         v["v_fact_orders"].select("order_id", "order_purchase_date"), "order_id")
     j = _with_month(j, v["dim_date"], "order_purchase_date")
-    return j.groupBy("year", "month").agg(F.sum("price").alias("revenue"),
+    return j.groupBy("year", "month").agg(_money("price").alias("revenue"),
                                           F.countDistinct("order_id").alias("n_orders"))
 
 
@@ -60,7 +65,7 @@ def revenue_by_category(v: V) -> DataFrame:
     """K4: item revenue and item count per English category name."""
     j = v["v_fact_order_items"].join(
         v["v_dim_products"].select("product_sk", "product_category_name_english"), "product_sk")
-    return j.groupBy("product_category_name_english").agg(F.sum("price").alias("revenue"),
+    return j.groupBy("product_category_name_english").agg(_money("price").alias("revenue"),
                                                           F.count(F.lit(1)).alias("n_items"))
 
 
@@ -109,7 +114,7 @@ def delivery_performance(v: V) -> DataFrame:
 def payment_totals(v: V) -> DataFrame:
     """K9: sum, mean, count of payments and number of payment types."""
     p = v["v_fact_order_payments"]
-    return p.agg(F.sum("payment_value").alias("total_payment"),
+    return p.agg(_money("payment_value").alias("total_payment"),
                  _ratio(F.sum("payment_value"), F.count("payment_value")).alias("avg_payment"),
                  F.count(F.lit(1)).alias("n_payments"),
                  F.countDistinct("payment_type").alias("n_payment_types"))
@@ -120,7 +125,7 @@ def payment_trend(v: V) -> DataFrame:
     j = v["v_fact_order_payments"].join(v["v_fact_orders"].select("order_id", "order_purchase_date"),
                                         "order_id")
     j = _with_month(j, v["dim_date"], "order_purchase_date")
-    return j.groupBy("year", "month").agg(F.sum("payment_value").alias("total_payment"),
+    return j.groupBy("year", "month").agg(_money("payment_value").alias("total_payment"),
                                           F.count(F.lit(1)).alias("n_payments"))
 
 
@@ -128,7 +133,7 @@ def payment_type_distribution(v: V) -> DataFrame:
     """Per payment type: count, share of all payments, total and mean value."""
     p = v["v_fact_order_payments"]
     by = p.groupBy("payment_type").agg(F.count(F.lit(1)).alias("n_payments"),
-                                       F.sum("payment_value").alias("total_value"))
+                                       _money("payment_value").alias("total_value"))
     total = p.agg(F.count(F.lit(1)).alias("__all"))          # one row: safe to broadcast
     return (by.crossJoin(F.broadcast(total))
               .select("payment_type", "n_payments", "total_value",
@@ -139,7 +144,7 @@ def payment_type_distribution(v: V) -> DataFrame:
 def installments_analysis(v: V) -> DataFrame:
     """Per number of installments: count, total and mean value."""
     return (v["v_fact_order_payments"].groupBy("payment_installments")
-            .agg(F.count(F.lit(1)).alias("n_payments"), F.sum("payment_value").alias("total_value"))
+            .agg(F.count(F.lit(1)).alias("n_payments"), _money("payment_value").alias("total_value"))
             .withColumn("avg_value", _ratio(F.col("total_value"), F.col("n_payments"))))
 
 

@@ -160,7 +160,7 @@ SELECT order_id, customer_id,
   CASE WHEN st = 'P' THEN CAST(NULL AS {TS}) ELSE od + (k % 4 + 1) * INTERVAL 1 DAY END AS order_delivered_carrier_date,
   CASE WHEN st <> 'F' THEN CAST(NULL AS {TS}) ELSE od + (k % 15 + 2) * INTERVAL 1 DAY END AS order_delivered_customer_date,
   od + INTERVAL 10 DAY AS order_estimated_delivery_date,
-  year(od) AS year, quarter(od) AS quarter,
+  CAST(year(od) AS INT) AS year, CAST(quarter(od) AS INT) AS quarter,
   od AS created_at, od + (k % 5) * INTERVAL 1 HOUR AS last_modified_at
 FROM base
 UNION ALL
@@ -172,7 +172,7 @@ SELECT order_id, customer_id,
   od + INTERVAL 1 DAY AS order_delivered_carrier_date,
   CASE WHEN k % 48 = 0 THEN CAST(NULL AS {TS}) ELSE od + (k % 13 + 3) * INTERVAL 1 DAY END AS order_delivered_customer_date,
   od + INTERVAL 10 DAY AS order_estimated_delivery_date,
-  year(od) AS year, quarter(od) AS quarter,
+  CAST(year(od) AS INT) AS year, CAST(quarter(od) AS INT) AS quarter,
   od AS created_at, od + (k % 700 + 20) * INTERVAL 1 DAY AS last_modified_at
 FROM base WHERE k % 16 = 0
 """

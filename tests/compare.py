@@ -40,6 +40,23 @@ def rows(records) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+_SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
+
+
+def type_diffs(spark_df, con, sql: str) -> list:
+    """Columns whose Spark type and DuckDB type differ."""
+    res = con.execute(f"DESCRIBE {sql}").fetchall()
+    duck_types = {r[0]: r[1] for r in res}
+    out = []
+    for f in spark_df.schema.fields:
+        st = f.dataType.simpleString()
+        want = _SPARK_TO_DUCK.get(st, st.upper())
+        if duck_types.get(f.name) != want:
+            out.append((f.name, st, duck_types.get(f.name)))
+    return out
+
+
 def compare(spark_df, con, sql: str):
     """Return (ok, detail)."""
     cols = spark_df.columns
