@@ -3,6 +3,7 @@ shared checkpoint folder the cluster names."""
 
 from __future__ import annotations
 
+import contextvars
 import os
 import tempfile
 
@@ -61,6 +62,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or named
 
 
+# Sub-folder for the intermediate tables of the current unit of work (a stored
+# batch sets it, so it can drop them after publishing).  A context variable, so
+# worker threads started with a copied context write to the same place.
+SCRATCH_SCOPE: contextvars.ContextVar[str | None] = contextvars.ContextVar("galaxia_scratch", default=None)
+
+
+def scratch_root(spark) -> str:
+    base = ensure_checkpoint_dir(spark).rstrip("/") + "/galaxia-tables"
+    scope = SCRATCH_SCOPE.get()
+    return f"{base}/{scope}" if scope else base
+
+
 def materialize(df, name: str = "tmp"):
     """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
     and read it back.  Columnar, so later passes read only the columns they
@@ -68,7 +81,6 @@ def materialize(df, name: str = "tmp"):
     import uuid
 
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/galaxia-tables/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -232,9 +232,10 @@ class GoldStore:
     def _parallel(self, names, fn) -> dict:
         """Run ``fn`` for each name on a few driver threads (Spark runs the
         jobs of different threads concurrently)."""
+        import contextvars
         from concurrent.futures import ThreadPoolExecutor
         with ThreadPoolExecutor(max_workers=max(1, self.workers)) as pool:
-            futures = {n: pool.submit(fn, n) for n in names}
+            futures = {n: pool.submit(contextvars.copy_context().run, fn, n) for n in names}
             return {n: f.result() for n, f in futures.items()}
 
     def state(self, manifest: dict | None = None) -> dict[str, DataFrame]:
@@ -246,13 +247,25 @@ class GoldStore:
         """I4 against the stored state: each upsert reads only the buckets its
         rows fall in (partition-pruned), writes them to a new version folder,
         and the manifest is replaced once at the end.  A batch id already
-        applied is skipped (exactly-once effect)."""
-        from ..operators.merge import UPDATE_COLS, upsert
-        from ..plans import incremental as I
-
+        applied is skipped (exactly-once effect).  Intermediate tables of the
+        batch live in their own scratch folder, removed after publishing."""
         m = self.manifest()
         if batch_id is not None and batch_id in m.get("applied", []):
             return m
+        from ..session import SCRATCH_SCOPE, scratch_root
+        token = SCRATCH_SCOPE.set(f"batch-{uuid.uuid4().hex}")
+        scratch = scratch_root(self.spark)
+        try:
+            return self._run_batch(m, changes, params, now, batch_id)
+        finally:
+            SCRATCH_SCOPE.reset(token)
+            # nothing published refers to the batch's intermediate tables
+            self._fs.delete(self._Path(scratch), True)
+
+    def _run_batch(self, m: dict, changes, params, now, batch_id) -> dict:
+        from ..operators.merge import UPDATE_COLS, upsert
+        from ..plans import incremental as I
+
         v = m["version"] + 1
         work = {"version": v, "tables": dict(m["tables"]), "applied": list(m.get("applied", []))}
 
@@ -287,9 +300,3 @@ class GoldStore:
         self._publish(work)
         return work
 
-
-def materialize_small(df: DataFrame, name: str) -> DataFrame:
-    """Batch-sized intermediate results are written once to the checkpoint
-    folder so the bucket listing and the merge read the same rows."""
-    from ..session import materialize
-    return materialize(df, name)

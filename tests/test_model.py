@@ -123,3 +123,19 @@ def test_store_crash_before_publish_then_rerun(spark, scratch, monkeypatch):
     store.run_batch(batch, P, "2019-01-02 00:00:00", batch_id=7)   # already applied: skipped
     got = sorted((r["order_id"], r["order_sk"]) for r in store.read("fact_orders").collect())
     assert got == [(K[1], 1), (K[2], 2)]
+
+
+def test_store_batch_leaves_no_scratch(spark, scratch):
+    import glob
+
+    from galaxia.session import ensure_checkpoint_dir
+    c1 = [(K[0], K[0], 1, "city", "SP", d(), d())]
+    o1 = [(K[1], K[0], "shipped", d(), None, None, d())]
+    store = GoldStore(spark, scratch + "/state", buckets=4)
+    store.publish_initial(I.initial_load(_sources(spark, c1, o1), P, "2019-01-01 00:00:00"))
+    base = ensure_checkpoint_dir(spark).replace("file:", "").rstrip("/") + "/galaxia-tables"
+    before = set(glob.glob(base + "/batch-*"))
+    store.run_batch({"orders": orders_df(spark, [(K[2], K[0], "new", d(1), None, None, d(1))])},
+                    P, "2019-01-02 00:00:00", batch_id=1)
+    assert set(glob.glob(base + "/batch-*")) == before
+    assert store.read("fact_orders").count() == 2
