@@ -429,3 +429,14 @@ def default_key_rows_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["default_key_rows"] = default_key_rows_query
+
+
+def parked_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What still waits for its parent after the replayed history."""
+    from .functions.rules import ts_lit
+    s2 = Increment(spark, sf_dir).s2
+    return Q.parked_report({e: s2[f"parked_{e}"] for e in
+                            ["orders", "order_items", "order_payments", "order_reviews"]}, ts_lit(dt.NOW))
+
+
+QUERIES["parked_report"] = parked_report_query

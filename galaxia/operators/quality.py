@@ -59,3 +59,14 @@ def default_key_rows(tables: dict[str, tuple[DataFrame, str, str]]) -> DataFrame
                     F.count(F.lit(1)).alias("total_rows"))
              for name, (df, col, default) in tables.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def parked_report(parked: dict[str, DataFrame], now_col) -> DataFrame:
+    """I5 follow-up: parked rows are never dropped; per table report how many
+    wait, and the oldest and newest change time among them (their age)."""
+    parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("parked_rows"),
+                    F.min("last_modified_at").alias("oldest_change"),
+                    F.max("last_modified_at").alias("newest_change"),
+                    F.max(F.datediff(now_col, F.col("last_modified_at"))).alias("max_age_days"))
+             for name, df in parked.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -278,3 +278,9 @@ ORACLE["default_key_rows"] = with_(_M, " UNION ALL ".join(
         ("sellers_zip", "silver_sellers", "seller_zip_code_prefix", "00000"),
         ("orders_status", "silver_orders", "order_status", "unknown"),
         ("payments_type", "silver_order_payments", "payment_type", "Not Defined")]))
+
+ORACLE["parked_report"] = _i(" UNION ALL ".join(
+    f"SELECT '{e}' AS table_name, count(*) AS parked_rows, min(last_modified_at) AS oldest_change, "
+    f"max(last_modified_at) AS newest_change, "
+    f"CAST(max(datediff('day', CAST(last_modified_at AS DATE), DATE '{NOW[:10]}')) AS INTEGER) AS max_age_days "
+    f"FROM parked2_{e}" for e in ["orders", "order_items", "order_payments", "order_reviews"]))
