@@ -31,7 +31,6 @@ CUTOFF = "1999-01-01 00:00:00"         # initial load = changes up to here; the
 DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                  "events", "documents", "labels"]
 
-_OID = "md5(concat('o', CAST({k} AS STRING)))"
 
 SQL = {}
 
