@@ -32,7 +32,9 @@ class Params:
     now: str = "2100-01-01 00:00:00"
     median_mode: str = "exact"          # "exact" (percentile_cont) or "approx"
     rel_err: float = 0.01
-    fixed_medians: dict = field(default_factory=dict)
+    fixed_medians: dict = field(default_factory=dict)      # always used when given
+    fallback_medians: dict = field(default_factory=dict)   # used when a batch has no value
+    observed: dict = field(default_factory=dict)           # medians actually applied ("table.col")
 
 
 def _impute_medians(df: DataFrame, cols: list[str], p: Params, table: str) -> tuple[DataFrame, dict]:
@@ -43,7 +45,13 @@ def _impute_medians(df: DataFrame, cols: list[str], p: Params, table: str) -> tu
     if need:
         df = materialize(df, f"silver-{table}")
     found = medians(df, need, p.median_mode, p.rel_err) if need else {}
-    values = {c: p.fixed_medians.get(f"{table}.{c}", found.get(c)) for c in cols}
+    values = {}
+    for c in cols:
+        key = f"{table}.{c}"
+        v = p.fixed_medians.get(key, found.get(c))
+        values[c] = p.fallback_medians.get(key) if v is None else v
+        if values[c] is not None:
+            p.observed[key] = values[c]
     out = df.withColumns({c: R.impute(c, F.lit(values[c]).cast("double")) for c in cols
                           if values[c] is not None})
     return out, values

@@ -218,14 +218,17 @@ class GoldStore:
             entry["max_sk"] = max(int(written_max or 0), int(entry["max_sk"] or 0))
         return entry
 
-    def publish_initial(self, state: dict[str, DataFrame], tables=None) -> dict:
-        """Write a whole state (e.g. ``initial_load``) as one new version."""
+    def publish_initial(self, state: dict[str, DataFrame], tables=None, medians: dict | None = None) -> dict:
+        """Write a whole state (e.g. ``initial_load``) as one new version;
+        ``medians`` (``Params.observed`` of the load) are kept for later batches."""
         m = self.manifest()
         v = m["version"] + 1
-        new = {"version": v, "tables": dict(m["tables"]), "applied": list(m.get("applied", []))}
+        new = {"version": v, "tables": dict(m["tables"]), "applied": list(m.get("applied", [])),
+               "medians": {**m.get("medians", {}), **(medians or {})}}
         names = list(tables or BUCKET_KEY)
         written = self._parallel(names, lambda t: self._write(t, state[t], v, {}))
         new["tables"].update(written)
+        new["medians"].update(medians or {})   # filled while the tables were built
         self._publish(new)
         return new
 
@@ -266,8 +269,13 @@ class GoldStore:
         from ..operators.merge import UPDATE_COLS, upsert
         from ..plans import incremental as I
 
+        import dataclasses
         v = m["version"] + 1
-        work = {"version": v, "tables": dict(m["tables"]), "applied": list(m.get("applied", []))}
+        work = {"version": v, "tables": dict(m["tables"]), "applied": list(m.get("applied", [])),
+                "medians": dict(m.get("medians", {}))}
+        # a batch whose column has no value at all falls back to the last published median
+        params = dataclasses.replace(params, fallback_medians={**work["medians"], **params.fallback_medians},
+                                     observed={})
 
         def merge(table: str, target_full: DataFrame, rows: DataFrame) -> DataFrame:
             key = BUCKET_KEY[table]
@@ -297,6 +305,7 @@ class GoldStore:
                 work["tables"][t] = entry
         if batch_id is not None:
             work["applied"].append(batch_id)
+        work["medians"].update(params.observed)
         self._publish(work)
         return work
 

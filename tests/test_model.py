@@ -139,3 +139,24 @@ def test_store_batch_leaves_no_scratch(spark, scratch):
                     P, "2019-01-02 00:00:00", batch_id=1)
     assert set(glob.glob(base + "/batch-*")) == before
     assert store.read("fact_orders").count() == 2
+
+
+def test_batch_without_values_uses_published_median(spark, scratch):
+    from galaxia.sources import schemas as S
+    c1 = [(K[0], K[0], 1, "city", "SP", d(), d())]
+    o1 = [(K[1], K[0], "shipped", d(), None, None, d())]
+    src = _sources(spark, c1, o1)
+    src["order_payments"] = spark.createDataFrame(
+        [(K[1], 1, "boleto", 1, 10.0, d(), d()), (K[1], 2, "boleto", 1, 30.0, d(), d())], S.RAW["order_payments"])
+    params = SV.Params(min_time=P.min_time, now=P.now)
+    state = I.initial_load(src, params, "2019-01-01 00:00:00")
+    state["fact_order_payments"].count()
+    assert params.observed == {"order_payments.payment_value": 20.0}
+    store = GoldStore(spark, scratch + "/state", buckets=4)
+    store.publish_initial(state, medians=params.observed)
+    batch = {"order_payments": spark.createDataFrame([(K[1], 3, "boleto", 1, None, d(1), d(1))],
+                                                     S.RAW["order_payments"])}
+    store.run_batch(batch, P, "2019-01-02 00:00:00", batch_id=1)   # only a NULL value in this batch
+    got = {r["payment_sequential"]: float(r["payment_value"]) for r in store.read("fact_order_payments").collect()}
+    assert got == {1: 10.0, 2: 30.0, 3: 20.0}
+    assert store.manifest()["medians"] == {"order_payments.payment_value": 20.0}
