@@ -166,6 +166,10 @@ class GoldStore:
     def _bucket(self, key: str):
         return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("int")
 
+    def _bucket_of(self, value: str):
+        """The bucket of one key value (as a column expression)."""
+        return F.pmod(F.xxhash64(F.lit(value)), F.lit(self.buckets)).cast("int")
+
     def _schema(self, table: str) -> StructType:
         if table == "control":
             return schemas.CONTROL
