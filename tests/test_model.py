@@ -160,3 +160,19 @@ def test_batch_without_values_uses_published_median(spark, scratch):
     got = {r["payment_sequential"]: float(r["payment_value"]) for r in store.read("fact_order_payments").collect()}
     assert got == {1: 10.0, 2: 30.0, 3: 20.0}
     assert store.manifest()["medians"] == {"order_payments.payment_value": 20.0}
+
+
+def test_run_initial_then_run_increment_from_watermarks(spark, scratch):
+    c1 = [(K[0], K[0], 1, "city", "SP", d(), d())]
+    o1 = [(K[1], K[0], "shipped", d(), None, None, d()), (K[2], K[0], "new", d(5), None, None, d(5))]
+    src = _sources(spark, c1, o1)
+    store = GoldStore(spark, scratch + "/state", buckets=4)
+    # the first load sees only what had changed up to day 1
+    I.run_initial(store, I.slice_changes(src, None, d(1)), P, "2019-01-01 00:00:00",
+                  bronze_root=scratch + "/bronze")
+    assert [r["order_id"] for r in store.read("fact_orders").collect()] == [K[1]]
+    I.run_increment(store, src, P, "2019-01-02 00:00:00", batch_id=1, bronze_root=scratch + "/bronze")
+    got = sorted((r["order_id"], r["order_sk"]) for r in store.read("fact_orders").collect())
+    assert got == [(K[1], 1), (K[2], 2)]
+    bronze = spark.read.parquet(scratch + "/bronze/orders")
+    assert bronze.count() == 2 and "ingested_at" in bronze.columns   # K1 at first, then only K2 (changed since)
