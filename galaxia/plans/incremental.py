@@ -113,14 +113,16 @@ def initial_load(sources: dict[str, DataFrame], params: SV.Params, now, persist=
     return Lazy(thunks)
 
 
-def _land(entity: str, src: DataFrame, st: dict[str, DataFrame]) -> DataFrame:
+def _land(entity: str, src: DataFrame, look) -> DataFrame:
+    """Land pending rows of ``entity``: ``look(table, src, key)`` gives the
+    (merged) parent table, possibly only the part that can hold ``src``'s keys."""
     if entity == "orders":
-        return G.order_rows(src, st["dim_customers"])
+        return G.order_rows(src, look("dim_customers", src, "customer_id"))
     if entity == "order_items":
-        return G.item_rows(src, st["dim_products"], st["dim_sellers"])
+        return G.item_rows(src, look("dim_products", src, "product_id"), look("dim_sellers", src, "seller_id"))
     if entity == "order_payments":
-        return G.payment_rows(src, st["fact_orders"])
-    return G.review_rows(src, st["fact_orders"])
+        return G.payment_rows(src, look("fact_orders", src, "order_id"))
+    return G.review_rows(src, look("fact_orders", src, "order_id"))
 
 
 def merge_dimension(dim: DataFrame, silver_rows: DataFrame, table: str = "dim_customers") -> DataFrame:
@@ -143,14 +145,16 @@ def merge_in_memory(table: str, target: DataFrame, rows: DataFrame) -> DataFrame
 
 
 def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params: SV.Params,
-              now, merge=merge_in_memory, persist=_persist) -> Lazy:
+              now, merge=merge_in_memory, persist=_persist, lookup=None) -> Lazy:
     """I4 + I5 + I6: clean the batch, merge customers, then each fact in
     dependency order (orders before the facts that need them).  Parked rows of
     the previous state join the batch (newest version per key wins); rows that
     still find no parent stay parked.  Control rows move to the batch maxima.
 
     ``merge(table, target, rows)`` performs each upsert and returns the whole new
-    table; the stored state passes one that touches only the affected buckets."""
+    table; the stored state passes one that touches only the affected buckets.
+    ``lookup(table, rows, key, table_df)`` may narrow a parent table to the part
+    that can hold the keys of ``rows`` (the store reads only their buckets)."""
     prev = state
     silver = Lazy({e: (lambda e=e: _silver_once(e, changes[e], params, persist))
                    for e in changes if e in INCREMENTAL})
@@ -165,8 +169,12 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
             return prev[f"parked_{e}"]
         return keep_latest(prev[f"parked_{e}"].unionByName(silver[e]), schemas.KEYS[e], NEWEST_FIRST[e])
 
+    def look(table, rows, key):
+        full = st[table]                  # the parent is merged first
+        return lookup(table, rows, key, full) if lookup else full
+
     src = Lazy({e: (lambda e=e: persist(pending(e), f"pending-{e}")) for e in FACT_OF})
-    landed = Lazy({e: (lambda e=e: persist(_land(e, src[e], st), f"landed-{e}")) for e in FACT_OF})
+    landed = Lazy({e: (lambda e=e: persist(_land(e, src[e], look), f"landed-{e}")) for e in FACT_OF})
     for e, fact in FACT_OF.items():
         thunks[fact] = lambda e=e, fact=fact: merge(fact, prev[fact], landed[e])
         thunks[f"parked_{e}"] = lambda e=e: not_in(src[e], landed[e], schemas.KEYS[e])

@@ -293,7 +293,12 @@ class GoldStore:
             work["tables"][table] = self._write(table, merged, v, entry)
             return self.read(table, manifest=work)
 
-        new_state = I.run_batch(self.state(m), changes, params, now, merge=merge)
+        def lookup(table: str, rows: DataFrame, key: str, full: DataFrame) -> DataFrame:
+            # parents are bucketed by exactly this key: read only the buckets of the batch's keys
+            touched = [r[0] for r in rows.select(self._bucket(key)).distinct().collect()]  # <= buckets
+            return self.read(table, buckets=touched, manifest=work)
+
+        new_state = I.run_batch(self.state(m), changes, params, now, merge=merge, lookup=lookup)
         # the merges write their buckets as they run (dependencies resolve
         # through the lazy state); parked rows and control are written whole
         merged = ["dim_customers", "fact_orders", "fact_order_items", "fact_order_payments",
