@@ -43,3 +43,13 @@ def test_dedup_limits_before_the_shuffle(spark):
     plan = _plan(keep_latest(df, ["k"], ["ts"]))
     assert plan.count("WindowGroupLimit") >= 2          # partial (map side) + final
     assert "row_number(), 1, Partial" in plan
+
+
+def test_views_serve_spark_sql(spark):
+    from galaxia.plans.views import register_views
+    fo = spark.createDataFrame([(1, KEYS[1], 1, "delivered", d().date(), None, None, d(3).date(), d(10).date())],
+                               schemas.GOLD["fact_orders"])
+    register_views({"fact_orders": fo})
+    row = spark.sql("SELECT order_purchase_date, delivered_customer_date, estimated_delivery_date "
+                    "FROM v_fact_orders").first()
+    assert (row[0], row[1], row[2]) == (d().date(), d(3).date(), d(10).date())
