@@ -6,10 +6,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import exact_dedup, line_dedup, quality
+from . import bpe_words, exact_dedup, line_dedup, packing, quality
 from .common import documents
 
 
+def op3_best_fit_packing(spark, sf_dir):
+    return packing.best_fit_packing(documents(spark, sf_dir))
+
+
 def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
@@ -23,5 +27,11 @@ def op9_quality_rules(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op7_line_dedup, op9_quality_rules)}
+def op10_bpe_words(spark, sf_dir):
+    out = bpe_words.decode(bpe_words.encode(documents(spark, sf_dir)))
+    return out.select("doc_id", "n_tokens", F.sha2(F.col("ids_text").cast("binary"), 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op4_exact_dedup, op7_line_dedup, op9_quality_rules, op10_bpe_words)}
 ORACLE = {"op4_exact_dedup": exact_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op9_quality_rules": quality.ORACLE}
