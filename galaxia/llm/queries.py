@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe_words, exact_dedup, kneser_ney, line_dedup, packing, quality
+from . import bpe_words, exact_dedup, kneser_ney, line_dedup, packing, quality, simhash
 from .common import documents
 
 
@@ -22,6 +22,10 @@ def op4_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(documents(spark, sf_dir))
 
 
+def op5_simhash(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
 def op7_line_dedup(spark, sf_dir):
     out = line_dedup.line_dedup(documents(spark, sf_dir))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -37,5 +41,5 @@ def op10_bpe_words(spark, sf_dir):
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney, op3_best_fit_packing, op4_exact_dedup, op7_line_dedup, op9_quality_rules, op10_bpe_words)}
+QUERIES = {f.__name__: f for f in (op1_kneser_ney, op3_best_fit_packing, op4_exact_dedup, op5_simhash, op7_line_dedup, op9_quality_rules, op10_bpe_words)}
 ORACLE = {"op4_exact_dedup": exact_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op9_quality_rules": quality.ORACLE}
