@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe_words, exact_dedup, kneser_ney, line_dedup, packing, quality, simhash
+from . import bpe_words, exact_dedup, kneser_ney, langid, line_dedup, packing, quality, simhash
 from .common import documents
 
 
@@ -14,6 +14,13 @@ def op1_kneser_ney(spark, sf_dir):
     return kneser_ney.lm_scores(documents(spark, sf_dir))
 
 
+def op2_language_id(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = langid.identify(docs, langid.train(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score",
+                        F.size("spans").alias("n_spans"))
+
+
 def op3_best_fit_packing(spark, sf_dir):
     return packing.best_fit_packing(documents(spark, sf_dir))
 
@@ -41,5 +48,5 @@ def op10_bpe_words(spark, sf_dir):
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney, op3_best_fit_packing, op4_exact_dedup, op5_simhash, op7_line_dedup, op9_quality_rules, op10_bpe_words)}
+QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_language_id, op3_best_fit_packing, op4_exact_dedup, op5_simhash, op7_line_dedup, op9_quality_rules, op10_bpe_words)}
 ORACLE = {"op4_exact_dedup": exact_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op9_quality_rules": quality.ORACLE}
