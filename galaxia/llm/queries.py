@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe_words, exact_dedup, kneser_ney, langid, line_dedup, packing, quality, simhash
+from . import bpe_words, exact_dedup, kneser_ney, langid, line_dedup, packing, quality, simhash, toxicity
 from .common import documents
 
 
@@ -38,6 +38,13 @@ def op7_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    net = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, net).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                                            (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_quality_rules(spark, sf_dir):
     return quality.quality_rules(documents(spark, sf_dir))
 
@@ -48,5 +55,5 @@ def op10_bpe_words(spark, sf_dir):
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_language_id, op3_best_fit_packing, op4_exact_dedup, op5_simhash, op7_line_dedup, op9_quality_rules, op10_bpe_words)}
+QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_language_id, op3_best_fit_packing, op4_exact_dedup, op5_simhash, op7_line_dedup, op8_toxicity, op9_quality_rules, op10_bpe_words)}
 ORACLE = {"op4_exact_dedup": exact_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op9_quality_rules": quality.ORACLE}
