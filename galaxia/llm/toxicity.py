@@ -43,6 +43,8 @@ ATTENTION = 8
 WORD_ROWS, WORD_DIM = 4096, 4
 CHAR_ROWS, CHAR_DIM = 2048, 6
 EPOCHS = 6
+#: Documents added to either class when a word's log odds are taken.
+SMOOTHING = 5
 CACHE_WORDS = 1 << 19
 BATCH = 1024
 _TRIM = b".,;:!?\"'()[]{}*&$%#|<>"
@@ -210,16 +212,23 @@ def _distinct_documents(texts: list[list[bytes]]) -> list[int]:
 
 
 def word_odds(texts: list[list[bytes]], y: np.ndarray) -> dict[bytes, float]:
-    """Log odds of a word among toxic and clean documents, for words of three at least."""
-    count = [Counter(), Counter()]
+    """Log odds of a word among toxic and clean documents, for words of three at
+    least.  A document counts for a word only where it stands between neighbours
+    not seen before, so a passage that many documents share counts once."""
+    count, seen = [Counter(), Counter()], set()
     for words, label in zip(texts, y, strict=True):
-        count[int(label)].update({w.strip(_TRIM) or w for w in words})
+        bare, own = [w.strip(_TRIM) or w for w in words], set()
+        for around in zip([b"", *bare], bare, [*bare[1:], b""], strict=False):
+            if (key := hash(around)) not in seen:
+                seen.add(key)
+                own.add(around[1])
+        count[int(label)].update(own)
     n = [int((y == 0).sum()), int((y == 1).sum())]
     both = count[0] + count[1]
     out = {}
     for w, k in both.items():
         if k >= 3:
-            rate = [(count[c][w] + 1) / (n[c] + 2) for c in (0, 1)]
+            rate = [(count[c][w] + SMOOTHING) / (n[c] + 2 * SMOOTHING) for c in (0, 1)]
             out[w] = float(np.clip(np.log(rate[1] / rate[0]), -3, 3))
     return out
 
