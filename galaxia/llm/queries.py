@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe_words, exact_dedup, kneser_ney, langid, line_dedup, packing, quality, simhash, toxicity
+from . import bpe_words, exact_dedup, kneser_ney, langid, line_dedup, packing, pii, quality, simhash, toxicity
 from .common import documents
 
 
@@ -33,6 +33,18 @@ def op5_simhash(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_pii(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = pii.spans(docs, pii.train(docs))
+
+    def listed(name):
+        return F.array_join(F.transform(name, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(k) for k in pii.KINDS], F.sha2(listed("base").cast("binary"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op7_line_dedup(spark, sf_dir):
     out = line_dedup.line_dedup(documents(spark, sf_dir))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -55,5 +67,5 @@ def op10_bpe_words(spark, sf_dir):
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_language_id, op3_best_fit_packing, op4_exact_dedup, op5_simhash, op7_line_dedup, op8_toxicity, op9_quality_rules, op10_bpe_words)}
+QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_language_id, op3_best_fit_packing, op4_exact_dedup, op5_simhash, op6_pii, op7_line_dedup, op8_toxicity, op9_quality_rules, op10_bpe_words)}
 ORACLE = {"op4_exact_dedup": exact_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op9_quality_rules": quality.ORACLE}
