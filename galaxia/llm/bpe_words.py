@@ -80,6 +80,36 @@ def frequent_words(df: DataFrame, most: int = FREQUENT_WORDS, least: int = TASK_
     return counts.where(F.col("step") >= cut).select("word")
 
 
+class WordTable:
+    """Words and their ids as a few byte strings; a worker makes its dictionary of
+    them when it first looks a word up."""
+
+    def __init__(self, parts: list[tuple[bytes, bytes, bytes]]):
+        self.parts = parts
+        self.known: dict[bytes, bytes] | None = None
+
+    def __getstate__(self):
+        return {"parts": self.parts, "known": None}
+
+    def words(self) -> dict[bytes, bytes]:
+        if self.known is None:
+            self.known = {}
+            for words, ids, sizes in self.parts:
+                ends = np.cumsum(np.frombuffer(sizes, np.uint32)).tolist()
+                self.known.update(zip(words.split(), (ids[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
+        return self.known
+
+    @staticmethod
+    def collect(table: DataFrame) -> WordTable:
+        """Of rows (word, ids): tasks join them, so the driver holds a few long strings."""
+        def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                sizes = np.fromiter(map(len, b["ids"]), np.uint32, len(b))
+                yield pd.DataFrame([(b" ".join(b["word"]), b"".join(b["ids"]), sizes.tobytes())], columns=["words", "ids", "sizes"])
+        rows = table.select("word", "ids").mapInPandas(join, "words binary, ids binary, sizes binary").collect()
+        return WordTable([(bytes(r["words"]), bytes(r["ids"]), bytes(r["sizes"])) for r in rows])
+
+
 def _encode_column(path: str):
     @F.pandas_udf("binary")
     def encode(words: pd.Series) -> pd.Series:
@@ -93,12 +123,12 @@ def encode(df: DataFrame, path: str | None = None, most: int = FREQUENT_WORDS) -
     spark = df.sparkSession
     docs = df.select("doc_id", text_of().alias("text"))
     table = frequent_words(docs, most).withColumn("ids", _encode_column(path)(F.col("word")))
-    known = spark.sparkContext.broadcast({bytes(r["word"]): bytes(r["ids"]) for r in table.collect()})
+    known = spark.sparkContext.broadcast(WordTable.collect(table))
 
     keyed = docs.select(F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit("document"), "text").alias("k2"), "doc_id", "text")
 
     def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = known.value
+        table = known.value.words()
         for b in batches:
             rows = [(k1, k2, i, w) for k1, k2, t in zip(b["k1"], b["k2"], b["text"], strict=True)
                     for i, w in enumerate(_words(t)) if w not in table]
@@ -118,7 +148,7 @@ def encode(df: DataFrame, path: str | None = None, most: int = FREQUENT_WORDS) -
     moved = keyed.mapInPandas(shrink, "k1 long, k2 long, doc_id long, text binary")
 
     def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = known.value
+        table = known.value.words()
         for b in batches:
             out = []
             for z, rare in zip(b["text"], b["rare"], strict=True):
