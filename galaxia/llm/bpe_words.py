@@ -21,17 +21,17 @@ ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordcodec
-from .common import text_of
+from .common import map_documents, text_of
 
 FREQUENT_WORDS = 1 << 20
 FREQUENT_BYTES = 32
@@ -77,31 +77,44 @@ def frequent_words(df: DataFrame, most: int = FREQUENT_WORDS, least: int = TASK_
         if total > most:
             cut += 1
             break
-    return counts.where(F.col("step") >= cut).select("word")
+    return counts.where(F.col("step") >= cut).orderBy(F.desc("step"), "word").select("word")
 
 
 class WordTable:
-    """Words and their ids as a few byte strings; a worker makes its dictionary of
-    them when it first looks a word up."""
+    """Words, most frequent first, and their ids as a few byte strings; a worker makes
+    its dictionary of them when it first looks a word up."""
 
     def __init__(self, parts: list[tuple[bytes, bytes, bytes]]):
         self.parts = parts
-        self.known: dict[bytes, bytes] | None = None
+        self.known: dict[bytes, int] | None = None
+        self.ends: np.ndarray | None = None
 
     def __getstate__(self):
-        return {"parts": self.parts, "known": None}
+        return {"parts": self.parts, "known": None, "ends": None}
 
-    def words(self) -> dict[bytes, bytes]:
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The number of each word in the table; past the last one: not in it."""
         if self.known is None:
-            self.known = {}
-            for words, ids, sizes in self.parts:
-                ends = np.cumsum(np.frombuffer(sizes, np.uint32)).tolist()
-                self.known.update(zip(words.split(), (ids[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
-        return self.known
+            every = [w for part in self.parts for w in part[0].split()]
+            self.known = dict(zip(every, range(len(every)), strict=True))
+        get, none = self.known.get, len(self.known)
+        return np.fromiter((get(w, none) for w in words), np.uint32, len(words))
+
+    def ids(self, numbers: np.ndarray) -> list[bytes]:
+        """The packed ids of words by number; nothing for those not in the table."""
+        if self.ends is None:
+            sizes = np.concatenate([np.frombuffer(p[2], np.uint32) for p in self.parts] + [np.zeros(1, np.uint32)])
+            self.ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+            self.flat = b"".join(p[1] for p in self.parts)
+        flat = self.flat
+        return [flat[a:b] for a, b in zip(self.ends[numbers].tolist(), self.ends[numbers + 1].tolist(), strict=True)]
+
+    def __len__(self):
+        return sum(len(p[2]) // 4 for p in self.parts)
 
     @staticmethod
     def collect(table: DataFrame) -> WordTable:
-        """Of rows (word, ids): tasks join them, so the driver holds a few long strings."""
+        """Of rows (word, ids) in order: tasks join them, so the driver holds a few long strings."""
         def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 sizes = np.fromiter(map(len, b["ids"]), np.uint32, len(b))
@@ -117,49 +130,63 @@ def _encode_column(path: str):
     return encode
 
 
+def _parts(batches: Iterator[pd.DataFrame], column: str, size: int = 4_000_000) -> Iterator[pd.DataFrame]:
+    """Batches in slices of about so many characters or bytes."""
+    for b in batches:
+        cuts = np.flatnonzero(np.diff(np.cumsum(b[column].str.len().to_numpy()) // size)) + 1
+        yield from (b.iloc[i] for i in np.split(np.arange(len(b)), cuts) if len(i))
+
+
 def encode(df: DataFrame, path: str | None = None, most: int = FREQUENT_WORDS) -> DataFrame:
-    """doc_id and ``ids``, the packed ids of the text (``id_dtype`` of the vocabulary)."""
+    """doc_id and ``ids``, the packed ids of the text.
+
+    A document travels to its rare words' ids as the numbers of its words in the
+    frequent table, which is smaller than its text."""
     path = path or wordcodec.vocabulary_path()
-    spark = df.sparkSession
     docs = df.select("doc_id", text_of().alias("text"))
     table = frequent_words(docs, most).withColumn("ids", _encode_column(path)(F.col("word")))
-    known = spark.sparkContext.broadcast(WordTable.collect(table))
-
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit("document"), "text").alias("k2"), "doc_id", "text")
+    known = df.sparkSession.sparkContext.broadcast(WordTable.collect(table))
+    # rows with one id and one text have the same rare words, so they may share a key
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
 
     def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = known.value.words()
-        for b in batches:
-            rows = [(k1, k2, i, w) for k1, k2, t in zip(b["k1"], b["k2"], b["text"], strict=True)
-                    for i, w in enumerate(_words(t)) if w not in table]
-            yield pd.DataFrame(rows, columns=["k1", "k2", "pos", "word"])
-
-    places = keyed.select("k1", "k2", "text").mapInPandas(rare, "k1 long, k2 long, pos int, word binary")
-    encoded = (places.groupBy("word").agg(F.collect_list(F.struct("k1", "k2", "pos")).alias("places"))
+        table = known.value
+        for b in _parts(batches, "text"):
+            rows = []
+            for i, th, t in zip(b["doc_id"], b["th"], b["text"], strict=True):
+                words = _words(t)
+                rows += [(i, th, int(k), words[k]) for k in np.flatnonzero(table.numbers(words) == len(table))]
+            yield pd.DataFrame(rows, columns=["doc_id", "th", "pos", "word"])
+
+    places = map_documents(keyed, rare, "th long, pos int, word binary")
+    encoded = (places.groupBy("word").agg(F.collect_list(F.struct("doc_id", "th", "pos")).alias("places"))
                .withColumn("ids", _encode_column(path)(F.col("word")))
                .select("ids", F.explode("places").alias("at")).select("at.*", "ids")
-               .groupBy("k1", "k2").agg(F.collect_list(F.struct("pos", "ids")).alias("rare")))
+               .groupBy("doc_id", "th").agg(F.collect_list(F.struct("pos", "ids")).alias("rare")))
 
-    def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b["text"] = [zlib.compress(t.encode("utf-8", "replace"), 1) for t in b["text"]]
-            yield b
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table, shrink = known.value, zstandard.ZstdCompressor(level=3).compress
+        for b in _parts(batches, "text"):
+            # bytes of one place together: the high ones are mostly zero
+            found = (table.numbers(_words(t)).view(np.uint8).reshape(-1, 4).T.tobytes() for t in b["text"])
+            yield pd.DataFrame({"doc_id": b["doc_id"], "th": b["th"], "words": [shrink(x) for x in found]})
 
-    moved = keyed.mapInPandas(shrink, "k1 long, k2 long, doc_id long, text binary")
+    moved = map_documents(keyed, number, "th long, words binary")
 
     def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = known.value.words()
-        for b in batches:
+        table, expand = known.value, zstandard.ZstdDecompressor().decompress
+        for b in _parts(batches, "words", 1_000_000):
             out = []
-            for z, rare in zip(b["text"], b["rare"], strict=True):
-                parts = list(map(table.get, zlib.decompress(z).split()))
+            for z, rare in zip(b["words"], b["rare"], strict=True):
+                planes = np.frombuffer(expand(z), np.uint8).reshape(4, -1)
+                parts = table.ids(np.ascontiguousarray(planes.T).view(np.uint32).ravel())
                 for at in (rare if rare is not None else ()):
                     parts[at["pos"]] = at["ids"]
                 out.append(b"".join(parts))
             yield pd.DataFrame({"doc_id": b["doc_id"], "ids": out})
 
-    return (moved.join(encoded, ["k1", "k2"], "left").select("doc_id", "text", "rare")
-            .mapInPandas(assemble, "doc_id long, ids binary"))
+    same = F.col("m.doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("m.th") == F.col("e.th"))
+    return map_documents(moved.alias("m").join(encoded.alias("e"), same, "left").select("m.doc_id", "words", "rare"), assemble, "ids binary")
 
 
 def decode(df: DataFrame, path: str | None = None) -> DataFrame:
@@ -169,10 +196,12 @@ def decode(df: DataFrame, path: str | None = None) -> DataFrame:
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = wordcodec.codec(path)
         pieces, numbers = c.pieces(), [str(i) for i in range(c.size)]
-        for b in batches:
-            ids = [np.frombuffer(x, dtype=c.dtype).tolist() for x in b["ids"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "n_tokens": [len(x) for x in ids],
-                                "ids_text": [" ".join(map(numbers.__getitem__, x)) for x in ids],
-                                "decoded": [" ".join(map(pieces.__getitem__, x)) for x in ids]})
+        for b in _parts(batches, "ids", 1_000_000):
+            out = []
+            for x in b["ids"]:
+                ids = np.frombuffer(x, dtype=c.dtype).tolist()
+                out.append((len(ids), " ".join(map(numbers.__getitem__, ids)), " ".join(map(pieces.__getitem__, ids))))
+            yield pd.DataFrame(out, columns=["n_tokens", "ids_text", "decoded"]).assign(doc_id=b["doc_id"].to_numpy())[
+                ["doc_id", "n_tokens", "ids_text", "decoded"]]
 
-    return df.select("doc_id", "ids").mapInPandas(join, "doc_id long, n_tokens long, ids_text string, decoded string")
+    return map_documents(df.select("doc_id", "ids"), join, "n_tokens long, ids_text string, decoded string")

@@ -24,6 +24,14 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % modulus, F.lit(-1).cast("long"))
 
 
+def map_documents(df: DataFrame, function, fields: str) -> DataFrame:
+    """``mapInPandas`` to doc_id and ``fields``.  The id is text on its way, as pandas
+    would make a double of a whole number that may be NULL."""
+    kind = df.schema["doc_id"].dataType
+    found = df.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(function, f"doc_id string, {fields}")
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Every row as one struct column ``row`` with its content key ``rk``: helper
     columns added beside it can never clash with the table's own names."""

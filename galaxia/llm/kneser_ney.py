@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, scratch_root
-from .common import fold, text_of
+from .common import fold, map_documents, text_of
 from .sharedfiles import map_array, write_array
 
 #: Tokens a bigram range holds about.
@@ -433,10 +433,11 @@ def materialize_folder(spark) -> str:
 
 
 def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
-    """The carried columns with n_tokens, n_known, train_tokens, base_score, score."""
+    """doc_id and the carried columns with n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema)
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.select(*carry).schema)
+    own = ["doc_id", *carry]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
@@ -449,12 +450,12 @@ def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
                 ids, sizes = m.encode(rows["text"].tolist())
                 logs, base, counts = m.log10(m.contexts(ids, sizes), ids)
                 first = np.cumsum(sizes) - sizes
-                yield rows[carry].assign(n_tokens=sizes, n_known=np.add.reduceat((counts > 0).astype(np.int64), first),
+                yield rows[own].assign(n_tokens=sizes, n_known=np.add.reduceat((counts > 0).astype(np.int64), first),
                                          train_tokens=m.n, base_score=np.add.reduceat(base, first),
                                          score=np.add.reduceat(logs, first))
 
-    return (docs.select(*carry, text_of().alias("text"))
-            .mapInPandas(run, f"{kinds}, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    return map_documents(docs.select(*own, text_of().alias("text")), run,
+                         f"{kinds}n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -466,4 +467,4 @@ def lm_scores(df: DataFrame) -> DataFrame:
     perplexity of a token."""
     docs = df.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
     model = train(docs.where(~F.col("held_out")))
-    return score(docs, model, ["doc_id", "held_out"]).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+    return score(docs, model, ["held_out"]).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

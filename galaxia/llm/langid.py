@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, text_of
+from .common import fold, map_documents, text_of
 
 FEATURES = 1 << 16
 SIZES = (2, 3, 4)
@@ -254,5 +254,5 @@ def identify(df: DataFrame, model: Model, penalty: float = SWITCH_PENALTY) -> Da
             out.append((doc_id, names[int(share.argmax())], float(share.max() / total), spans))
         return pd.DataFrame(out, columns=["doc_id", "lang_pred", "score", "spans"])
 
-    return df.select("doc_id", text_of().alias("text")).mapInPandas(
-        run, "doc_id long, lang_pred string, score double, spans array<struct<first_word:int,words:int,lang:string>>")
+    return map_documents(df.select("doc_id", text_of().alias("text")), run,
+                         "lang_pred string, score double, spans array<struct<first_word:int,words:int,lang:string>>")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import wordcodec
-from .common import text_of
+from .common import map_documents, text_of
 
 CAPACITY = 4096
 END_ID = 1
@@ -47,11 +47,11 @@ def pieces(df: DataFrame, path: str | None = None, capacity: int = CAPACITY, wit
                 ids = np.append(c.encode(text).astype("<u4"), np.uint32(END_ID))
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at:at + capacity]
-                    rows.append((doc_id, k, at, len(part), zlib.crc32(part.tobytes()), part.astype("int64"))[:len(columns)])
-            yield pd.DataFrame(rows, columns=columns).astype({"doc_id": "Int64"})
+                    rows.append((doc_id, k, at, len(part), zlib.crc32(part.tobytes()), *([part.astype("int64")] * with_ids)))
+            yield pd.DataFrame(rows, columns=columns)
 
-    kinds = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
-    return df.select("doc_id", text_of().alias("text")).mapInPandas(cut, kinds)
+    fields = "piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
+    return map_documents(df.select("doc_id", text_of().alias("text")), cut, fields)
 
 
 def fullest(slack: int, counts: dict[int, int]) -> list[tuple[int, int]]:
@@ -135,8 +135,8 @@ def pack(table: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             yield b.drop(columns="rank").assign(sequence_id=bins[at] + nth // uses[at],
                                                 offset=offsets[at] + nth % uses[at] * length)
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
-    return ranked(table, columns).mapInPandas(place, f"{kinds}, sequence_id long, offset long")
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in table.schema if f.name != "doc_id")
+    return map_documents(ranked(table, columns), place, f"{kinds}sequence_id long, offset long").select(*columns, "sequence_id", "offset")
 
 
 def best_fit_packing(df: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import map_documents, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
@@ -401,7 +401,7 @@ def spans(df: DataFrame, model: Model) -> DataFrame:
             found = [find(t, shared.value) for t in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "base": [rows(x) for x, _ in found], "spans": [rows(y) for _, y in found]})
 
-    return df.select("doc_id", text_of().alias("text")).mapInPandas(run, f"doc_id long, base {kind}, spans {kind}")
+    return map_documents(df.select("doc_id", text_of().alias("text")), run, f"base {kind}, spans {kind}")
 
 
 def redact(docs: DataFrame, model: Model | None = None) -> DataFrame:

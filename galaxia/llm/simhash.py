@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import packed, text_of
+from .common import map_documents, packed, text_of
 from .components import connected_components
 
 SHINGLE = 4
@@ -64,14 +64,14 @@ def fingerprint(text: str, width: int = SHINGLE) -> int:
 def fingerprints(df: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """doc_id, the carried columns and ``fp``, the fingerprint as a signed long."""
     carry = carry or []
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select("doc_id", *carry).schema)
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*carry).schema)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.fromiter(map(fingerprint, b["text"]), np.uint64, len(b)).view(np.int64)
             yield b.drop(columns="text").assign(fp=fp)
 
-    return df.select("doc_id", *carry, text_of().alias("text")).mapInPandas(run, f"{kinds}, fp long")
+    return map_documents(df.select("doc_id", *carry, text_of().alias("text")), run, f"{kinds}fp long")
 
 
 def position_sets() -> list[tuple[int, int, int]]:

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, text_of
+from .common import fold, map_documents, text_of
 
 WINDOW = 64
 STRIDE = 48
@@ -374,4 +374,4 @@ def score(df: DataFrame, net: Network | None) -> DataFrame:
                     found = held["scorer"].score(texts) if held else np.zeros(len(part))
                     yield pd.DataFrame({"doc_id": b["doc_id"].iloc[part].to_numpy(), "score": found})
 
-    return df.select("doc_id", text_of().alias("text")).mapInPandas(run, "doc_id long, score double")
+    return map_documents(df.select("doc_id", text_of().alias("text")), run, "score double")

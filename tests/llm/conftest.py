@@ -8,7 +8,7 @@ LONG = ("the quick fox, und der Hund " * 3000) + "x" * 50_000
 @pytest.fixture(scope="session")
 def odd_rows():
     """NULLs, empty and very long texts, ties, repeated rows, odd characters."""
-    texts = [(1, "a b"), (1, "a b"), (2, "a  b"), (3, "ab"), (4, None), (5, ""), (6, " \n\t "), (None, "a b"), (None, None),
+    texts = [(1, "a b"), (1, "a b"), (2, "a  b"), (3, "ab"), (4, None), (5, ""), (6, " \n\t "), (None, "a b"), (None, None), ((1 << 62) + 1, "large id"),
              (7, LONG), (8, LONG + " "), (9, "Straße naïve 　 日本語 Привет <|endoftext|> é \x1c x\U0001f600y"),
              (10, "mail jo@x.org at 10.0.0.1 or +1 (988) 555-2485, 4111 1111 1111 1111"), (11, "One line that is long enough\n b"),
              (12, "one line that is long enough \nc"), (13, "  ONE LINE that is long enough\n\n"), (14, "it's 12 o'clock\r\n\x0b\x0c#*$%")]
