@@ -236,9 +236,8 @@ def date_error_report_query(spark, sf_dir):
 
 
 def check_unique_query(spark, sf_dir):
-    """Q4: raw order keys sent more than once."""
-    o = Model(spark, sf_dir).raw("orders").where(F.col("order_id").isNotNull())
-    return Q.check_unique(o, ["order_id"])
+    """Q4: raw order keys sent more than once, the NULL key among them."""
+    return Q.check_unique(Model(spark, sf_dir).raw("orders"), ["order_id"])
 
 
 def check_not_null_query(spark, sf_dir):
@@ -248,8 +247,11 @@ def check_not_null_query(spark, sf_dir):
 
 
 def check_fk_query(spark, sf_dir):
-    """Q6: orphans of the six relations, over silver."""
-    m = Model(spark, sf_dir)
+    """Q6: orphans of the six relations, over silver.  Keys do not depend on the
+    imputed measures, so no median is computed for them."""
+    import dataclasses
+    measures = [f"products.{c}" for c in SV.PRODUCT_MEDIAN_COLS] + ["order_items.price", "order_payments.payment_value"]
+    m = Model(spark, sf_dir, dataclasses.replace(FIXTURE, fixed_medians=dict.fromkeys(measures, 0.0)))
     s = m.silver
     return Q.check_fk({
         "orders_customers": (s("orders"), s("customers"), ["customer_id"]),
@@ -440,3 +442,154 @@ def parked_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["parked_report"] = parked_report_query
+
+
+# ------------------------------------------------------------------ views, layers, refreshes, controls
+def _view_query(name: str):
+    def q(spark, sf_dir):
+        df = Model(spark, sf_dir).view(name)
+        if name == "v_dim_sellers":   # coordinates shown to 6 decimals
+            df = df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in ("seller_lat", "seller_lng")})
+        return df
+    q.__name__ = name.replace("v_", "views_", 1)
+    return q
+
+
+def _bronze_query(entity: str):
+    def q(spark, sf_dir):
+        from .sources.io import bronze_ingest
+        return bronze_ingest(Model(spark, sf_dir).raw(entity), entity, dt.NOW)
+    q.__name__ = f"bronze_{entity}"
+    return q
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder."""
+    import uuid
+
+    from .session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/galaxia-{name}-{uuid.uuid4().hex}"
+
+
+def _stored_silver_query(entity: str):
+    def q(spark, sf_dir):
+        """P5 + P6 + S6: the cleaned table stored with its load columns and read back."""
+        from .plans.incremental import store_silver
+        m = Model(spark, sf_dir)
+        return store_silver({entity: m.source(entity)}, FIXTURE, dt.NOW, _folder(spark, "silver"))[entity]
+    q.__name__ = f"silver_{entity}"
+    return q
+
+
+def table_roundtrip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written, replaced, appended to from a select over
+    itself and read back; another one cleared and appended to it (no rows)."""
+    from .sources import io, schemas
+    raw, base = Model(spark, sf_dir).raw("customers"), _folder(spark, "tables")
+    io.write_table(raw, f"{base}/a", mode="append")
+    io.write_table(io.read_table(spark, f"{base}/a").select(*raw.columns), f"{base}/b", mode="overwrite")
+    io.write_table(io.read_table(spark, f"{base}/a"), f"{base}/b", mode="append")
+    io.write_table(raw, f"{base}/c", mode="overwrite")
+    io.clear_table(spark, f"{base}/c", schemas.RAW["customers"])
+    return io.read_table(spark, f"{base}/b").unionByName(io.read_table(spark, f"{base}/c"))
+
+
+_MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def approx_medians_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5: is each approximate median within one per cent of the middle rank?"""
+    li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    q = ST.approx_medians(li, _MEASURES, 0.01)
+    n = F.count(F.lit(1))
+    ok = [((F.count_if(F.col(c) < q[c]) / n <= 0.51) & (F.count_if(F.col(c) <= q[c]) / n >= 0.49)).alias(c) for c in _MEASURES]
+    parts = ", ".join(f"'{c}', `{c}`" for c in _MEASURES)
+    return li.agg(*ok).selectExpr(f"stack({len(_MEASURES)}, {parts}) as (column_name, within_bound)")
+
+
+def exact_medians_nonfinite_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A6 over whole line items with infinities among them, over the full range of
+    doubles, and over one value with a few others."""
+    li = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    k, p = F.col("l_orderkey"), F.col("l_extendedprice")
+    df = li.select(F.when(k % 7 == 0, F.lit(float("inf"))).when(k % 11 == 0, F.lit(float("-inf"))).otherwise(p).alias("infinite"),
+                   (F.when(k % 2 == 0, p).otherwise(-p) * F.lit(1e303)).alias("wide"),
+                   F.when(k % 3 == 0, p).otherwise(F.lit(5.0)).alias("tied"))
+    med = ST.exact_medians(df, df.columns)
+    return spark.range(1).select(*[F.lit(med[c]).cast("double").alias(f"median_{c}") for c in df.columns])
+
+
+def _earlier(m: Model, entity: str) -> DataFrame:
+    """An earlier snapshot of a table that is sent whole: fewer rows, one older value."""
+    raw = m.source(entity)
+    if entity == "products":
+        return raw.where(F.col("product_length_cm") <= 25).withColumn("product_category_name", F.lit("old"))
+    return raw.where(F.col("geolocation_lat") < 40).withColumn("seller_city", F.lit("old"))
+
+
+def _refresh_query(entity: str):
+    def q(spark, sf_dir):
+        """S6 + G1: earlier surrogate keys stay, new keys come after the largest."""
+        from .plans import gold as G
+        from .plans import incremental as I
+        m, table = Model(spark, sf_dir), I.REFRESHED[entity]
+        dim = G.build_gold({entity: SV.CLEANERS[entity](_earlier(m, entity), FIXTURE)})[table]
+        df = I.refresh_dimension(dim, m.silver(entity), table)
+        if entity == "sellers":
+            df = df.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in ("seller_lat", "seller_lng")})
+        return df
+    q.__name__ = f"refresh_{entity}"
+    return q
+
+
+def parked_items_landed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of products that the first load did not have land once a refresh
+    brings the products."""
+    from .plans import incremental as I
+    m = Model(spark, sf_dir)
+    ents = ["customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"]
+    first = I.initial_load({**{e: m.source(e) for e in ents}, "products": _earlier(m, "products")}, FIXTURE, dt.NOW)
+    return I.run_batch(first, {"products": m.source("products")}, FIXTURE, dt.NOW)["fact_order_items"]
+
+
+def increment_refetch_none_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I2 + I3: rows that the stored watermarks let through a second time (none)."""
+    from functools import reduce
+    inc = Increment(spark, sf_dir)
+    marks = {r["table_name"]: r["max_last_modified_at"] for r in inc.s2["control"].collect()}
+    parts = [inc.I.changed_since(inc.sources[t], marks[t]).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+             for t in inc.I.INCREMENTAL]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def late_batch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch older than the stored watermarks leaves them where they are."""
+    inc = Increment(spark, sf_dir)
+    return inc.I.advance_watermarks(inc.s2["control"], {e: inc.batch1[e] for e in inc.I.INCREMENTAL}, dt.NOW)
+
+
+def unstamped_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source rows that no watermark can ever select."""
+    inc = Increment(spark, sf_dir)
+    return inc.I.unstamped(inc.sources)
+
+
+QUERIES.update({
+    **{f"views_{t}": _view_query(f"v_{t}") for t in ("dim_customers", "dim_sellers", "dim_products", "fact_order_items",
+                                                     "fact_order_payments", "fact_order_reviews")},
+    **{f"bronze_{e}": _bronze_query(e) for e in ("customers", "sellers", "products", "geolocation", "order_items",
+                                                 "order_payments", "order_reviews")},
+    **{f"silver_{e}": _stored_silver_query(e) for e in SV.CLEANERS},
+    "parked_items": _gold_query("parked_order_items"),
+    "parked_payments": _gold_query("parked_order_payments"),
+    "parked_reviews": _gold_query("parked_order_reviews"),
+    "table_roundtrip": table_roundtrip_query,
+    "approx_medians": approx_medians_query,
+    "exact_medians_nonfinite": exact_medians_nonfinite_query,
+    "refresh_products": _refresh_query("products"),
+    "refresh_sellers": _refresh_query("sellers"),
+    "parked_items_landed": parked_items_landed_query,
+    "increment_refetch_none": increment_refetch_none_query,
+    "late_batch": late_batch_query,
+    "unstamped_rows": unstamped_query,
+})

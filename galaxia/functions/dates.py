@@ -51,13 +51,6 @@ def build_dim_date(spark: SparkSession, start: str = "2016-01-01", end: str = "2
     return dim_date_from_bounds(bounds)
 
 
-def dim_date_for(fact: DataFrame, date_cols: list[str]) -> DataFrame:
-    """T1 spanning every date that occurs in ``date_cols`` of ``fact``."""
-    lo = F.least(*[F.min(c) for c in date_cols]) if len(date_cols) > 1 else F.min(date_cols[0])
-    hi = F.greatest(*[F.max(c) for c in date_cols]) if len(date_cols) > 1 else F.max(date_cols[0])
-    return dim_date_from_bounds(fact.agg(lo.alias("start"), hi.alias("end")))
-
-
 def calendar_for(sources: list[tuple[DataFrame, str]]) -> DataFrame:
     """T1 spanning every date found in the given (table, column) pairs."""
     from functools import reduce

@@ -31,9 +31,10 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def ts_lit(value) -> Column:
-    """A ``timestamp_ntz`` literal, independent of the session time zone."""
+    """A ``timestamp_ntz`` literal with microseconds, independent of the session
+    time zone."""
     if isinstance(value, (_dt.datetime, _dt.date)):
-        value = value.strftime("%Y-%m-%d %H:%M:%S")
+        value = value.strftime("%Y-%m-%d %H:%M:%S.%f")
     return F.lit(str(value)).cast("timestamp_ntz")
 
 
@@ -48,22 +49,11 @@ def blank_to_null(c: ColumnOrName) -> Column:
     return F.nullif(F.trim(_c(c)), F.lit(""))
 
 
-def default_text(c: ColumnOrName, default: str) -> Column:
-    """NULL or blank -> default, else the trimmed text."""
-    return F.coalesce(blank_to_null(c), F.lit(default))
-
-
 def collapse_spaces(c: ColumnOrName) -> Column:
     """C4: every run of blanks becomes one blank."""
     return F.regexp_replace(_c(c), " +", " ")
 
 
-def short_to_default(c: ColumnOrName, min_len: int, default: str) -> Column:
-    """Text shorter than ``min_len`` -> default."""
-    c = _c(c)
-    return F.when(F.length(c) < min_len, F.lit(default)).otherwise(c)
-
-
 def clean_city(c: ColumnOrName, min_len: int = 0) -> Column:
     """C2 + C4 + C5 (+ C7 when ``min_len``): lower, trimmed, one blank between
     words; missing, blank or too short -> 'unknown'."""
@@ -86,8 +76,10 @@ def state_code(c: ColumnOrName) -> Column:
 
 
 def zip5(c: ColumnOrName) -> Column:
-    """NULL -> 0, to text, left-padded to 5; longer values keep the left 5."""
-    return F.lpad(F.coalesce(_c(c), F.lit(0)).cast("string"), ZIP_WIDTH, "0")
+    """NULL -> 0, to text, left-padded to 5; longer values stay whole, so that no
+    two zip codes become one (the reference keeps their left 5)."""
+    z = F.coalesce(_c(c), F.lit(0)).cast("string")
+    return F.when(F.length(z) < ZIP_WIDTH, F.lpad(z, ZIP_WIDTH, "0")).otherwise(z)
 
 
 def nonpositive_to_null(c: ColumnOrName) -> Column:

@@ -13,25 +13,6 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookups at or below this size may be broadcast explicitly (bytes, from the
-# optimizer's size estimate); above it the join is left to AQE.
-BROADCAST_LIMIT = 64 * 1024 * 1024
-
-
-def small_enough(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
-    """True when the optimizer's size estimate of ``df`` is within ``limit``."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size.toString()) <= limit
-    except Exception:  # pragma: no cover - plan statistics unavailable
-        return False
-
-
-def maybe_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only behind a size check; otherwise leave it to AQE."""
-    return F.broadcast(df) if small_enough(df, limit) else df
-
-
 def lookup_sk(fact: DataFrame, dim: DataFrame, bk: str, sk: str, fact_key: str | None = None) -> DataFrame:
     """Business key -> surrogate key; fact rows without a dimension row are dropped."""
     fact_key = fact_key or bk
@@ -53,12 +34,12 @@ def enrich_left(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str
     """Left join a lookup; the lookup's key column is dropped."""
     right_key = right_key or left_key
     if right_key == left_key:
-        return df.join(maybe_broadcast(lookup), left_key, "left")
+        return df.join(lookup, left_key, "left")
     lk = lookup.withColumnRenamed(right_key, "__rk")
-    return df.join(maybe_broadcast(lk), F.col(left_key) == F.col("__rk"), "left").drop("__rk")
+    return df.join(lk, F.col(left_key) == F.col("__rk"), "left").drop("__rk")
 
 
 def semi_by_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """J8 (``isin(series)``): rows whose key is in another table -- a semi join,
     never a collected list."""
-    return df.join(keys_df.select(*keys).distinct(), list(keys), "left_semi")
+    return df.join(keys_df.select(*keys), list(keys), "left_semi")

@@ -1,11 +1,11 @@
 """M1-M5: keyed upserts and change stamping as DataFrame plans.
 
-Parquet has no MERGE, so an upsert is a full outer join of the target with the
-(one-row-per-key) source, with a literal ``True`` marker on each side to tell
-matched, target-only and source-only rows apart -- a marker, not ``coalesce``,
-so a NULL in the source really overwrites (MERGE semantics).  New keys get
-surrogate keys after the current maximum (G1).  On stored tables the join is
-confined to the hash buckets the batch touches (``sources.io.GoldStore``).
+Parquet has no MERGE, so an upsert is the target left-joined with the
+(one-row-per-key) source, and the source rows of new keys added by a union.  A
+literal ``True`` marks matched rows -- a marker, not ``coalesce``, so a NULL in
+the source really overwrites (MERGE semantics).  New keys get surrogate keys
+after the current maximum (G1).  On stored tables the join is confined to the
+hash buckets the batch touches (``sources.io.GoldStore``).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.schemas import GOLD, GOLD_KEYS
 from .keys import assign_sk, max_sk
 
 _T, _S = "__in_target", "__in_source"
@@ -31,6 +32,11 @@ UPDATE_COLS = {
 }
 
 
+# A full refresh updates every column but the keys.
+UPDATE_COLS |= {t: [c for c in GOLD[t].fieldNames() if c not in (GOLD_KEYS[t][0], *GOLD_KEYS[t][1])]
+                for t in ("dim_sellers", "dim_products")}
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_cols: Sequence[str],
            sk_col: str | None = None, start_sk: int | None = None) -> DataFrame:
     """M1: MERGE ``source`` into ``target`` on ``keys``.
@@ -47,28 +53,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     cols = [c for c in target.columns if c not in keys and c != sk_col]
     src_cols = [c for c in cols if c in source.columns]
     src = source.select(*keys, *src_cols)
+    s = src.select(*keys, *[F.col(c).alias(f"s__{c}") for c in src_cols if c in update_cols], F.lit(True).alias(_S))
+    j = target.join(s, keys, "left")
+    # the batch is the right side of both joins with the target, so a small one is
+    # broadcast and the target stays where it is
+    held = target.select(*keys).join(src.select(*keys), keys, "left_semi")
+    new = src.join(held, keys, "left_anti")
     if sk_col:
-        # number the new keys and attach them to the (batch-sized) source side
-        # before the big join, so the merged output is not shuffled again
-        new_keys = src.select(*keys).join(target.select(*keys), keys, "left_anti")
-        start = max_sk(target, sk_col) if start_sk is None else start_sk
-        numbered = assign_sk(new_keys, keys, sk_col, start).withColumnRenamed(sk_col, "__new_sk")
-        src = src.join(numbered, keys, "left")
-    t = target.select(*keys, *([sk_col] if sk_col else []),
-                      *[F.col(c).alias(f"t__{c}") for c in cols], F.lit(True).alias(_T))
-    s = src.select(*keys, *[F.col(c).alias(f"s__{c}") for c in src_cols],
-                   *([F.col("__new_sk")] if sk_col else []), F.lit(True).alias(_S))
-    j = t.join(s, keys, "full_outer")
-    out: list[Column] = [F.col(k) for k in keys]
-    for c in cols:
-        tc, sc = F.col(f"t__{c}"), (F.col(f"s__{c}") if c in src_cols else F.lit(None))
-        if c in update_cols:
-            out.append(F.when(F.col(_S), sc).otherwise(tc).alias(c))
-        else:
-            out.append(F.when(F.col(_T), tc).otherwise(sc).alias(c))
-    if sk_col:
-        out.insert(0, F.coalesce(F.col(sk_col), F.col("__new_sk")).alias(sk_col))
-    return j.select(*out).select(*target.columns)
+        new = assign_sk(new, keys, sk_col, max_sk(target, sk_col) if start_sk is None else start_sk)
+    kept = j.select(*[F.when(F.col(_S), F.col(f"s__{c}") if c in src_cols else F.lit(None)).otherwise(F.col(c)).alias(c)
+                      if c in update_cols else F.col(c) for c in target.columns])
+    types = {f.name: f.dataType for f in target.schema}
+    added = new.select(*[(F.col(c) if c in new.columns else F.lit(None)).cast(types[c]).alias(c) for c in target.columns])
+    return kept.unionByName(added)
 
 
 def stamp_changes(current: DataFrame, incoming: DataFrame, keys: Sequence[str],

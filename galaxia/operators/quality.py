@@ -45,7 +45,7 @@ def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def check_fk(relations: dict[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
     """Q6: orphan count per relation ``name -> (child, parent, keys)``:
     child rows whose key is absent from the parent (one anti join each)."""
-    parts = [child.join(parent.select(*keys).distinct(), list(keys), "left_anti")
+    parts = [child.join(parent.select(*keys), list(keys), "left_anti")
                   .agg(F.lit(name).alias("relation"), F.count(F.lit(1)).alias("orphans"))
              for name, (child, parent, keys) in relations.items()]
     return reduce(lambda a, b: a.unionByName(b), parts)

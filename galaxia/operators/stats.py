@@ -5,12 +5,14 @@ Every profile is a single ``agg`` pass; results are reshaped into long form with
 
 * :func:`approx_medians` -- ``percentile_approx`` with relative rank error
   ``rel_err`` (bounded sketch, one pass, all columns at once).
-* :func:`exact_medians` -- ``percentile_cont(0.5)`` computed by distributed
-  bucket refinement: each round is one ``groupBy(column, bucket)`` aggregate
-  over the stacked values with partial aggregation, returning at most
-  ``buckets`` rows per column to the driver.  No task ever holds the values of
-  a whole column (unlike an exact ``percentile`` aggregate, whose final merge
-  keeps every distinct value in one task).
+* :func:`exact_medians` -- ``percentile_cont(0.5)`` by refinement: sampled
+  quantiles around the wanted rank cut the column to an open interval of a few
+  ten-thousandths of its rows, exact counts place the rank in it, until a
+  quantile holds the rank.  Every pass is one partial aggregation and returns one
+  row per column; no task ever holds the values of a whole column (unlike an
+  exact ``percentile`` aggregate, whose final merge keeps every distinct value in
+  one task).  Only comparisons are used, so infinities and the full range of
+  doubles are fine.
 """
 
 from __future__ import annotations
@@ -87,71 +89,76 @@ def _case(values: dict[int, float]) -> Column:
     return expr
 
 
-def exact_medians(df: DataFrame, cols: Sequence[str], buckets: int = 1024,
-                  small: int = 20_000, max_rounds: int = 64) -> dict[str, float | None]:
+def _step(st: DataFrame, state: dict[int, dict]) -> None:
+    """One refinement of every column still open: three sampled quantiles around
+    the wanted rank inside the open interval (one pass), then their exact ranks
+    (another).  A quantile is a value of the column, so either it holds the rank
+    or the interval loses it: each step leaves fewer distinct values."""
+    inside = F.lit(False)
+    for i, s in state.items():
+        c = F.col("i") == i
+        if s["lo"] is not None:
+            c = c & (F.col("v") > F.lit(s["lo"]))
+        if s["hi"] is not None:
+            c = c & (F.col("v") < F.lit(s["hi"]))
+        inside = inside | c
+    cand, accuracy = st.where(inside), 10_000
+    at = {}
+    for i, s in state.items():
+        p = (s["k"] - s["below"] + 0.5) / s["size"]
+        at[i] = [min(max(p + d, 0.0), 1.0) for d in (-2.0 / accuracy, 0.0, 2.0 / accuracy)]
+    row = cand.agg(*[F.percentile_approx(F.when(F.col("i") == i, F.col("v")), F.array(*map(F.lit, q)), F.lit(accuracy)).alias(f"q{i}")
+                     for i, q in at.items()]).first()
+    marks = {i: list(row[f"q{i}"]) for i in at}
+    aggs = []
+    for j in range(3):
+        mark = _case({i: q[j] for i, q in marks.items()})
+        aggs += [F.count(F.when(F.col("v") < mark, 1)).alias(f"lt{j}"), F.count(F.when(F.col("v") <= mark, 1)).alias(f"le{j}")]
+    for r in cand.groupBy("i").agg(*aggs).collect():
+        s, need = state[r["i"]], state[r["i"]]["k"] - state[r["i"]]["below"]
+        top = s["size"]                       # values of the interval below its upper end
+        for j in (2, 1, 0):
+            if need < r[f"lt{j}"]:
+                s["hi"], top = marks[r["i"]][j], r[f"lt{j}"]
+        low = 0
+        for j in (0, 1, 2):
+            if r[f"lt{j}"] <= need < r[f"le{j}"]:
+                s["found"] = marks[r["i"]][j]
+            elif need >= r[f"le{j}"]:
+                s["lo"], low = marks[r["i"]][j], r[f"le{j}"]
+        s["below"], s["size"] = s["below"] + low, top - low
+
+
+def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     """Exact interpolated median (``percentile_cont(0.5)``) of each column,
-    NULLs ignored; an all-NULL column gives ``None``."""
+    NULLs and NaNs ignored, infinities counted; only a column without a value
+    gives ``None``."""
     st = _stacked(df, cols)
-    first = (st.groupBy("i").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-                                 F.max("v").alias("hi")).collect())
-    state = {}
-    for r in first:
-        n = r["n"]
-        state[r["i"]] = {"n": n, "k": (n - 1) // 2, "lo": r["lo"], "hi": r["hi"], "below": 0,
-                         "found": r["lo"] if r["lo"] == r["hi"] else None}
-    for _ in range(max_rounds):
-        active = {i: s for i, s in state.items() if s["found"] is None}
-        if not active:
-            break
-        lo, hi = _case({i: s["lo"] for i, s in active.items()}), _case({i: s["hi"] for i, s in active.items()})
-        cand = st.where(F.col("i").isin(list(active))).where((F.col("v") >= lo) & (F.col("v") <= hi))
-        b = F.least(F.lit(buckets - 1),
-                    F.floor((F.col("v") - lo) / (hi - lo) * buckets).cast("int")).alias("b")
-        rows = (cand.groupBy("i", b).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
-                                         F.max("v").alias("hi")).collect())
-        per: dict[int, list] = {}
-        for r in rows:
-            per.setdefault(r["i"], []).append(r)
-        small_cols = []
-        for i, s in active.items():
-            need = s["k"] - s["below"]
-            for r in sorted(per.get(i, []), key=lambda r: r["b"]):
-                if need < r["n"]:
-                    s["lo"], s["hi"] = r["lo"], r["hi"]
-                    if r["lo"] == r["hi"]:
-                        s["found"] = r["lo"]
-                    elif r["n"] <= small:
-                        small_cols.append((i, need))
-                    break
-                need -= r["n"]
-                s["below"] += r["n"]
-        for i, need in small_cols:  # bounded: at most ``small`` values of one bucket
-            s = state[i]
-            vals = sorted(x[0] for x in st.where((F.col("i") == i) & (F.col("v") >= s["lo"]) &
-                                                 (F.col("v") <= s["hi"])).select("v").collect())
-            s["found"] = vals[need]
+    state = {r["i"]: {"k": (r["n"] - 1) // 2, "n": r["n"], "size": r["n"], "below": 0, "lo": None, "hi": None, "found": None}
+             for r in st.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    while (todo := {i: s for i, s in state.items() if s["found"] is None}):
+        _step(st, todo)
     # second order statistic (rank k+1) for even counts, one pass for all columns
-    even = {i: s for i, s in state.items() if s["n"] % 2 == 0 and s["n"] > 0}
+    even = {i: s for i, s in state.items() if s["n"] % 2 == 0}
     if even:
         x1 = _case({i: s["found"] for i, s in even.items()})
         rows = (st.where(F.col("i").isin(list(even)))
-                  .groupBy("i").agg(F.sum(F.when(F.col("v") <= x1, 1).otherwise(0)).alias("le"),
+                  .groupBy("i").agg(F.count(F.when(F.col("v") <= x1, 1)).alias("le"),
                                     F.min(F.when(F.col("v") > x1, F.col("v"))).alias("nxt"))
                   .collect())
         for r in rows:
             s = even[r["i"]]
             s["second"] = s["found"] if r["le"] >= s["k"] + 2 else r["nxt"]
-    out = {}
-    for i, c in enumerate(cols):
-        s = state.get(i)
-        if s is None or s["found"] is None:
-            out[c] = None
-        elif "second" in s:
-            a, b2 = s["found"], s["second"]
-            out[c] = a + (b2 - a) * 0.5
-        else:
-            out[c] = s["found"]
-    return out
+    return {c: midpoint(state[i]["found"], state[i].get("second", state[i]["found"])) if i in state else None
+            for i, c in enumerate(cols)}
+
+
+def midpoint(a: float, b: float) -> float:
+    """Halfway from ``a`` to ``b``, also where their difference is no finite number."""
+    if a == b:
+        return a
+    half = (b - a) * 0.5
+    return a + half if math.isfinite(half) else a * 0.5 + b * 0.5
 
 
 def medians(df: DataFrame, cols: Sequence[str], mode: str = "exact", rel_err: float = 0.01) -> dict:
@@ -159,10 +166,3 @@ def medians(df: DataFrame, cols: Sequence[str], mode: str = "exact", rel_err: fl
     if not cols:
         return {}
     return exact_medians(df, cols) if mode == "exact" else approx_medians(df, cols, rel_err)
-
-
-def round_half_up(x: float | None, digits: int) -> float | None:
-    if x is None or (isinstance(x, float) and math.isnan(x)):
-        return None
-    from decimal import ROUND_HALF_UP, Decimal
-    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-digits), rounding=ROUND_HALF_UP))

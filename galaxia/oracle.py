@@ -18,7 +18,7 @@ def raw_cte(entity: str, name: str | None = None) -> str:
 
 def _zip(c: str) -> str:
     z = f"CAST(coalesce({c}, 0) AS VARCHAR)"
-    return f"CASE WHEN length({z}) >= 5 THEN left({z}, 5) ELSE lpad({z}, 5, '0') END"
+    return f"CASE WHEN length({z}) >= 5 THEN {z} ELSE lpad({z}, 5, '0') END"
 
 
 def _city(c: str, min_len: int = 0) -> str:
@@ -326,6 +326,13 @@ GOLD_COLS = {
                            "review_answer_date"]),
 }
 
+GOLD_COLS["dim_sellers"] = ("seller_sk", ["seller_id"], ["seller_id", "seller_city", "seller_state",
+                            "seller_zip_code_prefix", "seller_lat", "seller_lng"])
+GOLD_COLS["dim_products"] = ("product_sk", ["product_id"], ["product_id", "product_category_name",
+                             "product_category_name_english", "product_name_length", "product_description_length",
+                             "product_photos_qty", "product_weight_g", "product_length_cm", "product_height_cm",
+                             "product_width_cm"])
+
 # The columns each MERGE updates (same lists as the library's).
 MERGE_UPDATES = {
     "dim_customers": ["customer_unique_id", "customer_city", "customer_state", "customer_zip_code_prefix"],
@@ -338,6 +345,9 @@ MERGE_UPDATES = {
 }
 
 
+MERGE_UPDATES |= {t: GOLD_COLS[t][2][1:] for t in ("dim_sellers", "dim_products")}
+
+
 def merge_cte(name: str, table: str, target: str, source: str) -> list[str]:
     """MERGE ``source`` into ``target`` as a full outer join (CTE ``name``)."""
     sk, keys, cols = GOLD_COLS[table]
@@ -407,7 +417,7 @@ def increment_ctes(cut: str = CUT) -> list[str]:
     for e in ("customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"):
         ctes.append(raw_cte(e))
     for e in INCR:
-        ctes.append(f"raw1_{e} AS (SELECT * FROM raw_{e} WHERE last_modified_at <= TIMESTAMP '{cut}')")
+        ctes.append(f"raw1_{e} AS (SELECT * FROM raw_{e} WHERE last_modified_at <= TIMESTAMP '{cut}' OR last_modified_at IS NULL)")
         ctes.append(f"raw2_{e} AS (SELECT * FROM raw_{e} WHERE last_modified_at > TIMESTAMP '{cut}')")
         ctes += silver_ctes(e, raw=f"raw1_{e}", out=f"silver1_{e}")
         ctes += silver_ctes(e, raw=f"raw2_{e}", out=f"silver2_{e}")
@@ -434,6 +444,27 @@ def increment_ctes(cut: str = CUT) -> list[str]:
     return ctes
 
 
+EARLIER = {
+    "products": "SELECT * REPLACE ('old' AS product_category_name) FROM raw_products WHERE product_length_cm <= 25",
+    "sellers": "SELECT * REPLACE ('old' AS seller_city) FROM raw_sellers WHERE geolocation_lat < 40",
+}
+
+
+def refresh_ctes(entity: str) -> list[str]:
+    """The dimension of an earlier snapshot (prefix g1_), the whole one (prefix
+    now_) and the refreshed one (prefix g2_), over all other entities whole."""
+    dim, ctes = f"dim_{entity}", []
+    for e in ("customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"):
+        ctes += silver_ctes(e)
+    ctes.append(f"raw1_{entity} AS ({EARLIER[entity]})")
+    ctes += silver_ctes(entity, raw=f"raw1_{entity}", out=f"silver1_{entity}")
+    for e in ("customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"):
+        if e != entity:
+            ctes.append(f"silver1_{e} AS (SELECT * FROM silver_{e})")
+    ctes += gold_ctes("silver1_", "g1_", with_views=False) + gold_ctes("silver_", "now_", with_views=False)
+    return ctes + merge_cte(f"g2_{dim}", dim, f"g1_{dim}", f"now_{dim}")
+
+
 def watermark_sql(prefix: str) -> str:
     return " UNION ALL ".join(
         f"SELECT '{e}' AS table_name, max(created_at) AS max_created_at, "

@@ -147,8 +147,8 @@ ORACLE.update({
     "landed_orders": _i("SELECT * FROM landed2_orders"),
     "initial_watermarks": _i(watermark_sql("raw1_")),
     "advanced_watermark": _i(f"""SELECT coalesce(n.table_name, o.table_name) AS table_name,
-        coalesce(n.max_created_at, o.max_created_at) AS max_created_at,
-        coalesce(n.max_last_modified_at, o.max_last_modified_at) AS max_last_modified_at,
+        greatest(n.max_created_at, o.max_created_at) AS max_created_at,
+        greatest(n.max_last_modified_at, o.max_last_modified_at) AS max_last_modified_at,
         coalesce(n.last_load_timestamp, o.last_load_timestamp) AS last_load_timestamp
         FROM ({watermark_sql("raw1_")}) o FULL OUTER JOIN ({watermark_sql("raw2_")}) n
         ON o.table_name = n.table_name"""),
@@ -187,7 +187,7 @@ ORACLE.update({
     "date_error_report": _raw(["orders"], f"""SELECT {_BEFORE} AS date_logic_error, count(*) AS n_rows
         FROM raw_orders GROUP BY 1"""),
     "check_unique": _raw(["orders"], """SELECT order_id, count(*) AS n_rows FROM raw_orders
-        WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1"""),
+        GROUP BY order_id HAVING count(*) > 1"""),
     "check_not_null": _raw(["order_items"], """SELECT * FROM (VALUES
         ('order_id', (SELECT count(*) FILTER (WHERE order_id IS NULL) FROM raw_order_items)),
         ('order_item_id', (SELECT count(*) FILTER (WHERE order_item_id IS NULL) FROM raw_order_items)),
@@ -284,3 +284,46 @@ ORACLE["parked_report"] = _i(" UNION ALL ".join(
     f"max(last_modified_at) AS newest_change, "
     f"CAST(max(datediff('day', CAST(last_modified_at AS DATE), DATE '{NOW[:10]}')) AS INTEGER) AS max_age_days "
     f"FROM parked2_{e}" for e in ["orders", "order_items", "order_payments", "order_reviews"]))
+
+
+# ------------------------------------------------------------------ views, layers, refreshes, controls
+from .oracle import INCR, _landing, _not_in, merge_cte, refresh_ctes  # noqa: E402
+
+for _t in ("dim_customers", "dim_products", "fact_order_items", "fact_order_payments", "fact_order_reviews"):
+    ORACLE[f"views_{_t}"] = _m(f"SELECT * FROM v_{_t}")
+ORACLE["views_dim_sellers"] = ORACLE["dim_sellers"]
+for _e in ("customers", "sellers", "products", "geolocation", "order_items", "order_payments", "order_reviews"):
+    ORACLE[f"bronze_{_e}"] = _raw([_e], f"SELECT *, TIMESTAMP '{NOW}' AS ingested_at, '{_e}' AS Source_Table FROM raw_{_e}")
+for _e in SILVER_COLS:
+    _kind = {"orders": "orders", "order_payments": "payments", "order_reviews": "reviews"}.get(_e, _e)
+    ORACLE[f"silver_{_e}"] = (f"SELECT *, TIMESTAMP '{NOW}' AS silver_loaded_date, '{_e}' AS silver_source_table "
+                              f"FROM ({ORACLE[f'clean_{_kind}']})")
+for _e, _f, _k in (("order_items", "items", ["order_id", "order_item_id"]), ("order_payments", "payments", ["order_id", "payment_sequential"]),
+                   ("order_reviews", "reviews", ["review_id"])):
+    ORACLE[f"parked_{_f}"] = _m(_not_in(f"silver_{_e}", f"fact_{_e}", _k))
+
+ORACLE["table_roundtrip"] = _raw(["customers"], "SELECT * FROM raw_customers UNION ALL SELECT * FROM raw_customers")
+ORACLE["approx_medians"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count({c}) > 0 AS within_bound FROM lineitem"
+    for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+ORACLE["exact_medians_nonfinite"] = """SELECT
+    CAST(quantile_cont(CASE WHEN l_orderkey % 7 = 0 THEN CAST('Infinity' AS DOUBLE)
+        WHEN l_orderkey % 11 = 0 THEN CAST('-Infinity' AS DOUBLE) ELSE l_extendedprice END, 0.5) AS DOUBLE) AS median_infinite,
+    CAST(quantile_cont(CASE WHEN l_orderkey % 2 = 0 THEN l_extendedprice ELSE -l_extendedprice END * 1e303, 0.5) AS DOUBLE) AS median_wide,
+    CAST(quantile_cont(CASE WHEN l_orderkey % 3 = 0 THEN l_extendedprice ELSE 5.0 END, 0.5) AS DOUBLE) AS median_tied
+    FROM lineitem"""
+
+ORACLE["refresh_products"] = with_(refresh_ctes("products"), "SELECT * FROM g2_dim_products")
+ORACLE["refresh_sellers"] = with_(refresh_ctes("sellers"), """SELECT * REPLACE (
+    round(CAST(seller_lat AS DOUBLE), 6) AS seller_lat, round(CAST(seller_lng AS DOUBLE), 6) AS seller_lng) FROM g2_dim_sellers""")
+_landed = [*refresh_ctes("products"), "g2_dim_sellers AS (SELECT * FROM g1_dim_sellers)",
+           f"parked1 AS ({_not_in('silver_order_items', 'g1_fact_order_items', ['order_id', 'order_item_id'])})",
+           f"landed2 AS ({_landing('order_items', 'parked1', 'g2_')})",
+           *merge_cte("g2_fact_order_items", "fact_order_items", "g1_fact_order_items", "landed2")]
+ORACLE["parked_items_landed"] = with_(_landed, "SELECT * FROM g2_fact_order_items")
+ORACLE["increment_refetch_none"] = _i(" UNION ALL ".join(
+    f"SELECT '{e}' AS table_name, count(*) AS n_rows FROM raw_{e} WHERE last_modified_at > (SELECT max(last_modified_at) FROM raw_{e})"
+    for e in INCR))
+ORACLE["late_batch"] = _i(watermark_sql("raw_"))
+ORACLE["unstamped_rows"] = _raw(INCR, " UNION ALL ".join(
+    f"SELECT '{e}' AS table_name, count(*) FILTER (last_modified_at IS NULL) AS unstamped_rows FROM raw_{e}" for e in INCR))

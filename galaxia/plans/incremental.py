@@ -10,6 +10,7 @@ next.  Storage and publishing live in ``sources.io``; the stream in
 
 from __future__ import annotations
 
+import dataclasses
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,7 @@ from ..functions import rules as R
 from ..operators.dedup import keep_latest
 from ..operators.joins import not_in
 from ..operators.merge import UPDATE_COLS, upsert
+from ..session import scratch_scope
 from ..sources import schemas
 from ..sources.schemas import conform
 from . import gold as G
@@ -28,6 +30,9 @@ from .lazy import Lazy
 # Source tables that arrive in increments (the others are full refresh).
 INCREMENTAL = ["customers", "orders", "order_items", "order_payments", "order_reviews"]
 
+# Sent whole each time; their known keys keep their surrogate key.
+REFRESHED = {"sellers": "dim_sellers", "products": "dim_products"}
+
 # The newest-version order of each silver fact (used again when parked rows and
 # a new batch meet).
 NEWEST_FIRST = {
@@ -43,13 +48,20 @@ FACT_OF = {"orders": "fact_orders", "order_items": "fact_order_items",
 def changed_since(source: DataFrame, watermark, upto=None) -> DataFrame:
     """Rows changed after ``watermark`` (all rows when it is None),
     optionally up to and including ``upto``.  A literal comparison on a scan
-    column, so it is pushed down to Parquet / JDBC."""
-    cond = F.lit(True)
-    if watermark is not None:
-        cond = cond & (F.col("last_modified_at") > R.ts_lit(watermark))
-    if upto is not None:
-        cond = cond & (F.col("last_modified_at") <= R.ts_lit(upto))
-    return source.where(cond)
+    column, so it is pushed down to Parquet / JDBC.  A row that was never stamped
+    belongs to the first load (no watermark); ``unstamped`` counts such rows."""
+    if watermark is None:
+        return source if upto is None else source.where(
+            (F.col("last_modified_at") <= R.ts_lit(upto)) | F.col("last_modified_at").isNull())
+    cond = F.col("last_modified_at") > R.ts_lit(watermark)
+    return source.where(cond if upto is None else cond & (F.col("last_modified_at") <= R.ts_lit(upto)))
+
+
+def unstamped(sources: dict[str, DataFrame]) -> DataFrame:
+    """Rows per incremental source without ``last_modified_at``: no later batch sees them."""
+    parts = [sources[t].agg(F.lit(t).alias("table_name"), F.count_if(F.col("last_modified_at").isNull()).alias("unstamped_rows"))
+             for t in INCREMENTAL if t in sources]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def batch_watermarks(changes: dict[str, DataFrame], now) -> DataFrame:
@@ -70,14 +82,15 @@ def get_watermark(control: DataFrame, table: str):
 
 
 def advance_watermarks(control: DataFrame, changes: dict[str, DataFrame], now) -> DataFrame:
-    """New control rows = the batch maxima; a table whose batch is
-    empty keeps its old marks (only the load time moves)."""
+    """New control rows = the batch maxima where they are later; a mark
+    never goes back, and a table whose batch is empty keeps its own (only the load
+    time moves)."""
     new = batch_watermarks(changes, now)
     j = control.alias("o").join(new.alias("n"), "table_name", "full_outer")
     return conform(j.select(
         "table_name",
-        F.coalesce("n.max_created_at", "o.max_created_at").alias("max_created_at"),
-        F.coalesce("n.max_last_modified_at", "o.max_last_modified_at").alias("max_last_modified_at"),
+        F.greatest("n.max_created_at", "o.max_created_at").alias("max_created_at"),
+        F.greatest("n.max_last_modified_at", "o.max_last_modified_at").alias("max_last_modified_at"),
         F.coalesce("n.last_load_timestamp", "o.last_load_timestamp").alias("last_load_timestamp")),
         schemas.CONTROL)
 
@@ -102,11 +115,25 @@ def _silver_once(e: str, df: DataFrame, params: SV.Params, persist) -> DataFrame
     return persist(out, f"silver-{e}") if e in _READ_TWICE else out
 
 
-def initial_load(sources: dict[str, DataFrame], params: SV.Params, now, persist=_persist) -> Lazy:
+def store_silver(sources: dict[str, DataFrame], params: SV.Params, now, root: str) -> dict[str, DataFrame]:
+    """The silver layer as stored tables with their load columns."""
+    from ..sources.io import silver_stamp, write_table
+    params = dataclasses.replace(params, now=str(now))
+    out = {}
+    for e in SV.CLEANERS:
+        if e in sources:
+            path = f"{root.rstrip('/')}/{e}"
+            write_table(silver_stamp(SV.CLEANERS[e](sources[e], params), e, now), path, mode="overwrite")
+            out[e] = next(iter(sources.values())).sparkSession.read.parquet(path)
+    return out
+
+
+def initial_load(sources: dict[str, DataFrame], params: SV.Params, now, persist=_persist, silver=None) -> Lazy:
     """Entry 1: clean every source, build gold, park the facts whose parent is
-    missing, capture the watermarks."""
-    silver = Lazy({e: (lambda e=e: _silver_once(e, sources[e], params, persist))
-                   for e in sources if e in SV.CLEANERS})
+    missing, capture the watermarks.  ``now`` also bounds the valid event times."""
+    params = dataclasses.replace(params, now=str(now))
+    silver = {e: conform(df, schemas.SILVER[e]) for e, df in silver.items()} if silver else Lazy(
+        {e: (lambda e=e: _silver_once(e, sources[e], params, persist)) for e in sources if e in SV.CLEANERS})
     gold = G.build_gold(silver)
     thunks = {t: (lambda t=t: gold[t]) for t in STATE_TABLES if t != "control"}
     thunks["control"] = lambda: batch_watermarks({e: sources[e] for e in INCREMENTAL if e in sources}, now)
@@ -155,14 +182,15 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
     table; the stored state passes one that touches only the affected buckets.
     ``lookup(table, rows, key, table_df)`` may narrow a parent table to the part
     that can hold the keys of ``rows`` (the store reads only their buckets)."""
+    params = dataclasses.replace(params, now=str(now))
     prev = state
     silver = Lazy({e: (lambda e=e: _silver_once(e, changes[e], params, persist))
-                   for e in changes if e in INCREMENTAL})
+                   for e in changes if e in INCREMENTAL or e in REFRESHED})
     thunks = {t: (lambda t=t: prev[t]) for t in STATE_TABLES}
     st = Lazy(thunks)
-    if "customers" in changes:
-        thunks["dim_customers"] = lambda: merge("dim_customers", prev["dim_customers"],
-                                                G.dim_rows(silver["customers"], "dim_customers"))
+    for e, dim in {"customers": "dim_customers", **REFRESHED}.items():
+        if e in changes:
+            thunks[dim] = lambda e=e, dim=dim: merge(dim, prev[dim], persist(G.dim_rows(silver[e], dim), f"rows-{dim}"))
 
     def pending(e):   # parked rows + the batch, newest version per key
         if e not in changes:
@@ -185,6 +213,14 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
     return st
 
 
+def refresh_dimension(dim: DataFrame, silver_rows: DataFrame, table: str) -> DataFrame:
+    """Full refresh of a dimension that has no increments (sellers, products): rows
+    of known keys take the new values and keep their surrogate key, new keys are
+    numbered after the largest, and keys the source no longer has stay, because
+    facts point at them."""
+    return conform(merge_dimension(dim, silver_rows, table), schemas.GOLD[table])
+
+
 def slice_changes(sources: dict[str, DataFrame], lo=None, hi=None) -> dict[str, DataFrame]:
     """The rows of each incremental source changed in ``(lo, hi]`` -- how the
     reference replays its history in quarterly batches."""
@@ -213,13 +249,15 @@ def _land_bronze(sources: dict[str, DataFrame], bronze_root: str | None, now) ->
 
 
 def run_initial(store, sources: dict[str, DataFrame], params: SV.Params, now,
-                bronze_root: str | None = None) -> dict:
-    """Entry 1 end to end: land bronze (optional), clean, build gold, park,
-    capture watermarks, publish to ``store`` -- with the medians the load used."""
-    import dataclasses
+                bronze_root: str | None = None, silver_root: str | None = None) -> dict:
+    """Entry 1 end to end: land bronze (optional), clean, store silver (optional),
+    build gold, park, capture watermarks, publish to ``store`` -- with the medians
+    the load used."""
     _land_bronze(sources, bronze_root, now)
     p = dataclasses.replace(params, observed={})
-    return store.publish_initial(initial_load(sources, p, now), medians=p.observed)
+    with scratch_scope(store.spark, "load"):
+        silver = store_silver(sources, p, now, silver_root) if silver_root else None
+        return store.publish_initial(initial_load(sources, p, now, silver=silver), medians=p.observed)
 
 
 def run_increment(store, sources: dict[str, DataFrame], params: SV.Params, now,
@@ -231,5 +269,6 @@ def run_increment(store, sources: dict[str, DataFrame], params: SV.Params, now,
     control = store.read("control", manifest=m)
     marks = {r["table_name"]: r["max_last_modified_at"] for r in control.collect()}  # one row per table
     changes = {e: changed_since(sources[e], marks.get(e)) for e in INCREMENTAL if e in sources}
+    changes |= {e: sources[e] for e in REFRESHED if e in sources}
     _land_bronze(changes, bronze_root, now)
     return store.run_batch(changes, params, now, batch_id=batch_id)

@@ -3,6 +3,7 @@ shared checkpoint folder the cluster names."""
 
 from __future__ import annotations
 
+import contextlib
 import contextvars
 import os
 import tempfile
@@ -37,9 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder; the one the cluster names wins.
 
     Order: the SparkContext's folder, then ``spark.checkpoint.dir`` from the
-    session conf.  Only when neither is set (local tests, the benchmark) do we
-    pick our own -- under the warehouse folder, or a fresh temp folder in local
-    mode.
+    session conf.  Only a local session without it (tests, the benchmark) gets a
+    fresh temp folder.
     """
     try:
         sc = spark.sparkContext
@@ -55,7 +55,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and sc.master.startswith("local"):
             named = tempfile.mkdtemp(prefix="galaxia-ckpt-")
         else:
-            named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_galaxia_checkpoints"
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if sc is None:
         return named
     sc.setCheckpointDir(named)
@@ -74,6 +74,22 @@ def scratch_root(spark) -> str:
     return f"{base}/{scope}" if scope else base
 
 
+@contextlib.contextmanager
+def scratch_scope(spark, name: str):
+    """Intermediate tables written inside go to one folder of their own, which is
+    removed at the end: nothing read later may come from them."""
+    import uuid
+
+    token = SCRATCH_SCOPE.set(f"{name}-{uuid.uuid4().hex}")
+    folder = scratch_root(spark)
+    try:
+        yield folder
+    finally:
+        SCRATCH_SCOPE.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df, name: str = "tmp"):
     """Cut lineage: write ``df`` as Parquet under the shared checkpoint folder
     and read it back.  Columnar, so later passes read only the columns they

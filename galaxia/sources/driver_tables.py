@@ -10,8 +10,10 @@ driver tables; its size grows with theirs.
 
 Mapping: customers <- customer x nation; sellers <- supplier x nation with zip
 centroids from supplier; products <- part (+ a category lookup derived from
-part); orders <- orders; order items <- lineitem; payments <- purchase events;
-reviews <- labels x documents.
+part, in which one type goes by another name and so finds no match); orders <-
+orders; order items <- lineitem; payments <- events; reviews <- documents with
+their labels where they have any.  Every change history runs over the cut-off, so
+each batch of each entity holds new rows, updates and a NULL that overwrites.
 """
 
 from __future__ import annotations
@@ -101,9 +103,9 @@ FROM enriched WHERE k % 8 = 0
 """
 
 SQL["category_translation"] = """
-SELECT DISTINCT lower(p_type) AS product_category_name,
+SELECT DISTINCT CASE WHEN p_type = 'PROMO' THEN 'promotion' ELSE lower(p_type) END AS product_category_name,
        concat(lower(p_type), '_en') AS product_category_name_english
-FROM {part} WHERE p_type <> 'PROMO'
+FROM {part}
 """
 
 SQL["products"] = """
@@ -125,9 +127,9 @@ WITH base AS (
     CAST(p.p_partkey % 30 AS DOUBLE) AS product_width_cm,
     t.product_category_name_english
   FROM {part} p LEFT JOIN (
-    SELECT DISTINCT lower(p_type) AS product_category_name,
+    SELECT DISTINCT CASE WHEN p_type = 'PROMO' THEN 'promotion' ELSE lower(p_type) END AS product_category_name,
            concat(lower(p_type), '_en') AS product_category_name_english
-    FROM {part} WHERE p_type <> 'PROMO') t
+    FROM {part}) t
   ON lower(p.p_type) = t.product_category_name
 )
 SELECT product_id, product_category_name, product_name_lenght, product_description_lenght,
@@ -197,13 +199,14 @@ FROM {lineitem}
 
 SQL["order_payments"] = """
 WITH base AS (
-  SELECT event_id AS k, ts, value,
+  SELECT event_id AS k, value,
+    CAST('1996-01-01 00:00:00' AS {TS}) + (event_id % 40000) * INTERVAL 1 HOUR AS ts,
     CASE WHEN event_id % 43 = 0 THEN ' ' ELSE md5(concat('o', CAST(user_id AS STRING))) END AS order_id,
     CASE event_id % 6 WHEN 0 THEN CAST(NULL AS STRING) WHEN 1 THEN '' WHEN 2 THEN 'BOLETO'
          WHEN 3 THEN ' credit_card ' WHEN 4 THEN 'voucher' ELSE 'debit_card' END AS payment_type,
     CASE event_id % 7 WHEN 0 THEN CAST(NULL AS INT) WHEN 1 THEN 0 WHEN 2 THEN -2
          ELSE CAST(event_id % 10 AS INT) END AS payment_installments
-  FROM {events} WHERE event_type = 'purchase'
+  FROM {events}
 )
 SELECT order_id, k AS payment_sequential, payment_type, payment_installments,
   CASE WHEN k % 13 = 0 THEN CAST(NULL AS DOUBLE) WHEN k % 17 = 0 THEN CAST(-1 AS DOUBLE)
@@ -211,8 +214,9 @@ SELECT order_id, k AS payment_sequential, payment_type, payment_installments,
   ts AS created_at, ts AS last_modified_at
 FROM base
 UNION ALL
-SELECT order_id, k AS payment_sequential, payment_type, payment_installments,
-  value + 1 AS payment_value, ts AS created_at, ts + INTERVAL 1 HOUR AS last_modified_at
+SELECT order_id, k AS payment_sequential,
+  CASE WHEN k % 18 = 0 THEN CAST(NULL AS STRING) ELSE payment_type END AS payment_type, payment_installments,
+  value + 1 AS payment_value, ts AS created_at, ts + (k % 1400 + 1) * INTERVAL 1 DAY AS last_modified_at
 FROM base WHERE k % 9 = 0
 """
 
@@ -225,8 +229,8 @@ WITH base AS (
     md5(concat('o', CAST(d.doc_id AS STRING))) AS order_id,
     CASE WHEN d.doc_id % 29 = 0 THEN CAST(NULL AS {TS})
          WHEN d.doc_id % 37 = 0 THEN CAST('1995-06-01 00:00:00' AS {TS})
-         ELSE CAST('1996-01-01 00:00:00' AS {TS}) + (d.doc_id % 50000) * INTERVAL 3 HOUR END AS cr
-  FROM {labels} l JOIN {documents} d ON l.doc_id = d.doc_id
+         ELSE CAST('1996-01-01 00:00:00' AS {TS}) + (d.doc_id * 37 % 17000) * INTERVAL 3 HOUR END AS cr
+  FROM {documents} d LEFT JOIN {labels} l ON l.doc_id = d.doc_id
 ), dated AS (
   SELECT base.*,
     CASE WHEN k % 11 = 0 THEN CAST(NULL AS {TS}) WHEN k % 13 = 0 THEN cr - INTERVAL 1 DAY
@@ -242,9 +246,9 @@ SELECT review_id, order_id,
 FROM dated
 UNION ALL
 SELECT review_id, order_id, CAST(5 - toxic AS INT) AS review_score,
-  concat(' ', lang, ' ') AS review_comment_title, text AS review_comment_message,
+  CASE WHEN k % 12 = 0 THEN CAST(NULL AS STRING) ELSE concat(' ', lang, ' ') END AS review_comment_title, text AS review_comment_message,
   cr AS review_creation_date, cr + INTERVAL 2 DAY AS review_answer_timestamp,
-  cr AS created_at, cr + INTERVAL 30 DAY AS last_modified_at
+  cr AS created_at, cr + (k % 1200 + 30) * INTERVAL 1 DAY AS last_modified_at
 FROM dated WHERE k % 6 = 0
 """
 
@@ -258,20 +262,9 @@ def duckdb_sql(entity: str) -> str:
     return _TABLE_RE.sub(lambda m: m.group(1), s)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the cluster has task slots (e.g. one
-    Parquet file with one row group) is spread round-robin so the row-wise work
-    above it runs on every slot; filters and column pruning still reach the scan."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-    except Exception:   # no RDD view (e.g. Spark Connect): leave the scan as it is
-        return df
-
-
 def load_driver_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
     names = names or DRIVER_TABLES
-    return {n: spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet")) for n in names}
+    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
 
 
 def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
@@ -282,7 +275,3 @@ def raw(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     tables = load_driver_tables(spark, sf_dir, used)
     df = spark.sql(text, **tables)
     return conform(df, schemas.RAW[entity])
-
-
-def raw_all(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {e: raw(spark, sf_dir, e) for e in SQL}

@@ -14,21 +14,23 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import rules as R
+from ..session import scratch_scope
 from . import schemas
 
 # ------------------------------------------------------------------ S1 - S12
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with a header row, quoted multi-line fields, explicit schema (a
-    UTF-8 byte-order mark at the start is dropped by the reader).  An empty
-    field is NULL, as in the reference's CSV reader."""
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
+def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: bool = False) -> DataFrame:
+    """CSV with a header row, quoted fields, explicit schema (a UTF-8
+    byte-order mark at the start is dropped by the reader).  An empty field is
+    NULL, as in the reference's CSV reader.  ``multi_line`` is for tables whose
+    text holds line breaks (reviews): such a file is read by one task."""
+    return (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
             .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
 
 
@@ -41,7 +43,7 @@ def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
 
 def read_source_changes(spark: SparkSession, url: str, table: str, watermark, properties: dict,
                         partition_column: str | None = None, lower: int | None = None,
-                        upper: int | None = None, num_partitions: int = 8) -> DataFrame:
+                        upper: int | None = None, num_partitions: int | None = None) -> DataFrame:
     """Rows of a relational source table changed after ``watermark``;
     the predicate runs inside the source and the read is split over
     ``partition_column`` ranges so it is parallel."""
@@ -49,7 +51,7 @@ def read_source_changes(spark: SparkSession, url: str, table: str, watermark, pr
     query = f"(SELECT * FROM {table}{wm}) AS changes"
     if partition_column:
         return spark.read.jdbc(url, query, column=partition_column, lowerBound=lower, upperBound=upper,
-                               numPartitions=num_partitions, properties=properties)
+                               numPartitions=num_partitions or spark.sparkContext.defaultParallelism, properties=properties)
     return spark.read.jdbc(url, query, properties=properties)
 
 
@@ -113,9 +115,9 @@ BUCKET_KEY = {
 class GoldStore:
     """Versioned, bucketed Parquet state under ``root`` (any Hadoop file system)."""
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64, salts: int = 4,
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 64,
                  workers: int = 4):
-        self.spark, self.root, self.buckets, self.salts = spark, root.rstrip("/"), buckets, salts
+        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.workers = workers   # independent tables are built and written concurrently
         jvm = spark._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
@@ -195,6 +197,9 @@ class GoldStore:
 
     def _write(self, table: str, df: DataFrame, version: int, entry: dict) -> dict:
         """Write ``df`` as version ``version`` of ``table``; return the manifest entry."""
+        # no two writers share a folder: whoever publishes first wins, and the other's
+        # files are never looked at
+        version = f"{version}-{uuid.uuid4().hex[:12]}"
         path = f"{self.root}/{table}/v={version}"
         key = BUCKET_KEY.get(table)
         entry = {"parts": dict(entry.get("parts", {})), "max_sk": entry.get("max_sk", 0)}
@@ -202,32 +207,30 @@ class GoldStore:
             df.write.mode("overwrite").parquet(path)
             entry["parts"] = {"all": version}
             return entry
-        # one shuffle groups rows by bucket, so each bucket gets a few files; the
-        # salt (hash of the whole row key) still splits a bucket that one hot
-        # key fills across several tasks
-        sk_keys = schemas.GOLD_KEYS.get(table, (None, [key]))[1]
-        salt = F.pmod(F.xxhash64(*[F.col(k) for k in sk_keys]), F.lit(self.salts))
-        df = df.withColumn("bucket", self._bucket(key))
-        (df.repartition(self.buckets, F.col("bucket"), salt)
+        # one shuffle groups rows by bucket, so each bucket gets a few files; rebalance
+        # lets AQE join small buckets and split one that a hot key fills
+        sk = schemas.GOLD_KEYS.get(table, (None,))[0]
+        largest = Observation()
+        if sk:
+            df = df.observe(largest, F.max(sk).alias("sk"))
+        (df.withColumn("bucket", self._bucket(key)).hint("rebalance", "bucket")
            .write.mode("overwrite").partitionBy("bucket").parquet(path))
-        leaves = []
         for st in self._fs.listStatus(self._Path(path)):
             name = st.getPath().getName()
             if name.startswith("bucket="):
                 entry["parts"][name[len("bucket="):]] = version
-                leaves.append(f"{path}/{name}")
-        sk = schemas.GOLD_KEYS.get(table, (None,))[0]
-        if sk and leaves:
-            written_max = self.spark.read.schema(self._schema(table)).parquet(*leaves).agg(F.max(sk)).first()[0]
-            entry["max_sk"] = max(int(written_max or 0), int(entry["max_sk"] or 0))
+        if sk:
+            entry["max_sk"] = max(int(largest.get["sk"] or 0), int(entry["max_sk"] or 0))
         return entry
 
     def publish_initial(self, state: dict[str, DataFrame], tables=None, medians: dict | None = None) -> dict:
         """Write a whole state (e.g. ``initial_load``) as one new version;
-        ``medians`` (``Params.observed`` of the load) are kept for later batches."""
+        ``medians`` (``Params.observed`` of the load) are kept for later batches.
+        Batch ids applied before belong to the state this one replaces, so they
+        are forgotten."""
         m = self.manifest()
         v = m["version"] + 1
-        new = {"version": v, "tables": dict(m["tables"]), "applied": list(m.get("applied", [])),
+        new = {"version": v, "tables": dict(m["tables"]), "applied": [],
                "medians": {**m.get("medians", {}), **(medians or {})}}
         names = list(tables or BUCKET_KEY)
         written = self._parallel(names, lambda t: self._write(t, state[t], v, {}))
@@ -259,15 +262,8 @@ class GoldStore:
         m = self.manifest()
         if batch_id is not None and batch_id in m.get("applied", []):
             return m
-        from ..session import SCRATCH_SCOPE, scratch_root
-        token = SCRATCH_SCOPE.set(f"batch-{uuid.uuid4().hex}")
-        scratch = scratch_root(self.spark)
-        try:
+        with scratch_scope(self.spark, "batch"):   # nothing published refers to the intermediate tables
             return self._run_batch(m, changes, params, now, batch_id)
-        finally:
-            SCRATCH_SCOPE.reset(token)
-            # nothing published refers to the batch's intermediate tables
-            self._fs.delete(self._Path(scratch), True)
 
     def _run_batch(self, m: dict, changes, params, now, batch_id) -> dict:
         from ..operators.merge import UPDATE_COLS, upsert
@@ -301,7 +297,7 @@ class GoldStore:
         new_state = I.run_batch(self.state(m), changes, params, now, merge=merge, lookup=lookup)
         # the merges write their buckets as they run (dependencies resolve
         # through the lazy state); parked rows and control are written whole
-        merged = ["dim_customers", "fact_orders", "fact_order_items", "fact_order_payments",
+        merged = ["dim_customers", *I.REFRESHED.values(), "fact_orders", "fact_order_items", "fact_order_payments",
                   "fact_order_reviews"]
         rest = ["parked_orders", "parked_order_items", "parked_order_payments", "parked_order_reviews",
                 "control"]
