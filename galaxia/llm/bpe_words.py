@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import wordcodec
-from .common import map_documents, text_of
+from .common import map_documents, slices, text_of
 
 FREQUENT_WORDS = 1 << 20
 FREQUENT_BYTES = 32
@@ -130,13 +130,6 @@ def _encode_column(path: str):
     return encode
 
 
-def _parts(batches: Iterator[pd.DataFrame], column: str, size: int = 4_000_000) -> Iterator[pd.DataFrame]:
-    """Batches in slices of about so many characters or bytes."""
-    for b in batches:
-        cuts = np.flatnonzero(np.diff(np.cumsum(b[column].str.len().to_numpy()) // size)) + 1
-        yield from (b.iloc[i] for i in np.split(np.arange(len(b)), cuts) if len(i))
-
-
 def encode(df: DataFrame, path: str | None = None, most: int = FREQUENT_WORDS) -> DataFrame:
     """doc_id and ``ids``, the packed ids of the text.
 
@@ -151,7 +144,7 @@ def encode(df: DataFrame, path: str | None = None, most: int = FREQUENT_WORDS) -
 
     def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = known.value
-        for b in _parts(batches, "text"):
+        for b in slices(batches, "text"):
             rows = []
             for i, th, t in zip(b["doc_id"], b["th"], b["text"], strict=True):
                 words = _words(t)
@@ -166,7 +159,7 @@ def encode(df: DataFrame, path: str | None = None, most: int = FREQUENT_WORDS) -
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, shrink = known.value, zstandard.ZstdCompressor(level=3).compress
-        for b in _parts(batches, "text"):
+        for b in slices(batches, "text"):
             # bytes of one place together: the high ones are mostly zero
             found = (table.numbers(_words(t)).view(np.uint8).reshape(-1, 4).T.tobytes() for t in b["text"])
             yield pd.DataFrame({"doc_id": b["doc_id"], "th": b["th"], "words": [shrink(x) for x in found]})
@@ -175,7 +168,7 @@ def encode(df: DataFrame, path: str | None = None, most: int = FREQUENT_WORDS) -
 
     def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table, expand = known.value, zstandard.ZstdDecompressor().decompress
-        for b in _parts(batches, "words", 1_000_000):
+        for b in slices(batches, "words", 1_000_000):
             out = []
             for z, rare in zip(b["words"], b["rare"], strict=True):
                 planes = np.frombuffer(expand(z), np.uint8).reshape(4, -1)
@@ -196,7 +189,7 @@ def decode(df: DataFrame, path: str | None = None) -> DataFrame:
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = wordcodec.codec(path)
         pieces, numbers = c.pieces(), [str(i) for i in range(c.size)]
-        for b in _parts(batches, "ids", 1_000_000):
+        for b in slices(batches, "ids", 1_000_000):
             out = []
             for x in b["ids"]:
                 ids = np.frombuffer(x, dtype=c.dtype).tolist()

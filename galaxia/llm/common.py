@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +36,13 @@ def map_documents(df: DataFrame, function, fields: str) -> DataFrame:
     return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
+def slices(batches: Iterator[pd.DataFrame], column: str, size: int = 4_000_000) -> Iterator[pd.DataFrame]:
+    """Batches cut into runs of rows with about so many characters or bytes in a column."""
+    for b in batches:
+        cuts = np.flatnonzero(np.diff(np.cumsum(b[column].str.len().to_numpy()) // size)) + 1
+        yield from (b.iloc[i] for i in np.split(np.arange(len(b)), cuts) if len(i))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Every row as one struct column ``row`` with its content key ``rk``: helper
     columns added beside it can never clash with the table's own names."""

@@ -8,8 +8,8 @@ longest one; it is removed, as many times over as the counts allow.  The plan is
 a short table (length, from-rank, bin, offset); pieces are ranked within their
 length in Spark and look their place up.
 
-Ranks are dealt by (length, salt), so a length that a third of all pieces have
-is spread over as many tasks as there are shuffle partitions.
+Ranks are dealt by (length, salt), a length having a salt for every ``GROUP`` of
+its pieces, so one that a third of all pieces have is spread over many tasks.
 
 Defined results: NULL or empty text is the one end id; only documents longer
 than the capacity are cut; repeated rows are packed each; a NULL doc_id is kept;
@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import wordcodec
-from .common import map_documents, text_of
+from .common import map_documents, slices, text_of
 
 CAPACITY = 4096
 END_ID = 1
+#: Pieces of one length that one task ranks together, about.
+GROUP = 4096
 
 
 def pieces(df: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -41,10 +43,10 @@ def pieces(df: DataFrame, path: str | None = None, capacity: int = CAPACITY, wit
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = wordcodec.codec(path)
-        for b in batches:
+        for b in slices(batches, "text"):
             rows = []
-            for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
-                ids = np.append(c.encode(text).astype("<u4"), np.uint32(END_ID))
+            for doc_id, ids in zip(b["doc_id"], c.encode_texts(b["text"].tolist()), strict=True):
+                ids = np.append(ids.astype("<u4"), np.uint32(END_ID))
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at:at + capacity]
                     rows.append((doc_id, k, at, len(part), zlib.crc32(part.tobytes()), *([part.astype("int64")] * with_ids)))
@@ -103,10 +105,12 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["length", "rank", "bin", "uses", "offset"])
 
 
-def ranked(table: DataFrame, columns: list[str]) -> DataFrame:
+def ranked(table: DataFrame, columns: list[str], histogram: dict[int, int]) -> DataFrame:
     """The rows with ``rank``, from 0, within their length."""
-    parts = max(1, int(table.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    salted = table.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(parts)))
+    salts = [(k, -(-n // GROUP)) for k, n in histogram.items()]     # a row per length: at most CAPACITY
+    salts = F.broadcast(table.sparkSession.createDataFrame(salts or [(0, 1)], "length long, salts long"))
+    salted = (table.join(salts, "length")
+              .withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts"))))
     ahead = (salted.groupBy("length", "salt").count()
              .withColumn("ahead", F.sum("count").over(Window.partitionBy("length").orderBy("salt")) - F.col("count")))
     ahead = materialize(ahead.select("length", "salt", "ahead"), "length-ranks")
@@ -136,7 +140,7 @@ def pack(table: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                                                 offset=offsets[at] + nth % uses[at] * length)
 
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in table.schema if f.name != "doc_id")
-    return map_documents(ranked(table, columns), place, f"{kinds}sequence_id long, offset long").select(*columns, "sequence_id", "offset")
+    return map_documents(ranked(table, columns, histogram), place, f"{kinds}sequence_id long, offset long").select(*columns, "sequence_id", "offset")
 
 
 def best_fit_packing(df: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:

@@ -49,14 +49,15 @@ class WordCodec:
             part = new[i:i + 50_000]
             self.cache.update(zip(part, self.encode_words(part), strict=True))
 
+    def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; the words that are new to the worker are encoded together."""
+        split = [t.encode("utf-8", "replace").split() for t in texts]
+        self.learn(set().union(*split))
+        get = self.cache.__getitem__
+        return [np.frombuffer(b"".join(map(get, words)), dtype=self.dtype) for words in split]
+
     def encode(self, text: str) -> np.ndarray:
-        words = text.encode("utf-8", "replace").split()
-        try:
-            parts = list(map(self.cache.__getitem__, words))
-        except KeyError:
-            self.learn(set(words))
-            parts = list(map(self.cache.__getitem__, words))
-        return np.frombuffer(b"".join(parts), dtype=self.dtype)
+        return self.encode_texts([text])[0]
 
     def pieces(self) -> list[str]:
         """The piece of each id."""
