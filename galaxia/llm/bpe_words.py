@@ -1,13 +1,17 @@
 """BPE encoding and decoding through a distinct-word table.
 
-Encoding.  Words are split in Spark tasks.  Every distinct word is encoded once:
-the most frequent ones (at most ``FREQUENT_WORDS``, each of at most
-``FREQUENT_BYTES`` bytes: a broadcast of proven size) go to the workers as a
-table; all others meet by word in a shuffle, are encoded there, and their ids
-return to the document by position.  Frequent words never enter that shuffle, so
-no word is a hot key: what is left occurs rarely by choice of the table, and a
-list of a word's places is as short as the word is rare.  Which words are in the
-broadcast table changes only what moves, never a result.
+Encoding.  Tasks split their documents into words, chunk by chunk.  Each distinct
+word of a chunk is sent once to the hash range it belongs to; there all chunks'
+words meet, every distinct word is encoded once, and the ids return to the chunks
+that hold the word.  In the chunk they are joined back by position.  A chunk
+travels to its ids as numbers into its own word list, which is smaller than its
+text.  However frequent a word is, a chunk sends it once, so no range is hot; the
+number of ranges follows the size of the input, so a range's share does not grow.
+
+A chunk is known by a hash of its content.  The input is read twice and must be
+read in the same partitions both times (a table, as in the registered query);
+where it is not, ids are missing for a chunk and the job fails rather than give
+wrong ids.
 
 Decoding is a map-side join of ids with the id-to-piece table, which is as large
 as the vocabulary; pieces are joined by one space, which is what the library does
@@ -21,7 +25,7 @@ ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,153 +37,127 @@ from pyspark.sql import functions as F
 from . import wordcodec
 from .common import map_documents, slices, text_of
 
-FREQUENT_WORDS = 1 << 20
-FREQUENT_BYTES = 32
-#: A word counts towards the frequent ones where a task has seen it this often.
-TASK_COUNT = 2
-_BATCH_WORDS = 1 << 22
-
-
-def _words(text: str) -> list[bytes]:
-    return text.encode("utf-8", "replace").split()
-
-
-def word_counts(df: DataFrame, least: int = TASK_COUNT) -> DataFrame:
-    """word, n: counts of the words that some task has seen ``least`` times."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        for b in batches:
-            for t in b["text"]:
-                seen.update(_words(t))
-            if len(seen) > _BATCH_WORDS:
-                yield out(seen)
-                seen = Counter()
-        yield out(seen)
-
-    def out(seen: Counter) -> pd.DataFrame:
-        often = [(w, n) for w, n in seen.items() if n >= least and len(w) <= FREQUENT_BYTES]
-        return pd.DataFrame(often, columns=["word", "n"])
-
-    return (df.select(text_of().alias("text")).mapInPandas(count, "word binary, n long")
-            .groupBy("word").agg(F.sum("n").alias("n")))
-
-
-def frequent_words(df: DataFrame, most: int = FREQUENT_WORDS, least: int = TASK_COUNT) -> DataFrame:
-    """At most ``most`` words: those above the count that as many words reach.
-    The cut comes from a histogram of counts on a logarithmic scale, so nothing
-    is sorted in one task."""
-    from ..session import materialize
-    counts = materialize(word_counts(df, least).withColumn("step", F.floor(F.log2("n") * 16).cast("int")), "word-counts")
-    cut, total = 0, 0
-    for r in sorted(counts.groupBy("step").count().collect(), key=lambda r: -r["step"]):
-        total += r["count"]
-        cut = r["step"]
-        if total > most:
-            cut += 1
-            break
-    return counts.where(F.col("step") >= cut).orderBy(F.desc("step"), "word").select("word")
-
-
-class WordTable:
-    """Words, most frequent first, and their ids as a few byte strings; a worker makes
-    its dictionary of them when it first looks a word up."""
-
-    def __init__(self, parts: list[tuple[bytes, bytes, bytes]]):
-        self.parts = parts
-        self.known: dict[bytes, int] | None = None
-        self.ends: np.ndarray | None = None
-
-    def __getstate__(self):
-        return {"parts": self.parts, "known": None, "ends": None}
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        """The number of each word in the table; past the last one: not in it."""
-        if self.known is None:
-            every = [w for part in self.parts for w in part[0].split()]
-            self.known = dict(zip(every, range(len(every)), strict=True))
-        get, none = self.known.get, len(self.known)
-        return np.fromiter((get(w, none) for w in words), np.uint32, len(words))
-
-    def ids(self, numbers: np.ndarray) -> list[bytes]:
-        """The packed ids of words by number; nothing for those not in the table."""
-        if self.ends is None:
-            sizes = np.concatenate([np.frombuffer(p[2], np.uint32) for p in self.parts] + [np.zeros(1, np.uint32)])
-            self.ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
-            self.flat = b"".join(p[1] for p in self.parts)
-        flat = self.flat
-        return [flat[a:b] for a, b in zip(self.ends[numbers].tolist(), self.ends[numbers + 1].tolist(), strict=True)]
-
-    def __len__(self):
-        return sum(len(p[2]) // 4 for p in self.parts)
-
-    @staticmethod
-    def collect(table: DataFrame) -> WordTable:
-        """Of rows (word, ids) in order: tasks join them, so the driver holds a few long strings."""
-        def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                sizes = np.fromiter(map(len, b["ids"]), np.uint32, len(b))
-                yield pd.DataFrame([(b" ".join(b["word"]), b"".join(b["ids"]), sizes.tobytes())], columns=["words", "ids", "sizes"])
-        rows = table.select("word", "ids").mapInPandas(join, "words binary, ids binary, sizes binary").collect()
-        return WordTable([(bytes(r["words"]), bytes(r["ids"]), bytes(r["sizes"])) for r in rows])
-
-
-def _encode_column(path: str):
-    @F.pandas_udf("binary")
-    def encode(words: pd.Series) -> pd.Series:
-        return pd.Series(wordcodec.codec(path).encode_words([bytes(w) for w in words]), index=words.index, dtype=object)
-    return encode
-
-
-def encode(df: DataFrame, path: str | None = None, most: int = FREQUENT_WORDS) -> DataFrame:
-    """doc_id and ``ids``, the packed ids of the text.
-
-    A document travels to its rare words' ids as the numbers of its words in the
-    frequent table, which is smaller than its text."""
-    path = path or wordcodec.vocabulary_path()
-    docs = df.select("doc_id", text_of().alias("text"))
-    table = frequent_words(docs, most).withColumn("ids", _encode_column(path)(F.col("word")))
-    known = df.sparkSession.sparkContext.broadcast(WordTable.collect(table))
-    # rows with one id and one text have the same rare words, so they may share a key
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
-
-    def rare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = known.value
-        for b in slices(batches, "text"):
-            rows = []
-            for i, th, t in zip(b["doc_id"], b["th"], b["text"], strict=True):
-                words = _words(t)
-                rows += [(i, th, int(k), words[k]) for k in np.flatnonzero(table.numbers(words) == len(table))]
-            yield pd.DataFrame(rows, columns=["doc_id", "th", "pos", "word"])
-
-    places = map_documents(keyed, rare, "th long, pos int, word binary")
-    encoded = (places.groupBy("word").agg(F.collect_list(F.struct("doc_id", "th", "pos")).alias("places"))
-               .withColumn("ids", _encode_column(path)(F.col("word")))
-               .select("ids", F.explode("places").alias("at")).select("at.*", "ids")
-               .groupBy("doc_id", "th").agg(F.collect_list(F.struct("pos", "ids")).alias("rare")))
-
+CHUNK_CHARS = 8_000_000
+#: Characters of input for a range of words.
+RANGE_CHARS = 1 << 26
+
+
+def _pack(data: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(data)
+
+
+def _unpack(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+class Chunk:
+    """Documents as numbers into the list of their distinct words, which is ordered
+    by range, then first occurrence."""
+
+    def __init__(self, rows: list[tuple[str | None, str]], ranges: int):
+        from xxhash import xxh3_128, xxh32_intdigest
+        content, number = xxh3_128(), defaultdict()
+        number.default_factory = number.__len__
+        self.ids, coded = [], []
+        for doc_id, text in rows:
+            data = text.encode("utf-8", "replace")
+            content.update(f"{doc_id} {len(data)} ".encode() + data)
+            words = data.split()
+            self.ids.append(doc_id)
+            coded.append(np.fromiter(map(number.__getitem__, words), np.uint32, len(words)))
+        self.key = content.hexdigest()
+        words = list(number)
+        own = np.fromiter((xxh32_intdigest(w) % ranges for w in words), np.int64, len(words))
+        order = np.argsort(own, kind="stable")
+        place = np.empty(len(words), np.uint32)
+        place[order] = np.arange(len(words), dtype=np.uint32)
+        self.words = [words[i] for i in order.tolist()]
+        self.ranges = own[order]
+        self.sizes = np.fromiter(map(len, coded), np.uint32, len(coded))
+        self.numbers = place[np.concatenate(coded)] if len(words) else np.zeros(0, np.uint32)
+
+
+def chunks(batches: Iterator[pd.DataFrame], ranges: int, size: int) -> Iterator[Chunk]:
+    rows, held = [], 0
+    for b in batches:
+        for row in zip(b["doc_id"], b["text"], strict=True):
+            rows.append(row)
+            held += len(row[1])
+            if held >= size:
+                yield Chunk(rows, ranges)
+                rows, held = [], 0
+    if rows:
+        yield Chunk(rows, ranges)
+
+
+def word_lists(docs: DataFrame, ranges: int, size: int) -> DataFrame:
+    """range, chunk, words: each distinct word of a chunk once."""
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for c in chunks(batches, ranges, size):
+            first = np.flatnonzero(np.diff(c.ranges, prepend=-1)).tolist()
+            rows = [(int(c.ranges[a]), c.key, _pack(b" ".join(c.words[a:b])))
+                    for a, b in zip(first, [*first, len(c.words)][1:], strict=False)]
+            yield pd.DataFrame(rows, columns=["range", "chunk", "words"])
+    return docs.mapInPandas(split, "range int, chunk string, words binary")
+
+
+def encode_words(lists: DataFrame, path: str) -> DataFrame:
+    """chunk, range, ids, sizes: the ids of each list's words; a distinct word is encoded once."""
+    def encode(key, rows: pd.DataFrame) -> pd.DataFrame:
+        c = wordcodec.codec(path)
+        split = [_unpack(w).split() for w in rows["words"]]
+        distinct = list(set().union(*split))
+        known: dict[bytes, bytes] = {}
+        for i in range(0, len(distinct), 50_000):
+            part = distinct[i:i + 50_000]
+            known.update(zip(part, c.encode_words(part), strict=True))
+        out = []
+        for chunk, words in zip(rows["chunk"], split, strict=True):
+            parts = list(map(known.__getitem__, words))
+            out.append((chunk, key[0], _pack(b"".join(parts)), _pack(np.fromiter(map(len, parts), np.uint32, len(parts)).tobytes())))
+        return pd.DataFrame(out, columns=["chunk", "range", "ids", "sizes"])
+    return lists.groupBy("range").applyInPandas(encode, "chunk string, range int, ids binary, sizes binary")
+
+
+def numbered(docs: DataFrame, ranges: int, size: int) -> DataFrame:
+    """chunk, n_words and its documents: ids, sizes in words, numbers of their words."""
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, shrink = known.value, zstandard.ZstdCompressor(level=3).compress
-        for b in slices(batches, "text"):
-            # bytes of one place together: the high ones are mostly zero
-            found = (table.numbers(_words(t)).view(np.uint8).reshape(-1, 4).T.tobytes() for t in b["text"])
-            yield pd.DataFrame({"doc_id": b["doc_id"], "th": b["th"], "words": [shrink(x) for x in found]})
-
-    moved = map_documents(keyed, number, "th long, words binary")
-
-    def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, expand = known.value, zstandard.ZstdDecompressor().decompress
-        for b in slices(batches, "words", 1_000_000):
-            out = []
-            for z, rare in zip(b["words"], b["rare"], strict=True):
-                planes = np.frombuffer(expand(z), np.uint8).reshape(4, -1)
-                parts = table.ids(np.ascontiguousarray(planes.T).view(np.uint32).ravel())
-                for at in (rare if rare is not None else ()):
-                    parts[at["pos"]] = at["ids"]
-                out.append(b"".join(parts))
-            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": out})
-
-    same = F.col("m.doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("m.th") == F.col("e.th"))
-    return map_documents(moved.alias("m").join(encoded.alias("e"), same, "left").select("m.doc_id", "words", "rare"), assemble, "ids binary")
+        for c in chunks(batches, ranges, size):
+            planes = c.numbers.view(np.uint8).reshape(-1, 4).T.tobytes()    # high bytes together: mostly zero
+            yield pd.DataFrame([(c.key, len(c.words), c.ids, _pack(c.sizes.tobytes()), _pack(planes))],
+                               columns=["chunk", "n_words", "doc_ids", "sizes", "numbers"])
+    return docs.mapInPandas(number, "chunk string, n_words long, doc_ids array<string>, sizes binary, numbers binary")
+
+
+def _assemble(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Ids back to their positions in the documents of one chunk."""
+    right = right.drop_duplicates("range").sort_values("range")
+    flat = b"".join(map(_unpack, right["ids"]))
+    ends = np.cumsum(np.frombuffer(b"".join(map(_unpack, right["sizes"])), np.uint32), dtype=np.int64).tolist()
+    table = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+    out = []
+    for n, doc_ids, sizes, numbers in zip(left["n_words"], left["doc_ids"], left["sizes"], left["numbers"], strict=True):
+        if n != len(table):
+            raise ValueError("the documents were read in other partitions the second time")
+        numbers = np.ascontiguousarray(np.frombuffer(_unpack(numbers), np.uint8).reshape(4, -1).T).view(np.uint32).ravel()
+        at = 0
+        for doc_id, size in zip(doc_ids, np.frombuffer(_unpack(sizes), np.uint32).tolist(), strict=True):
+            out.append((doc_id, b"".join(map(table.__getitem__, numbers[at:at + size].tolist()))))
+            at += size
+    return pd.DataFrame(out, columns=["doc_id", "ids"])
+
+
+def encode(df: DataFrame, path: str | None = None, size: int = CHUNK_CHARS) -> DataFrame:
+    """doc_id and ``ids``, the packed ids of the text."""
+    path = path or wordcodec.vocabulary_path()
+    kind = df.schema["doc_id"].dataType
+    docs = df.select(F.col("doc_id").cast("string").alias("doc_id"), text_of().alias("text"))
+    total = docs.agg(F.sum(F.char_length("text").cast("long"))).first()[0] or 0
+    ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_CHARS))
+    encoded = encode_words(word_lists(docs, ranges, size), path)
+    found = (numbered(docs, ranges, size).groupBy("chunk").cogroup(encoded.groupBy("chunk"))
+             .applyInPandas(_assemble, "doc_id string, ids binary"))
+    return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def decode(df: DataFrame, path: str | None = None) -> DataFrame:

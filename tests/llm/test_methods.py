@@ -8,7 +8,6 @@ import re
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from galaxia.llm import bpe_words, components, exact_dedup, kneser_ney, langid, packing, pii, quality, simhash, toxicity, wordcodec
 
@@ -302,28 +301,30 @@ def test_bad_host_goes_small_hosts_are_shrunk(spark):
 # ---- op10
 
 
-@pytest.mark.parametrize("most", [1, 1 << 20])
-def test_rare_and_frequent_words_give_the_same(spark, odd, most):
+@pytest.mark.parametrize("size", [10, 8_000_000])
+def test_ids_and_text_are_the_librarys_for_any_chunk(spark, odd, size):
     import public_tokenizers
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    rows = bpe_words.decode(bpe_words.encode(odd, most=most)).collect()
+    rows = bpe_words.decode(bpe_words.encode(odd, size=size)).collect()
     texts = {}
     for r in odd.collect():
         texts.setdefault(r.doc_id, []).append(r.text or "")
+    assert len(rows) == odd.count()
     for r in rows:
         want = [(" ".join(map(str, e.ids)), tok.decode(e.ids, skip_special_tokens=False))
                 for e in tok.encode_batch(texts[r.doc_id], add_special_tokens=False)]
         assert (r.ids_text, r.decoded) in want
 
 
+def test_a_chunk_without_its_ids_fails():
+    left = pd.DataFrame([("k", 2, ["1"], b"", b"")], columns=["chunk", "n_words", "doc_ids", "sizes", "numbers"])
+    right = pd.DataFrame([], columns=["chunk", "range", "ids", "sizes"])
+    with pytest.raises(ValueError, match="partitions"):
+        bpe_words._assemble(left, right)
+
+
 def test_worker_cache_starts_over():
     c = wordcodec.WordCodec(wordcodec.vocabulary_path(), cache_words=2)
     whole = c.tok.encode("one two three four", add_special_tokens=False).ids
     assert c.encode("one two three four").tolist() == whole and c.encode("four one").tolist() == [whole[3], whole[0]]
-
-
-def test_word_counts_see_all_words(spark):
-    df = spark.createDataFrame(pd.DataFrame({"text": ["a b a", None, "a"]}))
-    counts = {bytes(r.word): r.n for r in bpe_words.word_counts(df.select(F.col("text")), least=1).collect()}
-    assert counts == {b"a": 3, b"b": 1}
