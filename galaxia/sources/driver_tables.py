@@ -246,7 +246,7 @@ SELECT review_id, order_id,
 FROM dated
 UNION ALL
 SELECT review_id, order_id, CAST(5 - toxic AS INT) AS review_score,
-  CASE WHEN k % 12 = 0 THEN CAST(NULL AS STRING) ELSE concat(' ', lang, ' ') END AS review_comment_title, text AS review_comment_message,
+  CASE WHEN k % 18 = 0 THEN CAST(NULL AS STRING) ELSE concat(' ', lang, ' ') END AS review_comment_title, text AS review_comment_message,
   cr AS review_creation_date, cr + INTERVAL 2 DAY AS review_answer_timestamp,
   cr AS created_at, cr + (k % 1200 + 30) * INTERVAL 1 DAY AS last_modified_at
 FROM dated WHERE k % 6 = 0

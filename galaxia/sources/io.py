@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -209,18 +209,16 @@ class GoldStore:
             return entry
         # one shuffle groups rows by bucket, so each bucket gets a few files; rebalance
         # lets AQE join small buckets and split one that a hot key fills
-        sk = schemas.GOLD_KEYS.get(table, (None,))[0]
-        largest = Observation()
-        if sk:
-            df = df.observe(largest, F.max(sk).alias("sk"))
         (df.withColumn("bucket", self._bucket(key)).hint("rebalance", "bucket")
            .write.mode("overwrite").partitionBy("bucket").parquet(path))
         for st in self._fs.listStatus(self._Path(path)):
             name = st.getPath().getName()
             if name.startswith("bucket="):
                 entry["parts"][name[len("bucket="):]] = version
-        if sk:
-            entry["max_sk"] = max(int(largest.get["sk"] or 0), int(entry["max_sk"] or 0))
+        sk = schemas.GOLD_KEYS.get(table, (None,))[0]
+        if sk:   # a scan of this one column
+            written = self.spark.read.schema(self._schema(table)).parquet(path).agg(F.max(sk)).first()[0]
+            entry["max_sk"] = max(int(written or 0), int(entry["max_sk"] or 0))
         return entry
 
     def publish_initial(self, state: dict[str, DataFrame], tables=None, medians: dict | None = None) -> dict:
