@@ -1,8 +1,8 @@
 """Personal data by a semi-Markov conditional random field over base patterns.
 
 Base spans follow fixed patterns and always stay.  Around digits and `@` a text is
-cut into tokens, and candidate segments (runs of digits with separators, address
-shapes; at most ``MAX_TOKENS`` tokens) are scored by features of the whole span:
+cut into tokens, and candidate segments (at most ``MAX_GROUPS`` runs of digits
+with separators, address shapes; at most ``MAX_TOKENS`` tokens) are scored by features of the whole span:
 how many digits, check digit, parts, separators, brackets, its neighbours.  A
 dynamic program over segments chooses boundaries and kinds jointly, base spans
 being fixed segments; the entities it finds besides are added.
@@ -21,6 +21,7 @@ ignored otherwise.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +34,8 @@ from .common import map_documents, text_of
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
 MAX_TOKENS = 16
+MAX_GROUPS = 6
 MAX_DIGITS = 20
-CONTEXT = 6
 SAMPLE = 400
 EPOCHS = 12
 
@@ -61,15 +62,15 @@ def luhn(digits: str) -> bool:
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost matches, found from each @: its local part is the run before it."""
-    end = 0
+    end = 0          # of the last match, or past the last @: no local part holds one
     at = text.find("@")
     while at >= 0:
-        if at >= end:
-            run = _LOCAL.match(text[end:at][::-1]).end()
-            if run and (m := _DOMAIN.match(text, at + 1)):
-                yield at - run, m.end()
-                end = m.end()
-        at = text.find("@", at + 1)
+        run = _LOCAL.match(text[end:at][::-1]).end()
+        end = at + 1
+        if run and (m := _DOMAIN.match(text, at + 1)):
+            yield at - run, m.end()
+            end = m.end()
+        at = text.find("@", end)
 
 
 def base_spans(text: str) -> list[Span]:
@@ -96,26 +97,27 @@ def base_spans(text: str) -> list[Span]:
 
 def windows(text: str, spans: list[Span]) -> Iterator[tuple[list[tuple[int, int]], list[Span]]]:
     """Stretches of tokens around triggers, and the base spans inside each."""
-    last, held = -1, []
-    edges = sorted({*(m.start() for m in _TRIGGER.finditer(text)), *(x for s in spans for x in s[1:])})
-    lo = hi = None
-    for e in edges:
-        if hi is not None and e <= hi:
-            hi = max(hi, min(len(text), e + 40))
-            continue
-        if hi is not None:
-            held.append((lo, hi))
-        lo, hi = max(last, 0, e - 40), min(len(text), e + 40)
-        last = hi
-    if hi is not None:
+    held, lo, hi = [], 0, -1
+    for e in sorted({*(m.start() for m in _TRIGGER.finditer(text)), *(x for s in spans for x in s[1:])}):
+        if e > hi:
+            if hi >= 0:
+                held.append((lo, hi))
+            before = max(hi, 0)
+            lo = max(before, e - 40)
+            while lo > before and not text[lo - 1].isspace():    # no token is cut
+                lo -= 1
+        if e + 40 > hi:
+            hi = min(len(text), e + 40)
+            while hi < len(text) and not text[hi].isspace():
+                hi += 1
+    if hi >= 0:
         held.append((lo, hi))
+    waiting, open_ = sorted(spans, key=lambda s: s[1], reverse=True), []
     for lo, hi in held:
-        # widen to token ends so that no token is cut
-        while lo > 0 and not text[lo - 1].isspace():
-            lo -= 1
-        while hi < len(text) and not text[hi].isspace():
-            hi += 1
-        yield [m.span() for m in _TOKEN.finditer(text, lo, hi)], [s for s in spans if s[1] < hi and s[2] > lo]
+        while waiting and waiting[-1][1] < hi:
+            open_.append(waiting.pop())
+        open_ = [s for s in open_ if s[2] > lo]
+        yield [m.span() for m in _TOKEN.finditer(text, lo, hi)], list(open_)
 
 
 def _numeric_kinds(s: str, digits: int) -> tuple[str, ...]:
@@ -130,14 +132,14 @@ def candidates(text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int,
     for i, (a, b) in enumerate(tokens):
         first = text[a]
         if first in "+(" or "0" <= first <= "9":
-            digits = 0
+            digits = groups = 0
             for j in range(i, min(n, i + MAX_TOKENS)):
                 c, d = tokens[j]
                 if j > i and (c - tokens[j - 1][1] > 1 or (c > tokens[j - 1][1] and text[c - 1] != " ")):
                     break
                 if "0" <= text[c] <= "9":
-                    digits += d - c
-                    if digits > MAX_DIGITS:
+                    digits, groups = digits + d - c, groups + 1
+                    if digits > MAX_DIGITS or groups > MAX_GROUPS:
                         break
                     if (kinds := _numeric_kinds(text[a:d], digits)):
                         out.append((i, j + 1, kinds))
@@ -197,22 +199,25 @@ class Lattice:
 
     def __init__(self, text: str, tokens: list[tuple[int, int]], fixed: list[Span]):
         self.tokens = tokens
-        blocked = np.zeros(len(tokens) + 1, bool)
-        self.fixed = []
+        starts, ends = [c for c, _ in tokens], [d for _, d in tokens]
+        covered, blocked = np.zeros(len(tokens) + 1, bool), np.zeros(len(tokens) + 1, bool)
+        self.fixed = []               # base spans that overlap none before them
         for kind, a, b in sorted(fixed, key=lambda s: (s[1], -s[2])):
-            over = [i for i, (c, d) in enumerate(tokens) if c < b and d > a]
-            if over and not blocked[over].any():
-                blocked[over] = True
-                self.fixed.append((over[0], over[-1] + 1, LABELS.index(kind)))
+            i, j = bisect_right(ends, a), bisect_left(starts, b)
+            if i < j:
+                if not covered[i:j].any():
+                    blocked[i:j] = True
+                    self.fixed.append((i, j, LABELS.index(kind)))
+                covered[i:j] = True
         self.segments = []            # (first, past, label, features)
-        free = np.cumsum(np.r_[0, blocked[:-1]])
+        free = np.cumsum(np.r_[0, covered[:-1]])
         for i, j, kinds in candidates(text, tokens):
             if free[j] == free[i]:
                 f = features(text, tokens[i][0], tokens[j - 1][1])
                 self.segments += [(i, j, LABELS.index(k), f) for k in kinds]
         self.blocked = blocked
 
-    def into(self, scores: list[float], gold: set | None = None) -> list[list[tuple[int, int, float, int]]]:
+    def into(self, scores: list[float]) -> list[list[tuple[int, int, float, int]]]:
         """Segments by their end: (first, label, score, number of the segment or -1)."""
         ends: list[list] = [[] for _ in range(len(self.tokens) + 1)]
         for t in range(len(self.tokens)):
@@ -357,9 +362,7 @@ def find(text: str, model: Model) -> tuple[list[Span], list[Span]]:
     for tokens, inside in windows(text, base):
         lattice = Lattice(text, tokens, inside)
         for i, j, k in model.decode(lattice):
-            a, b = tokens[i][0], tokens[j - 1][1]
-            if not any(c < b and d > a for _, c, d in inside):
-                added.append((LABELS[k], a, b))
+            added.append((LABELS[k], tokens[i][0], tokens[j - 1][1]))
     order = {k: n for n, k in enumerate(KINDS)}
     return base, sorted({*base, *added}, key=lambda s: (order[s[0]], s[1], s[2])) if added else base
 
