@@ -16,7 +16,9 @@ import __spark_entry__ as E
 SF = os.environ.get("GALAXIA_ORACLE_SF", SF_SMALL)
 SUBSET = ["clean_customers", "clean_order_items", "clean_payments", "dim_products", "fact_orders",
           "dim_date", "kpi_orders_by_state", "kpi_score_by_category", "merge_orders", "replay_two_batches",
-          "changed_since", "stamp_changes", "check_fk", "reject_report", "exact_medians", "cohort_children"]
+          "changed_since", "stamp_changes", "check_fk", "reject_report", "exact_medians", "cohort_children",
+          "exact_medians_nonfinite", "merge_payments", "merge_reviews", "refresh_products", "parked_items_landed", "late_batch",
+          "table_roundtrip", "approx_medians", "silver_orders", "views_dim_products"]
 NAMES = sorted(E.oracle_sql()) if os.environ.get("GALAXIA_ORACLE") == "all" else SUBSET
 
 
