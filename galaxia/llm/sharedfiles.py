@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import io
 import os
-import tempfile
 import uuid
 
 import numpy as np
@@ -33,16 +32,15 @@ def write_array(folder: str, name: str, values: np.ndarray) -> str:
 
 
 def map_array(path: str) -> np.ndarray:
-    """The array, memory-mapped.  A store that is no local file system is first
-    copied to this worker's own temp folder."""
+    """The array, memory-mapped: the shared folder is to be one that workers have
+    mounted.  Of another store the array is read into memory; nothing is copied to a
+    local folder."""
     if path not in _MAPPED:
         from pyarrow import fs
         files, local = _filesystem(path)
-        if not isinstance(files, fs.LocalFileSystem):
-            own = os.path.join(tempfile.mkdtemp(prefix="galaxia-map-"), "a.npy")
-            with files.open_input_stream(local) as src, open(own, "wb") as dst:
-                while part := src.read(1 << 24):
-                    dst.write(part)
-            local = own
-        _MAPPED[path] = np.load(local, mmap_mode="r", allow_pickle=False)
+        if isinstance(files, fs.LocalFileSystem):
+            _MAPPED[path] = np.load(local, mmap_mode="r", allow_pickle=False)
+        else:
+            with files.open_input_stream(local) as f:
+                _MAPPED[path] = np.load(io.BytesIO(f.read()), allow_pickle=False)
     return _MAPPED[path]
