@@ -120,7 +120,7 @@ ORACLE.update({
 })
 
 
-from .oracle import CUT, MIN, NOW, _dedup, increment_ctes, watermark_sql  # noqa: E402,F401
+from .oracle import MIN, NOW, _dedup, increment_ctes, watermark_sql  # noqa: E402,F401
 
 _I = increment_ctes()
 
