@@ -43,6 +43,14 @@ def slices(batches: Iterator[pd.DataFrame], column: str, size: int = 4_000_000)
         yield from (b.iloc[i] for i in np.split(np.arange(len(b)), cuts) if len(i))
 
 
+def lowest_hashes(key: Column, distinct: int, size: int) -> Column:
+    """Rows whose 64-bit hash ``key`` is in the lowest share that holds about ``size``
+    of so many distinct ones.  A sample is drawn by this filter, as a sorted limit
+    would send that many rows of every task to the driver."""
+    share = min(1.0, size / max(distinct, 1))
+    return key <= F.lit(min(int(share * 2.0**64) - 2**63, 2**63 - 1))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Every row as one struct column ``row`` with its content key ``rk``: helper
     columns added beside it can never clash with the table's own names."""

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_documents, text_of
+from .common import lowest_hashes, map_documents, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
@@ -385,11 +385,13 @@ def masked(text: str, spans: list[Span]) -> str:
 
 
 def train(docs: DataFrame, size: int = SAMPLE) -> Model:
-    """A model of at most ``size`` texts that hold a trigger, by the hash of their text."""
-    t = text_of()
-    rows = (docs.select(t.alias("text")).where(F.col("text").rlike("[0-9@]") & (F.char_length("text") <= 20_000))
-            .select("text", F.xxhash64("text").alias("h")).orderBy("h", "text").limit(size).collect())
-    return fit([r["text"] for r in rows])
+    """A model of at most ``size`` distinct texts that hold a trigger, by the hash of
+    the text.  Copies are one text, merged before the driver sees them."""
+    texts = (docs.select(text_of().alias("text")).where(F.col("text").rlike("[0-9@]") & (F.char_length("text") <= 20_000))
+             .select("text", F.xxhash64("text").alias("h")))
+    distinct = texts.agg(F.approx_count_distinct("h")).first()[0]
+    rows = texts.where(lowest_hashes(F.col("h"), distinct, size)).groupBy("h").agg(F.min("text").alias("text")).collect()
+    return fit([r["text"] for r in sorted(rows)[:size]])
 
 
 def spans(df: DataFrame, model: Model) -> DataFrame:

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, map_documents, text_of
+from .common import fold, lowest_hashes, map_documents, text_of
 
 WINDOW = 64
 STRIDE = 48
@@ -344,7 +344,10 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> list[tuple
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where(~held_out(F.col("doc_id"))))
     order = F.xxhash64("doc_id", F.lit("sample"))
-    ids = [r for c in (0, 1) for r in known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(size).collect()]
+    ids = []
+    for r in known.groupBy("toxic").count().where("toxic IN (0, 1)").orderBy("toxic").collect():
+        own = known.where((F.col("toxic") == r["toxic"]) & lowest_hashes(order, r["count"], size))
+        ids += sorted(own.collect())[:size]
     if not ids:
         return []
     chosen = F.broadcast(docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in ids], "id long, toxic int"))
