@@ -37,9 +37,10 @@ from pyspark.sql import functions as F
 from . import wordcodec
 from .common import map_documents, slices, text_of
 
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 4_000_000
 #: Characters of input for a range of words.
 RANGE_CHARS = 1 << 26
+TEXTS = ["n_tokens", "ids_text", "decoded"]
 
 
 def _pack(data: bytes) -> bytes:
@@ -147,32 +148,51 @@ def _assemble(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["doc_id", "ids"])
 
 
-def encode(df: DataFrame, path: str | None = None, size: int = CHUNK_CHARS) -> DataFrame:
-    """doc_id and ``ids``, the packed ids of the text."""
-    path = path or wordcodec.vocabulary_path()
+def _texts(packed: pd.Series, path: str) -> pd.DataFrame:
+    """n_tokens, ids_text and decoded of packed ids: each id is looked up in the
+    id-to-piece table, which the worker holds."""
+    c = wordcodec.codec(path)
+    pieces, numbers = c.pieces(), c.numbers()
+    out = []
+    for x in packed:
+        ids = np.frombuffer(x, dtype=c.dtype).tolist()
+        out.append((len(ids), " ".join(map(numbers.__getitem__, ids)), " ".join(map(pieces.__getitem__, ids))))
+    return pd.DataFrame(out, columns=["n_tokens", "ids_text", "decoded"])
+
+
+def _with_ids(df: DataFrame, path: str, size: int, finish, fields: str) -> DataFrame:
+    """doc_id and ``fields``, which ``finish`` makes of a chunk's documents with their ids."""
     kind = df.schema["doc_id"].dataType
     docs = df.select(F.col("doc_id").cast("string").alias("doc_id"), text_of().alias("text"))
     total = docs.agg(F.sum(F.char_length("text").cast("long"))).first()[0] or 0
     ranges = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_CHARS))
     encoded = encode_words(word_lists(docs, ranges, size), path)
     found = (numbered(docs, ranges, size).groupBy("chunk").cogroup(encoded.groupBy("chunk"))
-             .applyInPandas(_assemble, "doc_id string, ids binary"))
+             .applyInPandas(lambda left, right: finish(_assemble(left, right)), f"doc_id string, {fields}"))
     return found.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
+def encode(df: DataFrame, path: str | None = None, size: int = CHUNK_CHARS) -> DataFrame:
+    """doc_id and ``ids``, the packed ids of the text."""
+    return _with_ids(df, path or wordcodec.vocabulary_path(), size, lambda rows: rows, "ids binary")
+
+
 def decode(df: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_text (decimal ids) and decoded, from packed ``ids``."""
     path = path or wordcodec.vocabulary_path()
 
     def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = wordcodec.codec(path)
-        pieces, numbers = c.pieces(), [str(i) for i in range(c.size)]
         for b in slices(batches, "ids", 1_000_000):
-            out = []
-            for x in b["ids"]:
-                ids = np.frombuffer(x, dtype=c.dtype).tolist()
-                out.append((len(ids), " ".join(map(numbers.__getitem__, ids)), " ".join(map(pieces.__getitem__, ids))))
-            yield pd.DataFrame(out, columns=["n_tokens", "ids_text", "decoded"]).assign(doc_id=b["doc_id"].to_numpy())[
-                ["doc_id", "n_tokens", "ids_text", "decoded"]]
+            yield _texts(b["ids"], path).assign(doc_id=b["doc_id"].to_numpy())[["doc_id", *TEXTS]]
 
     return map_documents(df.select("doc_id", "ids"), join, "n_tokens long, ids_text string, decoded string")
+
+
+def round_trip(df: DataFrame, path: str | None = None, size: int = CHUNK_CHARS) -> DataFrame:
+    """``decode`` of ``encode`` where the ids need not be kept: one pass over each chunk."""
+    path = path or wordcodec.vocabulary_path()
+
+    def finish(rows: pd.DataFrame) -> pd.DataFrame:
+        return _texts(rows["ids"], path).assign(doc_id=rows["doc_id"])[["doc_id", *TEXTS]]
+
+    return _with_ids(df, path, size, finish, "n_tokens long, ids_text string, decoded string")

@@ -62,7 +62,7 @@ def op9_quality_rules(spark, sf_dir):
 
 
 def op10_bpe_words(spark, sf_dir):
-    out = bpe_words.decode(bpe_words.encode(documents(spark, sf_dir)))
+    out = bpe_words.round_trip(documents(spark, sf_dir))
     return out.select("doc_id", "n_tokens", F.sha2(F.col("ids_text").cast("binary"), 256).alias("ids_sha256"),
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 

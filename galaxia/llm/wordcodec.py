@@ -34,6 +34,7 @@ class WordCodec:
         self.dtype = np.dtype("<u2") if self.size <= 1 << 16 else np.dtype("<u4")
         self.cache: dict[bytes, bytes] = {}
         self.cache_words = cache_words
+        self._pieces = self._numbers = None
 
     def encode_words(self, words: list[bytes]) -> list[bytes]:
         """Packed ids of each word, not remembered."""
@@ -61,7 +62,15 @@ class WordCodec:
 
     def pieces(self) -> list[str]:
         """The piece of each id."""
-        return [self.tok.id_to_token(i) or "" for i in range(self.size)]
+        if self._pieces is None:
+            self._pieces = [self.tok.id_to_token(i) or "" for i in range(self.size)]
+        return self._pieces
+
+    def numbers(self) -> list[str]:
+        """Each id in decimal."""
+        if self._numbers is None:
+            self._numbers = [str(i) for i in range(self.size)]
+        return self._numbers
 
 
 _CODECS: dict[str, WordCodec] = {}

@@ -307,6 +307,7 @@ def test_ids_and_text_are_the_librarys_for_any_chunk(spark, odd, size):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     rows = bpe_words.decode(bpe_words.encode(odd, size=size)).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, bpe_words.round_trip(odd, size=size).collect()))
     texts = {}
     for r in odd.collect():
         texts.setdefault(r.doc_id, []).append(r.text or "")
