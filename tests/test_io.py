@@ -16,7 +16,7 @@ def test_read_csv_bom_and_multiline(spark, scratch):
     with open(path, "wb") as f:
         f.write("﻿product_category_name,product_category_name_english\n".encode("utf-8"))
         f.write('beleza_saude,health_beauty\n"cama_mesa","bed\nbath"\n'.encode("utf-8"))
-    rows = io.read_csv(spark, path, TRANSLATION).collect()
+    rows = io.read_csv(spark, path, TRANSLATION, multi_line=True).collect()
     assert [tuple(r) for r in rows] == [("beleza_saude", "health_beauty"), ("cama_mesa", "bed\nbath")]
 
 

@@ -32,7 +32,7 @@ def test_id_length(spark):
     assert one(spark, R.has_length, K[:31], "string") is False
 
 
-@pytest.mark.parametrize("value,expected", [(None, "00000"), (42, "00042"), (123456, "12345"), (12345, "12345")])
+@pytest.mark.parametrize("value,expected", [(None, "00000"), (42, "00042"), (123456, "123456"), (12345, "12345")])
 def test_zip5(spark, value, expected):
     assert one(spark, R.zip5, value, "int") == expected
 
