@@ -1,24 +1,28 @@
-"""Interpolated modified Kneser-Ney bigram model.
+"""Interpolated modified Kneser-Ney trigram model.
 
-Counting (Spark): tasks count words, then bigrams, of their own documents and
-send sorted runs of 64-bit hashes with counts, one run per hash range; a range is
-merged in one task.  Ranges split the hash space, not the words, so a frequent
-word or context is spread over all of them, and their number grows with the
+Counting (Spark): tasks count words, then bigrams, then trigrams, of their own
+documents and send sorted runs of 64-bit hashes with counts, one run per hash range;
+a range is merged in one task.  Ranges split the hash space, not the words, so a
+frequent word or context is spread over all of them, and their number grows with the
 corpus: a task's share stays the same.
 
 Storing: each range is a sorted array in the shared folder.  A word's hash is
 XXH64 of its bytes and its id is its rank; a bigram's hash is a one-to-one mix of
-its two ids, so a lookup in the sorted hash array is exact.  Context statistics
-(how many followers were seen once, twice, more often) and continuation counts
-are arrays beside the words.
+its two ids, a trigram's one of its context's rank among the bigrams and its last
+word's id, so a lookup in a sorted hash array is exact.  Context statistics (how many
+followers were seen once, twice, more often) and continuation counts are arrays
+beside the words and beside the bigrams.
 
 Scoring: workers memory-map the arrays and look sorted batches of hashes up.
 
-    P(w|u)  = max(c(uw) - D(c), 0) / c(u) + (D1 N1(u) + D2 N2(u) + D3 N3+(u)) / c(u) * P1(w)
-    P1(w)   = the same over continuation counts, interpolated with 1 / (V + 1)
+    P(w|uv) = max(c(uvw) - D(c), 0) / c(uv) + (D1 N1(uv) + D2 N2(uv) + D3 N3+(uv)) / c(uv) * P2(w|v)
+    P2(w|v) = the same over continuation counts of bigrams, interpolated with P1(w)
+    P1(w)   = the same over continuation counts of words, interpolated with 1 / (V + 1)
 
-with three discounts at either level from the counts of counts.  An unknown word
-is one of the V + 1; an unknown context leaves P1.
+with three discounts at each level from the counts of counts.  Nothing precedes the
+begin, so bigrams that start with it keep their plain count and a document's first
+token is given by P2.  An unknown word is one of the V + 1; an unknown context leaves
+the next lower level.  ``order`` 2 ends at bigrams, with plain counts.
 
 Defined results: NULL or empty text is one token, the end; repeated rows count and
 score each; a NULL id is not held out; without training documents every
@@ -44,6 +48,7 @@ from .sharedfiles import map_array, write_array
 RANGE_TOKENS = 1 << 22
 #: Tokens a task counts before it sends a run.
 RUN_TOKENS = 1 << 22
+ORDER = 3
 CACHE_WORDS = 1 << 20
 UNKNOWN = (1 << 32) - 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -103,6 +108,21 @@ def merge_runs(runs) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(counts, first)
 
 
+def write_counts(folder: str, name: str, table: np.ndarray) -> list[str]:
+    """Counts by position (last axis) as bytes, and positions with a count of 255 or more whole."""
+    large = np.flatnonzero((table >= 255).any(axis=0))
+    return [write_array(folder, name, np.minimum(table, 255).astype(np.uint8).T.copy()),
+            write_array(folder, f"{name}-large", np.concatenate([large[None], table[:, large]]).astype(np.int64))]
+
+
+def read_counts(small: np.ndarray, large: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    out = small[pos].astype(np.int64)
+    big = np.flatnonzero((out == 255).any(axis=1))
+    if len(big):
+        out[big] = large[1:, np.searchsorted(large[0], pos[big])].T
+    return out
+
+
 def _shift(ranges: int) -> np.uint64:
     return np.uint64(64 - (ranges.bit_length() - 1))
 
@@ -133,10 +153,14 @@ class Model:
     def __init__(self):
         self.word_files: list[tuple[str, str] | None] = []
         self.word_starts = np.zeros(1, np.int64)     # first id of each range; the last is the number of words
+        self.order = ORDER
         self.bigram_files: list[tuple[str, str, str] | None] = []
+        self.bigram_starts = np.zeros(1, np.int64)   # first rank of each range
+        self.bigram_stats: list[tuple[str, str] | None] = []
+        self.trigram_files: list[tuple[str, str, str] | None] = []
         self.stat_files: list[str | None] = []
         self.n = self.vocabulary = self.documents = 0
-        self.d2 = self.d1 = (0.5, 1.0, 1.5)
+        self.d3 = self.d2 = self.d1 = (0.5, 1.0, 1.5)
         self.continuations = 0
         self.gamma = 1.0
         self.cache: dict[bytes, int] = {}
@@ -207,8 +231,9 @@ class Model:
     # counts
 
     def stats(self, ids: np.ndarray) -> np.ndarray:
-        """For each id: count, continuation count, followers seen once, twice, more often."""
-        out = np.zeros((len(ids), 5), np.int64)
+        """For each id: count, continuation count, followers seen once, twice, more often
+        (by their own continuation counts below the highest order), their sum."""
+        out = np.zeros((len(ids), 6), np.int64)
         known = ids != UNKNOWN
         own = np.searchsorted(self.word_starts, ids, side="right") - 1
         for r in np.unique(own[known]):
@@ -217,39 +242,111 @@ class Model:
                 out[sel] = map_array(self.stat_files[r])[ids[sel] - self.word_starts[r]]
         return out
 
+    def ranks(self, keys: np.ndarray) -> np.ndarray:
+        """Ranks of bigrams by their hashes; -1 where there is none."""
+        out = np.full(len(keys), -1, np.int64)
+        for at, (hashes, _, _), r in self._each(keys, self.bigram_files):
+            pos = np.minimum(np.searchsorted(hashes, keys[at]), len(hashes) - 1)
+            hit = hashes[pos] == keys[at]
+            out[at[hit]] = pos[hit] + self.bigram_starts[r]
+        return out
+
+    def pair_ranks(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        out = np.full(len(ids), -1, np.int64)
+        sel = np.flatnonzero((before != UNKNOWN) & (ids != UNKNOWN))
+        out[sel] = self.ranks(pair_keys(before[sel], ids[sel]))
+        return out
+
+    def _ranked(self, ranks: np.ndarray, files: list):
+        """(positions of the ranks of a bigram range, its arrays, places in them)."""
+        order = np.argsort(ranks)
+        cuts = np.searchsorted(ranks[order], self.bigram_starts)
+        for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if b > a and files[r]:
+                yield order[a:b], [map_array(p) for p in files[r]], ranks[order[a:b]] - self.bigram_starts[r]
+
+    def bigram_counts(self, ranks: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(ranks), np.int64)
+        for at, (_, small, large), pos in self._ranked(ranks, self.bigram_files):
+            out[at] = read_counts(small, large, pos)[:, 0]
+        return out
+
+    def bigram_table(self, ranks: np.ndarray) -> np.ndarray:
+        """For each bigram: continuation count, followers seen once, twice, more often."""
+        out = np.zeros((len(ranks), 4), np.int64)
+        for at, (small, large), pos in self._ranked(ranks, self.bigram_stats):
+            out[at] = read_counts(small, large, pos)
+        return out
+
+    def second(self, ranks: np.ndarray) -> np.ndarray:
+        """The last word of each bigram."""
+        out = np.zeros(len(ranks), np.uint64)
+        for at, (keys, _, _), pos in self._ranked(ranks, self.bigram_files):
+            out[at] = unmix(keys[pos]) & np.uint64(UNKNOWN)
+        return out
+
     def bigrams(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return self.bigram_counts(self.pair_ranks(before, ids))
+
+    @property
+    def word_bits(self) -> int:
+        return int(self.begin).bit_length()
+
+    def trigram_keys(self, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return mix(context.astype(np.uint64) << np.uint64(self.word_bits) | ids.astype(np.uint64))
+
+    def trigrams(self, context: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Counts of words after the bigrams of these ranks."""
         out = np.zeros(len(ids), np.int64)
-        sel = np.flatnonzero((before != UNKNOWN) & (ids != UNKNOWN))
-        keys = mix(before[sel].astype(np.uint64) << np.uint64(32) | ids[sel].astype(np.uint64))
-        for at, (hashes, small, large), _ in self._each(keys, self.bigram_files):
+        sel = np.flatnonzero((context >= 0) & (ids != UNKNOWN))
+        keys = self.trigram_keys(context[sel], ids[sel])
+        for at, (hashes, small, large), _ in self._each(keys, self.trigram_files):
             pos = np.minimum(np.searchsorted(hashes, keys[at]), len(hashes) - 1)
             hit = hashes[pos] == keys[at]
-            pos, at = pos[hit], at[hit]
-            counts = small[pos].astype(np.int64)
-            big = np.flatnonzero(counts == 255)
-            if len(big):
-                counts[big] = large[1][np.searchsorted(large[0], pos[big])]
-            out[sel[at]] = counts
+            out[sel[at[hit]]] = read_counts(small, large, pos[hit])[:, 0]
         return out
 
     # probabilities
 
-    def log10(self, before: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """log10 P of each token, its unsmoothed-by-context base log10, and its count."""
+    def log10(self, before: np.ndarray, ids: np.ndarray, context: np.ndarray | None = None,
+              ranks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 P of each token, its unsmoothed-by-context base log10, and its count.
+        ``context`` holds ranks of the bigrams before the tokens (-1: none), ``ranks``
+        those of the bigrams (before, ids)."""
         distinct, at = np.unique(np.concatenate([ids, before]), return_inverse=True)
         table = self.stats(distinct)
-        own, context = at[:len(ids)], at[len(ids):]
+        own, last = at[:len(ids)], at[len(ids):]
         cont = table[:, 1]
         p1 = np.maximum(cont - discount(cont, self.d1), 0) / max(1, self.continuations) + self.gamma / (self.vocabulary + 1)
-        c = table[:, 0]
-        left = (table[:, 2:] * np.array(self.d2)).sum(1) / np.maximum(c, 1)
-        left[c == 0] = 1.0
-        pair = self.bigrams(before, ids)
-        p = np.maximum(pair - discount(pair, self.d2), 0) / np.maximum(c[context], 1) + left[context] * p1[own]
-        count = c[own]
+        total = table[:, 5]
+        left = (table[:, 2:5] * np.array(self.d2)).sum(1) / np.maximum(total, 1)
+        left[total == 0] = 1.0
+        ranks = self.pair_ranks(before, ids) if ranks is None else ranks
+        pair = self.bigram_table(ranks)[:, 0]
+        p = np.maximum(pair - discount(pair, self.d2), 0) / np.maximum(total[last], 1) + left[last] * p1[own]
+        if context is not None and self.order > 2:
+            some, at = np.unique(context, return_inverse=True)
+            c, followers = self.bigram_counts(some), self.bigram_table(some)[:, 1:]
+            left = (followers * np.array(self.d3)).sum(1) / np.maximum(c, 1)
+            left[followers.sum(1) == 0] = 1.0
+            three = self.trigrams(context, ids)
+            p = np.maximum(three - discount(three, self.d3), 0) / np.maximum(c, 1)[at] + left[at] * p
+        count = table[own, 0]
         return np.log10(p), np.log10((count + 1) / (self.n + self.vocabulary + 1)), count
 
 
+def pair_keys(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    return mix(before.astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64))
+
+
+def previous(ranks: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each token the rank of the bigram that ends before it; -1 for a text's first."""
+    out = np.empty_like(ranks)
+    out[1:] = ranks[:-1]
+    out[np.cumsum(sizes) - sizes] = -1
+    return out
+
+
 def discount(counts: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(counts, 3)]
 
@@ -323,7 +420,7 @@ def count_bigrams(docs: DataFrame, shared, ranges: int) -> DataFrame:
         model, held, size = shared.value, [], 0
         for texts in _chunks(batches):
             ids, sizes = model.encode(texts)
-            held.append(mix(model.contexts(ids, sizes).astype(np.uint64) << np.uint64(32) | ids.astype(np.uint64)))
+            held.append(pair_keys(model.contexts(ids, sizes), ids))
             size += len(ids)
             if size >= RUN_TOKENS:
                 yield _runs(*np.unique(np.concatenate(held), return_counts=True), ranges)
@@ -333,30 +430,97 @@ def count_bigrams(docs: DataFrame, shared, ranges: int) -> DataFrame:
     return docs.mapInPandas(count, "range int, run binary")
 
 
-def store_bigrams(runs: DataFrame, shared, folder: str) -> DataFrame:
-    """A row per range with its files and counts of counts (``word_range`` NULL), and
-    runs of context and continuation statistics by range of word ids."""
+def store_bigrams(runs: DataFrame, folder: str) -> DataFrame:
+    """A row per range with its files and how many bigrams it holds."""
+    def store(key, rows: pd.DataFrame) -> pd.DataFrame:
+        keys, counts = merge_runs(rows["run"])
+        files = [write_array(folder, f"bigrams-{key[0]}", keys), *write_counts(folder, f"bigram-counts-{key[0]}", counts[None])]
+        return pd.DataFrame([(key[0], *files, len(keys))], columns=["range", "keys", "small", "large", "size"])
+    return runs.groupBy("range").applyInPandas(store, "range int, keys string, small string, large string, size long")
+
+
+def count_trigrams(docs: DataFrame, shared, ranges: int) -> DataFrame:
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model, held, size = shared.value, [], 0
+        for texts in _chunks(batches):
+            held.append(model.encode(texts))
+            size += len(held[-1][0])
+            if size >= RUN_TOKENS // 2:
+                yield out(model, held)
+                held, size = [], 0
+        if held:
+            yield out(model, held)
+
+    def out(model: Model, held: list) -> pd.DataFrame:
+        ids, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
+        pairs, at = np.unique(pair_keys(model.contexts(ids, sizes), ids), return_inverse=True)
+        context = previous(model.ranks(pairs)[at], sizes)
+        keys = model.trigram_keys(context[context >= 0], ids[context >= 0])
+        return _runs(*np.unique(keys, return_counts=True), ranges)
+
+    return docs.mapInPandas(count, "range int, run binary")
+
+
+def _by_range(marks: np.ndarray, times: np.ndarray, starts: np.ndarray, bits: int) -> Iterator[tuple[int, bytes]]:
+    """Runs of marks by the range their id or rank is in."""
+    own = np.searchsorted(starts, (marks >> np.uint64(bits)).astype(np.int64), side="right") - 1
+    cuts = np.searchsorted(own, np.arange(len(starts) + 1))
+    for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        if b > a:
+            yield r, pack_run(marks[a:b], times[a:b])
+
+
+def store_trigrams(runs: DataFrame, shared, folder: str) -> DataFrame:
+    """A row per range with its files and counts of counts (``bigram_range`` NULL), and
+    runs of context and continuation statistics by range of bigram ranks."""
     def store(key, rows: pd.DataFrame) -> pd.DataFrame:
-        starts = shared.value.word_starts
+        model = shared.value
         keys, counts = merge_runs(rows["run"])
-        large = np.flatnonzero(counts >= 255)
-        files = [write_array(folder, f"bigrams-{key[0]}", keys),
-                 write_array(folder, f"bigram-counts-{key[0]}", np.minimum(counts, 255).astype(np.uint8)),
-                 write_array(folder, f"bigram-large-{key[0]}", np.array([large, counts[large]], np.int64))]
+        files = [write_array(folder, f"trigrams-{key[0]}", keys), *write_counts(folder, f"trigram-counts-{key[0]}", counts[None])]
         out = [(None, key[0], *files, [int((counts == k).sum()) for k in (1, 2, 3, 4)], None)]
-        pairs = unmix(keys)
-        first, last = pairs >> np.uint64(32), pairs & np.uint64(UNKNOWN)
-        # statistics as keys id * 4 + kind: 0 continuations, 1..3 followers seen 1, 2, 3+ times
-        marks = np.concatenate([last << np.uint64(2), first << np.uint64(2) | np.minimum(counts, 3).astype(np.uint64)])
+        grams = unmix(keys)
+        del keys
+        context, ids = grams >> np.uint64(model.word_bits), grams & np.uint64((1 << model.word_bits) - 1)
+        later = model.ranks(pair_keys(model.second(context.astype(np.int64)), ids)).astype(np.uint64)
+        # statistics as keys rank * 4 + kind: 0 continuations, 1..3 followers seen 1, 2, 3+ times
+        marks = np.concatenate([later << np.uint64(2), context << np.uint64(2) | np.minimum(counts, 3).astype(np.uint64)])
+        del grams, later, context, ids
         marks, times = np.unique(marks, return_counts=True)
-        own = np.searchsorted(starts, (marks >> np.uint64(2)).astype(np.int64), side="right") - 1
-        cuts = np.searchsorted(own, np.arange(len(starts) + 1))
-        for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-            if b > a:
-                out.append((r, key[0], None, None, None, None, pack_run(marks[a:b], times[a:b])))
-        return pd.DataFrame(out, columns=["word_range", "range", "keys", "small", "large", "n", "run"]).astype({"word_range": "Int32"})
+        out += [(r, key[0], None, None, None, None, run) for r, run in _by_range(marks, times, model.bigram_starts[:-1], 2)]
+        return pd.DataFrame(out, columns=["bigram_range", "range", "keys", "small", "large", "n", "run"]).astype({"bigram_range": "Int32"})
+    return runs.groupBy("range").applyInPandas(
+        store, "bigram_range int, range int, keys string, small string, large string, n array<long>, run binary")
+
+
+def store_bigram_stats(runs: DataFrame, shared, folder: str) -> DataFrame:
+    """Continuation counts (plain ones at the highest order and after the begin) and
+    context statistics of every bigram.  A row per range (``word_range`` NULL), and runs
+    of statistics by range of word ids."""
+    def store(key, rows: pd.DataFrame) -> pd.DataFrame:
+        model, r = shared.value, int(key[0])
+        keys, small, large = (map_array(p) for p in model.bigram_files[r])
+        pairs = unmix(keys[:])
+        first, last = pairs >> np.uint64(32), pairs & np.uint64(UNKNOWN)
+        table = np.zeros((4, len(pairs)), np.int64)
+        if len(some := rows["run"].dropna()):
+            marks, times = merge_runs(some)
+            table[(marks & np.uint64(3)).astype(np.int64), (marks >> np.uint64(2)).astype(np.int64) - model.bigram_starts[r]] = times
+        plain = np.flatnonzero(first == model.begin) if model.order > 2 else np.arange(len(pairs))
+        table[0, plain] = read_counts(small, large, plain)[:, 0]
+        files, counts = write_counts(folder, f"bigram-stats-{r}", table), table[0]
+        out = [(None, r, *files, [int((counts == k).sum()) for k in (1, 2, 3, 4)], None)]
+        # statistics as keys id * 8 + kind: 0 continuations, 1..3 followers seen 1, 2, 3+ times, 4 their sum
+        marks, times = np.unique(np.concatenate([last << np.uint64(3), first << np.uint64(3) | np.minimum(counts, 3).astype(np.uint64)]),
+                                 return_counts=True)
+        heads, at = np.unique(first, return_inverse=True)
+        sums = np.zeros(len(heads), np.int64)
+        np.add.at(sums, at, counts)
+        marks, times = np.concatenate([marks, heads << np.uint64(3) | np.uint64(4)]), np.concatenate([times, sums])
+        order = np.argsort(marks)
+        out += [(w, r, None, None, None, run) for w, run in _by_range(marks[order], times[order], model.word_starts, 3)]
+        return pd.DataFrame(out, columns=["word_range", "range", "small", "large", "n", "run"]).astype({"word_range": "Int32"})
     return runs.groupBy("range").applyInPandas(
-        store, "word_range int, range int, keys string, small string, large string, n array<long>, run binary")
+        store, "word_range int, range int, small string, large string, n array<long>, run binary")
 
 
 def store_stats(runs: DataFrame, shared, folder: str) -> DataFrame:
@@ -365,26 +529,29 @@ def store_stats(runs: DataFrame, shared, folder: str) -> DataFrame:
         special = r == len(model.word_files)
         start = int(model.word_starts[r])
         size = 2 if special else int(model.word_starts[r + 1]) - start
-        table = np.zeros((size, 5), np.uint32)
+        table = np.zeros((size, 6), np.int64)
         if special:      # the end, and the begin (a context as often as there are documents)
             table[:, 0] = model.documents
         else:
             table[:, 0] = map_array(model.word_files[r][1])
         marks, times = merge_runs(rows["run"])
-        ids, kind = (marks >> np.uint64(2)).astype(np.int64) - start, (marks & np.uint64(3)).astype(np.int64)
+        ids, kind = (marks >> np.uint64(3)).astype(np.int64) - start, (marks & np.uint64(7)).astype(np.int64)
         table[ids, kind + 1] = times
         cont = table[:, 1]
         return pd.DataFrame([(r, write_array(folder, f"stats-{r}", table), [int((cont == k).sum()) for k in (1, 2, 3, 4)],
-                              int((cont > 0).sum()), int(cont.sum(dtype=np.int64)))], columns=["range", "path", "m", "types", "total"])
+                              int((cont > 0).sum()), int(cont.sum()))], columns=["range", "path", "m", "types", "total"])
     return runs.groupBy("word_range").applyInPandas(store, "range int, path string, m array<long>, types long, total long")
 
 
-def train(docs: DataFrame) -> Model:
+def train(docs: DataFrame, order: int = ORDER) -> Model:
     """Count ``text`` of ``docs`` and store the model in the shared folder."""
+    if order not in (2, 3):
+        raise ValueError("the order is 2 or 3")
     spark = docs.sparkSession
     folder = materialize_folder(spark)
     docs = docs.select(text_of().alias("text"))
     model = Model()
+    model.order = order
     ranges = _power(int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = materialize(store_words(count_words(docs, ranges), folder), "lm-words").collect()
     model.word_files = [None] * ranges
@@ -405,10 +572,29 @@ def train(docs: DataFrame) -> Model:
         return model
     shared = spark.sparkContext.broadcast(model)
     grams = _power(max(ranges, model.n / RANGE_TOKENS))
-    table = materialize(store_bigrams(count_bigrams(docs, shared, grams), shared, folder), "lm-bigrams")
-    model.bigram_files, n = [None] * grams, [0] * 4
-    for r in table.where("word_range IS NULL").drop("run").collect():
+    bigrams = materialize(store_bigrams(count_bigrams(docs, shared, grams), folder), "lm-bigrams")
+    model.bigram_files, sizes = [None] * grams, np.zeros(grams, np.int64)
+    for r in bigrams.collect():
         model.bigram_files[r["range"]] = (r["keys"], r["small"], r["large"])
+        sizes[r["range"]] = r["size"]
+    model.bigram_starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    shared = spark.sparkContext.broadcast(model)
+    visits = bigrams.select("range", F.lit(None).cast("binary").alias("run"))
+    if order > 2:
+        if int(sizes.sum()).bit_length() + model.word_bits > 64:
+            raise ValueError("a trigram's context and word have to fit 64 bits")
+        wide = _power(max(ranges, 2 * model.n / RANGE_TOKENS))
+        trigrams = materialize(store_trigrams(count_trigrams(docs, shared, wide), shared, folder), "lm-trigrams")
+        model.trigram_files, n = [None] * wide, [0] * 4
+        for r in trigrams.where("bigram_range IS NULL").drop("run").collect():
+            model.trigram_files[r["range"]] = (r["keys"], r["small"], r["large"])
+            n = [a + b for a, b in zip(n, r["n"], strict=True)]
+        model.d3 = discounts(n)
+        visits = visits.unionByName(trigrams.where("bigram_range IS NOT NULL").select(F.col("bigram_range").alias("range"), "run"))
+    table = materialize(store_bigram_stats(visits, shared, folder), "lm-bigram-stats")
+    model.bigram_stats, n = [None] * grams, [0] * 4
+    for r in table.where("word_range IS NULL").drop("run").collect():
+        model.bigram_stats[r["range"]] = (r["small"], r["large"])
         n = [a + b for a, b in zip(n, r["n"], strict=True)]
     model.d2 = discounts(n)
     rows = materialize(store_stats(table.where("word_range IS NOT NULL"), shared, folder), "lm-stats").collect()
@@ -448,7 +634,9 @@ def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
                 if not len(rows):
                     continue
                 ids, sizes = m.encode(rows["text"].tolist())
-                logs, base, counts = m.log10(m.contexts(ids, sizes), ids)
+                before = m.contexts(ids, sizes)
+                ranks = m.pair_ranks(before, ids)
+                logs, base, counts = m.log10(before, ids, previous(ranks, sizes), ranks)
                 first = np.cumsum(sizes) - sizes
                 yield rows[own].assign(n_tokens=sizes, n_known=np.add.reduceat((counts > 0).astype(np.int64), first),
                                          train_tokens=m.n, base_score=np.add.reduceat(base, first),
@@ -462,9 +650,9 @@ def held_out(doc_id: Column) -> Column:
     return fold(doc_id, 7) == 2
 
 
-def lm_scores(df: DataFrame) -> DataFrame:
+def lm_scores(df: DataFrame, order: int = ORDER) -> DataFrame:
     """Every document scored by a model of those that are not held out; with the
     perplexity of a token."""
     docs = df.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    model = train(docs.where(~F.col("held_out")))
+    model = train(docs.where(~F.col("held_out")), order)
     return score(docs, model, ["held_out"]).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

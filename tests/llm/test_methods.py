@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,66 @@ def test_large_counts(spark):
     assert model.bigrams(np.array([x, y, y], np.uint32), np.array([y, x, model.end], np.uint32)).tolist() == [1200, 1197, 3]
 
 
+def kneser_ney_by_hand(texts, order):
+    """log10 P of a document: modified Kneser-Ney over tuples, plain counts at the
+    highest order and after the begin, continuation counts elsewhere."""
+    docs = [["<s>", *t.lower().split(), "</s>"] for t in texts]
+    plain = [Counter(tuple(d[i:i + n]) for d in docs for i in range(len(d) - n + 1)) for n in range(1, order + 1)]
+    counts = []
+    for n in range(1, order + 1):
+        if n == order:
+            counts.append(plain[n - 1])
+        else:
+            before = Counter(g[1:] for g in plain[n])
+            counts.append({g: c if n > 1 and g[0] == "<s>" else before[g] for g, c in plain[n - 1].items() if g != ("<s>",)})
+    cut = [(0.0, *kneser_ney.discounts([sum(v == k for v in c.values()) for k in (1, 2, 3, 4)])) for c in counts]
+    words = len({w for d in docs for w in d} - {"<s>"})
+
+    def p(context, w):
+        n = len(context)
+        lower = p(context[1:], w) if n else 1 / (words + 1)
+        after = [c for g, c in counts[n].items() if g[:-1] == context]
+        if not after:
+            return lower
+        c = counts[n].get((*context, w), 0)
+        return (c - cut[n][min(c, 3)] + sum(cut[n][min(k, 3)] for k in after) * lower) / sum(after)
+
+    def score(text):
+        d = ["<s>", *text.lower().split(), "</s>"]
+        return sum(np.log10(p(tuple(d[max(0, i - order + 1):i]), d[i])) for i in range(1, len(d)))
+    return score
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_scores_of_longer_contexts(spark, order):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("aabbcdefg") for _ in range(rng.randint(0, 12))) for _ in range(60)] + ["a b c a b c " * 300]
+    new = ["a b c a", "c b a", "new a b new b", "", "g", "g g g g f", "a b", "b c a b"]
+    model = kneser_ney.train(spark.createDataFrame([(t,) for t in texts], "text string"), order)
+    docs = spark.createDataFrame(list(enumerate(texts + new)), "doc_id long, text string")
+    expected = kneser_ney_by_hand(texts, order)
+    for r in kneser_ney.score(docs.withColumn("x", docs.doc_id), model, ["x"]).collect():
+        assert np.isclose(r.score, expected((texts + new)[r.doc_id]))
+
+
+def test_two_words_of_context_tell_more_than_one(spark):
+    texts = ["x a b", "y a c"] * 20
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts * 4)], "doc_id long, text string")
+    assert {r.score / r.n_tokens > -0.12 for r in kneser_ney.lm_scores(docs).collect()} == {True}
+    assert {r.score / r.n_tokens > -0.12 for r in kneser_ney.lm_scores(docs, order=2).collect()} == {False}
+
+
+def test_probabilities_of_two_words_sum_to_one(spark):
+    texts = ["a b a c", "a b", "c a b b a", "", "d a b a c"]
+    model = kneser_ney.train(spark.createDataFrame([(t,) for t in texts], "text string"))
+    words = model.ids_of(kneser_ney.word_hash([b"a", b"b", b"c", b"d", b"new"]))
+    every = np.append(words, model.end).astype(np.uint32)
+    for u, v in itertools.product([*words, model.begin], words):
+        context = model.pair_ranks(np.array([u], np.uint32), np.array([v], np.uint32)).repeat(len(every))
+        logs, _, _ = model.log10(np.full(len(every), v, np.uint32), every, context)
+        assert np.isclose((10.0 ** logs).sum(), 1.0)
+
+
 # ---- op2
 
 
