@@ -8,8 +8,10 @@ linear layer gives the window's logit.  Windows of ``WINDOW`` words overlap by
 window's.
 
 Training (numpy, on the driver) uses a bounded sample of labelled documents:
-``SAMPLE`` of either class at most, of at most ``SAMPLE_WORDS`` words, near
-copies dropped; the bounds are parameters.  A document's label is its windows'
+``SAMPLE`` of either class at most, near copies dropped.  Of a document of more than
+``SAMPLE_WORDS`` words the ``SAMPLE_WINDOWS`` windows of lowest hash stand for it, so
+a class of long documents is learned too, and a copy gives the same windows.  A class
+that has labels but no text to learn from is logged.  A document's label is its windows'
 only in the highest one, so epochs pick that window anew for toxic documents and
 any windows for clean ones.
 
@@ -24,6 +26,7 @@ never.
 
 from __future__ import annotations
 
+import logging
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,6 +41,7 @@ WINDOW = 64
 STRIDE = 48
 SAMPLE = 1200
 SAMPLE_WORDS = 1500
+SAMPLE_WINDOWS = 48
 HIDDEN = 8
 ATTENTION = 8
 WORD_ROWS, WORD_DIM = 4096, 4
@@ -233,12 +237,16 @@ def word_odds(texts: list[list[bytes]], y: np.ndarray) -> dict[bytes, float]:
     return out
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Network | None:
-    """A network of the texts, or None where one of the classes is missing."""
-    coded = [words_of(t) for t in texts]
+def fit(texts: list[str | list[str]], labels: list[int], epochs: int = EPOCHS, seed: int = 7) -> Network | None:
+    """A network of the texts, or None where one of the classes is missing.  A text may
+    be given as a list of its windows."""
+    parts = [[words_of(x) for x in ([t] if isinstance(t, str) else t)] for t in texts]
+    coded = [[w for part in own for w in part] for own in parts]
     keep = [i for i in _distinct_documents(coded) if coded[i]]
-    coded, y = [coded[i] for i in keep], np.array([labels[i] for i in keep], np.float32)
+    parts, coded, y = [parts[i] for i in keep], [coded[i] for i in keep], np.array([labels[i] for i in keep], np.float32)
     if len(set(y.tolist())) < 2:
+        if len(set(labels)) > 1:
+            logging.getLogger(__name__).warning("no distinct text with words is left of one labelled class: every text will score 0")
         return None
     net, rng = Network(seed), np.random.default_rng(seed)
     net.odds = word_odds(coded, y)
@@ -247,11 +255,12 @@ def fit(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int = 7
     rows, chars, starts, odds = describe(vocabulary, net.odds)
     ends = np.append(starts[1:], len(chars))
     spans, owner = [], []
-    for i, words in enumerate(coded):
-        own = np.array([number[w] for w in words])
-        for a, b in windows(len(own)):
-            spans.append(own[a:b])
-            owner.append(i)
+    for i, pieces in enumerate(parts):
+        for words in pieces:
+            own = np.array([number[w] for w in words], np.int64)
+            for a, b in windows(len(own)):
+                spans.append(own[a:b])
+                owner.append(i)
     owner = np.array(owner)
     first = np.searchsorted(owner, np.arange(len(coded)))
     best = np.array([odds[s].max() for s in spans])       # to begin with, the window with the most telling word
@@ -338,9 +347,9 @@ class Scorer:
         return out
 
 
-def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> list[tuple[str, int]]:
+def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> list[tuple[str | list[str], int]]:
     """(text, label) of at most ``size`` documents of either class, by the hash of
-    their ids, held-out ones and long ones left aside."""
+    their ids, held-out ones left aside; long texts as a list of windows."""
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where(~held_out(F.col("doc_id"))))
     order = F.xxhash64("doc_id", F.lit("sample"))
@@ -351,9 +360,22 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> list[tuple
     if not ids:
         return []
     chosen = F.broadcast(docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in ids], "id long, toxic int"))
-    short = F.size(F.split("text", r"\s+")) <= SAMPLE_WORDS
-    rows = docs.select("doc_id", text_of().alias("text")).join(chosen, F.col("doc_id") == F.col("id")).where(short)
-    return [(r["text"], r["toxic"]) for r in sorted(rows.select("doc_id", "text", "toxic").collect())][:2 * size]
+    rows = docs.select("doc_id", text_of().alias("text")).join(chosen, F.col("doc_id") == F.col("id"))
+    rows = rows.select("doc_id", "text", "toxic", F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("words"))
+    long = F.size("words") > SAMPLE_WORDS
+    rows = rows.select("doc_id", F.when(~long, F.col("text")).alias("text"), "toxic", F.when(long, _some_windows("words")).alias("windows"))
+    found = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["text"] or "", r["windows"] or [], r["toxic"]))[:2 * size]
+    for label in sorted({r["toxic"] for r in ids} - {r["toxic"] for r in found}):
+        logging.getLogger(__name__).warning("no document of the sampled ids labelled %d is there: every text will score 0", label)
+    return [(r["windows"] if r["text"] is None else r["text"], r["toxic"]) for r in found]
+
+
+def _some_windows(words: str) -> Column:
+    """The ``SAMPLE_WINDOWS`` windows of lowest hash, of ``windows`` over the words."""
+    starts = F.sequence(F.lit(0), F.size(words) - 1 - WINDOW + STRIDE, F.lit(STRIDE))
+    every = F.transform(starts, lambda a: F.array_join(F.slice(words, a + 1, F.lit(WINDOW)), " "))
+    hashed = F.transform(every, lambda w: F.struct(F.xxhash64(w).alias("h"), w.alias("w")))
+    return F.transform(F.slice(F.array_sort(F.array_distinct(hashed)), 1, SAMPLE_WINDOWS), lambda x: x["w"])
 
 
 def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Network | None:

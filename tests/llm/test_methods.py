@@ -338,6 +338,34 @@ def test_toxic_words_are_learned():
     assert np.mean((score >= 0.5) == [y for _, y in rows[300:]]) >= 0.95
 
 
+@pytest.mark.parametrize("long_class", [0, 1])
+def test_a_class_of_long_documents_is_learned(spark, long_class):
+    rng = random.Random(10)
+
+    def text(label):
+        n = 2500 if label == long_class else 100
+        words = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 5))) for _ in range(n)]
+        return " ".join(w if not label or k % 9 else rng.choice(["idiot", "moron,", "trash"]) for k, w in enumerate(words))
+    rows = [(k, text(k % 2), k % 2) for k in range(160)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    chosen = toxicity.sample(docs, labels)
+    assert {y for _, y in chosen} == {0, 1}
+    texts = {t for _, t, _ in rows}
+    for t, y in chosen:
+        if y != long_class:
+            assert t in texts
+        else:
+            assert len(t) == toxicity.SAMPLE_WINDOWS and all(len(w.split()) <= toxicity.WINDOW and any(w in x for x in texts) for w in t)
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    assert np.mean([(scores[k] >= 0.5) == y for k, _, y in rows]) >= 0.95
+
+
+def test_a_labelled_class_without_text_is_logged(caplog):
+    assert toxicity.fit(["a b c", " "], [0, 1]) is None
+    assert "every text will score 0" in caplog.text
+
+
 # ---- op9
 
 
