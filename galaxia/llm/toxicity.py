@@ -4,7 +4,8 @@ Inputs of a word: an embedding of the word, the mean embedding of its character
 trigrams, and its log odds among the training documents.  Two gated recurrent
 layers read a window forward and backward, attention pools their states, and a
 linear layer gives the window's logit.  Windows of ``WINDOW`` words overlap by
-``WINDOW - STRIDE`` and cover the whole text; the text's logit is its highest
+``WINDOW - STRIDE`` and cover the whole text, so any passage of half a window lies in
+one whole; the text's logit is its highest
 window's.
 
 Training (numpy, on the driver) uses a bounded sample of labelled documents:
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import fold, lowest_hashes, map_documents, text_of
 
 WINDOW = 64
-STRIDE = 48
+STRIDE = 32
 SAMPLE = 1200
 SAMPLE_WORDS = 1500
 SAMPLE_WINDOWS = 48

@@ -324,6 +324,12 @@ def test_windows_overlap_and_cover():
         assert all(a2 < b for (_, b), (a2, _) in itertools.pairwise(w))
 
 
+def test_a_passage_of_half_a_window_lies_in_one_whole():
+    size = toxicity.WINDOW // 2
+    w = toxicity.windows(1000)
+    assert all(any(a <= at and at + size <= b for a, b in w) for at in range(1000 - size + 1))
+
+
 def test_toxic_words_are_learned():
     rng = random.Random(9)
 
