@@ -79,7 +79,7 @@ def base_spans(text: str) -> list[Span]:
         return []
     out = [("email", a, b) for a, b in _emails(text)] if "@" in text else []
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(q) <= 3 and int(q or "0") <= 255 for q in (p.lstrip("0") for p in m.group().split("."))):
             out.append(("ip", m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = "".join(_DIGIT.findall(m.group())) if m.end() - m.start() <= 64 else ""

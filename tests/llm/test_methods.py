@@ -251,6 +251,11 @@ def crf():
     return pii.fit(texts, epochs=6)
 
 
+def test_an_address_with_a_long_run_of_zeros():
+    assert pii.base_spans("0" * 5000 + ".1.2.3") == [("ip", 0, 5006)]
+    assert pii.base_spans("0" * 5000 + "256.1.2.3") == []
+
+
 def test_dynamic_program_is_best(crf):
     def value(lattice, scores, path):   # path: (first, past, label, segment)
         return sum(scores[n] if n >= 0 else 0 for *_, n in path) + sum(crf.a[p, k] for p, k in itertools.pairwise([0, *[k for _, _, k, _ in path]]))
