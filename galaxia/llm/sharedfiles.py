@@ -5,10 +5,14 @@ from __future__ import annotations
 import io
 import os
 import uuid
+from collections import OrderedDict
 
 import numpy as np
 
-_MAPPED: dict[str, np.ndarray] = {}
+#: Maps a worker keeps open, and bytes it keeps of arrays that cannot be mapped.
+MAPS = 512
+BYTES = 256 << 20
+_MAPPED: OrderedDict[str, np.ndarray] = OrderedDict()
 
 
 def _filesystem(path: str):
@@ -31,16 +35,30 @@ def write_array(folder: str, name: str, values: np.ndarray) -> str:
     return path
 
 
+def read_array(path: str) -> np.ndarray:
+    """The array, read from front to end."""
+    files, local = _filesystem(path)
+    with files.open_input_stream(local) as f:
+        return np.load(io.BytesIO(f.read()), allow_pickle=False)
+
+
+def delete_file(path: str) -> None:
+    files, local = _filesystem(path)
+    files.delete_file(local)
+
+
 def map_array(path: str) -> np.ndarray:
     """The array, memory-mapped: the shared folder is to be one that workers have
     mounted.  Of another store the array is read into memory; nothing is copied to a
-    local folder."""
-    if path not in _MAPPED:
-        from pyarrow import fs
-        files, local = _filesystem(path)
-        if isinstance(files, fs.LocalFileSystem):
-            _MAPPED[path] = np.load(local, mmap_mode="r", allow_pickle=False)
-        else:
-            with files.open_input_stream(local) as f:
-                _MAPPED[path] = np.load(io.BytesIO(f.read()), allow_pickle=False)
+    local folder.  The maps longest unused are closed beyond ``MAPS``, or ``BYTES`` in
+    memory."""
+    if path in _MAPPED:
+        _MAPPED.move_to_end(path)
+        return _MAPPED[path]
+    from pyarrow import fs
+    files, local = _filesystem(path)
+    mounted = isinstance(files, fs.LocalFileSystem)
+    _MAPPED[path] = np.load(local, mmap_mode="r", allow_pickle=False) if mounted else read_array(path)
+    while len(_MAPPED) > MAPS or (not mounted and len(_MAPPED) > 1 and sum(a.nbytes for a in _MAPPED.values()) > BYTES):
+        _MAPPED.popitem(last=False)
     return _MAPPED[path]
