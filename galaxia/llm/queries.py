@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import bpe_words, exact_dedup, kneser_ney, langid, line_dedup, packing, pii, quality, simhash, toxicity
+from . import bpe_words, exact_dedup, kneser_ney, langid, line_dedup, packing, pii, prefix_trie, quality, simhash, spelling, suffix_dedup, toxicity
 from .common import documents
 
 
@@ -67,5 +67,18 @@ def op10_bpe_words(spark, sf_dir):
                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_language_id, op3_best_fit_packing, op4_exact_dedup, op5_simhash, op6_pii, op7_line_dedup, op8_toxicity, op9_quality_rules, op10_bpe_words)}
+def op11_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(spelling.corpus_words(documents(spark, sf_dir)))
+
+
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(documents(spark, sf_dir)).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_kneser_ney, op2_language_id, op3_best_fit_packing, op4_exact_dedup, op5_simhash, op6_pii, op7_line_dedup, op8_toxicity, op9_quality_rules, op10_bpe_words,
+                                  op11_spelling_variants, op12_prefix_trie, op13_suffix_dedup)}
 ORACLE = {"op4_exact_dedup": exact_dedup.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op9_quality_rules": quality.ORACLE}
