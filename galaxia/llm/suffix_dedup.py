@@ -21,9 +21,10 @@ that hold every 100-byte string once and bring equal ones together:
   earlier strings only.
 * Texts are fetched for segments whose anchor has several different ones, and
   dealt by anchor to collections of about ``COLLECTION`` segments.
-* Anchors with more than ``LIMIT`` different segments are divided: windows that
-  reach further left than right and those that do not have longer cores of their
-  own.  Halving goes on until a window is its own core, which has no second
+* Before the construction segments are divided once, as short cores are shared by
+  chance: windows that reach further left than right and those that do not have
+  longer cores of their own.  Those of cores with more than ``LIMIT`` different
+  segments are divided on, until a window is its own core, which has no second
   segment, so no collection grows with a frequent passage.
 
 Defined results: documents are rows with different (doc_id, text), in order of
@@ -264,16 +265,15 @@ def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.mapInPandas(cut, f"{_ID_KIND}, start long, anchor long, h long, n long, bytes binary")
 
 
-def halved(rows: DataFrame, low: int, high: int) -> DataFrame:
+def halved(rows: DataFrame) -> DataFrame:
     """Segments whose windows start ``low`` to ``high`` bytes before the anchor, divided in
     two by that distance.  All windows of a half hold the bytes from the furthest start
     to the nearest end, its core, whose hash is the new anchor's."""
-    middle = (low + high) // 2
-
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
-            for known, doc, th, start, anchor, data in zip(*(b[c] for c in [*_ID, "start", "anchor", "bytes"]), strict=True):
+            for known, doc, th, start, anchor, low, high, data in zip(*(b[c] for c in [*_ID, "start", "anchor", "low", "high", "bytes"]), strict=True):
+                middle = (low + high) // 2
                 for near, far in ((low, middle), (middle + 1, high)):
                     # windows start at ``anchor - far`` to ``anchor - near`` of the segment, inside it
                     i, j = max(anchor - far, 0), min(anchor - near, len(data) - MATCH)
@@ -316,16 +316,17 @@ class Collection:
     def _insert(self, symbols, common, place, following, ended):
         """One round: the suffix of each active string grows by the symbol at ``place``."""
         order = np.argsort(symbols, kind="stable")
-        rank = np.empty(len(order), dtype="int64")
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), dtype="int32")
+        rank[order] = np.arange(len(order), dtype="int32")
         at = rank[place]                                    # among all symbols; ends come first
         new = at + self.size - ended
         # common prefixes with the neighbours: one more than the least between their rests
-        near = np.unique(np.concatenate([at, at + 1]))
-        near = near[(near > ended) & (near < len(order))]
+        touched = np.sort(np.concatenate([at, at + 1]))
+        touched = touched[np.diff(touched, append=len(order)) > 0]      # once each, and none past the last
+        near = touched[touched > ended]
         near = near[symbols[order[near]] == symbols[order[near - 1]]]
-        near = near[np.argsort(-order[near], kind="stable")]        # from the back: no gaps to reduce
-        found = np.zeros(len(order) + 1, dtype="u1")
+        near = near[np.argsort(order[near])[::-1]]          # from the back: no gaps to reduce
+        found = np.zeros(len(order), dtype="u1")
         if len(near):
             pairs = np.empty(2 * len(near), dtype="int64")
             pairs[0::2], pairs[1::2] = order[near - 1] + 1, order[near] + 1
@@ -337,8 +338,6 @@ class Collection:
         out_symbols, out_common = np.empty(grown, dtype="u1"), np.empty(grown, dtype="u1")
         out_symbols[old], out_common[old] = symbols, common
         out_symbols[new] = following
-        touched = np.concatenate([at, at + 1])
-        touched = touched[touched < len(order)]
         out_common[touched + self.size - ended] = found[touched]
         return out_symbols, out_common, new
 
@@ -393,16 +392,13 @@ def repeated(docs: DataFrame, limit: int = LIMIT, per: int = COLLECTION, stored:
     parts.append(whole(found, F.col("length")))
     firsts = found.where("NOT again").drop("again").dropDuplicates(["h", "d"])
     texts = materialize(fetched(docs, contested(firsts)), "segment-texts")
-    low, high = 0, MATCH - CORE
-    ranges = [texts.withColumns({"low": F.lit(low), "high": F.lit(high)})]
-    while ranges:
-        now = ranges.pop()
+    many = texts.withColumns({"low": F.lit(0), "high": F.lit(MATCH - CORE)})
+    while not many.isEmpty():       # seven rounds at most, as a round halves the distances
+        half = materialize(earliest(halved(many.select(*_ID, "start", "anchor", "low", "high", "bytes"))), "segments-halved")
+        parts.append(whole(half, F.octet_length("bytes")))
+        now = materialize(contested(half.where("NOT again").drop("again").dropDuplicates(["h", "d"])), "segments-contested")
         parts.append(collections(now.where(F.col("n") <= limit), per))
         many = now.where(F.col("n") > limit)
-        for low, high in [tuple(r) for r in many.select("low", "high").distinct().collect()]:      # MATCH - CORE ranges at most
-            half = materialize(earliest(halved(many.where((F.col("low") == low) & (F.col("high") == high)).select(*_ID, "start", "anchor", "bytes"), low, high)), "segments-halved")
-            parts.append(whole(half, F.octet_length("bytes")))
-            ranges.append(materialize(contested(half.where("NOT again").drop("again").dropDuplicates(["h", "d"])), "segments-contested"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
