@@ -158,14 +158,16 @@ class Increment:
 
 def _merge_query(table: str):
     def q(spark, sf_dir):
-        return Increment(spark, sf_dir).merged(table)
+        inc = Increment(spark, sf_dir)
+        return inc.I.published(inc.merged(table))
     q.__name__ = f"merge_{table}"
     return q
 
 
 def _state_query(table: str, which: str = "s2"):
     def q(spark, sf_dir):
-        return getattr(Increment(spark, sf_dir), which)[table]
+        inc = Increment(spark, sf_dir)
+        return inc.I.published(getattr(inc, which)[table])
     q.__name__ = f"{which}_{table}"
     return q
 
@@ -372,6 +374,51 @@ QUERIES.update({
 })
 
 
+def late_versions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1 + I5: after both batches the older one is sent again; its older versions
+    change nothing, so the facts are those of the batches in their order."""
+    inc = Increment(spark, sf_dir)
+    late = {e: inc.batch1[e] for e in inc.I.INCREMENTAL}
+    return inc.I.published(inc.I.run_batch(inc.s2, late, FIXTURE, dt.NOW)["fact_orders"])
+
+
+def _reversed_query(fact: str):
+    def q(spark, sf_dir):
+        """M1 + I5: the newer batch first, the older one after it; the columns that
+        merges update, with their keys, are those of the batches in their order."""
+        from .operators.merge import UPDATE_COLS
+        from .sources import schemas
+        inc = Increment(spark, sf_dir)
+        older = {e: inc.batch1[e] for e in inc.I.INCREMENTAL}
+        nothing = {e: df.where("false") if e in inc.I.INCREMENTAL else df for e, df in inc.batch1.items()}
+        state = inc.I.initial_load(nothing, FIXTURE, dt.NOW)
+        for batch in (inc.batch2, older):
+            state = inc.I.run_batch(state, batch, FIXTURE, dt.NOW)
+        return state[fact].select(*schemas.GOLD_KEYS[fact][1], *UPDATE_COLS[fact])
+    return q
+
+
+def stream_refresh_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A refresh of the products sent through the stream as a file batch."""
+    import uuid
+
+    from .session import ensure_checkpoint_dir
+    from .sources.io import GoldStore
+    from .streaming.increments import publish_changes, stream_increments
+    inc = Increment(spark, sf_dir)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/galaxia-stream-{uuid.uuid4().hex}"
+    store = GoldStore(spark, f"{base}/state", buckets=8)
+    store.publish_initial(inc.I.initial_load({**inc.sources, "products": _earlier(inc.m, "products")}, FIXTURE, dt.NOW))
+    publish_changes(spark, f"{base}/changes", 1, {"products": inc.sources["products"]})
+    stream_increments(spark, f"{base}/changes", store, FIXTURE, dt.NOW, f"{base}/checkpoint")
+    return store.read("dim_products")
+
+
+QUERIES |= {"late_versions": late_versions_query, "stream_refresh": stream_refresh_query}
+QUERIES |= {f"reversed_batches_{k}": _reversed_query(f) for k, f in
+            {"orders": "fact_orders", "payments": "fact_order_payments", "reviews": "fact_order_reviews"}.items()}
+
+
 def stream_replay_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Initial load published to a store, the rest of the history sent as
     a file batch through the stream, the final fact_orders read back."""
@@ -549,7 +596,7 @@ def parked_items_landed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = Model(spark, sf_dir)
     ents = ["customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"]
     first = I.initial_load({**{e: m.source(e) for e in ents}, "products": _earlier(m, "products")}, FIXTURE, dt.NOW)
-    return I.run_batch(first, {"products": m.source("products")}, FIXTURE, dt.NOW)["fact_order_items"]
+    return I.published(I.run_batch(first, {"products": m.source("products")}, FIXTURE, dt.NOW)["fact_order_items"])
 
 
 def increment_refetch_none_query(spark: SparkSession, sf_dir: str) -> DataFrame:

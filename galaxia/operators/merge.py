@@ -15,7 +15,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.schemas import GOLD, GOLD_KEYS
+from ..sources.schemas import GOLD, GOLD_KEYS, VERSION
 from .keys import assign_sk, max_sk
 
 _T, _S = "__in_target", "__in_source"
@@ -46,12 +46,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     * source only: inserted, with a new surrogate key after the target's max;
     * target only: unchanged.
 
+    When both sides carry the change time (``schemas.VERSION``), a matched row takes
+    the source only if that is the newer version: an older one that arrives late
+    changes nothing, so batches may be applied in any order.  Versions of the same
+    time are ordered by a hash of the updated columns; no time is older than any.
+
     ``source`` must hold one row per key (run W1 first; a duplicate source key
     would fan the target row out).
     """
     keys = list(keys)
     cols = [c for c in target.columns if c not in keys and c != sk_col]
     src_cols = [c for c in cols if c in source.columns]
+    versioned = VERSION in target.columns and VERSION in source.columns
+    update_cols = [c for c in update_cols if c in cols] + [VERSION] * versioned
     src = source.select(*keys, *src_cols)
     s = src.select(*keys, *[F.col(c).alias(f"s__{c}") for c in src_cols if c in update_cols], F.lit(True).alias(_S))
     j = target.join(s, keys, "left")
@@ -61,7 +68,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     new = src.join(held, keys, "left_anti")
     if sk_col:
         new = assign_sk(new, keys, sk_col, max_sk(target, sk_col) if start_sk is None else start_sk)
-    kept = j.select(*[F.when(F.col(_S), F.col(f"s__{c}") if c in src_cols else F.lit(None)).otherwise(F.col(c)).alias(c)
+    taken = F.col(_S)
+    if versioned:
+        mine, theirs = F.col(VERSION), F.col(f"s__{VERSION}")
+        content = [c for c in update_cols if c in src_cols and c != VERSION]
+        same = F.xxhash64(*[F.col(f"s__{c}") for c in content]) >= F.xxhash64(*content)
+        newer = (theirs > mine) | (mine.isNull() & theirs.isNotNull()) | (theirs.eqNullSafe(mine) & same)
+        taken = taken & F.coalesce(newer, F.lit(False))
+    kept = j.select(*[F.when(taken, F.col(f"s__{c}") if c in src_cols else F.lit(None)).otherwise(F.col(c)).alias(c)
                       if c in update_cols else F.col(c) for c in target.columns])
     types = {f.name: f.dataType for f in target.schema}
     added = new.select(*[(F.col(c) if c in new.columns else F.lit(None)).cast(types[c]).alias(c) for c in target.columns])

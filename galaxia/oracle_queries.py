@@ -120,7 +120,8 @@ ORACLE.update({
 })
 
 
-from .oracle import MIN, NOW, _dedup, increment_ctes, watermark_sql  # noqa: E402,F401
+from .oracle import MERGE_UPDATES, MIN, NOW, _dedup, increment_ctes, watermark_sql  # noqa: E402,F401
+from .sources.schemas import GOLD_KEYS  # noqa: E402
 
 _I = increment_ctes()
 
@@ -260,6 +261,9 @@ ORACLE.update({
 })
 
 ORACLE["stream_replay"] = ORACLE["replay_two_batches"]
+ORACLE["late_versions"] = ORACLE["replay_two_batches"]
+ORACLE |= {f"reversed_batches_{n}": _i(f"SELECT {', '.join([*GOLD_KEYS[t][1], *MERGE_UPDATES[t]])} FROM g2_{t}") for n, t in
+           {"orders": "fact_orders", "payments": "fact_order_payments", "reviews": "fact_order_reviews"}.items()}
 
 ORACLE["bronze_orders"] = _raw(["orders"], f"""SELECT *, TIMESTAMP '{NOW}' AS ingested_at,
     'orders' AS Source_Table FROM raw_orders""")
@@ -314,6 +318,7 @@ ORACLE["exact_medians_nonfinite"] = """SELECT
     FROM lineitem"""
 
 ORACLE["refresh_products"] = with_(refresh_ctes("products"), "SELECT * FROM g2_dim_products")
+ORACLE["stream_refresh"] = ORACLE["refresh_products"]
 ORACLE["refresh_sellers"] = with_(refresh_ctes("sellers"), """SELECT * REPLACE (
     round(CAST(seller_lat AS DOUBLE), 6) AS seller_lat, round(CAST(seller_lng AS DOUBLE), 6) AS seller_lng) FROM g2_dim_sellers""")
 _landed = [*refresh_ctes("products"), "g2_dim_sellers AS (SELECT * FROM g1_dim_sellers)",

@@ -18,16 +18,21 @@ from ..sources.schemas import conform
 from .lazy import OnceDict
 
 
-def _with_sk(df: DataFrame, table: str, start: int = 0) -> DataFrame:
+def _with_sk(df: DataFrame, table: str, versions: bool = False) -> DataFrame:
     sk, keys = schemas.GOLD_KEYS[table]
-    return conform(assign_sk(df, keys, sk, start), schemas.GOLD[table])
+    return conform(assign_sk(df, keys, sk), schemas.stored(table) if versions else schemas.GOLD[table])
+
+
+def _version(silver: DataFrame) -> list:
+    """The change time rows are merged by, where the silver table has one."""
+    return [F.col("last_modified_at").alias(schemas.VERSION)] if "last_modified_at" in silver.columns else []
 
 
 def dim_rows(silver: DataFrame, table: str) -> DataFrame:
     """Silver -> dimension columns (no key yet), with the gold types."""
     if table == "dim_customers":
         return silver.select("customer_id", "customer_unique_id", "customer_city", "customer_state",
-                             "customer_zip_code_prefix")
+                             "customer_zip_code_prefix", *_version(silver))
     if table == "dim_sellers":
         return silver.select("seller_id", "seller_city", "seller_state", "seller_zip_code_prefix",
                              F.col("geolocation_lat").try_cast(schemas.COORD).alias("seller_lat"),
@@ -48,7 +53,7 @@ def order_rows(silver_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
     """J1 + T8: customer key looked up, times cut to dates."""
     j = lookup_sk(silver_orders, dim_customers, "customer_id", "customer_sk")
     return j.select("order_id", "customer_sk", "order_status",
-                    *[F.col(c).cast("date").alias(c) for c in ORDER_DATES])
+                    *[F.col(c).cast("date").alias(c) for c in ORDER_DATES], *_version(silver_orders))
 
 
 def item_rows(silver_items: DataFrame, dim_products: DataFrame, dim_sellers: DataFrame) -> DataFrame:
@@ -57,13 +62,13 @@ def item_rows(silver_items: DataFrame, dim_products: DataFrame, dim_sellers: Dat
                   dim_sellers, "seller_id", "seller_sk")
     return j.select("order_id", "order_item_id", "product_sk", "seller_sk",
                     F.col("shipping_limit_date").cast("date").alias("shipping_limit_date"),
-                    "price", "freight_value")
+                    "price", "freight_value", *_version(silver_items))
 
 
 def payment_rows(silver_payments: DataFrame, fact_orders: DataFrame) -> DataFrame:
     """Payments of orders that reached gold."""
     return require_parent(silver_payments, fact_orders, ["order_id"]).select(
-        "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value")
+        "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value", *_version(silver_payments))
 
 
 def review_rows(silver_reviews: DataFrame, fact_orders: DataFrame) -> DataFrame:
@@ -71,29 +76,29 @@ def review_rows(silver_reviews: DataFrame, fact_orders: DataFrame) -> DataFrame:
     return require_parent(silver_reviews, fact_orders, ["order_id"]).select(
         "review_id", "order_id", "review_score", "review_comment_title", "review_comment_message",
         F.col("review_creation_date").cast("date").alias("review_creation_date"),
-        F.col("review_answer_timestamp").cast("date").alias("review_answer_date"))
+        F.col("review_answer_timestamp").cast("date").alias("review_answer_date"), *_version(silver_reviews))
 
 
 class GoldTables(OnceDict):
     """Gold tables built on first access, once each (a build writes its key map)."""
 
-    def __init__(self, silver: dict[str, DataFrame]):
+    def __init__(self, silver: dict[str, DataFrame], versions: bool = False):
         super().__init__()
-        self.silver = silver
+        self.silver, self.versions = silver, versions
 
     def build(self, t: str) -> DataFrame:
         s = self.silver
         if t in ("dim_customers", "dim_sellers", "dim_products"):
             e = {"dim_customers": "customers", "dim_sellers": "sellers", "dim_products": "products"}[t]
-            df = _with_sk(dim_rows(s[e], t), t)
+            df = _with_sk(dim_rows(s[e], t), t, self.versions)
         elif t == "fact_orders":
-            df = _with_sk(order_rows(s["orders"], self["dim_customers"]), t)
+            df = _with_sk(order_rows(s["orders"], self["dim_customers"]), t, self.versions)
         elif t == "fact_order_items":
-            df = _with_sk(item_rows(s["order_items"], self["dim_products"], self["dim_sellers"]), t)
+            df = _with_sk(item_rows(s["order_items"], self["dim_products"], self["dim_sellers"]), t, self.versions)
         elif t == "fact_order_payments":
-            df = _with_sk(payment_rows(s["order_payments"], self["fact_orders"]), t)
+            df = _with_sk(payment_rows(s["order_payments"], self["fact_orders"]), t, self.versions)
         elif t == "fact_order_reviews":
-            df = _with_sk(review_rows(s["order_reviews"], self["fact_orders"]), t)
+            df = _with_sk(review_rows(s["order_reviews"], self["fact_orders"]), t, self.versions)
         elif t == "dim_date":
             from ..functions.dates import calendar_for
             df = calendar_for([(self["fact_orders"], "order_purchase_timestamp"),
@@ -118,7 +123,8 @@ GOLD_TABLES = ["dim_customers", "dim_sellers", "dim_products", "fact_orders", "f
                "fact_order_payments", "fact_order_reviews", "dim_date"]
 
 
-def build_gold(silver: dict[str, DataFrame], spark: SparkSession | None = None) -> GoldTables:
+def build_gold(silver: dict[str, DataFrame], spark: SparkSession | None = None, versions: bool = False) -> GoldTables:
     """Full load (G2-G8, T1).  The returned mapping builds each table on first
-    access; ``parked_*`` are the silver fact rows whose parent row is missing."""
-    return GoldTables(silver)
+    access; ``parked_*`` are the silver fact rows whose parent row is missing.
+    ``versions`` keeps the change time with each row, for later merges."""
+    return GoldTables(silver, versions)

@@ -134,7 +134,7 @@ def initial_load(sources: dict[str, DataFrame], params: SV.Params, now, persist=
     params = dataclasses.replace(params, now=str(now))
     silver = {e: conform(df, schemas.SILVER[e]) for e, df in silver.items()} if silver else Lazy(
         {e: (lambda e=e: _silver_once(e, sources[e], params, persist)) for e in sources if e in SV.CLEANERS})
-    gold = G.build_gold(silver)
+    gold = G.build_gold(silver, versions=True)
     thunks = {t: (lambda t=t: gold[t]) for t in STATE_TABLES if t != "control"}
     thunks["control"] = lambda: batch_watermarks({e: sources[e] for e in INCREMENTAL if e in sources}, now)
     return Lazy(thunks)
@@ -207,8 +207,9 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
         thunks[fact] = lambda e=e, fact=fact: merge(fact, prev[fact], landed[e])
         thunks[f"parked_{e}"] = lambda e=e: not_in(src[e], landed[e], schemas.KEYS[e])
     thunks["landed_orders"] = lambda: landed["orders"]
-    thunks["control"] = lambda: persist(advance_watermarks(
-        prev["control"], {e: changes[e] for e in INCREMENTAL if e in changes}, now), "control")
+    stamped = {e: changes[e] for e in INCREMENTAL if e in changes}
+    if stamped:      # a batch of refreshed tables only moves no mark
+        thunks["control"] = lambda: persist(advance_watermarks(prev["control"], stamped, now), "control")
     st.thunks = thunks
     return st
 
@@ -239,13 +240,19 @@ def replay(spark: SparkSession, sources: dict[str, DataFrame], cuts: list[str],
     return state
 
 
-def _land_bronze(sources: dict[str, DataFrame], bronze_root: str | None, now) -> None:
-    """S4 + S5: append each extracted table to bronze, stamped, before cleaning."""
+def published(table: DataFrame) -> DataFrame:
+    """A gold table without the change time it is stored with."""
+    return table.drop(schemas.VERSION)
+
+
+def _land_bronze(sources: dict[str, DataFrame], bronze_root: str | None, now, batch_id) -> None:
+    """S4 + S5: add each extracted table to bronze, stamped, before cleaning.  A batch
+    has a partition of its own, which it replaces when it is run again."""
     if not bronze_root:
         return
     from ..sources.io import bronze_ingest, write_table
     for e, df in sources.items():
-        write_table(bronze_ingest(df, e, now), f"{bronze_root.rstrip('/')}/{e}", mode="append")
+        write_table(bronze_ingest(df, e, now), f"{bronze_root.rstrip('/')}/{e}/batch_id={batch_id}", mode="overwrite")
 
 
 def run_initial(store, sources: dict[str, DataFrame], params: SV.Params, now,
@@ -253,7 +260,7 @@ def run_initial(store, sources: dict[str, DataFrame], params: SV.Params, now,
     """Entry 1 end to end: land bronze (optional), clean, store silver (optional),
     build gold, park, capture watermarks, publish to ``store`` -- with the medians
     the load used."""
-    _land_bronze(sources, bronze_root, now)
+    _land_bronze(sources, bronze_root, now, 0)
     p = dataclasses.replace(params, observed={})
     with scratch_scope(store.spark, "load"):
         silver = store_silver(sources, p, now, silver_root) if silver_root else None
@@ -270,5 +277,6 @@ def run_increment(store, sources: dict[str, DataFrame], params: SV.Params, now,
     marks = {r["table_name"]: r["max_last_modified_at"] for r in control.collect()}  # one row per table
     changes = {e: changed_since(sources[e], marks.get(e)) for e in INCREMENTAL if e in sources}
     changes |= {e: sources[e] for e in REFRESHED if e in sources}
-    _land_bronze(changes, bronze_root, now)
+    # without an id of its own the batch is known by the state it goes on from
+    _land_bronze(changes, bronze_root, now, m["version"] if batch_id is None else batch_id)
     return store.run_batch(changes, params, now, batch_id=batch_id)

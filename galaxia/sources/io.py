@@ -177,10 +177,14 @@ class GoldStore:
             return schemas.CONTROL
         if table.startswith("parked_"):
             return schemas.SILVER[table[len("parked_"):]]
-        return schemas.GOLD[table]
+        return schemas.stored(table)
 
     def read(self, table: str, buckets=None, manifest: dict | None = None) -> DataFrame:
-        """The current rows of ``table`` (only ``buckets`` when given)."""
+        """The current published rows of ``table`` (only ``buckets`` when given)."""
+        return self._read(table, buckets, manifest).drop(schemas.VERSION)
+
+    def _read(self, table: str, buckets=None, manifest: dict | None = None) -> DataFrame:
+        """The rows as they are stored, with their change time."""
         m = (manifest or self.manifest())["tables"].get(table)
         schema = self._schema(table)
         if not m or not m["parts"]:
@@ -249,7 +253,7 @@ class GoldStore:
     def state(self, manifest: dict | None = None) -> dict[str, DataFrame]:
         from ..plans.incremental import Lazy
         m = manifest or self.manifest()
-        return Lazy({t: (lambda t=t: self.read(t, manifest=m)) for t in BUCKET_KEY})
+        return Lazy({t: (lambda t=t: self._read(t, manifest=m)) for t in BUCKET_KEY})
 
     def run_batch(self, changes: dict[str, DataFrame], params, now, batch_id=None) -> dict:
         """I4 against the stored state: each upsert reads only the buckets its
@@ -282,7 +286,7 @@ class GoldStore:
             if not touched:
                 return target_full
             entry = work["tables"].get(table, {})
-            target = self.read(table, buckets=touched, manifest=work)
+            target = self._read(table, buckets=touched, manifest=work)
             merged = upsert(target, rows, keys, UPDATE_COLS[table], sk, start_sk=entry.get("max_sk", 0))
             work["tables"][table] = self._write(table, merged, v, entry)
             return self.read(table, manifest=work)

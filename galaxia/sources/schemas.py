@@ -165,6 +165,16 @@ GOLD_KEYS = {
 }
 
 
+#: The change time a stored gold row was last written with; not part of the published tables.
+VERSION = "changed_at"
+VERSIONED = ("dim_customers", "fact_orders", "fact_order_items", "fact_order_payments", "fact_order_reviews")
+
+
+def stored(table: str) -> StructType:
+    """The columns a gold table is stored with."""
+    return _schema(*[(f.name, f.dataType) for f in GOLD[table].fields], (VERSION, TS)) if table in VERSIONED else GOLD[table]
+
+
 def conform(df: DataFrame, schema: StructType, extra: dict[str, Column] | None = None) -> DataFrame:
     """Project ``df`` onto ``schema``: exact column order, ``try_cast`` to each
     declared type (ANSI mode raises on a bad ``cast``).  Missing columns become

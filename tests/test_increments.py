@@ -119,3 +119,30 @@ def test_small_batch_does_not_move_the_target(spark, scratch):
     out = out.where("k in ('5', 'x')").collect()
     assert sorted((r["k"], r["sk"], r["v"]) for r in out) == [("5", 5, None), ("x", 200_001, "new")]
     assert merge.upsert(target, rows, ["k"], ["v"], "sk", start_sk=200_000).count() == 200_001
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 0, 2), (1, 2, 0)])
+def test_upserts_in_any_order_give_one_state(spark, order):
+    kind = "k long, sk long, v string, changed_at timestamp_ntz"
+    target = spark.createDataFrame([(1, 1, "a", d(2)), (2, 2, "b", None), (3, 3, "c", d(9))], kind)
+    t = [spark.createDataFrame(rows, "k long, v string, changed_at timestamp_ntz") for rows in (
+        [(1, "a4", d(4)), (2, "b0", None), (3, "c1", d(1)), (4, "x", d(1))],
+        [(1, None, d(5)), (2, "b1", d(1)), (4, "y", d(3))],
+        [(1, "a3", d(3)), (3, "c2", None), (4, "old", None)])]
+    for i in order:
+        target = merge.upsert(target, t[i], ["k"], ["v"], "sk")
+    got = {r["k"]: (r["v"], r["changed_at"]) for r in target.collect()}
+    assert got[2] == ("b1", d(1)) and got[3] == ("c", d(9)) and got[4] == ("y", d(3))
+    assert got[1] == (None, d(5))
+
+
+def test_equal_times_are_ordered_by_content(spark):
+    a, b = ([(1, x, d(5))] for x in (None, "same time"))
+    start = spark.createDataFrame([(1, 1, "a", d(2))], "k long, sk long, v string, changed_at timestamp_ntz")
+    found = []
+    for rows in ((a, b), (b, a)):
+        now = start
+        for r in rows:
+            now = merge.upsert(now, spark.createDataFrame(r, "k long, v string, changed_at timestamp_ntz"), ["k"], ["v"], "sk")
+        found.append(now.collect())
+    assert found[0] == found[1]

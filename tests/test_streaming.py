@@ -1,8 +1,14 @@
 """The file stream applies each announced batch once, also across restarts."""
 
+import datetime as dt
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from galaxia.plans import incremental as I
+from galaxia.sources import schemas
 from galaxia.sources.io import GoldStore
-from galaxia.streaming.increments import publish_changes, stream_increments
+from galaxia.streaming.increments import MARKER_SCHEMA, publish_changes, stream_increments
 from test_model import K, P, _sources, d, orders_df
 
 
@@ -21,3 +27,43 @@ def test_stream_restart_applies_each_batch_once(spark, scratch):
     assert m["applied"] == [1, 2]
     got = sorted((r["order_id"], r["order_sk"], r["order_status"]) for r in store.read("fact_orders").collect())
     assert got == [(K[1], 1, "delivered"), (K[2], 2, "a")]
+
+
+def _store(spark, scratch, **more):
+    c1 = [(K[0], K[0], 1, "city", "SP", d(), d())]
+    store = GoldStore(spark, scratch + "/state", buckets=4)
+    store.publish_initial(I.initial_load({**_sources(spark, c1, [(K[1], K[0], "shipped", d(), None, None, d(4))]), **more}, P, "2019-01-01 00:00:00"))
+    return store
+
+
+def _sellers(spark, rows):
+    return spark.createDataFrame([(i, 1, c, "SP", 0.0, 0.0) for i, c in rows], schemas.RAW["sellers"])
+
+
+def test_refreshed_tables_flow_through_the_stream(spark, scratch):
+    store = _store(spark, scratch, sellers=_sellers(spark, [("a", "x"), ("c", "x")]))
+    publish_changes(spark, scratch + "/changes", 1, {"sellers": _sellers(spark, [("a", "new"), ("b", "x")])})
+    stream_increments(spark, scratch + "/changes", store, P, "2019-01-02 00:00:00", scratch + "/ckpt")
+    got = sorted((r["seller_id"], r["seller_sk"], r["seller_city"]) for r in store.read("dim_sellers").collect())
+    assert got == [("a", 1, "new"), ("b", 3, "x"), ("c", 2, "x")]
+
+
+@pytest.mark.parametrize("entities", [{"orders": 2}, {"orders": 1, "nonsense": 1}, {"order_items": 1}, None])
+def test_a_bad_marker_is_not_applied(spark, scratch, entities):
+    store, changes = _store(spark, scratch), scratch + "/changes"
+    publish_changes(spark, changes, 1, {"orders": orders_df(spark, [(K[2], K[0], "a", d(1), None, None, d(1))])})
+    spark.createDataFrame([(1, entities)], MARKER_SCHEMA).coalesce(1).write.mode("overwrite").json(changes + "/_batches")
+    with pytest.raises(StreamingQueryException):
+        stream_increments(spark, changes, store, P, "2019-01-02 00:00:00", scratch + "/ckpt")
+    assert store.manifest()["applied"] == [] and store.read("fact_orders").count() == 1
+    with pytest.raises(ValueError):
+        publish_changes(spark, changes, 3, {"nonsense": spark.range(1)})
+
+
+def test_an_older_version_that_arrives_late_changes_nothing(spark, scratch):
+    store, changes = _store(spark, scratch), scratch + "/changes"
+    late = [(K[1], K[0], "zz", d(), None, None, dt.datetime(1990, 1, 1)), (K[2], K[0], "new", d(), None, None, dt.datetime(1990, 1, 1))]
+    publish_changes(spark, changes, 1, {"orders": orders_df(spark, late)})
+    stream_increments(spark, changes, store, P, "2019-01-02 00:00:00", scratch + "/ckpt")
+    assert sorted((r["order_id"], r["order_status"]) for r in store.read("fact_orders").collect()) == [(K[1], "shipped"), (K[2], "new")]
+    assert store.read("fact_orders").columns == schemas.GOLD["fact_orders"].fieldNames()
