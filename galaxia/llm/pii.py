@@ -36,6 +36,8 @@ LABELS = ("", *KINDS)
 MAX_TOKENS = 16
 MAX_GROUPS = 6
 MAX_DIGITS = 20
+#: Characters of a text that training takes as one.
+PIECE = 20_000
 SAMPLE = 400
 EPOCHS = 12
 
@@ -386,9 +388,13 @@ def masked(text: str, spans: list[Span]) -> str:
 
 def train(docs: DataFrame, size: int = SAMPLE) -> Model:
     """A model of at most ``size`` distinct texts that hold a trigger, by the hash of
-    the text.  Copies are one text, merged before the driver sees them."""
-    texts = (docs.select(text_of().alias("text")).where(F.col("text").rlike("[0-9@]") & (F.char_length("text") <= 20_000))
-             .select("text", F.xxhash64("text").alias("h")))
+    the text; texts longer than ``PIECE`` are cut into pieces, each a text of its own.
+    Copies are one text, merged before the driver sees them."""
+    starts = F.sequence(F.lit(0), F.floor((F.char_length("text") - 1) / PIECE).cast("int"))
+    pieces = F.transform(starts, lambda k: F.substring(F.col("text"), k * PIECE + 1, F.lit(PIECE)))
+    texts = (docs.select(text_of().alias("text")).where(F.col("text").rlike("[0-9@]"))
+             .select(F.explode(F.when(F.char_length("text") <= PIECE, F.array("text")).otherwise(pieces)).alias("text"))
+             .where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h")))
     distinct = texts.agg(F.approx_count_distinct("h")).first()[0]
     rows = texts.where(lowest_hashes(F.col("h"), distinct, size)).groupBy("h").agg(F.min("text").alias("text")).collect()
     return fit([r["text"] for r in sorted(rows)[:size]])
