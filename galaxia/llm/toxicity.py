@@ -350,7 +350,8 @@ class Scorer:
 
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> list[tuple[str | list[str], int]]:
     """(text, label) of at most ``size`` documents of either class, by the hash of
-    their ids, held-out ones left aside; long texts as a list of windows."""
+    their ids, held-out ones left aside; long texts as a list of windows.  Rows that
+    repeat an id count once; of different texts of an id the one of least hash counts."""
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic")).where(~held_out(F.col("doc_id"))))
     order = F.xxhash64("doc_id", F.lit("sample"))
@@ -362,10 +363,12 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> list[tuple
         return []
     chosen = F.broadcast(docs.sparkSession.createDataFrame([(r["doc_id"], r["toxic"]) for r in ids], "id long, toxic int"))
     rows = docs.select("doc_id", text_of().alias("text")).join(chosen, F.col("doc_id") == F.col("id"))
+    # a row an id, however often it is repeated and whatever texts it has
+    rows = rows.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic"))
     rows = rows.select("doc_id", "text", "toxic", F.filter(F.split("text", r"\s+"), lambda w: w != "").alias("words"))
     long = F.size("words") > SAMPLE_WORDS
     rows = rows.select("doc_id", F.when(~long, F.col("text")).alias("text"), "toxic", F.when(long, _some_windows("words")).alias("windows"))
-    found = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["text"] or "", r["windows"] or [], r["toxic"]))[:2 * size]
+    found = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["text"] or "", r["windows"] or [], r["toxic"]))
     for label in sorted({r["toxic"] for r in ids} - {r["toxic"] for r in found}):
         logging.getLogger(__name__).warning("no document of the sampled ids labelled %d is there: every text will score 0", label)
     return [(r["windows"] if r["text"] is None else r["text"], r["toxic"]) for r in found]
