@@ -3,8 +3,10 @@
 Each document is measured once, in place: words, symbols, repeated lines, and
 words in repeated three-word windows.  Rule failures are then counted by host
 (the ``source`` column), each host's failure rates are shrunk towards all hosts
-by an empirical beta prior, and hosts whose shrunk rate of any rule is above
-``HOST_MAX_RATE`` fail; the verdict is joined back to the documents.  A host
+by an empirical beta prior, and hosts whose shrunk rate of any rule is above a
+limit fail.  The limit is the prior's mean and ``HOST_SPREADS`` of its standard
+deviations, ``HOST_MAX_RATE`` at most: hosts are judged against what hosts of the
+corpus usually do; the verdict is joined back to the documents.  A host
 with few documents therefore needs several failures before it is judged, and a
 hot host is one row per map task before the shuffle.
 
@@ -27,6 +29,7 @@ MAX_REPEAT_PERCENT = 50
 MAX_SYMBOLS_PER_100_WORDS = 50
 MAX_DUP_LINE_PERCENT = 50
 HOST_MAX_RATE = 0.75
+HOST_SPREADS = 3.0
 RULES = ("short", "repeats", "symbols", "dup_lines")
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -87,10 +90,16 @@ def host_verdicts(failed: DataFrame, max_rate: float = HOST_MAX_RATE) -> DataFra
     for r in RULES:
         a, b = beta_prior(total["n"] or 0, total["hosts"] or 0, total[f"k_{r}"] or 0, total[f"q_{r}"] or 0.0)
         rate = (F.col(f"k_{r}") + a) / (F.col("n") + a + b)
-        out, ok = out.withColumn(f"rate_{r}", rate), ok & (rate <= max_rate)
+        out, ok = out.withColumn(f"rate_{r}", rate), ok & (rate <= host_limit(a, b, max_rate))
     return out.withColumn("host_ok", ok)
 
 
+def host_limit(a: float, b: float, max_rate: float = HOST_MAX_RATE) -> float:
+    """The rate above which a host fails under the prior Beta(a, b)."""
+    mean = a / (a + b)
+    return min(max_rate, mean + HOST_SPREADS * (mean * (1 - mean) / (a + b + 1)) ** 0.5)
+
+
 def beta_prior(n: int, hosts: int, k: int, q: float) -> tuple[float, float]:
     """n documents of which k failed, on so many hosts; q = sum of k_h^2 / n_h.
     Moments of a beta-binomial, hosts weighed by their documents."""
@@ -138,7 +147,9 @@ def _oracle() -> str:
         flat = f"hosts < 2 OR k_{r} = 0 OR k_{r} = n"
         prior.append(f"CASE WHEN {flat} THEN greatest({m}, 1e-9) ELSE {m} * {strength} END AS a_{r}, "
                      f"CASE WHEN {flat} THEN greatest(1 - {m}, 1e-9) ELSE (1 - {m}) * {strength} END AS b_{r}")
-    ok = " AND ".join(f"(h.k_{r} + a_{r}) / (h.n + a_{r} + b_{r}) <= {HOST_MAX_RATE}" for r in RULES)
+    mean = {r: f"(a_{r} / (a_{r} + b_{r}))" for r in RULES}
+    limit = {r: f"least({HOST_MAX_RATE}, {mean[r]} + {HOST_SPREADS} * sqrt({mean[r]} * (1 - {mean[r]}) / (a_{r} + b_{r} + 1)))" for r in RULES}
+    ok = " AND ".join(f"(h.k_{r} + a_{r}) / (h.n + a_{r} + b_{r}) <= {limit[r]}" for r in RULES)
     return rf"""
 WITH t AS (
   SELECT doc_id, source, coalesce(text, '') AS text,
