@@ -193,6 +193,8 @@ def _is_shared(h: np.ndarray, bits: int, paths: dict[int, str]) -> np.ndarray:
     order = np.argsort(h)
     own = h[order]
     found = np.zeros(len(h), dtype=bool)
+    if not len(h):
+        return found
     bucket = (own >> np.uint64(64 - bits)).astype("int64")
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
     for i, j in zip(cuts, [*cuts[1:], len(own)], strict=True):
