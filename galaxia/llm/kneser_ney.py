@@ -31,12 +31,12 @@ token has probability 1 / (V + 1) with V = 0; other columns are ignored.
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +49,6 @@ RANGE_TOKENS = 1 << 22
 #: Tokens a task counts before it sends a run.
 RUN_TOKENS = 1 << 22
 ORDER = 3
-CACHE_WORDS = 1 << 20
 UNKNOWN = (1 << 32) - 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _I1, _I2 = (np.uint64(pow(int(m), -1, 1 << 64)) for m in (_M1, _M2))
@@ -76,8 +75,21 @@ def word_hash(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
 
 
-def tokens(text: str) -> list[bytes]:
-    return text.encode("utf-8", "replace").lower().split()
+# The bytes between words.
+_SPACE = np.isin(np.arange(256), [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20])
+
+
+def split(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of all texts, one after the other, and how many each text has."""
+    raw = [t.encode("utf-8", "replace") for t in texts]
+    data = np.frombuffer(b" ".join(raw).lower(), np.uint8)
+    solid = ~_SPACE[data]
+    edges = np.flatnonzero(np.diff(solid.view(np.int8), prepend=0, append=0))
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[solid])])
+    past = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)
+    return words, np.diff(np.searchsorted(starts, past), prepend=0)
 
 
 # ---------------------------------------------------------------- sorted runs
@@ -87,11 +99,11 @@ def pack_run(keys: np.ndarray, counts: np.ndarray) -> bytes:
     """A sorted run, small: differences of keys and counts, bytes of one place together."""
     gaps = np.diff(keys, prepend=np.zeros(1, keys.dtype)).astype("<u8")
     body = gaps.view(np.uint8).reshape(-1, 8).T.tobytes() + counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-    return zlib.compress(body, 1)
+    return zstandard.ZstdCompressor(level=1).compress(body)
 
 
 def unpack_run(run: bytes) -> tuple[np.ndarray, np.ndarray]:
-    body = np.frombuffer(zlib.decompress(run), np.uint8)
+    body = np.frombuffer(zstandard.ZstdDecompressor().decompress(run), np.uint8)
     n = len(body) // 12
     gaps = np.ascontiguousarray(body[:8 * n].reshape(8, n).T).view("<u8").ravel()
     return np.cumsum(gaps, dtype=np.uint64), np.ascontiguousarray(body[8 * n:].reshape(4, n).T).view("<u4").ravel()
@@ -100,12 +112,15 @@ def unpack_run(run: bytes) -> tuple[np.ndarray, np.ndarray]:
 def merge_runs(runs) -> tuple[np.ndarray, np.ndarray]:
     """One sorted run of many, counts of equal keys added."""
     parts = [unpack_run(bytes(r)) for r in runs]
-    keys = np.concatenate([k for k, _ in parts])
-    counts = np.concatenate([c for _, c in parts]).astype(np.int64)
+    return add_up(np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts]))
+
+
+def add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys sorted, counts of equal ones added."""
     order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-    return keys[first], np.add.reduceat(counts, first)
+    keys, counts = keys[order], counts[order].astype(np.int64)
+    first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
 def write_counts(folder: str, name: str, table: np.ndarray) -> list[str]:
@@ -163,10 +178,6 @@ class Model:
         self.d3 = self.d2 = self.d1 = (0.5, 1.0, 1.5)
         self.continuations = 0
         self.gamma = 1.0
-        self.cache: dict[bytes, int] = {}
-
-    def __getstate__(self):
-        return self.__dict__ | {"cache": {}}
 
     @property
     def end(self) -> int:
@@ -178,12 +189,6 @@ class Model:
 
     # ids
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.cache) + len(words) > CACHE_WORDS:
-            self.cache.clear()
-        new = list(words)
-        self.cache.update(zip(new, self.ids_of(word_hash(new)).tolist(), strict=True))
-
     def ids_of(self, hashes: np.ndarray) -> np.ndarray:
         out = np.full(len(hashes), UNKNOWN, np.uint32)
         for sel, (keys, _), r in self._each(hashes, self.word_files):
@@ -204,23 +209,10 @@ class Model:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the end, and the tokens of each text."""
-        split = [tokens(t) for t in texts]
-        missing: set[bytes] = set()
-        for words in split:
-            missing.update(set(words).difference(self.cache))
-        if missing:
-            if len(self.cache) + len(missing) > CACHE_WORDS:
-                missing = set().union(*map(set, split))
-            self.learn(missing)
-        get, end = self.cache.__getitem__, self.end
-        sizes = np.array([len(w) + 1 for w in split], np.int64)
-        ids = np.empty(int(sizes.sum()), np.uint32)
-        at = 0
-        for words in split:
-            ids[at:at + len(words)] = np.fromiter(map(get, words), np.uint32, len(words))
-            at += len(words) + 1
-            ids[at - 1] = end
-        return ids, sizes
+        words, sizes = split(texts)
+        coded = words.dictionary_encode()
+        ids = self.ids_of(word_hash(coded.dictionary.to_pylist()))[coded.indices.to_numpy()]
+        return np.insert(ids, np.cumsum(sizes), np.uint32(self.end)), sizes + 1
 
     def contexts(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         before = np.empty_like(ids)
@@ -381,22 +373,20 @@ def _chunks(batches: Iterator[pd.DataFrame], points: int = 2_000_000) -> Iterato
 def count_words(docs: DataFrame, ranges: int) -> DataFrame:
     """range, path of its sorted word hashes, path of their counts, and sums."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        n = 0
+        held, size, n = [], 0, 0
         for texts in _chunks(batches):
             n += len(texts)
-            for t in texts:
-                seen.update(tokens(t))
-            if len(seen) > RUN_TOKENS // 4:
-                yield out(seen, n)
-                seen, n = Counter(), 0
-        yield out(seen, n)
-
-    def out(seen: Counter, n: int) -> pd.DataFrame:
-        hashes = word_hash(list(seen))
-        order = np.argsort(hashes)
-        counts = np.fromiter(seen.values(), np.int64, len(seen))[order]
-        runs = _runs(hashes[order], counts, ranges).assign(documents=0)
+            words, times = split(texts)[0].value_counts().flatten()
+            held.append((word_hash(words.to_pylist()), times.to_numpy()))
+            size += len(words)
+            if size >= RUN_TOKENS // 2:
+                yield out(held, n)
+                held, size, n = [], 0, 0
+        if held:
+            yield out(held, n)
+
+    def out(held: list, n: int) -> pd.DataFrame:
+        runs = _runs(*add_up(*(np.concatenate(x) for x in zip(*held, strict=True))), ranges).assign(documents=0)
         return pd.concat([runs, pd.DataFrame([(0, None, n)], columns=["range", "run", "documents"])])
 
     return docs.mapInPandas(count, "range int, run binary, documents long")

@@ -58,7 +58,7 @@ def map_array(path: str) -> np.ndarray:
     from pyarrow import fs
     files, local = _filesystem(path)
     mounted = isinstance(files, fs.LocalFileSystem)
-    _MAPPED[path] = np.load(local, mmap_mode="r", allow_pickle=False) if mounted else read_array(path)
+    _MAPPED[path] = np.load(local, mmap_mode="r", allow_pickle=False).view(np.ndarray) if mounted else read_array(path)
     while len(_MAPPED) > MAPS or (not mounted and len(_MAPPED) > 1 and sum(a.nbytes for a in _MAPPED.values()) > BYTES):
         _MAPPED.popitem(last=False)
     return _MAPPED[path]
