@@ -191,7 +191,7 @@ class Model:
 
     def ids_of(self, hashes: np.ndarray) -> np.ndarray:
         out = np.full(len(hashes), UNKNOWN, np.uint32)
-        for sel, (keys, _), r in self._each(hashes, self.word_files):
+        for sel, (keys,), r in self._each(hashes, [f and f[:1] for f in self.word_files]):
             at = np.minimum(np.searchsorted(keys, hashes[sel]), len(keys) - 1)
             hit = keys[at] == hashes[sel]
             out[sel[hit]] = (at[hit] + self.word_starts[r]).astype(np.uint32)
@@ -237,7 +237,7 @@ class Model:
     def ranks(self, keys: np.ndarray) -> np.ndarray:
         """Ranks of bigrams by their hashes; -1 where there is none."""
         out = np.full(len(keys), -1, np.int64)
-        for at, (hashes, _, _), r in self._each(keys, self.bigram_files):
+        for at, (hashes,), r in self._each(keys, [f and f[:1] for f in self.bigram_files]):
             pos = np.minimum(np.searchsorted(hashes, keys[at]), len(hashes) - 1)
             hit = hashes[pos] == keys[at]
             out[at[hit]] = pos[hit] + self.bigram_starts[r]
@@ -259,7 +259,7 @@ class Model:
 
     def bigram_counts(self, ranks: np.ndarray) -> np.ndarray:
         out = np.zeros(len(ranks), np.int64)
-        for at, (_, small, large), pos in self._ranked(ranks, self.bigram_files):
+        for at, (small, large), pos in self._ranked(ranks, [f and f[1:] for f in self.bigram_files]):
             out[at] = read_counts(small, large, pos)[:, 0]
         return out
 
@@ -273,7 +273,7 @@ class Model:
     def second(self, ranks: np.ndarray) -> np.ndarray:
         """The last word of each bigram."""
         out = np.zeros(len(ranks), np.uint64)
-        for at, (keys, _, _), pos in self._ranked(ranks, self.bigram_files):
+        for at, (keys,), pos in self._ranked(ranks, [f and f[:1] for f in self.bigram_files]):
             out[at] = unmix(keys[pos]) & np.uint64(UNKNOWN)
         return out
 

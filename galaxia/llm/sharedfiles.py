@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import io
+import mmap
 import os
+import sys
 import uuid
 from collections import OrderedDict
 
 import numpy as np
 
+# A map that holds no file open counts only towards the kernel's limit of maps
+# (65,530 by default), not towards the much lower one of open files.
+_UNTRACKED = {"trackfd": False} if sys.version_info >= (3, 13) else {}
 #: Maps a worker keeps open, and bytes it keeps of arrays that cannot be mapped.
-MAPS = 512
+MAPS = 16384 if _UNTRACKED else 512
 BYTES = 256 << 20
 _MAPPED: OrderedDict[str, np.ndarray] = OrderedDict()
 
@@ -47,6 +52,17 @@ def delete_file(path: str) -> None:
     files.delete_file(local)
 
 
+def _map(local: str) -> np.ndarray:
+    with open(local, "rb") as f:
+        np.lib.format.read_magic(f)
+        shape, by_column, kind = np.lib.format.read_array_header_1_0(f)
+        size, start = int(np.prod(shape)), f.tell()
+        if not size:
+            return np.empty(shape, kind)
+        held = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ, **_UNTRACKED)
+    return np.frombuffer(held, kind, size, start).reshape(shape, order="F" if by_column else "C")
+
+
 def map_array(path: str) -> np.ndarray:
     """The array, memory-mapped: the shared folder is to be one that workers have
     mounted.  Of another store the array is read into memory; nothing is copied to a
@@ -58,7 +74,7 @@ def map_array(path: str) -> np.ndarray:
     from pyarrow import fs
     files, local = _filesystem(path)
     mounted = isinstance(files, fs.LocalFileSystem)
-    _MAPPED[path] = np.load(local, mmap_mode="r", allow_pickle=False).view(np.ndarray) if mounted else read_array(path)
+    _MAPPED[path] = _map(local) if mounted else read_array(path)
     while len(_MAPPED) > MAPS or (not mounted and len(_MAPPED) > 1 and sum(a.nbytes for a in _MAPPED.values()) > BYTES):
         _MAPPED.popitem(last=False)
     return _MAPPED[path]
