@@ -1,7 +1,7 @@
 """Q1-Q6: audits the reference leaves to the eye or to database constraints.
 
-Each audit is one aggregate pass (or one anti join per relation) whose result
-is small; nothing is collected inside the library.
+Each audit is one aggregate pass whose result is small; nothing is collected
+inside the library.
 """
 
 from __future__ import annotations
@@ -43,12 +43,35 @@ def check_not_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def check_fk(relations: dict[str, tuple[DataFrame, DataFrame, Sequence[str]]]) -> DataFrame:
-    """Q6: orphan count per relation ``name -> (child, parent, keys)``:
-    child rows whose key is absent from the parent (one anti join each)."""
-    parts = [child.join(parent.select(*keys), list(keys), "left_anti")
-                  .agg(F.lit(name).alias("relation"), F.count(F.lit(1)).alias("orphans"))
-             for name, (child, parent, keys) in relations.items()]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Q6: orphan count per relation ``name -> (child, parent, keys)``: child rows
+    whose key is absent from the parent; a key with a NULL is in no parent.
+
+    All relations are one audit: every table is read once, its rows give their keys
+    marked with the parent's domain and the relation (-1: the parent's own), and one
+    grouping, aggregated before its shuffle, finds the keys that no parent sent.  Key
+    columns have the same type on both sides."""
+    domains: dict[tuple, int] = {}
+    tables: dict[int, DataFrame] = {}
+    marks: dict[int, list[Column]] = {}
+    for slot, (name, (child, parent, keys)) in enumerate(relations.items()):
+        if [child.schema[k].dataType for k in keys] != [parent.schema[k].dataType for k in keys]:
+            raise ValueError(f"{name}: the key's columns differ in type")
+        whole = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+        cols = [F.col(f"`{k}`") for k in keys]
+        key = F.when(whole, cols[0].cast("string") if len(cols) == 1 else F.to_json(F.struct(*cols)))
+        first = (id(parent), *keys) not in domains
+        domain = domains.setdefault((id(parent), *keys), len(domains))
+        for df, mark in [(child, slot)] + [(parent, -1)] * first:
+            tables[id(df)] = df
+            marks.setdefault(id(df), []).append(F.struct(
+                F.lit(domain).alias("domain"), key.alias("key"), F.lit(mark).alias("slot")))
+    sent = [df.select(F.explode(F.array(*marks[i])).alias("m")).select("m.*") for i, df in tables.items()]
+    counts = [F.count_if(F.col("slot") == i).alias(f"__r{i}") for i in range(len(relations))]
+    found = F.max((F.col("slot") == -1) & F.col("key").isNotNull())
+    by_key = reduce(lambda a, b: a.unionByName(b), sent).groupBy("domain", "key").agg(found.alias("__found"), *counts)
+    one = by_key.where("NOT __found").agg(*[F.coalesce(F.sum(f"__r{i}"), F.lit(0)).alias(f"__r{i}") for i in range(len(relations))])
+    parts = ", ".join(f"'{name}', `__r{i}`" for i, name in enumerate(relations))
+    return one.selectExpr(f"stack({len(relations)}, {parts}) as (relation, orphans)")
 
 
 def default_key_rows(tables: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:

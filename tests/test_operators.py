@@ -99,3 +99,23 @@ def test_assign_sk_with_coalesced_range_partitions(spark):
     df = spark.createDataFrame([(i,) for i in ids], "k string").repartition(9)
     got = {r["k"]: r["sk"] for r in keys.assign_sk(df, ["k"], "sk").collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(ids))}
+
+
+def test_check_fk_is_one_audit(spark):
+    """Against anti joins: NULL keys, keys of two columns, a hot key, empty tables,
+    a table that is child and parent; one shuffle of keys for all relations."""
+    from galaxia.operators.quality import check_fk
+    orders = spark.createDataFrame([(1, "a"), (2, "b"), (2, None), (None, "a"), (5, "z")], "id long, who string")
+    people = spark.createDataFrame([("a", 1), ("b", None), (None, 2)], "who string, n int")
+    items = spark.createDataFrame([(1, "a", 1)] * 500 + [(3, "b", None), (None, None, 2), (2, "a", 9)], "id long, who string, n int")
+    none = people.where("false")
+    relations = {"orders_people": (orders, people, ["who"]), "items_orders": (items, orders, ["id"]),
+                 "items_people": (items, people, ["who", "n"]), "items_none": (items, none, ["who"]),
+                 "none_people": (none, people, ["who"])}
+    out = check_fk(relations)
+    want = {n: c.join(p.select(*k), list(k), "left_anti").count() for n, (c, p, k) in relations.items()}
+    assert {r["relation"]: r["orphans"] for r in out.collect()} == want
+    assert want == {"orders_people": 2, "items_orders": 2, "items_people": 3, "items_none": 503, "none_people": 0}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan, plan
