@@ -460,6 +460,25 @@ def csv_roundtrip_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path, schemas.RAW["customers"])
 
 
+def csv_quarantine_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw customers exported as CSV lines, by the length of their name four in nine
+    damaged (cut short, one field more, an open quote, a wrong time); rows kept by
+    customer and lines put aside by reason."""
+    from .sources import schemas
+    from .sources.io import read_csv_checked
+    raw, path = Model(spark, sf_dir).raw("customers"), _folder(spark, "quarantine")
+    cols = [F.col(f.name).cast("string") for f in schemas.RAW["customers"].fields]
+    line = F.regexp_replace(F.to_csv(F.struct(*cols)), "[\r\n]", " ")
+    kind = F.coalesce(F.length("customer_city"), F.lit(0)) % 9
+    raw.select(F.when(kind == 1, F.lit("cut,short")).when(kind == 2, F.concat(line, F.lit(",more")))
+               .when(kind == 3, F.concat(F.lit('"'), F.translate(line, '"', "")))
+               .when(kind == 4, F.regexp_replace(line, "[^,]*$", "no time")).otherwise(line)).write.text(path)
+    good, quarantine = read_csv_checked(spark, path, schemas.RAW["customers"], header=False)
+    return (good.groupBy(F.lit("good").alias("reason")).agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("customer_id").alias("n_keys"))
+            .unionByName(quarantine.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"), F.lit(None).cast("long").alias("n_keys"))))
+
+
+QUERIES["csv_quarantine"] = csv_quarantine_query
 QUERIES["bronze_orders"] = bronze_orders_query
 QUERIES["csv_roundtrip"] = csv_roundtrip_query
 

@@ -273,6 +273,12 @@ ORACLE["csv_roundtrip"] = _raw(["customers"], """SELECT nullif(customer_id, '')
     nullif(customer_city, '') AS customer_city, nullif(customer_state, '') AS customer_state,
     created_at, last_modified_at FROM raw_customers""")
 
+ORACLE["csv_quarantine"] = _raw(["customers"], """SELECT reason, count(*) AS n_rows,
+    CASE WHEN reason = 'good' THEN count(DISTINCT nullif(customer_id, '')) END AS n_keys
+    FROM (SELECT customer_id, CASE WHEN coalesce(length(customer_city), 0) % 9 IN (1, 2, 3) THEN 'fields'
+          WHEN coalesce(length(customer_city), 0) % 9 = 4 THEN 'value' ELSE 'good' END AS reason FROM raw_customers) t
+    GROUP BY reason""")
+
 ORACLE["default_key_rows"] = with_(_M, " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} = '{d}') AS default_rows, "
     f"count(*) AS total_rows FROM {t}" for n, t, c, d in [

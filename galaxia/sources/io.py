@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,37 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, multi_line: boo
             .option("escape", '"').option("mode", "PERMISSIVE").csv(path))
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The well-formed rows, and the quarantine: every other line whole with its
+    reason (``fields``: too few, too many or an open quote; ``value``: a field that is
+    not of its column's type) and the file it came from.  Lines of nothing but blanks
+    are no rows, nor, with ``header``, lines that hold the column names.  Lines hold no
+    line breaks; for a table with such texts use :func:`read_csv`.
+
+    Lines are parsed whole, whatever columns are asked for later: a scan that parses
+    some columns only would not see what is wrong with the others."""
+    names = schema.fieldNames()
+    bad = "__line"
+    while bad in names:
+        bad += "_"
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
+
+    def parsed(kinds: list[str]):
+        ddl = ", ".join(f"`{n}` {k}" for n, k in zip([*names, bad], [*kinds, "string"], strict=True))
+        return F.from_csv("line", ddl, options)
+
+    texts = parsed(["string"] * len(names))
+    lines = (spark.read.text(path).select(F.regexp_replace("value", "^\ufeff", "").alias("line"), F.input_file_name().alias("file"))
+             .where(F.trim("line") != ""))
+    if header:
+        same = [texts[n].eqNullSafe(F.lit(n)) for n in names]
+        lines = lines.where(~(texts[bad].isNull() & reduce(lambda a, b: a & b, same)))
+    rows = lines.withColumn("row", parsed([f.dataType.simpleString() for f in schema.fields]))
+    quarantine = rows.where(F.col("row")[bad].isNotNull()).select(
+        "line", F.when(texts[bad].isNotNull(), "fields").otherwise("value").alias("reason"), "file")
+    return rows.where(F.col("row")[bad].isNull()).select([F.col("row")[n].alias(n) for n in names]), quarantine
+
+
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
     """A catalog table, or a Parquet folder when given a path."""
     if "/" in name_or_path:

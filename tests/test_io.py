@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from galaxia.sources import io, schemas
 from galaxia.sources.schemas import _schema, S
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 TRANSLATION = _schema(("product_category_name", S), ("product_category_name_english", S))
 
@@ -41,3 +42,17 @@ def test_conform_is_exact_schema(spark):
     out = schemas.conform(df, schemas.RAW["geolocation"])
     assert out.schema == schemas.RAW["geolocation"]
     assert out.select(F.col("geolocation_zip_code_prefix")).first()[0] == 1
+
+
+def test_malformed_lines_are_put_aside(spark, tmp_path):
+    from galaxia.sources.io import read_csv_checked
+    (tmp_path / "a.csv").write_text('id,__line,n\n1,a,2\n2,"b ""q"", c",\n3,short\n4,d,5,6\n5,"open,7\n\n6,e,x\nno,f,8\n', encoding="utf-8")
+    good, bad = read_csv_checked(spark, str(tmp_path), StructType([
+        StructField("id", IntegerType()), StructField("__line", StringType()), StructField("n", IntegerType())]))
+    assert sorted(map(tuple, good.collect())) == [(1, "a", 2), (2, 'b "q", c', None)]
+    rows = bad.collect()
+    assert sorted((r["line"], r["reason"]) for r in rows) == [
+        ('3,short', "fields"), ('4,d,5,6', "fields"), ('5,"open,7', "fields"), ('6,e,x', "value"), ('no,f,8', "value")]
+    assert all(r["file"].endswith("a.csv") for r in rows)
+    empty = read_csv_checked(spark, str(tmp_path), good.schema, header=True)[1].where("line = ''")
+    assert empty.count() == 0

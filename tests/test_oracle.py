@@ -19,7 +19,7 @@ SUBSET = ["clean_customers", "clean_order_items", "clean_payments", "dim_product
           "changed_since", "stamp_changes", "check_fk", "reject_report", "exact_medians", "cohort_children",
           "exact_medians_nonfinite", "merge_payments", "merge_reviews", "refresh_products", "parked_items_landed", "late_batch",
           "table_roundtrip", "approx_medians", "silver_orders", "views_dim_products",
-          "late_versions", "reversed_batches_orders", "reversed_batches_payments", "stream_refresh"]
+          "late_versions", "reversed_batches_orders", "reversed_batches_payments", "stream_refresh", "csv_quarantine"]
 NAMES = sorted(E.oracle_sql()) if os.environ.get("GALAXIA_ORACLE") == "all" else SUBSET
 
 
