@@ -398,6 +398,13 @@ def _reversed_query(fact: str):
     return q
 
 
+def kpis_adjusted_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2-K17 by difference: sums of the initial load, adjusted by the batch's images."""
+    from .plans import kpi_state as KS
+    inc = Increment(spark, sf_dir)
+    return KS.long_form(KS.advance(KS.first(inc.s1), inc.s1, inc.s2))
+
+
 def stream_refresh_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A refresh of the products sent through the stream as a file batch."""
     import uuid
@@ -414,7 +421,7 @@ def stream_refresh_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read("dim_products")
 
 
-QUERIES |= {"late_versions": late_versions_query, "stream_refresh": stream_refresh_query}
+QUERIES |= {"late_versions": late_versions_query, "stream_refresh": stream_refresh_query, "kpis_adjusted": kpis_adjusted_query}
 QUERIES |= {f"reversed_batches_{k}": _reversed_query(f) for k, f in
             {"orders": "fact_orders", "payments": "fact_order_payments", "reviews": "fact_order_reviews"}.items()}
 

@@ -29,7 +29,7 @@ ORACLE = {
 }
 
 
-from .oracle import model_ctes, r4  # noqa: E402
+from .oracle import gold_ctes, model_ctes, r4  # noqa: E402
 
 _M = model_ctes()
 
@@ -164,6 +164,40 @@ ORACLE.update({
 })
 
 
+# every additive KPI over the gold tables after both batches, as rows of (kpi, grp, metric, value)
+_GROUPS = {
+    "kpi_revenue_trend": (["year", "month"], ["revenue", "n_orders"]),
+    "kpi_orders_by_status": (["order_status"], ["n_orders"]),
+    "kpi_revenue_by_category": (["product_category_name_english"], ["revenue", "n_items"]),
+    "kpi_order_totals": ([], ["total_orders", "delivered_orders", "late_orders", "avg_delivery_days"]),
+    "kpi_late_vs_on_time": (["delivery_status"], ["n_orders"]),
+    "kpi_orders_by_state": (["customer_state"], ["n_orders"]),
+    "kpi_delivery_performance": (["year", "month"], ["n_delivered", "late_rate", "avg_delivery_days"]),
+    "kpi_payment_totals": ([], ["total_payment", "avg_payment", "n_payments", "n_payment_types"]),
+    "kpi_payment_trend": (["year", "month"], ["total_payment", "n_payments"]),
+    "kpi_payment_type_distribution": (["payment_type"], ["n_payments", "total_value", "share", "avg_value"]),
+    "kpi_installments_analysis": (["payment_installments"], ["n_payments", "total_value", "avg_value"]),
+    "kpi_review_totals": ([], ["n_reviews", "avg_score", "n_five_star", "response_rate"]),
+    "kpi_score_trend": (["year", "month"], ["n_reviews", "avg_score"]),
+    "kpi_delivery_vs_review": (["delivery_days"], ["n_reviews", "avg_score"]),
+    "kpi_five_star_by_state": (["customer_state"], ["n_reviews", "five_star_share"]),
+    "kpi_score_by_category": (["product_category_name_english"], ["n_reviews", "avg_score"]),
+}
+
+
+def _long(kpi: str, groups: list[str], metrics: list[str]) -> tuple[str, str]:
+    """The rows of one KPI, and the CTE they read."""
+    grp = " || '/' || ".join(f"coalesce(CAST({g} AS VARCHAR), '')" for g in groups) or "''"
+    select = ORACLE[kpi].removeprefix(with_(_M, ""))
+    return "\nUNION ALL\n".join(f"SELECT '{kpi}' AS kpi, {grp} AS grp, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM {kpi}"
+                                 for m in metrics), f"{kpi} AS MATERIALIZED ({select})"
+
+
+_LONG = [_long(k, *v) for k, v in _GROUPS.items()]
+_AFTER = [f"{t} AS (SELECT * FROM g2_{t})" for t in GOLD_KEYS] + gold_ctes()[len(GOLD_KEYS):]
+ORACLE["kpis_adjusted"] = with_(_I + _AFTER + [cte for _, cte in _LONG], "\nUNION ALL\n".join(q for q, _ in _LONG))
+
+
 # ------------------------------------------------------------------ quality, profiling, preparation
 _BEFORE = ("(coalesce(order_delivered_customer_date < order_purchase_timestamp, false) "
            "OR coalesce(order_delivered_carrier_date < order_purchase_timestamp, false) "

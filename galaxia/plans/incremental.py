@@ -189,8 +189,10 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
     thunks = {t: (lambda t=t: prev[t]) for t in STATE_TABLES}
     st = Lazy(thunks)
     for e, dim in {"customers": "dim_customers", **REFRESHED}.items():
+        thunks[f"rows_{dim}"] = lambda: None     # the batch sends none
         if e in changes:
-            thunks[dim] = lambda e=e, dim=dim: merge(dim, prev[dim], persist(G.dim_rows(silver[e], dim), f"rows-{dim}"))
+            thunks[f"rows_{dim}"] = lambda e=e, dim=dim: persist(G.dim_rows(silver[e], dim), f"rows-{dim}")
+            thunks[dim] = lambda dim=dim: merge(dim, prev[dim], st[f"rows_{dim}"])
 
     def pending(e):   # parked rows + the batch, newest version per key
         if e not in changes:
@@ -206,7 +208,7 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
     for e, fact in FACT_OF.items():
         thunks[fact] = lambda e=e, fact=fact: merge(fact, prev[fact], landed[e])
         thunks[f"parked_{e}"] = lambda e=e: not_in(src[e], landed[e], schemas.KEYS[e])
-    thunks["landed_orders"] = lambda: landed["orders"]
+        thunks[f"landed_{e}"] = lambda e=e: landed[e]
     stamped = {e: changes[e] for e in INCREMENTAL if e in changes}
     if stamped:      # a batch of refreshed tables only moves no mark
         thunks["control"] = lambda: persist(advance_watermarks(prev["control"], stamped, now), "control")

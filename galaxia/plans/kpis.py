@@ -25,7 +25,8 @@ def _money(c: str):
 
 
 def _ratio(num, den, d: int = 4):
-    return _r(num.cast("double") / den.cast("double"), d)
+    """Rounded; NULL where ``den`` is 0 (a group without a value)."""
+    return _r(F.try_divide(num.cast("double"), den.cast("double")), d)
 
 
 def _with_month(df: DataFrame, date_col: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextvars
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 
 class OnceDict(dict):
@@ -41,3 +43,11 @@ class Lazy(OnceDict):
 
     def names(self):
         return list(self.thunks)
+
+
+def build_all(names, fn, workers: int = 4) -> dict:
+    """``fn`` of each name on a few driver threads: Spark runs the jobs of different
+    threads side by side."""
+    with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
+        futures = {n: pool.submit(contextvars.copy_context().run, fn, n) for n in names}
+        return {n: f.result() for n, f in futures.items()}

@@ -274,13 +274,8 @@ class GoldStore:
         return new
 
     def _parallel(self, names, fn) -> dict:
-        """Run ``fn`` for each name on a few driver threads (Spark runs the
-        jobs of different threads concurrently)."""
-        import contextvars
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=max(1, self.workers)) as pool:
-            futures = {n: pool.submit(contextvars.copy_context().run, fn, n) for n in names}
-            return {n: f.result() for n, f in futures.items()}
+        from ..plans.lazy import build_all
+        return build_all(names, fn, self.workers)
 
     def state(self, manifest: dict | None = None) -> dict[str, DataFrame]:
         from ..plans.incremental import Lazy
