@@ -5,7 +5,9 @@ Only ids, positions and 128-bit line hashes move through the counting; the text
 is joined once, to the flags of its own lines, and put together in place.  A
 line that a third of all documents hold is one row per document after the first
 aggregation, one row per map task after the second, and its join back to the
-lines is one that AQE splits.
+lines is one that AQE splits.  The text meets its flags in a merge join at every
+size: what is moved and kept on disk then grows with the documents, not by a jump
+where the flags no longer fit a broadcast.
 
 Defined results: NULL or empty text is one empty line; rows with the same id and
 text get the same result each; a NULL id counts as one document that is smaller
@@ -57,7 +59,7 @@ def line_dedup(df: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     t = text_of()
     docs = df.select("doc_id", F.xxhash64(t).alias("th"), t.alias("text"))
     same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.th") == F.col("g.th"))
-    found = docs.alias("d").join(dropped.alias("g"), same, "left").select("d.doc_id", "text", "gone")
+    found = docs.alias("d").join(dropped.alias("g").hint("merge"), same, "left").select("d.doc_id", "text", "gone")
     lines = F.split("text", "\n")
     flagged = found.withColumn("lines", lines)
     # positions of the lines left, in order; array_except hashes, so long documents stay linear

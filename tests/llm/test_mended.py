@@ -8,7 +8,7 @@ from pyspark.sql import Row
 
 from compare import compare, duck
 from conftest import SF_SMALL as SF
-from galaxia.llm import pii, quality, toxicity, wordcodec
+from galaxia.llm import line_dedup, pii, quality, toxicity, wordcodec
 
 
 def test_plain_words_have_the_ids_of_the_library():
@@ -75,3 +75,12 @@ def test_hosts_that_fail_alike_all_stay(spark):
     assert duck(SF) is not None
     got = quality.quality_rules(spark.read.parquet(f"{SF}/documents.parquet"))
     assert got.where("NOT host_ok").count() == 0
+
+
+def test_texts_meet_their_dropped_lines_in_a_merge_join_at_every_size(spark):
+    text = "a line that is long enough to count\nown line {}"
+    docs = spark.createDataFrame([(i, text.format(i)) for i in range(5)], "doc_id long, text string")
+    got = line_dedup.line_dedup(docs)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert [(r.n_lines, r.n_dropped) for r in got.orderBy("doc_id").collect()] == [(2, 1)] * 4 + [(2, 0)]
