@@ -48,6 +48,8 @@ from .sharedfiles import map_array, write_array
 RANGE_TOKENS = 1 << 22
 #: Tokens a task counts before it sends a run.
 RUN_TOKENS = 1 << 22
+#: Code points a task counts or scores at a time.
+CHUNK_POINTS = 2_000_000
 ORDER = 3
 UNKNOWN = (1 << 32) - 1
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -147,9 +149,19 @@ def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return (keys >> _shift(ranges)).astype(np.int64) if ranges > 1 else np.zeros(len(keys), np.int64)
 
 
+def ascending(values: np.ndarray) -> np.ndarray:
+    """The order that sorts the values, which often are sorted already."""
+    return np.arange(len(values)) if (values[1:] >= values[:-1]).all() else np.argsort(values)
+
+
+def starts_of(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each range begins among sorted keys; the last is their number."""
+    first = np.arange(1, ranges, dtype=np.uint64) << _shift(ranges) if ranges > 1 else np.zeros(0, np.uint64)
+    return np.concatenate([[0], np.searchsorted(keys, first), [len(keys)]]).astype(np.int64)
+
+
 def _runs(keys: np.ndarray, counts: np.ndarray, ranges: int) -> pd.DataFrame:
-    own = range_of(keys, ranges)
-    cuts = np.searchsorted(own, np.arange(ranges + 1))
+    cuts = starts_of(keys, ranges)
     rows = [(r, pack_run(keys[a:b], counts[a:b])) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
     return pd.DataFrame(rows, columns=["range", "run"])
 
@@ -200,9 +212,8 @@ class Model:
     @staticmethod
     def _each(hashes: np.ndarray, files: list):
         """(positions of the hashes of a range in hash order, its arrays, range)."""
-        order = np.argsort(hashes)
-        own = range_of(hashes[order], len(files)) if files else np.zeros(0, np.int64)
-        cuts = np.searchsorted(own, np.arange(len(files) + 1))
+        order = ascending(hashes)
+        cuts = starts_of(hashes[order], len(files)) if files else np.zeros(1, np.int64)
         for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             if b > a and files[r]:
                 yield order[a:b], [map_array(p) for p in files[r]], r
@@ -228,9 +239,11 @@ class Model:
         out = np.zeros((len(ids), 6), np.int64)
         known = ids != UNKNOWN
         own = np.searchsorted(self.word_starts, ids, side="right") - 1
-        for r in np.unique(own[known]):
-            if self.stat_files[r]:
-                sel = np.flatnonzero(known & (own == r))
+        order = ascending(own)
+        cuts = np.searchsorted(own[order], np.arange(len(self.stat_files) + 1))
+        for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if b > a and self.stat_files[r]:
+                sel = order[a:b][known[order[a:b]]]
                 out[sel] = map_array(self.stat_files[r])[ids[sel] - self.word_starts[r]]
         return out
 
@@ -251,7 +264,7 @@ class Model:
 
     def _ranked(self, ranks: np.ndarray, files: list):
         """(positions of the ranks of a bigram range, its arrays, places in them)."""
-        order = np.argsort(ranks)
+        order = ascending(ranks)
         cuts = np.searchsorted(ranks[order], self.bigram_starts)
         for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
             if b > a and files[r]:
@@ -300,31 +313,56 @@ class Model:
 
     # probabilities
 
-    def log10(self, before: np.ndarray, ids: np.ndarray, context: np.ndarray | None = None,
-              ranks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def log10(self, before: np.ndarray, ids: np.ndarray, context: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """log10 P of each token, its unsmoothed-by-context base log10, and its count.
-        ``context`` holds ranks of the bigrams before the tokens (-1: none), ``ranks``
-        those of the bigrams (before, ids)."""
-        distinct, at = np.unique(np.concatenate([ids, before]), return_inverse=True)
-        table = self.stats(distinct)
-        own, last = at[:len(ids)], at[len(ids):]
-        cont = table[:, 1]
+        ``context`` holds ranks of the bigrams before the tokens (-1: none)."""
+        words, at = np.unique(np.concatenate([ids, before]), return_inverse=True)
+        pairs, pair_at = np.unique(self.pair_ranks(before, ids), return_inverse=True)
+        some, some_at = np.unique(np.full(1, -1) if context is None else context, return_inverse=True)
+        three = None if context is None or self.order < 3 else self.trigrams(context, ids)
+        return self._log10(words, at[:len(ids)], at[len(ids):], self.bigram_table(pairs)[:, 0], pair_at,
+                           self.bigram_counts(some), self.bigram_table(some), some_at, three)
+
+    def log10_texts(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """:meth:`log10` of the tokens of whole texts.  A text's bigrams are both the
+        bigrams and, one token later, the contexts, so each distinct one is looked up once."""
+        first = np.cumsum(sizes) - sizes
+        words, own = np.unique(np.append(ids, np.uint32(self.begin)), return_inverse=True)
+        own, begin = own[:-1], own[-1]
+        last = np.empty_like(own)
+        last[1:] = own[:-1]
+        last[first] = begin
+        # an unknown word's id is in no stored bigram; sorted hashes have sorted ranks
+        pairs, pair_at = np.unique(pair_keys(words[last], words[own]), return_inverse=True)
+        ranks = np.append(self.ranks(pairs), -1)
+        table = np.zeros((len(ranks), 4), np.int64)
+        count = np.zeros(len(ranks), np.int64)
+        held = np.flatnonzero(ranks >= 0)
+        table[held], count[held] = self.bigram_table(ranks[held]), self.bigram_counts(ranks[held])
+        before = np.empty_like(pair_at)
+        before[1:] = pair_at[:-1]
+        before[first] = len(pairs)               # nothing before a text's first token
+        three = self.trigrams(ranks[before], ids) if self.order > 2 else None
+        return self._log10(words, own, last, table[:, 0], pair_at, count, table, before, three)
+
+    def _log10(self, words, own, last, pair, pair_at, counts, table, context_at, three):
+        """Probabilities of tokens from their ``words``, the continuation counts of their
+        bigrams and the counts and statistics of the contexts, each looked up once, with
+        the place of every token in them."""
+        stats = self.stats(words)
+        cont = stats[:, 1]
         p1 = np.maximum(cont - discount(cont, self.d1), 0) / max(1, self.continuations) + self.gamma / (self.vocabulary + 1)
-        total = table[:, 5]
-        left = (table[:, 2:5] * np.array(self.d2)).sum(1) / np.maximum(total, 1)
+        total = stats[:, 5]
+        left = (stats[:, 2:5] * np.array(self.d2)).sum(1) / np.maximum(total, 1)
         left[total == 0] = 1.0
-        ranks = self.pair_ranks(before, ids) if ranks is None else ranks
-        pair = self.bigram_table(ranks)[:, 0]
-        p = np.maximum(pair - discount(pair, self.d2), 0) / np.maximum(total[last], 1) + left[last] * p1[own]
-        if context is not None and self.order > 2:
-            some, at = np.unique(context, return_inverse=True)
-            c, followers = self.bigram_counts(some), self.bigram_table(some)[:, 1:]
-            left = (followers * np.array(self.d3)).sum(1) / np.maximum(c, 1)
+        p = np.maximum(pair - discount(pair, self.d2), 0)[pair_at] / np.maximum(total, 1)[last] + left[last] * p1[own]
+        if three is not None:
+            followers = table[:, 1:]
+            left = (followers * np.array(self.d3)).sum(1) / np.maximum(counts, 1)
             left[followers.sum(1) == 0] = 1.0
-            three = self.trigrams(context, ids)
-            p = np.maximum(three - discount(three, self.d3), 0) / np.maximum(c, 1)[at] + left[at] * p
-        count = table[own, 0]
-        return np.log10(p), np.log10((count + 1) / (self.n + self.vocabulary + 1)), count
+            p = np.maximum(three - discount(three, self.d3), 0) / np.maximum(counts, 1)[context_at] + left[context_at] * p
+        count = stats[:, 0]
+        return np.log10(p), np.log10((count + 1) / (self.n + self.vocabulary + 1))[own], count[own]
 
 
 def pair_keys(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -357,7 +395,7 @@ def discounts(n: list[int]) -> tuple[float, float, float]:
 # ---------------------------------------------------------------- counting
 
 
-def _chunks(batches: Iterator[pd.DataFrame], points: int = 2_000_000) -> Iterator[list[str]]:
+def _chunks(batches: Iterator[pd.DataFrame], points: int = CHUNK_POINTS) -> Iterator[list[str]]:
     part, size = [], 0
     for b in batches:
         for t in b["text"]:
@@ -618,15 +656,13 @@ def score(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for b in batches:
-            cuts = np.flatnonzero(np.diff(np.cumsum(b["text"].str.len().to_numpy()) // 2_000_000)) + 1
+            cuts = np.flatnonzero(np.diff(np.cumsum(b["text"].str.len().to_numpy()) // CHUNK_POINTS)) + 1
             for part in np.split(np.arange(len(b)), cuts):
                 rows = b.iloc[part]
                 if not len(rows):
                     continue
                 ids, sizes = m.encode(rows["text"].tolist())
-                before = m.contexts(ids, sizes)
-                ranks = m.pair_ranks(before, ids)
-                logs, base, counts = m.log10(before, ids, previous(ranks, sizes), ranks)
+                logs, base, counts = m.log10_texts(ids, sizes)
                 first = np.cumsum(sizes) - sizes
                 yield rows[own].assign(n_tokens=sizes, n_known=np.add.reduceat((counts > 0).astype(np.int64), first),
                                          train_tokens=m.n, base_score=np.add.reduceat(base, first),

@@ -8,7 +8,7 @@ from pyspark.sql import Row
 
 from compare import compare, duck
 from conftest import SF_SMALL as SF
-from galaxia.llm import line_dedup, pii, quality, toxicity, wordcodec
+from galaxia.llm import kneser_ney, line_dedup, pii, quality, toxicity, wordcodec
 
 
 def test_plain_words_have_the_ids_of_the_library():
@@ -84,3 +84,20 @@ def test_texts_meet_their_dropped_lines_in_a_merge_join_at_every_size(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert [(r.n_lines, r.n_dropped) for r in got.orderBy("doc_id").collect()] == [(2, 1)] * 4 + [(2, 0)]
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_a_bigram_is_looked_up_once_however_often_it_occurs(spark, monkeypatch, order):
+    import numpy as np
+    docs = spark.createDataFrame([(i, "a b a b c " * (i % 3 + 1)) for i in range(9)] + [(9, None)], "doc_id long, text string")
+    model = kneser_ney.train(docs, order)
+    ids, sizes = model.encode(["a b a b a b c new a b", "", "new new a", "b c a"])
+    before = model.contexts(ids, sizes)
+    ranks = model.pair_ranks(before, ids)
+    want = model.log10(before, ids, kneser_ney.previous(ranks, sizes))
+    asked = []
+    look = kneser_ney.Model.ranks
+    monkeypatch.setattr(kneser_ney.Model, "ranks", lambda self, keys: asked.extend(keys.tolist()) or look(self, keys))
+    got = model.log10_texts(ids, sizes)
+    assert len(asked) == len(set(asked)) == len(set(zip(before.tolist(), ids.tolist())))
+    assert all(np.allclose(a, b, rtol=1e-12) for a, b in zip(got, want, strict=True))
