@@ -45,5 +45,27 @@ def enrich_left(df: DataFrame, lookup: DataFrame, left_key: str, right_key: str
 
 def semi_by_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """J8 (``isin(series)``): rows whose key is in another table -- a semi join,
-    never a collected list."""
-    return join_packed(df, keys_df.select(*keys), keys, "left_semi")
+    never a collected list.  Rows whose key cannot be there are left out before they
+    are shuffled, which pays where few rows have their key there."""
+    return join_packed(_maybe_held(df, keys_df, keys), keys_df.select(*keys), keys, "left_semi")
+
+
+#: Words of 64 bits of the key filter: 4 MB of bits, however many keys there are.
+FILTER_WORDS = 1 << 19
+# Types whose equal values have equal hashes.
+_HASHED = {"string", "binary", "int", "bigint", "date"}
+
+
+def _maybe_held(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` whose key sets a bit that a key of ``keys_df`` sets: all rows
+    that have their key there and, the more keys there are, some others.  The filter has
+    at most ``FILTER_WORDS`` rows, so it is broadcast at any size."""
+    types, others = dict(df.dtypes), dict(keys_df.dtypes)
+    if any(types[k] != others[k] or types[k] not in _HASHED for k in keys):
+        return df
+    h = F.xxhash64(*[F.col(k) for k in keys])
+    word, bit = F.pmod(h, F.lit(FILTER_WORDS)), F.expr("shiftleft(1L, cast(__h >> 19 & 63 as int))")
+    held = (keys_df.dropna(subset=list(keys)).select(h.alias("__h")).select(F.pmod("__h", F.lit(FILTER_WORDS)).alias("__word"), bit.alias("__bit"))
+            .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))
+    probed = df.withColumn("__h", h).withColumns({"__word": word, "__bit": bit})
+    return (probed.join(F.broadcast(held), "__word").where("(__bits & __bit) != 0").select(*df.columns))
