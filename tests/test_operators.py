@@ -134,3 +134,16 @@ def test_semi_join_shuffles_only_rows_whose_key_may_be_there(spark):
     whole = spark.createDataFrame([(3,)], "k long")
     assert {r.k for r in semi_by_keys(df, whole, ["k"]).collect()} == {"3"}
     assert semi_by_keys(df, wanted.where("false"), ["k"]).count() == 0
+
+
+def test_rows_that_meet_no_waiting_row_are_not_ranked_again(spark):
+    from galaxia.operators.joins import mark_maybe
+    few = spark.createDataFrame([("3", 1, 9, "few"), ("3", 1, 9, "gew"), ("4", 1, 0, "few"), ("5", None, 3, "few"), (None, None, 1, "few"),
+                                 ("none", 1, 1, "few")], "k string, n int, ts int, v string")
+    many = spark.range(20_000).selectExpr("if(id = 7, null, cast(id as string)) k", "cast(if(id IN (5, 7), null, 1) as int) n", "2 ts", "'many' v")
+    want = dedup.keep_latest(few.unionByName(many), ["k", "n"], ["ts"])
+    got = dedup.latest_of(few, many, ["k", "n"], ["ts"])
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert {(r.k, r.v) for r in got.where("k IN ('3', '4', '5') OR k IS NULL").collect()} == {("3", "gew"), ("4", "many"), ("5", "few"), (None, "many")}
+    assert mark_maybe(many, few, ["k", "n"], "f").where("f").count() < 50
