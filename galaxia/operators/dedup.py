@@ -1,5 +1,7 @@
 """Keep one row per key, deterministically.
 
+Rows whose key nobody else has need no ranking: a first pass shuffles a hash of each
+key and finds the repeated ones.  For the rows of these,
 ``ROW_NUMBER() ... = 1`` lets Catalyst insert a partial ``WindowGroupLimit``
 before the shuffle, so a key that holds a third of all rows is cut down to one
 row per map task before it is exchanged.  The order is made total (every
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import ColumnOrName, _c
 from .ids import pack_ids, text_ids, unpack_ids
+from .joins import hashable, key_filter, key_hashes, mark_hashes, mark_maybe
 
 
 def total_order(df: DataFrame, keys: Sequence[str], first: Sequence[ColumnOrName] = ()) -> list[Column]:
@@ -24,9 +27,31 @@ def total_order(df: DataFrame, keys: Sequence[str], first: Sequence[ColumnOrName
     return [_c(c).desc_nulls_last() for c in list(first) + rest]
 
 
+def repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A key filter (``joins.key_filter``) of the keys that more than one row of ``df`` has.
+    Only the hashes of the keys are shuffled."""
+    n = key_hashes(df, keys).groupBy("__h").agg(F.count(F.lit(1)).alias("__n"))
+    return key_filter(n.where("__n > 1").select("__h"))
+
+
 def keep_latest(df: DataFrame, keys: Sequence[str], first: Sequence[ColumnOrName] = ()) -> DataFrame:
     """One row per ``keys``; the newest by ``first`` wins, ties broken by
-    the remaining columns (D3)."""
+    the remaining columns (D3).  Rows whose key no other row can have stay where they
+    are; those in question are shuffled and ranked.  ``df`` is read more than once and
+    must give the same rows each time."""
+    if not hashable(df, keys):
+        return _ranked(df, keys, first)
+    met, alone = _parted(df, mark_hashes(df, repeated(df, keys), keys, "__maybe"))
+    return _ranked(met, keys, first).unionByName(alone)
+
+
+def _parted(df: DataFrame, marked: DataFrame) -> list[DataFrame]:
+    """The rows of ``marked`` that may meet another one, and the others."""
+    return [marked.where(c).select(*df.columns) for c in ("__maybe", "NOT __maybe")]
+
+
+def _ranked(df: DataFrame, keys: Sequence[str], first: Sequence[ColumnOrName]) -> DataFrame:
+    """:func:`keep_latest` by one window over all rows."""
     ids = text_ids(df)
     w = Window.partitionBy(*keys).orderBy(*total_order(df, keys, first))
     newest = (pack_ids(df, ids).withColumn("__rn", F.row_number().over(w))
@@ -37,10 +62,8 @@ def keep_latest(df: DataFrame, keys: Sequence[str], first: Sequence[ColumnOrName
 def latest_of(few: DataFrame, many: DataFrame, keys: Sequence[str], first: Sequence[ColumnOrName] = ()) -> DataFrame:
     """:func:`keep_latest` of both tables together, where ``many`` holds one row per key
     already: its rows whose key cannot be in ``few`` stay where they are."""
-    from .joins import mark_maybe
-    marked = mark_maybe(many, few, keys, "__maybe")
-    met, alone = (marked.where(c).select(*many.columns) for c in ("__maybe", "NOT __maybe"))
-    return keep_latest(few.unionByName(met), keys, first).unionByName(alone)
+    met, alone = _parted(many, mark_maybe(many, few, keys, "__maybe"))
+    return _ranked(few.unionByName(met), keys, first).unionByName(alone)
 
 
 def drop_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:

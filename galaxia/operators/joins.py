@@ -50,27 +50,56 @@ def semi_by_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> Data
     return join_packed(_maybe_held(df, keys_df, keys), keys_df.select(*keys), keys, "left_semi")
 
 
-#: Words of 64 bits of the key filter: 4 MB of bits, however many keys there are.
-FILTER_WORDS = 1 << 19
+#: Rows of the key filter and words of 64 bits in each: 32 MB of bits, however many keys there are.
+FILTER_ROWS, FILTER_WORDS = 1 << 19, 8
 # Types whose equal values have equal hashes.
 _HASHED = {"string", "binary", "int", "bigint", "date"}
 
 
+def hashable(df: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether rows with the same ``keys`` have the same hash."""
+    types = dict(df.dtypes)
+    return all(types[k] in _HASHED for k in keys)
+
+
+def key_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``__h``: a hash of 40 bits of each row's key."""
+    return df.select(_hash(keys).alias("__h"))
+
+
+def _hash(keys: Sequence[str]):
+    return F.xxhash64(*[F.col(k) for k in keys]).bitwiseAND(F.lit((1 << 40) - 1))
+
+
 def mark_maybe(df: DataFrame, keys_df: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
     """Every row of ``df``; ``flag`` is false only where its key is not in ``keys_df``:
     it is true where the key (NULL is one too) sets a bit that a key there sets, and
-    everywhere if the keys are of different types.  The filter has at most ``FILTER_WORDS`` rows, so it is broadcast
+    everywhere if the keys are of different types.  The filter has at most ``FILTER_ROWS`` rows, so it is broadcast
     at any size; the more keys there are, the more others it lets through."""
     types, others = dict(df.dtypes), dict(keys_df.dtypes)
-    if any(types[k] != others[k] or types[k] not in _HASHED for k in keys):
+    if any(types[k] != others[k] for k in keys) or not hashable(df, keys):
         return df.withColumn(flag, F.lit(True))
-    h = F.xxhash64(*[F.col(k) for k in keys])
-    word, bit = F.pmod("__h", F.lit(FILTER_WORDS)), F.expr("shiftleft(1L, cast(__h >> 19 & 63 as int))")
-    held = (keys_df.select(h.alias("__h")).select(word.alias("__word"), bit.alias("__bit"))
-            .groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))
-    hit = F.coalesce(F.expr("(__bits & __bit) != 0"), F.lit(False))
-    probed = df.withColumn("__h", h).withColumns({"__word": word, "__bit": bit})
-    return (probed.join(F.broadcast(held), "__word", "left").select(*df.columns, hit.alias(flag)))
+    return mark_hashes(df, key_filter(key_hashes(keys_df, keys)), keys, flag)
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """The filter's row, word and bit of ``__h``."""
+    return df.withColumns({"__row": F.pmod("__h", F.lit(FILTER_ROWS)), "__word": F.expr(f"(__h >> 25) & {FILTER_WORDS - 1}"),
+                           "__bit": F.expr("shiftleft(1L, cast((__h >> 19) & 63 as int))")})
+
+
+def key_filter(hashes: DataFrame) -> DataFrame:
+    """The bits that the :func:`key_hashes` set."""
+    bits = [F.bit_or(F.when(F.col("__word") == i, F.col("__bit")).otherwise(F.lit(0))).alias(f"__bits{i}") for i in range(FILTER_WORDS)]
+    return _placed(hashes).groupBy("__row").agg(*bits)
+
+
+def mark_hashes(df: DataFrame, held: DataFrame, keys: Sequence[str], flag: str) -> DataFrame:
+    """Every row of ``df``; ``flag`` is true where its key sets a bit of the filter ``held``."""
+    word = " ".join(f"WHEN {i} THEN __bits{i}" for i in range(FILTER_WORDS))
+    hit = F.coalesce(F.expr(f"((CASE __word {word} END) & __bit) != 0"), F.lit(False))
+    probed = _placed(df.withColumn("__h", _hash(keys)))
+    return (probed.join(F.broadcast(held), "__row", "left").select(*df.columns, hit.alias(flag)))
 
 
 def _maybe_held(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -4,8 +4,8 @@ every incremental batch.
 Order of every spec (D17): clean columns -> row filters -> keep the newest row
 per key -> drop rows whose kept version fails the date-order check (D13) ->
 impute medians from the surviving rows.  Each step is a narrow ``select`` /
-``where`` except the dedup (one shuffle on the key, with a partial
-``WindowGroupLimit`` before it) and the median (a few one-column aggregate
+``where`` except the dedup (a shuffle of hashed keys, and one of the rows whose key
+comes again, with a partial ``WindowGroupLimit`` before it) and the median (a few one-column aggregate
 passes over a materialised copy).
 """
 

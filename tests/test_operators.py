@@ -147,3 +147,24 @@ def test_rows_that_meet_no_waiting_row_are_not_ranked_again(spark):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert {(r.k, r.v) for r in got.where("k IN ('3', '4', '5') OR k IS NULL").collect()} == {("3", "gew"), ("4", "many"), ("5", "few"), (None, "many")}
     assert mark_maybe(many, few, ["k", "n"], "f").where("f").count() < 50
+
+
+def test_rows_whose_key_is_alone_are_not_ranked(spark, monkeypatch):
+    from galaxia.operators.joins import key_filter, key_hashes, mark_hashes
+    df = spark.range(20_000).selectExpr("if(id = 7, null, cast(id as string)) k", "cast(if(id IN (5, 7), null, 1) as int) n", "2 ts", "'a' v")
+    again = spark.createDataFrame([("3", 1, 9, "b"), ("3", 1, 9, "c"), ("4", 1, 0, "b"), ("4", 2, 0, "b"), (None, None, 2, "b")],
+                                  "k string, n int, ts int, v string")
+    rows, whole, seen = df.unionByName(again), dedup._ranked, []
+    monkeypatch.setattr(dedup, "_ranked", lambda few, *a: seen.append(few) or whole(few, *a))
+    got, want = dedup.keep_latest(rows, ["k", "n"], ["ts"]), whole(rows, ["k", "n"], ["ts"])
+    assert got.columns == want.columns
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert {(r.k, r.n, r.v) for r in got.where("k IN ('3', '4') OR k IS NULL").collect()} == {
+        ("3", 1, "c"), ("4", 1, "a"), ("4", 2, "b"), (None, None, "b")}
+    assert 7 <= seen[0].count() < 50           # the rows of ('3', 1), ('4', 1) and (NULL, NULL)
+    # a key that compares equal without an equal hash is ranked with all others
+    assert dedup.keep_latest(df.select(df.ts.cast("double").alias("k"), "v"), ["k"]).count() == 1
+    # every key of the filter is found again, whichever word its bit is in
+    held = key_filter(key_hashes(df.where("n = 1 AND cast(k as int) % 2 = 0"), ["k"]))
+    marked = mark_hashes(df, held, ["k"], "f")
+    assert marked.where("cast(k as int) % 2 = 0 AND NOT f").count() == 0 and marked.where("f").count() < 10_100
