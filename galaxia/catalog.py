@@ -23,9 +23,9 @@ FIXTURE = SV.Params(min_time=dt.MIN_TIME, now=dt.NOW)
 class Model:
     """Lazily built layers of the order model for one driver folder."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: SV.Params = FIXTURE):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: SV.Params = FIXTURE, reads: dict | None = None):
         from .plans.lazy import Lazy
-        self.spark, self.sf_dir, self.params = spark, sf_dir, params
+        self.spark, self.sf_dir, self.params, self.reads = spark, sf_dir, params, reads
         self._raw = Lazy({e: (lambda e=e: dt.raw(spark, sf_dir, e)) for e in dt.SQL})
         self._silver = Lazy({e: (lambda e=e: SV.CLEANERS[e](self.source(e), self.params)) for e in SV.CLEANERS})
 
@@ -45,7 +45,7 @@ class Model:
     def gold(self):
         from .plans.gold import build_gold
 
-        return build_gold(self._silver, self.spark)
+        return build_gold(self._silver, self.spark, reads=self.reads)
 
     def view(self, name: str) -> DataFrame:
         """``v_<gold table>`` or ``dim_date``."""
@@ -101,9 +101,9 @@ def views_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Model(spark, sf_dir).view("v_fact_orders")
 
 
-def _kpi_query(fn):
+def _kpi_query(name, fn):
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(_Views(Model(spark, sf_dir)))
+        return fn(_Views(Model(spark, sf_dir, reads=K.READS.get(name))))
     q.__name__ = fn.__name__
     return q
 
@@ -120,7 +120,7 @@ QUERIES.update({
     "views_fact_orders": views_fact_orders,
     "parked_orders": _gold_query("parked_orders"),
 })
-QUERIES.update({name: _kpi_query(fn) for name, fn in K.KPIS.items()})
+QUERIES.update({name: _kpi_query(name, fn) for name, fn in K.KPIS.items()})
 
 
 # ------------------------------------------------------------------ merges and increments

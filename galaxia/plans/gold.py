@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.ids import mark_parents
 from ..operators.joins import lookup_sk, require_parent
@@ -20,9 +21,13 @@ from ..sources.schemas import conform
 from .lazy import Lazy, OnceDict
 
 
-def _with_sk(df: DataFrame, table: str, versions: bool = False) -> DataFrame:
+def _with_sk(df: DataFrame, table: str, versions: bool = False, reads=None) -> DataFrame:
     sk, keys = schemas.GOLD_KEYS[table]
-    return conform(assign_sk(df, keys, sk), schemas.stored(table) if versions else schemas.GOLD[table])
+    schema = schemas.stored(table) if versions else schemas.GOLD[table]
+    if reads is not None:
+        schema = StructType([f for f in schema if f.name in (sk, *keys, *reads)])
+        df = df.select(*[c for c in df.columns if c in schema.names])
+    return conform(assign_sk(df, keys, sk), schema)
 
 
 def _version(silver: DataFrame) -> list:
@@ -129,9 +134,9 @@ def parked(entity: str, rows: DataFrame) -> DataFrame:
 class GoldTables(OnceDict):
     """Gold tables built on first access, once each (a build writes its key map)."""
 
-    def __init__(self, silver: dict[str, DataFrame], versions: bool = False):
+    def __init__(self, silver: dict[str, DataFrame], versions: bool = False, reads: dict | None = None):
         super().__init__()
-        self.silver, self.versions = silver, versions
+        self.silver, self.versions, self.reads = silver, versions, reads or {}
         # a state for merges has its fact and its parked rows both read
         self.rows = Lazy({e: (lambda e=e: self._looked_up(e)) for e in FACT_OF})
 
@@ -139,22 +144,25 @@ class GoldTables(OnceDict):
         rows = looked_up(e, self.silver[e], lambda table, src, key: self[table])
         return materialize(rows, f"rows-{e}") if self.versions else rows
 
+    def _with_sk(self, df: DataFrame, t: str) -> DataFrame:
+        return _with_sk(df, t, self.versions, self.reads.get(t))
+
     def build(self, t: str) -> DataFrame:
         s = self.silver
         if t in ("dim_customers", "dim_sellers", "dim_products"):
             e = {"dim_customers": "customers", "dim_sellers": "sellers", "dim_products": "products"}[t]
-            df = _with_sk(dim_rows(s[e], t), t, self.versions)
+            df = self._with_sk(dim_rows(s[e], t), t)
         elif self.versions and t in FACT_OF.values():
             e = next(e for e in FACT_OF if FACT_OF[e] == t)
-            df = _with_sk(landed(e, self.rows[e]), t, True)
+            df = self._with_sk(landed(e, self.rows[e]), t)
         elif t == "fact_orders":
-            df = _with_sk(order_rows(s["orders"], self["dim_customers"]), t, self.versions)
+            df = self._with_sk(order_rows(s["orders"], self["dim_customers"]), t)
         elif t == "fact_order_items":
-            df = _with_sk(item_rows(s["order_items"], self["dim_products"], self["dim_sellers"]), t, self.versions)
+            df = self._with_sk(item_rows(s["order_items"], self["dim_products"], self["dim_sellers"]), t)
         elif t == "fact_order_payments":
-            df = _with_sk(payment_rows(s["order_payments"], self["fact_orders"]), t, self.versions)
+            df = self._with_sk(payment_rows(s["order_payments"], self["fact_orders"]), t)
         elif t == "fact_order_reviews":
-            df = _with_sk(review_rows(s["order_reviews"], self["fact_orders"]), t, self.versions)
+            df = self._with_sk(review_rows(s["order_reviews"], self["fact_orders"]), t)
         elif t == "dim_date":
             from ..functions.dates import calendar_for
             df = calendar_for([(self["fact_orders"], "order_purchase_timestamp"),
@@ -173,8 +181,10 @@ GOLD_TABLES = ["dim_customers", "dim_sellers", "dim_products", "fact_orders", "f
                "fact_order_payments", "fact_order_reviews", "dim_date"]
 
 
-def build_gold(silver: dict[str, DataFrame], spark: SparkSession | None = None, versions: bool = False) -> GoldTables:
+def build_gold(silver: dict[str, DataFrame], spark: SparkSession | None = None, versions: bool = False,
+               reads: dict | None = None) -> GoldTables:
     """Full load (G2-G8, T1).  The returned mapping builds each table on first
     access; ``parked_*`` are the silver fact rows whose parent row is missing.
-    ``versions`` keeps the change time with each row, for later merges."""
-    return GoldTables(silver, versions)
+    ``versions`` keeps the change time with each row, for later merges; ``reads`` names
+    the columns that a table needs besides its keys (all, where it names none)."""
+    return GoldTables(silver, versions, reads)

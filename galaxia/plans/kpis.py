@@ -218,3 +218,16 @@ KPIS = {
     "kpi_five_star_by_state": five_star_by_state,
     "kpi_score_by_category": score_by_category,
 }
+
+#: What each KPI reads of the tables that move most, besides their keys: other columns
+#: need not be carried through lookups and surrogate keys.
+READS = {
+    "kpi_overview_totals": {"fact_order_items": ["price"], "fact_orders": [], "dim_customers": ["customer_unique_id"]},
+    "kpi_revenue_trend": {"fact_order_items": ["price"], "fact_orders": ["order_purchase_timestamp"]},
+    "kpi_revenue_by_category": {"fact_order_items": ["product_sk", "price"], "dim_products": ["product_category_name_english"]},
+    "kpi_payment_trend": {"fact_order_payments": ["payment_value"], "fact_orders": ["order_purchase_timestamp"]},
+    "kpi_five_star_by_state": {"fact_order_reviews": ["order_id", "review_score"], "fact_orders": ["customer_sk"],
+                               "dim_customers": ["customer_state"]},
+    "kpi_score_by_category": {"fact_order_items": ["product_sk"], "fact_order_reviews": ["order_id", "review_score"],
+                              "fact_orders": [], "dim_products": ["product_category_name_english"]},
+}

@@ -1,6 +1,7 @@
 """Table goldens, date dimension, increments (early facts, idempotence, crash)."""
 
 import datetime as dt
+from decimal import Decimal as D
 
 import pytest
 from pyspark.sql import functions as F
@@ -176,3 +177,37 @@ def test_run_initial_then_run_increment_from_watermarks(spark, scratch):
     assert got == [(K[1], 1), (K[2], 2)]
     bronze = spark.read.parquet(scratch + "/bronze/orders")
     assert bronze.count() == 2 and "ingested_at" in bronze.columns   # K1 at first, then only K2 (changed since)
+
+
+def test_kpis_carry_only_the_columns_they_read(spark):
+    from galaxia.operators.ids import packed_view
+    from galaxia.plans import kpis as KP
+    from galaxia.plans import views as VW
+    from galaxia.plans.gold import build_gold
+    MEASURES = (1, 1, 1, 1.0, 1.0, 1.0, 1.0)
+    silver = {
+        "customers": [(K[0], K[0], "00001", "a", "SP", d(), d()), (K[1], K[0], "00001", "a", "RJ", d(), d())],
+        "sellers": [(K[3], "00001", "a", "SP", 1.0, 2.0)],
+        "products": [(K[4], "x", "x_en", *MEASURES), (K[5], "y", "y_en", *MEASURES)],
+        "orders": [(K[i], K[i % 2], "delivered", d(40 * i), None, None, d(3), d(10), d(), d()) for i in (6, 7, 8)],
+        "order_items": [(K[o], n, K[p], K[3], d(), D(price), D("1.00"), d(), d()) for o, n, p, price in
+                        [(6, 1, 4, "10.00"), (6, 2, 5, "2.50"), (7, 1, 4, "4.00"), (7, 2, 9, "9.00")]],
+        "order_payments": [(K[6], 1, "boleto", 1, D("5.00"), d(), d()), (K[8], 1, "boleto", 1, D("7.00"), d(), d())],
+        "order_reviews": [(K[1], K[6], 5, None, None, d(), None, d(), d()), (K[2], K[7], 2, None, None, d(), None, d(), d())],
+    }
+    silver = {e: spark.createDataFrame(rows, schemas.SILVER[e]) for e, rows in silver.items()}
+
+    def kpi(name, reads):
+        gold = build_gold(silver, reads=reads)
+
+        class Views(dict):
+            def __missing__(self, v):
+                return packed_view(VW.view(gold[v[2:]], v[2:]))
+        return gold, [tuple(r) for r in KP.KPIS[name](Views()).collect()]
+    for name in ("kpi_overview_totals", "kpi_score_by_category"):
+        reads = KP.READS[name]
+        gold, got = kpi(name, reads)
+        assert got and sorted(got, key=repr) == sorted(kpi(name, None)[1], key=repr), name
+        for t, columns in reads.items():
+            sk, keys = schemas.GOLD_KEYS[t]
+            assert set(gold[t].columns) == {sk, *keys, *columns}, (name, t)
