@@ -6,8 +6,8 @@ a range is merged in one task.  Ranges split the hash space, not the words, so a
 frequent word or context is spread over all of them, and their number grows with the
 corpus: a task's share stays the same.
 
-Storing: each range is a sorted array in the shared folder.  A word's hash is
-XXH64 of its bytes and its id is its rank; a bigram's hash is a one-to-one mix of
+Storing: each range is a sorted array in the shared folder.  A word's hash has 64
+bits, made of its bytes for all words of a chunk at once, and its id is its rank; a bigram's hash is a one-to-one mix of
 its two ids, a trigram's one of its context's rank among the bigrams and its last
 word's id, so a lookup in a sorted hash array is exact.  Context statistics (how many
 followers were seen once, twice, more often) and continuation counts are arrays
@@ -52,6 +52,10 @@ RUN_TOKENS = 1 << 22
 CHUNK_POINTS = 2_000_000
 ORDER = 3
 UNKNOWN = (1 << 32) - 1
+#: Bytes of a word that are hashed in arrays; longer words are hashed one by one.
+HASH_BYTES = 64
+# The lowest bytes of a number.
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _I1, _I2 = (np.uint64(pow(int(m), -1, 1 << 64)) for m in (_M1, _M2))
 
@@ -72,21 +76,34 @@ def unmix(x: np.ndarray) -> np.ndarray:
     return back(back(back(x, 31) * _I2, 27) * _I1, 30)
 
 
-def word_hash(words: list[bytes]) -> np.ndarray:
-    from xxhash import xxh64_intdigest
-    return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
-
-
-# The bytes between words.
-_SPACE = np.isin(np.arange(256), [0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20])
+def word_hash(words: pa.Array | list[bytes]) -> np.ndarray:
+    """64-bit hashes of words.  Eight bytes of all words are mixed in at a time, after the
+    length; words of more than ``HASH_BYTES`` go through XXH64 one by one."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    _, offsets, body = (pa.array(words, pa.large_binary()) if isinstance(words, list) else words).buffers()
+    offsets, data = np.frombuffer(offsets, np.int64)[:len(words) + 1], np.frombuffer(body, np.uint8)
+    starts, sizes = offsets[:-1], np.diff(offsets)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(data) + 1, "<u8", padded, 0, (1,))    # the eight bytes from each place on
+    out = mix(sizes.astype(np.uint64))
+    some = np.flatnonzero(sizes <= HASH_BYTES)
+    for done in range(0, HASH_BYTES, 8):
+        some = some[sizes[some] > done]
+        block = eight[starts[some] + done] & _LOW[np.minimum(sizes[some] - done, 8)]
+        out[some] = mix(out[some] ^ block)
+    if len(some := np.flatnonzero(sizes > HASH_BYTES)):
+        from xxhash import xxh64_intdigest
+        out[some] = [xxh64_intdigest(data[a:b]) for a, b in zip(offsets[some].tolist(), offsets[some + 1].tolist(), strict=True)]
+    return out
 
 
 def split(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
     """The lower-cased words of all texts, one after the other, and how many each text has."""
     raw = [t.encode("utf-8", "replace") for t in texts]
     data = np.frombuffer(b" ".join(raw).lower(), np.uint8)
-    solid = ~_SPACE[data]
-    edges = np.flatnonzero(np.diff(solid.view(np.int8), prepend=0, append=0))
+    solid = (data != 0x20) & (data - np.uint8(0x09) > 4)    # 09 to 0D and 20 are between words
+    edges = np.flatnonzero(np.diff(solid, prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
     offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[solid])])
@@ -119,7 +136,7 @@ def merge_runs(runs) -> tuple[np.ndarray, np.ndarray]:
 
 def add_up(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The keys sorted, counts of equal ones added."""
-    order = np.argsort(keys)
+    order = np.argsort(keys, kind="stable")    # which merges what is sorted already
     keys, counts = keys[order], counts[order].astype(np.int64)
     first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
@@ -150,8 +167,36 @@ def range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def ascending(values: np.ndarray) -> np.ndarray:
-    """The order that sorts the values, which often are sorted already."""
-    return np.arange(len(values)) if (values[1:] >= values[:-1]).all() else np.argsort(values)
+    """The order that sorts the whole numbers, which often are sorted already; equal
+    ones stay in order.  Their top bits are sorted with the places below them, as numbers
+    sort several times faster than places."""
+    if (values[1:] >= values[:-1]).all():
+        return np.arange(len(values))
+    places = len(values).bit_length()
+    low = values.min()
+    drop = np.uint64(max(0, (int(values.max()) - int(low)).bit_length() + places - 64))
+    packed = (values - low).astype(np.uint64) >> drop << np.uint64(places) | np.arange(len(values), dtype=np.uint64)
+    packed.sort()
+    order = (packed & np.uint64((1 << places) - 1)).astype(np.int64)
+    if drop:    # numbers that differ in lower bits only
+        top, got = packed >> np.uint64(places), values[order]
+        late = np.unique(top[:-1][got[1:] < got[:-1]])
+        if len(late) > 1000:
+            return np.argsort(values, kind="stable")
+        for a, b in zip(np.searchsorted(top, late), np.searchsorted(top, late, side="right"), strict=True):
+            order[a:b] = order[a:b][np.argsort(got[a:b], kind="stable")]
+    return order
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct whole numbers, sorted, and the place of every one among them."""
+    order = ascending(values)
+    values = values[order]
+    first = np.ones(len(values), bool)
+    first[1:] = values[1:] != values[:-1]
+    places = np.empty(len(values), np.int64)
+    places[order] = np.cumsum(first) - 1
+    return values[first], places
 
 
 def starts_of(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -221,8 +266,8 @@ class Model:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the end, and the tokens of each text."""
         words, sizes = split(texts)
-        coded = words.dictionary_encode()
-        ids = self.ids_of(word_hash(coded.dictionary.to_pylist()))[coded.indices.to_numpy()]
+        hashes, at = distinct(word_hash(words))
+        ids = self.ids_of(hashes)[at]
         return np.insert(ids, np.cumsum(sizes), np.uint32(self.end)), sizes + 1
 
     def contexts(self, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -327,13 +372,13 @@ class Model:
         """:meth:`log10` of the tokens of whole texts.  A text's bigrams are both the
         bigrams and, one token later, the contexts, so each distinct one is looked up once."""
         first = np.cumsum(sizes) - sizes
-        words, own = np.unique(np.append(ids, np.uint32(self.begin)), return_inverse=True)
+        words, own = distinct(np.append(ids, np.uint32(self.begin)))
         own, begin = own[:-1], own[-1]
         last = np.empty_like(own)
         last[1:] = own[:-1]
         last[first] = begin
         # an unknown word's id is in no stored bigram; sorted hashes have sorted ranks
-        pairs, pair_at = np.unique(pair_keys(words[last], words[own]), return_inverse=True)
+        pairs, pair_at = distinct(pair_keys(words[last], words[own]))
         ranks = np.append(self.ranks(pairs), -1)
         table = np.zeros((len(ranks), 4), np.int64)
         count = np.zeros(len(ranks), np.int64)
@@ -414,9 +459,8 @@ def count_words(docs: DataFrame, ranges: int) -> DataFrame:
         held, size, n = [], 0, 0
         for texts in _chunks(batches):
             n += len(texts)
-            words, times = split(texts)[0].value_counts().flatten()
-            held.append((word_hash(words.to_pylist()), times.to_numpy()))
-            size += len(words)
+            held.append(np.unique(word_hash(split(texts)[0]), return_counts=True))
+            size += len(held[-1][0])
             if size >= RUN_TOKENS // 2:
                 yield out(held, n)
                 held, size, n = [], 0, 0
@@ -481,7 +525,7 @@ def count_trigrams(docs: DataFrame, shared, ranges: int) -> DataFrame:
 
     def out(model: Model, held: list) -> pd.DataFrame:
         ids, sizes = (np.concatenate(x) for x in zip(*held, strict=True))
-        pairs, at = np.unique(pair_keys(model.contexts(ids, sizes), ids), return_inverse=True)
+        pairs, at = distinct(pair_keys(model.contexts(ids, sizes), ids))
         context = previous(model.ranks(pairs)[at], sizes)
         keys = model.trigram_keys(context[context >= 0], ids[context >= 0])
         return _runs(*np.unique(keys, return_counts=True), ranges)
@@ -540,7 +584,7 @@ def store_bigram_stats(runs: DataFrame, shared, folder: str) -> DataFrame:
         # statistics as keys id * 8 + kind: 0 continuations, 1..3 followers seen 1, 2, 3+ times, 4 their sum
         marks, times = np.unique(np.concatenate([last << np.uint64(3), first << np.uint64(3) | np.minimum(counts, 3).astype(np.uint64)]),
                                  return_counts=True)
-        heads, at = np.unique(first, return_inverse=True)
+        heads, at = distinct(first)
         sums = np.zeros(len(heads), np.int64)
         np.add.at(sums, at, counts)
         marks, times = np.concatenate([marks, heads << np.uint64(3) | np.uint64(4)]), np.concatenate([times, sums])
