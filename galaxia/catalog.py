@@ -6,12 +6,13 @@ operators; ``galaxia.oracle_queries`` holds the DuckDB twin of each one.
 
 from __future__ import annotations
 
+import dataclasses
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import ids, prep
+from .operators import prep
 from .plans import kpis as K
 from .plans import silver as SV
 from .plans import views as VW
@@ -44,14 +45,22 @@ class Model:
     @cached_property
     def gold(self):
         from .plans.gold import build_gold
+        from .plans.lazy import Lazy
 
-        return build_gold(self._silver, self.spark, reads=self.reads)
+        params = dataclasses.replace(self.params, packed=True)
+        silver = Lazy({e: (lambda e=e: SV.CLEANERS[e](self.source(e), params)) for e in SV.CLEANERS})
+        return build_gold(silver, self.spark, reads=self.reads)
 
     def view(self, name: str) -> DataFrame:
         """``v_<gold table>`` or ``dim_date``."""
         t = name[2:] if name.startswith("v_") else name
         return VW.view(self.gold[t], t)
 
+    def packed_view(self, name: str) -> DataFrame:
+        """The same with packed ids."""
+        t = name[2:] if name.startswith("v_") else name
+        return VW.view(self.gold.packed[t], t)
+
 
 class _Views(dict):
     """The views for KPIs, which join and count ids but never show one: ids stay packed."""
@@ -61,7 +70,7 @@ class _Views(dict):
         self.model = model
 
     def __missing__(self, name):
-        df = ids.packed_view(self.model.view(name))
+        df = self.model.packed_view(name)
         self[name] = df
         return df
 
@@ -143,18 +152,19 @@ class Increment:
 
     def merged(self, fact: str) -> DataFrame:
         """Pure M1: batch rows landed against the initial gold, merged into it."""
+        from .operators.ids import shown
         from .plans import gold as G
-        s1, I = self.s1, self.I
+        s1, I = self.s1.packed, self.I
+        e = {v: k for k, v in I.FACT_OF.items()}.get(fact, "customers")
+        src = SV.CLEANERS[e](self.batch2[e], dataclasses.replace(FIXTURE, packed=True))
         if fact == "dim_customers":
-            return I.merge_dimension(s1["dim_customers"], self.silver2("customers"))
-        e = {v: k for k, v in I.FACT_OF.items()}[fact]
-        src = self.silver2(e)
+            return shown(I.merge_dimension(s1["dim_customers"], src))
         landed = {"fact_orders": lambda: G.order_rows(src, s1["dim_customers"]),
                   "fact_order_items": lambda: G.item_rows(src, s1["dim_products"], s1["dim_sellers"]),
                   "fact_order_payments": lambda: G.payment_rows(src, s1["fact_orders"]),
                   "fact_order_reviews": lambda: G.review_rows(src, s1["fact_orders"])}[fact]()
         # the merge reads the landed rows twice
-        return I.merge_fact(s1[fact], I._persist(landed, f"landed-{e}"), fact)
+        return shown(I.merge_fact(s1[fact], I._persist(landed, f"landed-{e}"), fact))
 
 
 def _merge_query(table: str):
@@ -252,7 +262,6 @@ def check_not_null_query(spark, sf_dir):
 def check_fk_query(spark, sf_dir):
     """Q6: orphans of the six relations, over silver, every table cleaned once.  Keys do
     not depend on the imputed measures, so no median is computed for them."""
-    import dataclasses
     measures = [f"products.{c}" for c in SV.PRODUCT_MEDIAN_COLS] + ["order_items.price", "order_payments.payment_value"]
     params, m = dataclasses.replace(FIXTURE, fixed_medians=dict.fromkeys(measures, 0.0)), Model(spark, sf_dir)
     s = {e: SV.CLEANERS[e](m.source(e), params) for e in SV.CLEANERS if e != "geolocation"}.__getitem__

@@ -115,12 +115,15 @@ def pack_id(c: ColumnOrName) -> Column:
     17 bytes.  Any other text follows its place among the hex ids, so the bytes are
     different for different texts and sort as the texts do."""
     c = _c(c)
-    raw = F.unhex(F.when(F.length(c) == 32, c))
     # the rare texts are mapped in an array, which keeps their long rule out of the
     # generated code of the common case
     other = F.get(F.transform(F.array(c), _pack_other), F.lit(0))
-    return (F.when(F.lower(F.hex(raw)) == c, F.concat(raw, F.lit(bytearray(b"\1"))))
-             .when(c.isNotNull(), other))
+    return F.coalesce(F.concat(_hex_bytes(c), F.lit(bytearray(b"\1"))), F.when(c.isNotNull(), other))
+
+
+def _hex_bytes(c: Column) -> Column:
+    """The bytes of 32 lower-case hex digits, NULL for any other text."""
+    return F.unhex(F.when((F.length(c) == 32) & (F.lower(c) == c), c))
 
 
 def _pack_other(c: Column) -> Column:
@@ -144,8 +147,7 @@ def pack_key(c: ColumnOrName) -> Column:
     """An id as bytes for joins, where only equality counts: 16 bytes of 32 lower-case
     hex digits; any other text keeps its bytes behind 17 zeros, so none has 16."""
     c = _c(c)
-    raw = F.unhex(F.when(F.length(c) == 32, c))
-    return F.when(F.lower(F.hex(raw)) == c, raw).otherwise(F.concat(F.lit(bytearray(17)), c.cast("binary")))
+    return F.coalesce(_hex_bytes(c), F.concat(F.lit(bytearray(17)), c.cast("binary")))
 
 
 def unpack_key(c: ColumnOrName) -> Column:

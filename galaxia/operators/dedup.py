@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import ColumnOrName, _c
-from .ids import pack_ids, text_ids, unpack_ids
+from .ids import packed, packed_ids, text_ids, unpack_ids
 from .joins import hashable, key_filter, key_hashes, mark_hashes, mark_maybe
 
 
@@ -34,15 +34,16 @@ def repeated(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return key_filter(n.where("__n > 1").select("__h"))
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], first: Sequence[ColumnOrName] = ()) -> DataFrame:
+def keep_latest(df: DataFrame, keys: Sequence[str], first: Sequence[ColumnOrName] = (), pack: bool = False) -> DataFrame:
     """One row per ``keys``; the newest by ``first`` wins, ties broken by
     the remaining columns (D3).  Rows whose key no other row can have stay where they
     are; those in question are shuffled and ranked.  ``df`` is read more than once and
-    must give the same rows each time."""
+    must give the same rows each time.  With ``pack`` the ids come out packed."""
+    ids = [] if pack else text_ids(df)
     if not hashable(df, keys):
-        return _ranked(df, keys, first)
+        return unpack_ids(_ranked(df, keys, first), ids)
     met, alone = _parted(df, mark_hashes(df, repeated(df, keys), keys, "__maybe"))
-    return _ranked(met, keys, first).unionByName(alone)
+    return unpack_ids(_ranked(met, keys, first), ids).unionByName(packed(alone) if pack else alone)
 
 
 def _parted(df: DataFrame, marked: DataFrame) -> list[DataFrame]:
@@ -51,19 +52,19 @@ def _parted(df: DataFrame, marked: DataFrame) -> list[DataFrame]:
 
 
 def _ranked(df: DataFrame, keys: Sequence[str], first: Sequence[ColumnOrName]) -> DataFrame:
-    """:func:`keep_latest` by one window over all rows."""
-    ids = text_ids(df)
+    """:func:`keep_latest` by one window over all rows; the ids come out packed."""
     w = Window.partitionBy(*keys).orderBy(*total_order(df, keys, first))
-    newest = (pack_ids(df, ids).withColumn("__rn", F.row_number().over(w))
-              .where(F.col("__rn") == 1).drop("__rn"))
-    return unpack_ids(newest, ids)
+    return (packed(df).withColumn("__rn", F.row_number().over(w))
+            .where(F.col("__rn") == 1).drop("__rn"))
 
 
 def latest_of(few: DataFrame, many: DataFrame, keys: Sequence[str], first: Sequence[ColumnOrName] = ()) -> DataFrame:
     """:func:`keep_latest` of both tables together, where ``many`` holds one row per key
     already: its rows whose key cannot be in ``few`` stay where they are."""
+    ids = text_ids(many)
+    few = packed(few) if packed_ids(many) else few
     met, alone = _parted(many, mark_maybe(many, few, keys, "__maybe"))
-    return _ranked(few.unionByName(met), keys, first).unionByName(alone)
+    return unpack_ids(_ranked(few.unionByName(met), keys, first), ids).unionByName(alone)
 
 
 def drop_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:

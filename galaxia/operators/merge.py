@@ -15,8 +15,9 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rules import unpack_id
 from ..sources.schemas import GOLD, GOLD_KEYS, VERSION
-from .ids import join_packed
+from .ids import join_packed, packed, packed_ids, shown
 from .keys import assign_sk, max_sk
 
 _T, _S = "__in_target", "__in_source"
@@ -56,6 +57,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     would fan the target row out).
     """
     keys = list(keys)
+    held_packed = packed_ids(target)
+    source = packed(source) if held_packed else shown(source)
+    target = packed(target) if held_packed else target
     cols = [c for c in target.columns if c not in keys and c != sk_col]
     src_cols = [c for c in cols if c in source.columns]
     versioned = VERSION in target.columns and VERSION in source.columns
@@ -73,7 +77,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], update_col
     if versioned:
         mine, theirs = F.col(VERSION), F.col(f"s__{VERSION}")
         content = [c for c in update_cols if c in src_cols and c != VERSION]
-        same = F.xxhash64(*[F.col(f"s__{c}") for c in content]) >= F.xxhash64(*content)
+        text = lambda name, c: unpack_id(name) if c in held_packed else F.col(name)
+        same = F.xxhash64(*[text(f"s__{c}", c) for c in content]) >= F.xxhash64(*[text(c, c) for c in content])
         newer = (theirs > mine) | (mine.isNull() & theirs.isNotNull()) | (theirs.eqNullSafe(mine) & same)
         taken = taken & F.coalesce(newer, F.lit(False))
     kept = j.select(*[F.when(taken, F.col(f"s__{c}") if c in src_cols else F.lit(None)).otherwise(F.col(c)).alias(c)

@@ -18,7 +18,7 @@ from ..operators.keys import assign_sk
 from ..session import materialize
 from ..sources import schemas
 from ..sources.schemas import conform
-from .lazy import Lazy, OnceDict
+from .lazy import Lazy, OnceDict, Shown, packed_tables
 
 
 def _with_sk(df: DataFrame, table: str, versions: bool = False, reads=None) -> DataFrame:
@@ -132,11 +132,12 @@ def parked(entity: str, rows: DataFrame) -> DataFrame:
 
 
 class GoldTables(OnceDict):
-    """Gold tables built on first access, once each (a build writes its key map)."""
+    """Gold tables built on first access, once each (a build writes its key map), with
+    packed ids."""
 
     def __init__(self, silver: dict[str, DataFrame], versions: bool = False, reads: dict | None = None):
         super().__init__()
-        self.silver, self.versions, self.reads = silver, versions, reads or {}
+        self.silver, self.versions, self.reads = packed_tables(silver), versions, reads or {}
         # a state for merges has its fact and its parked rows both read
         self.rows = Lazy({e: (lambda e=e: self._looked_up(e)) for e in FACT_OF})
 
@@ -182,9 +183,9 @@ GOLD_TABLES = ["dim_customers", "dim_sellers", "dim_products", "fact_orders", "f
 
 
 def build_gold(silver: dict[str, DataFrame], spark: SparkSession | None = None, versions: bool = False,
-               reads: dict | None = None) -> GoldTables:
+               reads: dict | None = None) -> Shown:
     """Full load (G2-G8, T1).  The returned mapping builds each table on first
     access; ``parked_*`` are the silver fact rows whose parent row is missing.
     ``versions`` keeps the change time with each row, for later merges; ``reads`` names
     the columns that a table needs besides its keys (all, where it names none)."""
-    return GoldTables(silver, versions, reads)
+    return Shown(GoldTables(silver, versions, reads))

@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..operators.dedup import latest_of
+from ..operators.ids import packed
 from ..operators.merge import UPDATE_COLS, upsert
 from ..session import scratch_scope
 from ..sources import schemas
 from ..sources.schemas import conform
 from . import gold as G
 from . import silver as SV
-from .lazy import Lazy
+from .lazy import Lazy, Shown, packed_tables
 
 # Source tables that arrive in increments (the others are full refresh).
 INCREMENTAL = ["customers", "orders", "order_items", "order_payments", "order_reviews"]
@@ -116,16 +117,16 @@ def store_silver(sources: dict[str, DataFrame], params: SV.Params, now, root: st
     return out
 
 
-def initial_load(sources: dict[str, DataFrame], params: SV.Params, now, persist=_persist, silver=None) -> Lazy:
+def initial_load(sources: dict[str, DataFrame], params: SV.Params, now, persist=_persist, silver=None) -> Shown:
     """Entry 1: clean every source, build gold, park the facts whose parent is
     missing, capture the watermarks.  ``now`` also bounds the valid event times."""
-    params = dataclasses.replace(params, now=str(now))
+    params = dataclasses.replace(params, now=str(now), packed=True)
     silver = {e: conform(df, schemas.SILVER[e]) for e, df in silver.items()} if silver else Lazy(
         {e: (lambda e=e: SV.CLEANERS[e](sources[e], params)) for e in sources if e in SV.CLEANERS})
-    gold = G.build_gold(silver, versions=True)
+    gold = G.build_gold(silver, versions=True).packed
     thunks = {t: (lambda t=t: gold[t]) for t in STATE_TABLES if t != "control"}
     thunks["control"] = lambda: batch_watermarks({e: sources[e] for e in INCREMENTAL if e in sources}, now)
-    return Lazy(thunks)
+    return Shown(Lazy(thunks))
 
 
 def merge_dimension(dim: DataFrame, silver_rows: DataFrame, table: str = "dim_customers") -> DataFrame:
@@ -148,7 +149,7 @@ def merge_in_memory(table: str, target: DataFrame, rows: DataFrame) -> DataFrame
 
 
 def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params: SV.Params,
-              now, merge=merge_in_memory, persist=_persist, lookup=None) -> Lazy:
+              now, merge=merge_in_memory, persist=_persist, lookup=None) -> Shown:
     """I4 + I5 + I6: clean the batch, merge customers, then each fact in
     dependency order (orders before the facts that need them).  Parked rows of
     the previous state join the batch (newest version per key wins); rows that
@@ -157,9 +158,10 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
     ``merge(table, target, rows)`` performs each upsert and returns the whole new
     table; the stored state passes one that touches only the affected buckets.
     ``lookup(table, rows, key, table_df)`` may narrow a parent table to the part
-    that can hold the keys of ``rows`` (the store reads only their buckets)."""
-    params = dataclasses.replace(params, now=str(now))
-    prev = state
+    that can hold the keys of ``rows`` (the store reads only their buckets).  Rows
+    and tables have packed ids here; those that the two give back may have texts."""
+    params = dataclasses.replace(params, now=str(now), packed=True)
+    prev = packed_tables(state)
     silver = Lazy({e: (lambda e=e: SV.CLEANERS[e](changes[e], params))
                    for e in changes if e in INCREMENTAL or e in REFRESHED})
     thunks = {t: (lambda t=t: prev[t]) for t in STATE_TABLES}
@@ -168,7 +170,7 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
         thunks[f"rows_{dim}"] = lambda: None     # the batch sends none
         if e in changes:
             thunks[f"rows_{dim}"] = lambda e=e, dim=dim: persist(G.dim_rows(silver[e], dim), f"rows-{dim}")
-            thunks[dim] = lambda dim=dim: merge(dim, prev[dim], st[f"rows_{dim}"])
+            thunks[dim] = lambda dim=dim: packed(merge(dim, prev[dim], st[f"rows_{dim}"]))
 
     def pending(e):   # parked rows + the batch, newest version per key
         if e not in changes:
@@ -185,14 +187,14 @@ def run_batch(state: dict[str, DataFrame], changes: dict[str, DataFrame], params
     rows = Lazy({e: (lambda e=e: persist(G.looked_up(e, source(e), look), f"rows-{e}")) for e in FACT_OF})
     landed = Lazy({e: (lambda e=e: G.landed(e, rows[e])) for e in FACT_OF})
     for e, fact in FACT_OF.items():
-        thunks[fact] = lambda e=e, fact=fact: merge(fact, prev[fact], landed[e])
+        thunks[fact] = lambda e=e, fact=fact: packed(merge(fact, prev[fact], landed[e]))
         thunks[f"parked_{e}"] = lambda e=e: G.parked(e, rows[e])
         thunks[f"landed_{e}"] = lambda e=e: landed[e]
     stamped = {e: changes[e] for e in INCREMENTAL if e in changes}
     if stamped:      # a batch of refreshed tables only moves no mark
         thunks["control"] = lambda: persist(advance_watermarks(prev["control"], stamped, now), "control")
     st.thunks = thunks
-    return st
+    return Shown(st)
 
 
 def refresh_dimension(dim: DataFrame, silver_rows: DataFrame, table: str) -> DataFrame:
@@ -210,7 +212,7 @@ def slice_changes(sources: dict[str, DataFrame], lo=None, hi=None) -> dict[str,
 
 
 def replay(spark: SparkSession, sources: dict[str, DataFrame], cuts: list[str], params: SV.Params,
-           now) -> Lazy:
+           now) -> Shown:
     """Initial load of everything up to ``cuts[0]``, then one batch per later
     cut (the last batch takes the rest)."""
     bounds = [None] + list(cuts) + [None]

@@ -6,6 +6,8 @@ import contextvars
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
+from ..operators.ids import packed, shown
+
 
 class OnceDict(dict):
     """A dict whose missing entries are built by :meth:`build`, once each, even
@@ -45,6 +47,33 @@ class Lazy(OnceDict):
         return list(self.thunks)
 
 
+class Shown(OnceDict):
+    """The tables of ``packed`` with their ids as text."""
+
+    def __init__(self, packed):
+        super().__init__()
+        self.packed = packed
+
+    def build(self, key):
+        df = self.packed[key]
+        return None if df is None else shown(df)
+
+
+class _Packed(OnceDict):
+    def __init__(self, tables):
+        super().__init__()
+        self.tables = tables
+
+    def build(self, key):
+        df = self.tables[key]
+        return None if df is None else packed(df)
+
+
+def packed_tables(tables):
+    """``tables`` with packed ids: those behind a :class:`Shown`, or else each packed."""
+    return tables.packed if isinstance(tables, Shown) else _Packed(tables)
+
+
 def build_all(names, fn, workers: int = 4) -> dict:
     """``fn`` of each name on a few driver threads: Spark runs the jobs of different
     threads side by side."""

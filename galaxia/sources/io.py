@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import rules as R
+from ..operators.ids import packed, packed_ids, shown
 from ..session import scratch_scope
 from . import schemas
 
@@ -197,8 +198,10 @@ class GoldStore:
             raise RuntimeError(f"could not publish manifest version {manifest['version']}")
 
     # -- tables
-    def _bucket(self, key: str):
-        return F.pmod(F.xxhash64(F.col(key)), F.lit(self.buckets)).cast("int")
+    def _bucket(self, df: DataFrame, key: str):
+        """The bucket of each row of ``df``, by the text of its key."""
+        text = R.unpack_id(key) if key in packed_ids(df) else F.col(key)
+        return F.pmod(F.xxhash64(text), F.lit(self.buckets)).cast("int")
 
     def _bucket_of(self, value: str):
         """The bucket of one key value (as a column expression)."""
@@ -243,9 +246,10 @@ class GoldStore:
             df.write.mode("overwrite").parquet(path)
             entry["parts"] = {"all": version}
             return entry
+        df = shown(df)
         # one shuffle groups rows by bucket, so each bucket gets a few files; rebalance
         # lets AQE join small buckets and split one that a hot key fills
-        (df.withColumn("bucket", self._bucket(key)).hint("rebalance", "bucket")
+        (df.withColumn("bucket", self._bucket(df, key)).hint("rebalance", "bucket")
            .write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(path))
         for st in self._fs.listStatus(self._Path(path)):
             name = st.getPath().getName()
@@ -309,18 +313,18 @@ class GoldStore:
         def merge(table: str, target_full: DataFrame, rows: DataFrame) -> DataFrame:
             key = BUCKET_KEY[table]
             sk, keys = schemas.GOLD_KEYS[table]
-            touched = [r[0] for r in rows.select(self._bucket(key)).distinct().collect()]  # <= buckets
+            touched = [r[0] for r in rows.select(self._bucket(rows, key)).distinct().collect()]  # <= buckets
             if not touched:
                 return target_full
             entry = work["tables"].get(table, {})
-            target = self._read(table, buckets=touched, manifest=work)
+            target = packed(self._read(table, buckets=touched, manifest=work))
             merged = upsert(target, rows, keys, UPDATE_COLS[table], sk, start_sk=entry.get("max_sk", 0))
             work["tables"][table] = self._write(table, merged, v, entry)
             return self.read(table, manifest=work)
 
         def lookup(table: str, rows: DataFrame, key: str, full: DataFrame) -> DataFrame:
             # parents are bucketed by exactly this key: read only the buckets of the batch's keys
-            touched = [r[0] for r in rows.select(self._bucket(key)).distinct().collect()]  # <= buckets
+            touched = [r[0] for r in rows.select(self._bucket(rows, key)).distinct().collect()]  # <= buckets
             return self.read(table, buckets=touched, manifest=work)
 
         new_state = I.run_batch(self.state(m), changes, params, now, merge=merge, lookup=lookup)

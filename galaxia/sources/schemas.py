@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType,
+    BinaryType, BooleanType, DateType, DecimalType, DoubleType, IntegerType, LongType,
     StringType, StructField, StructType, TimestampNTZType,
 )
 
+from ..operators.ids import IDS
+
 S, I, L, D, TS, DT, B = (StringType(), IntegerType(), LongType(), DoubleType(),
                           TimestampNTZType(), DateType(), BooleanType())
 MONEY = DecimalType(18, 2)
@@ -178,7 +180,7 @@ def stored(table: str) -> StructType:
 def conform(df: DataFrame, schema: StructType, extra: dict[str, Column] | None = None) -> DataFrame:
     """Project ``df`` onto ``schema``: exact column order, ``try_cast`` to each
     declared type (ANSI mode raises on a bad ``cast``).  Missing columns become
-    typed NULLs so the boundary never depends on what arrived."""
+    typed NULLs so the boundary never depends on what arrived.  Packed ids stay packed."""
     extra = extra or {}
     have = set(df.columns)
     cols = []
@@ -187,6 +189,9 @@ def conform(df: DataFrame, schema: StructType, extra: dict[str, Column] | None =
             c = extra[f.name]
         elif f.name in have:
             c = F.col(f.name)
+            if f.name in IDS and f.dataType == S and df.schema[f.name].dataType == BinaryType():
+                cols.append(c)
+                continue
         else:
             c = F.lit(None)
         cols.append(c.try_cast(f.dataType).alias(f.name) if f.name not in have or

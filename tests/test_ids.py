@@ -1,5 +1,6 @@
 """Ids travel packed, parents are looked up once for landed and parked rows."""
 
+import dataclasses
 import hashlib
 import re
 
@@ -7,8 +8,12 @@ from pyspark.sql import functions as F
 
 from galaxia.functions.rules import pack_id, pack_key, unpack_id, unpack_key
 from galaxia.operators.dedup import keep_latest
-from galaxia.operators.ids import join_packed, mark_parents
+from galaxia.operators.ids import join_packed, mark_parents, packed, shown
+from galaxia.operators.merge import upsert
 from galaxia.plans import gold as G
+from galaxia.plans import incremental as I
+from galaxia.plans import silver as SV
+from test_model import K, P, _sources, d, orders_df
 
 
 def _md5(x):
@@ -72,3 +77,48 @@ def test_looked_up_once_for_landed_and_parked(spark):
     parked = G.parked("order_items", rows)
     assert parked.columns == items.columns
     assert sorted(map(tuple, parked.collect())) == sorted(map(tuple, items.where("product_id = 'p9' or seller_id = 's9'").collect()))
+
+
+def _odd_rows(spark):
+    return spark.createDataFrame([(_md5(1), 1), (_md5(2), 2), (_md5(3).upper(), 3), ("x", 4), ("", 5), (None, 6)], "order_id string, n int")
+
+
+def test_operators_take_packed_ids_on_either_side(spark):
+    text, part = _odd_rows(spark), _odd_rows(spark).where("n in (1, 3, 4, 5, 6)").withColumnRenamed("n", "m")
+    for left, right in ((packed(text), part), (text, packed(part)), (packed(text), packed(part))):
+        j = join_packed(left, right, ["order_id"], "left")
+        assert j.schema["order_id"].dataType == left.schema["order_id"].dataType
+        assert {(r.order_id, r.n, r.m) for r in shown(j).collect()} == {
+            (_md5(1), 1, 1), (_md5(2), 2, None), (_md5(3).upper(), 3, 3), ("x", 4, 4), ("", 5, 5), (None, 6, None)}
+        marked = mark_parents(left, right, ["order_id"], "has")
+        assert {(r.order_id, r.n) for r in shown(marked).where("has").collect()} == {(_md5(1), 1), (_md5(3).upper(), 3), ("x", 4), ("", 5)}
+
+
+def test_upsert_follows_the_ids_of_its_target(spark):
+    target = spark.createDataFrame([(1, _md5(1), "a", "u"), (2, "x", "b", "v")], "order_sk long, order_id string, v string, customer_id string")
+    source = spark.createDataFrame([(_md5(1), "c", "w"), (_md5(2), "d", _md5(9))], "order_id string, v string, customer_id string")
+    want = {(1, _md5(1), "c", "w"), (2, "x", "b", "v"), (3, _md5(2), "d", _md5(9))}
+    for t, s in ((target, source), (packed(target), source), (target, packed(source)), (packed(target), packed(source))):
+        out = upsert(t, s, ["order_id"], ["v", "customer_id"], "order_sk")
+        assert out.schema["order_id"].dataType == t.schema["order_id"].dataType
+        assert {tuple(r) for r in shown(out).collect()} == want
+
+
+def test_states_hold_ids_packed_and_show_them_as_text(spark):
+    s1 = I.initial_load(_sources(spark, [(K[0], K[0], 1, "city", "SP", d(), d())], [(K[1], K[0], "a", d(), None, None, d())]), P, "2019-01-01 00:00:00")
+    s2 = I.run_batch(s1, {"orders": orders_df(spark, [(K[2], K[0], "b", d(1), None, None, d(1)), (K[3], K[4], "c", d(1), None, None, d(1))])}, P, "2019-01-02 00:00:00")
+    for table in ("fact_orders", "parked_orders"):
+        assert dict(s2.packed[table].dtypes)["order_id"] == "binary"
+        assert "hex(" not in s2.packed[table]._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.order_id, r.order_sk) for r in s2["fact_orders"].collect()) == [(K[1], 1), (K[2], 2)]
+    assert [(r.order_id, r.customer_id) for r in s2["parked_orders"].collect()] == [(K[3], K[4])]
+
+
+def test_cleaning_rules_do_not_compute_their_columns_again(spark, scratch):
+    orders_df(spark, [(K[1], K[0], "a", d(), None, None, d())]).write.parquet(scratch + "/orders")
+    raw = spark.read.parquet(scratch + "/orders")
+    for pack in (False, True):
+        out = SV.clean_orders(raw, dataclasses.replace(P, packed=pack))
+        tree = out._jdf.queryExecution().optimizedPlan().toString()
+        assert [line for line in tree.splitlines() if "Filter" in line and "lower(trim(" in line] == []
+        assert [r.order_id for r in shown(out).collect()] == [K[1]]
