@@ -419,13 +419,14 @@ def stream_refresh_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A refresh of the products sent through the stream as a file batch."""
     import uuid
 
-    from .session import ensure_checkpoint_dir
+    from .session import ensure_checkpoint_dir, scratch_scope
     from .sources.io import GoldStore
     from .streaming.increments import publish_changes, stream_increments
     inc = Increment(spark, sf_dir)
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/galaxia-stream-{uuid.uuid4().hex}"
     store = GoldStore(spark, f"{base}/state", buckets=8)
-    store.publish_initial(inc.I.initial_load({**inc.sources, "products": _earlier(inc.m, "products")}, FIXTURE, dt.NOW))
+    with scratch_scope(spark, "load"):   # the store holds all that is read later
+        store.publish_initial(inc.I.initial_load({**inc.sources, "products": _earlier(inc.m, "products")}, FIXTURE, dt.NOW))
     publish_changes(spark, f"{base}/changes", 1, {"products": inc.sources["products"]})
     stream_increments(spark, f"{base}/changes", store, FIXTURE, dt.NOW, f"{base}/checkpoint")
     return store.read("dim_products")
@@ -441,14 +442,15 @@ def stream_replay_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     a file batch through the stream, the final fact_orders read back."""
     import uuid
 
-    from .session import ensure_checkpoint_dir
+    from .session import ensure_checkpoint_dir, scratch_scope
     from .sources.io import GoldStore
     from .streaming.increments import publish_changes, stream_increments
 
     inc = Increment(spark, sf_dir)
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/galaxia-stream-{uuid.uuid4().hex}"
     store = GoldStore(spark, f"{base}/state", buckets=8)
-    store.publish_initial(inc.s1)
+    with scratch_scope(spark, "load"):   # the store holds all that is read later
+        store.publish_initial(inc.s1)
     publish_changes(spark, f"{base}/changes", 1, inc.batch2)
     stream_increments(spark, f"{base}/changes", store, FIXTURE, dt.NOW, f"{base}/checkpoint")
     return store.read("fact_orders")

@@ -234,6 +234,13 @@ class GoldStore:
         paths = [f"{self.root}/{table}/v={v}/bucket={b}" for b, v in sorted(parts.items())]
         return self.spark.read.schema(schema).parquet(*paths)
 
+    def _by_bucket(self, df: DataFrame, key: str) -> DataFrame:
+        """The rows with their bucket.  One shuffle groups them by it, so each bucket gets a
+        few files; rebalance lets AQE join small buckets and split one that a hot key
+        fills.  The shuffle carries packed ids."""
+        df = packed(df)
+        return shown(df.withColumn("bucket", self._bucket(df, key)).hint("rebalance", "bucket"))
+
     def _write(self, table: str, df: DataFrame, version: int, entry: dict) -> dict:
         """Write ``df`` as version ``version`` of ``table``; return the manifest entry."""
         # no two writers share a folder: whoever publishes first wins, and the other's
@@ -246,11 +253,8 @@ class GoldStore:
             df.write.mode("overwrite").parquet(path)
             entry["parts"] = {"all": version}
             return entry
-        df = shown(df)
-        # one shuffle groups rows by bucket, so each bucket gets a few files; rebalance
-        # lets AQE join small buckets and split one that a hot key fills
-        (df.withColumn("bucket", self._bucket(df, key)).hint("rebalance", "bucket")
-           .write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(path))
+        (self._by_bucket(df, key).write.mode("overwrite").option("compression", "zstd")
+             .partitionBy("bucket").parquet(path))
         for st in self._fs.listStatus(self._Path(path)):
             name = st.getPath().getName()
             if name.startswith("bucket="):

@@ -1,11 +1,17 @@
 """The file stream applies each announced batch once, also across restarts."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+from galaxia import catalog as C
+from galaxia.operators.ids import packed
 from galaxia.plans import incremental as I
+from galaxia.session import scratch_root
 from galaxia.sources import schemas
 from galaxia.sources.io import GoldStore
 from galaxia.streaming.increments import MARKER_SCHEMA, publish_changes, stream_increments
@@ -67,3 +73,24 @@ def test_an_older_version_that_arrives_late_changes_nothing(spark, scratch):
     stream_increments(spark, changes, store, P, "2019-01-02 00:00:00", scratch + "/ckpt")
     assert sorted((r["order_id"], r["order_status"]) for r in store.read("fact_orders").collect()) == [(K[1], "shipped"), (K[2], "new")]
     assert store.read("fact_orders").columns == schemas.GOLD["fact_orders"].fieldNames()
+
+
+def test_the_store_shuffles_packed_ids_and_writes_texts(spark, scratch):
+    store = GoldStore(spark, scratch + "/state", buckets=4)
+    raw = spark.createDataFrame([(K[i], i) for i in range(9)] + [("odd", 9), (None, 10)], "order_id string, n int")
+    raw.write.parquet(scratch + "/raw")
+    for df in (spark.read.parquet(scratch + "/raw"), packed(spark.read.parquet(scratch + "/raw"))):
+        out = store._by_bucket(df, "order_id")
+        assert {(r.order_id, r.n, r.bucket) for r in out.collect()} == {
+            (r.order_id, r.n, r.b) for r in raw.withColumn("b", F.expr("cast(pmod(xxhash64(order_id), 4) as int)")).collect()}
+        tree = out._jdf.queryExecution().optimizedPlan().toString()
+        assert tree.index("lower(hex(") < tree.index("RebalancePartitions") < tree.index("unhex(")
+
+
+def test_stream_queries_leave_no_table_of_the_load_behind(spark):
+    root = scratch_root(spark).removeprefix("file:")
+    def left():
+        return set(os.listdir(root)) if os.path.isdir(root) else set()
+    before = left()
+    assert C.QUERIES["stream_refresh"](spark, SF_SMALL).count() > 0
+    assert left() == before
